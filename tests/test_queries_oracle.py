@@ -1,0 +1,61 @@
+"""The driver contract: every registered query against its DuckDB statement (sf0.001)."""
+import datetime as dt
+import decimal
+import hashlib
+import json
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry_mod
+
+D = "/root/testdata/sf0.001"
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
+          "benchmark labels conversations").split()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{D}/{t}.parquet')")
+    return con
+
+
+def _norm(v):
+    if isinstance(v, float):
+        return round(v, 6)
+    if isinstance(v, decimal.Decimal):
+        return round(float(v), 6)
+    if isinstance(v, dt.datetime):
+        return v.isoformat(sep=" ")
+    if isinstance(v, dt.date):
+        return v.isoformat()
+    return v
+
+
+def _digest(cols, rows):
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    lines = sorted(json.dumps([_norm(r[i]) for i in order], default=str) for r in rows)
+    return hashlib.sha256("\n".join(lines).encode()).hexdigest()
+
+
+def test_every_query_has_an_oracle():
+    assert set(entry_mod.queries()) == set(entry_mod.oracle_sql())
+
+
+def test_entry(spark):
+    df = entry_mod.entry(spark)
+    assert df.count() > 0 and "o_orderkey" in df.columns
+
+
+@pytest.mark.parametrize("name", sorted(entry_mod.queries()))
+def test_query_matches_oracle(spark, duck, name):
+    sdf = entry_mod.queries()[name](spark, D)
+    srows = [tuple(r) for r in sdf.collect()]
+    res = duck.execute(entry_mod.oracle_sql()[name])
+    dcols = [c[0] for c in res.description]
+    drows = res.fetchall()
+    assert sorted(sdf.columns) == sorted(dcols)
+    assert len(srows) == len(drows)
+    assert _digest(sdf.columns, srows) == _digest(dcols, drows)

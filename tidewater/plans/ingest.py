@@ -51,11 +51,13 @@ class RunResult:
 
 
 def select_targets(spec: DatasetSpec, targets: list[str] | None) -> list[TargetSpec]:
-    """All targets, or those whose id or type is named; none left is an error."""
+    """All targets, or those named by id (else by type); none left is an error."""
     if targets is None:
         return list(spec.targets)
     wanted = set(targets)
-    chosen = [t for t in spec.targets if t.id in wanted or t.type in wanted]
+    chosen = [t for t in spec.targets if t.id in wanted]
+    if not chosen:
+        chosen = [t for t in spec.targets if t.type in wanted]
     if not chosen:
         raise SpecError(f"no targets of {spec.dataset_name!r} match {sorted(wanted)}")
     return chosen

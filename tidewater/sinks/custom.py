@@ -35,7 +35,7 @@ def _jsonable(value):
 
 @dataclass
 class FileWritten(WriterCommitMessage):
-    name: str
+    name: str | None
     rows: int
 
 
@@ -51,15 +51,22 @@ class JsonLinesWriter(DataSourceArrowWriter):
         ctx = TaskContext.get()
         name = f"part-{self.job}-{ctx.partitionId():05d}-{ctx.attemptNumber()}.jsonl"
         fs, root = _filesystem(self.path)
-        fs.create_dir(root, recursive=True)
+        out = None
         rows = 0
-        with fs.open_output_stream(f"{root}/{name}") as out:
+        try:
             for batch in iterator:
                 lines = [json.dumps(rec, default=_jsonable) for rec in batch.to_pylist()]
-                if lines:
-                    out.write(("\n".join(lines) + "\n").encode("utf-8"))
+                if not lines:
+                    continue
+                if out is None:  # an empty task leaves no file behind
+                    fs.create_dir(root, recursive=True)
+                    out = fs.open_output_stream(f"{root}/{name}")
+                out.write(("\n".join(lines) + "\n").encode("utf-8"))
                 rows += len(lines)
-        return FileWritten(name, rows)
+        finally:
+            if out is not None:
+                out.close()
+        return FileWritten(name if rows else None, rows)
 
     def _names(self) -> list[str]:
         import pyarrow.fs as pafs
