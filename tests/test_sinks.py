@@ -207,3 +207,66 @@ def test_custom_target(spark, base):
     assert fs.exists(spark, f"{base}/j/_SUCCESS")
     lines = [json.loads(r[0]) for r in spark.read.text(f"{base}/j").collect()]
     assert lines == [{"id": 4, "val": "d"}]
+
+
+@pytest.mark.parametrize("commit", ["rename", "copy"])
+def test_upsert_commit_modes(spark, base, commit):
+    t = _file(base, write_mode="merge", merge_keys=["id"], options={"commit": commit})
+    write_target(spark, _df(spark, [(1, "a"), (2, "b")]), t)
+    report = write_target(spark, _df(spark, [(2, "b2"), (3, "c")]), t)
+    assert report.extra["commit"] == commit
+    assert _as_dict(spark.read.parquet(f"{base}/t")) == {1: "a", 2: "b2", 3: "c"}
+    assert not fs.exists(spark, f"{base}/t__stage_static") and not fs.exists(spark, f"{base}/t__old")
+
+
+def test_half_finished_swap_is_completed(spark, base):
+    t = _file(base, write_mode="merge", merge_keys=["id"], options={"commit": "rename"})
+    write_target(spark, _df(spark, [(1, "a")]), t)
+    # died after moving the live data aside, before moving the stage in
+    _df(spark, [(1, "a"), (2, "b")]).write.parquet(f"{base}/t__stage_static")
+    fs.rename(spark, f"{base}/t", f"{base}/t__old")
+    assert recover_file_target(spark, t)
+    assert _as_dict(spark.read.parquet(f"{base}/t")) == {1: "a", 2: "b"}
+    assert not fs.exists(spark, f"{base}/t__old")
+
+
+def test_half_finished_swap_without_stage_rolls_back(spark, base):
+    t = _file(base, write_mode="merge", merge_keys=["id"], options={"commit": "rename"})
+    write_target(spark, _df(spark, [(1, "a")]), t)
+    fs.rename(spark, f"{base}/t", f"{base}/t__old")
+    assert recover_file_target(spark, t)
+    assert _as_dict(spark.read.parquet(f"{base}/t")) == {1: "a"}
+
+
+@pytest.mark.parametrize("commit", ["rename", "copy"])
+@pytest.mark.parametrize("partitioned", [False, True])
+def test_table_upsert_commit_modes(spark, base, commit, partitioned):
+    schema = "id bigint, region string, val string"
+    t = _table(spark, base, write_mode="merge", merge_keys=["id"], options={"commit": commit},
+               partition_columns=["region"] if partitioned else [])
+    write_target(spark, _df(spark, [(1, "us", "a"), (2, "eu", "b")], schema), t)
+    report = write_target(spark, _df(spark, [(2, "eu", "b2"), (3, "apac", "c")], schema), t)
+    assert report.extra["commit"] == commit and report.rows == 3
+    assert _as_dict(spark.table(t.options["table"])) == {1: "a", 2: "b2", 3: "c"}
+    if partitioned:
+        parts = {r[0] for r in spark.sql(f"SHOW PARTITIONS {t.options['table']}").collect()}
+        assert parts == {"region=us", "region=eu", "region=apac"}
+
+
+def test_bucketed_table_upsert_does_not_shuffle_target(spark, base):
+    from tidewater.operators import merge_plan
+
+    t = _table(spark, base, write_mode="merge", merge_keys=["id"], options={"bucket_count": 4})
+    write_target(spark, _df(spark, [(i, str(i)) for i in range(100)]), t)
+    existing = spark.table(t.options["table"])
+    batch = _df(spark, [(5, "x"), (500, "y")])
+    plan = merge_plan(existing, batch, ["id"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Bucketed: true" in text and text.count("Exchange hashpartitioning") == 1
+    write_target(spark, batch, t)
+    out = _as_dict(spark.table(t.options["table"]))
+    assert len(out) == 101 and out[5] == "x" and out[500] == "y"

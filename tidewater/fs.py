@@ -30,6 +30,17 @@ def delete(spark: SparkSession, path: str) -> None:
         fs.delete(hpath, True)
 
 
+def rename(spark: SparkSession, src: str, dst: str) -> None:
+    fs, hsrc = _fs(spark, src)
+    if not fs.rename(hsrc, _fs(spark, dst)[1]):
+        raise OSError(f"rename {src} -> {dst} failed")
+
+
+def scheme(spark: SparkSession, path: str) -> str:
+    fs, hpath = _fs(spark, path)
+    return str(fs.getUri().getScheme() or "file")
+
+
 def mkdirs(spark: SparkSession, path: str) -> None:
     fs, hpath = _fs(spark, path)
     fs.mkdirs(hpath)

@@ -23,8 +23,10 @@ from pyspark.sql.types import (ByteType, DataType, DateType, DecimalType, Intege
 from ..errors import DuplicateMergeKeyError, SpecError
 
 # Default broadcast ceiling for the batch key side of an upsert (bytes),
-# and the assumed width of a variable-length key value.
+# the assumed width of a variable-length key value, and the most partitions an upsert
+# names in a static partition filter before it rewrites the whole target instead.
 DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
+MAX_SCOPED_PARTITIONS = 10_000
 VARIABLE_KEY_BYTES = 64
 ROW_OVERHEAD_BYTES = 16
 
@@ -85,3 +87,23 @@ def assert_unique_keys(batch: DataFrame, keys: list[str]) -> None:
         raise DuplicateMergeKeyError(
             f"merge batch holds several rows for key {sample}; deduplicate it first "
             f"or set duplicate_keys: allow")
+
+
+def touched_partitions(batch: DataFrame, partition_columns: list[str],
+                       limit: int = MAX_SCOPED_PARTITIONS):
+    """A filter selecting the partitions the batch writes to, or None when there are more
+    than ``limit`` of them. At most ``limit + 1`` distinct values reach the driver; the
+    filter is a literal ``IN`` list, so the scan prunes partitions at planning time."""
+    values = batch.select(*partition_columns).distinct().limit(limit + 1).collect()
+    if len(values) > limit:
+        return None
+    if not values:
+        return F.lit(False)
+    if len(partition_columns) == 1:
+        c = partition_columns[0]
+        present = [v[c] for v in values if v[c] is not None]
+        cond = F.col(f"`{c}`").isin(present) if present else F.lit(False)
+        return cond | F.col(f"`{c}`").isNull() if len(present) < len(values) else cond
+    terms = [reduce(lambda a, b: a & b, [F.col(f"`{c}`").eqNullSafe(F.lit(v[c])) for c in partition_columns])
+             for v in values]
+    return reduce(lambda a, b: a | b, terms)

@@ -180,12 +180,15 @@ def process_batch(spark: SparkSession, spec: DatasetSpec, df: DataFrame, selecte
                 out.quarantine_path = quarantine_rows(df.drop(WM), q.path, spec.dataset_name)
             load = good_rows(df)
 
-        advanced = _advanced(spark, new_wm, wm_type, marks) if (new_wm is not None and wm_type) else {}
+        shared_bound = len(marks) == len(selected) and len(set(marks.values())) == 1
+        # With one shared mark every loaded row is past it, so a non-null max advances
+        # it; only differing marks need the (constant-only) comparison.
+        advanced = (_advanced(spark, new_wm, wm_type, marks)
+                    if (new_wm is not None and wm_type and marks and not shared_bound) else {})
         audit_rows = []
         for t in selected:
             prev = states.get(t.id)
             tdf = load
-            shared_bound = len(marks) == len(selected) and len(set(marks.values())) == 1
             if t.id in marks and has_wm and not shared_bound:
                 v, ty = marks[t.id]
                 tdf = tdf.filter(F.col(WM) > typed.parse(v, ty))

@@ -2,32 +2,37 @@
 
 Upserts never overwrite a path while reading it: the combined result is first written
 to a stage directory next to the target (``<path>__stage_<scope>``), whose ``_SUCCESS``
-marker says it is complete; the target is then overwritten from the stage and the stage
-removed. A run that starts and finds a complete stage re-applies it (idempotent); an
-incomplete one is discarded. When the partition columns are part of the merge key, only
-the partitions the batch touches are read and rewritten (dynamic partition overwrite).
+marker says it is complete. The stage is then committed:
+
+* ``rename`` (default on HDFS and local paths, whose directory renames are atomic
+  metadata operations): target → ``<path>__old``, stage → target, old deleted. The data
+  is written once.
+* ``copy`` (default elsewhere, e.g. object stores where a rename is a copy): the target
+  is overwritten from the stage, then the stage is removed.
+
+A run that starts and finds a complete stage re-applies it (idempotent); an incomplete
+one is discarded; a half-finished swap is completed or rolled back. When the partition
+columns are part of the merge key, only the partitions the batch touches are read and
+rewritten (dynamic partition overwrite from the stage).
 """
 from __future__ import annotations
 
 import datetime as _dt
 import json
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from .. import fs
 from ..errors import MissingOptionError
-from ..operators.upsert import assert_unique_keys, merge_plan, should_broadcast
+from ..operators.upsert import assert_unique_keys, merge_plan, should_broadcast, touched_partitions
 from ..spec import TargetSpec
 from .common import (BATCH_ID, WriteContext, WriteReport, observed, observed_metrics, rebalance,
                      with_typed_partitions)
 
-# Fixed value: most partitions an upsert may name in a static partition filter before it
-# falls back to rewriting the whole target.
-MAX_SCOPED_PARTITIONS = 10_000
 STAGE_SCOPES = ("dynamic", "static")
+# File systems whose directory rename is atomic.
+ATOMIC_RENAME_SCHEMES = ("hdfs", "viewfs", "file")
 
 
 def _path(target: TargetSpec) -> str:
@@ -116,16 +121,45 @@ def _apply_stage(spark: SparkSession, target: TargetSpec, path: str, scope: str,
     return metrics
 
 
+def _commit_mode(spark: SparkSession, target: TargetSpec, path: str) -> str:
+    mode = str(target.options.get("commit", "auto"))
+    if mode == "auto":
+        return "rename" if fs.scheme(spark, path) in ATOMIC_RENAME_SCHEMES else "copy"
+    return mode
+
+
+def _swap_in(spark: SparkSession, path: str, stage: str) -> None:
+    old = f"{path}__old"
+    fs.delete(spark, old)
+    if fs.exists(spark, path):
+        fs.rename(spark, path, old)
+    fs.rename(spark, stage, path)
+    fs.delete(spark, old)
+    fs.delete(spark, stage + ".schema.json")
+    spark.catalog.refreshByPath(path)
+
+
 def recover_file_target(spark: SparkSession, target: TargetSpec) -> bool:
     """Finish or discard an upsert interrupted after/before its stage was complete."""
     path = _path(target)
     recovered = False
+    old = f"{path}__old"
+    if fs.exists(spark, old):
+        stage = _stage_path(path, "static")
+        if not fs.exists(spark, path):
+            # died between the two renames: finish with the stage, else roll back
+            fs.rename(spark, stage if fs.is_complete(spark, stage) else old, path)
+            recovered = True
+        fs.delete(spark, old)
     for scope in STAGE_SCOPES:
         stage = _stage_path(path, scope)
         schema_file = stage + ".schema.json"
         if fs.is_complete(spark, stage) and fs.exists(spark, schema_file):
-            text = spark.read.text(schema_file, wholetext=True).first()[0]
-            _apply_stage(spark, target, path, scope, StructType.fromJson(json.loads(text)))
+            if scope == "static" and _commit_mode(spark, target, path) == "rename":
+                _swap_in(spark, path, stage)
+            else:
+                text = spark.read.text(schema_file, wholetext=True).first()[0]
+                _apply_stage(spark, target, path, scope, StructType.fromJson(json.loads(text)))
             recovered = True
         else:
             fs.delete(spark, stage)
@@ -140,17 +174,6 @@ def _read_existing(spark: SparkSession, target: TargetSpec, path: str, batch: Da
     return spark.read.format(fmt).schema(schema).load(path)
 
 
-def _touched_partitions(batch: DataFrame, pcols: list[str]):
-    """Partition values in the batch as a filter, or None when there are too many."""
-    values = batch.select(*pcols).distinct().limit(MAX_SCOPED_PARTITIONS + 1).collect()
-    if len(values) > MAX_SCOPED_PARTITIONS:
-        return None
-    if not values:
-        return F.lit(False)
-    terms = [reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v[c])) for c in pcols]) for v in values]
-    return reduce(lambda a, b: a | b, terms)
-
-
 def file_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: WriteContext) -> WriteReport:
     path = _path(target)
     keys = list(target.merge_keys)
@@ -165,7 +188,7 @@ def file_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wri
     existing = _read_existing(spark, target, path, df)
     scope = "static"
     if pcols and set(pcols) <= set(keys) and set(pcols) <= set(existing.columns):
-        touched = _touched_partitions(df, pcols)
+        touched = touched_partitions(df, pcols)
         if touched is not None:
             existing = existing.filter(touched)  # static partition pruning at planning
             scope = "dynamic"
@@ -174,9 +197,15 @@ def file_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wri
     stage = _stage_path(path, scope)
     fs.delete(spark, stage)
     fs.write_text(spark, stage + ".schema.json", combined.schema.json())
-    _save(combined, target, stage, "overwrite", pcols)
-    metrics = _apply_stage(spark, target, path, scope, combined.schema)
-    return _report(spark, target, "merge", path, metrics, ctx, scope=scope, broadcast=broadcast)
+    commit = "copy" if scope == "dynamic" else _commit_mode(spark, target, path)
+    with_hash = bool(target.options.get("manifest_path")) and commit == "rename"
+    metrics = _save(combined, target, stage, "overwrite", pcols, with_hash=with_hash)
+    if commit == "rename":
+        _swap_in(spark, path, stage)
+    else:
+        metrics = _apply_stage(spark, target, path, scope, combined.schema)
+    return _report(spark, target, "merge", path, metrics, ctx, scope=scope, broadcast=broadcast,
+                   commit=commit)
 
 
 def read_file_target(spark: SparkSession, target: TargetSpec, schema: StructType | None = None) -> DataFrame:

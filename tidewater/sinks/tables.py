@@ -1,25 +1,38 @@
 """Catalog-table targets (any catalog ``saveAsTable`` works with; Parquet by default).
 
-Upserts write the combined result to a stage table ``<table>__stage`` first (a table
-cannot be overwritten by a query that reads it), then ``INSERT OVERWRITE`` the live
-table from the stage — the live table is never dropped, so there is no window in which
-it is missing. A stage table exists in the catalog only once its data is written, so a
-run that finds one re-applies it. If the batch adds columns, the live table is
-replaced from the stage instead (same columns rule as the file target).
+Options: ``table`` (required), ``path`` (external location), ``format``, ``repair``
+(run ``MSCK REPAIR`` after partitioned writes), ``bucket_count`` (bucket the table by
+its merge keys), ``commit`` (``auto`` | ``rename`` | ``copy``).
+
+Upserts write the combined result to a stage table first (a table cannot be overwritten
+by a query that reads it); its name carries the scope (``<table>__stage_full`` or
+``__stage_dyn``). A stage table exists in the catalog only once its data is written, so
+a run that finds one re-applies it. The stage is committed by
+
+* ``rename`` (external tables on HDFS/local paths): the stage's folder replaces the
+  live folder by two atomic renames and the table is refreshed (and its partitions
+  re-synced) — the data is written once;
+* ``copy``: ``INSERT OVERWRITE`` of the live table from the stage (only the touched
+  partitions when the partition columns are in the merge key). The live table is never
+  dropped, so there is no window in which it is missing. If the batch adds columns the
+  live table is replaced from the stage instead.
+
+With ``bucket_count`` the target is bucketed by the merge keys, so the upsert's anti
+join reads the target without shuffling it; only the batch keys are shuffled.
 """
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fs
 from ..errors import MissingOptionError
-from ..operators.upsert import assert_unique_keys, merge_plan, should_broadcast
+from ..operators.upsert import assert_unique_keys, merge_plan, should_broadcast, touched_partitions
 from ..spec import TargetSpec
 from .common import BATCH_ID, WriteContext, WriteReport, observed, observed_metrics, rebalance
-from .files import MAX_SCOPED_PARTITIONS
+
+# File systems whose directory rename is atomic.
+ATOMIC_RENAME_SCHEMES = ("hdfs", "viewfs", "file")
 
 
 def _table(target: TargetSpec) -> str:
@@ -36,7 +49,8 @@ def _location(target: TargetSpec, suffix: str = "") -> str | None:
 
 def _create(df: DataFrame, target: TargetSpec, table: str, mode: str, location: str | None,
             partition_columns: list[str], with_hash: bool = False) -> dict:
-    if partition_columns:
+    buckets = int(target.options.get("bucket_count", 0) or 0)
+    if partition_columns and not buckets:
         df = rebalance(df, partition_columns)
     df, obs = observed(df, with_hash)
     writer = df.write.format(str(target.options.get("format", "parquet"))).mode(mode)
@@ -44,6 +58,8 @@ def _create(df: DataFrame, target: TargetSpec, table: str, mode: str, location:
         writer = writer.option("path", location)
     if partition_columns:
         writer = writer.partitionBy(*partition_columns)
+    if buckets and target.merge_keys:
+        writer = writer.bucketBy(buckets, *target.merge_keys)
     writer.saveAsTable(table)
     return observed_metrics(obs)
 
@@ -58,9 +74,10 @@ def _insert_overwrite(spark: SparkSession, df: DataFrame, table: str, dynamic: b
     return observed_metrics(obs)
 
 
-def repair_partitions(spark: SparkSession, table: str) -> None:
-    """Register partition directories that were written outside the catalog."""
-    spark.sql(f"MSCK REPAIR TABLE {table}")
+def repair_partitions(spark: SparkSession, table: str, sync: bool = False) -> None:
+    """Register partition directories written outside the catalog (``sync`` also drops
+    partitions whose directories are gone)."""
+    spark.sql(f"MSCK REPAIR TABLE {table}{' SYNC PARTITIONS' if sync else ''}")
 
 
 def _maybe_repair(spark: SparkSession, target: TargetSpec) -> None:
@@ -100,12 +117,41 @@ def _stage_suffix(dynamic: bool) -> str:
     return f"__stage_{'dyn' if dynamic else 'full'}"
 
 
+def _commit_mode(spark: SparkSession, target: TargetSpec, dynamic: bool) -> str:
+    mode = str(target.options.get("commit", "auto"))
+    live = _location(target)
+    if dynamic or live is None:
+        return "copy"
+    if mode == "auto":
+        return "rename" if fs.scheme(spark, live) in ATOMIC_RENAME_SCHEMES else "copy"
+    return mode
+
+
+def _swap_folders(spark: SparkSession, target: TargetSpec) -> None:
+    """Stage folder replaces the live folder; the catalog entry keeps its location."""
+    table = _table(target)
+    live, stage, old = _location(target), _location(target, _stage_suffix(False)), _location(target, "__old")
+    fs.delete(spark, old)
+    if fs.exists(spark, live):
+        fs.rename(spark, live, old)
+    fs.rename(spark, stage, live)
+    fs.delete(spark, old)
+    spark.sql(f"REFRESH TABLE {table}")
+    if target.partition_columns:
+        repair_partitions(spark, table, sync=True)
+
+
 def _apply_stage(spark: SparkSession, target: TargetSpec, dynamic: bool) -> dict:
     table = _table(target)
     stage = _stage_name(table, dynamic)
     staged = spark.table(stage)
     live_cols = spark.table(table).columns
-    if set(staged.columns) == set(live_cols):
+    same_columns = set(staged.columns) == set(live_cols)
+    if same_columns and _commit_mode(spark, target, dynamic) == "rename":
+        spark.sql(f"DROP TABLE IF EXISTS {stage}")  # external: the folder stays
+        _swap_folders(spark, target)
+        return {"rows": None, "checksum": None}
+    if same_columns:
         metrics = _insert_overwrite(spark, staged, table, dynamic)
     else:  # schema evolved: replace the table definition from the stage
         metrics = _create(staged, target, table, "overwrite", _location(target), list(target.partition_columns))
@@ -118,9 +164,16 @@ def _apply_stage(spark: SparkSession, target: TargetSpec, dynamic: bool) -> dict
 
 
 def recover_table_target(spark: SparkSession, target: TargetSpec) -> bool:
-    """Re-apply a stage table left by an interrupted upsert."""
+    """Re-apply a stage table left by an interrupted upsert; undo a half-done swap."""
     table = _table(target)
     recovered = False
+    old, live = _location(target, "__old"), _location(target)
+    if old and fs.exists(spark, old):
+        if not fs.exists(spark, live):
+            fs.rename(spark, old, live)  # the stage entry was already gone: roll back
+            spark.sql(f"REFRESH TABLE {table}")
+            recovered = True
+        fs.delete(spark, old)
     for dynamic in (True, False):
         if spark.catalog.tableExists(_stage_name(table, dynamic)) and spark.catalog.tableExists(table):
             _apply_stage(spark, target, dynamic)
@@ -141,11 +194,9 @@ def table_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wr
     existing = spark.table(table)
     dynamic = False
     if pcols and set(pcols) <= set(keys):
-        values = df.select(*pcols).distinct().limit(MAX_SCOPED_PARTITIONS + 1).collect()
-        if len(values) <= MAX_SCOPED_PARTITIONS:
-            terms = [reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v[c])) for c in pcols])
-                     for v in values] or [F.lit(False)]
-            existing = existing.filter(reduce(lambda a, b: a | b, terms))
+        touched = touched_partitions(df, pcols)
+        if touched is not None:
+            existing = existing.filter(touched)
             dynamic = True
     broadcast = should_broadcast(df, keys, ctx.batch_rows, ctx.broadcast_limit)
     combined = merge_plan(existing, df, keys, null_safe=target.null_safe_keys, broadcast_keys=broadcast)
@@ -154,7 +205,10 @@ def table_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wr
     stage_loc = _location(target, _stage_suffix(dynamic))
     if stage_loc:
         fs.delete(spark, stage_loc)
-    _create(combined, target, stage, "overwrite", stage_loc, pcols)
+    staged = _create(combined, target, stage, "overwrite", stage_loc, pcols)
+    commit = _commit_mode(spark, target, dynamic)
     metrics = _apply_stage(spark, target, dynamic)
-    return WriteReport(target.id, target.type, "merge", metrics["rows"], table,
-                       extra={"scope": "dynamic" if dynamic else "static", "broadcast": broadcast})
+    rows = staged["rows"] if metrics["rows"] is None else metrics["rows"]
+    return WriteReport(target.id, target.type, "merge", rows, table,
+                       extra={"scope": "dynamic" if dynamic else "static", "broadcast": broadcast,
+                              "commit": commit})
