@@ -11,6 +11,7 @@ again), plus tiny state/audit appends.
 from __future__ import annotations
 
 import datetime as _dt
+import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -19,14 +20,16 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..errors import DataQualityError, SpecError
+from pyspark.errors import AnalysisException
+
+from ..errors import DataQualityError, DuplicateMergeKeyError, SpecError
 from ..functions import typed
 from ..operators.chain import TransformFn, apply_chain, compile_chain, is_wide
 from ..operators.quality import BAD_ROWS, ROWS, WM_MAX, QualityResult, evaluate, run_profile
 from ..operators.quarantine import REASON, annotate_rows, good_rows, quarantine_batch, quarantine_rows
 from ..sinks import WriteContext, WriteReport, recover_target, write_target
 from ..sources import read_source
-from ..spec import DatasetSpec, TargetSpec
+from ..spec import DatasetSpec, RetrySpec, TargetSpec
 from . import state as st
 
 WM = "__wm"
@@ -77,6 +80,27 @@ def _keys_unique(spec: DatasetSpec, target: TargetSpec) -> bool:
     return set(spec.transforms[last].params.get("keys", [])) <= set(target.merge_keys)
 
 
+def write_with_retry(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: WriteContext,
+                     retry: RetrySpec) -> WriteReport:
+    """Retry a failed write with exponential backoff — only when replaying it cannot
+    duplicate rows (merge, overwrite, ``_batch_id`` append). Errors that would recur
+    (spec, analysis, duplicate keys) are raised at once. Task-level retries are Spark's."""
+    replay_safe = target.is_merge or target.write_mode == "overwrite" or target.idempotent
+    attempts = max(1, retry.max_attempts) if replay_safe else 1
+    delay = retry.initial_delay_seconds
+    for attempt in range(1, attempts + 1):
+        try:
+            return write_target(spark, df, target, ctx)
+        except (SpecError, DuplicateMergeKeyError, AnalysisException):
+            raise
+        except Exception:
+            if attempt == attempts:
+                raise
+            time.sleep(min(delay, retry.max_delay_seconds))
+            delay *= retry.backoff_multiplier
+    raise AssertionError("unreachable")
+
+
 def _bound(marks: list[tuple[str, str]]):
     parsed = [typed.parse(v, t) for v, t in marks]
     return parsed[0] if len(parsed) == 1 else F.least(*parsed)
@@ -196,7 +220,7 @@ def process_batch(spark: SparkSession, spec: DatasetSpec, df: DataFrame, selecte
             bid = batch_id if batch_id is not None else (prev.batch_id + 1 if prev else 1)
             ctx = WriteContext(batch_id=bid, batch_rows=rows, keys_unique=_keys_unique(spec, t),
                                run_time=run_time)
-            report = write_target(spark, tdf, t, ctx)
+            report = write_with_retry(spark, tdf, t, ctx, spec.retry)
             out.reports.append(report)
             out.targets_written.append(t.id)
             value = prev.value if prev else None
