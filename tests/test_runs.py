@@ -168,3 +168,17 @@ def test_retry_only_replay_safe_writes(spark, base, monkeypatch):
     with pytest.raises(RuntimeError):
         ingest.write_with_retry(spark, df, TargetSpec("file", {"path": base}), WriteContext(), retry)
     assert calls == ["append"]  # a plain append is never replayed
+
+
+def test_state_is_partitioned_and_compacts(spark, base):
+    path = f"{base}/state"
+    for i in range(1, 4):
+        st.commit_state(spark, path, "ds", [st.StateEntry("file", "c", "bigint", str(i * 10), i)])
+    st.commit_state(spark, path, "other", [st.StateEntry("file", "c", "bigint", "5", 1)])
+    assert st.read_state(spark, path, "ds", ["file"])["file"].value == "30"
+    plan = st.latest_state(spark, path, "ds")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dataset" in plan
+    st.compact_state(spark, path, "ds")
+    assert st.state_frame(spark, path).filter("dataset = 'ds'").count() == 1
+    assert st.read_state(spark, path, "ds", ["file"])["file"].batch_id == 3
+    assert st.read_state(spark, path, "other", ["file"])["file"].value == "5"

@@ -1,10 +1,15 @@
-"""Incremental state, run audit and run metrics as small append-only Parquet tables.
+"""Incremental state, run audit and run metrics as small append-only Parquet tables,
+each partitioned by dataset.
 
 State rows: ``(dataset, target, column, type, value, batch_id, updated_at)``. The value
 is text rendered by Spark from the typed column (see ``functions.typed``), so it parses
 back to the same value in any session time zone. Each target has its own row stream:
 a target that did not load a batch keeps its own watermark. The latest row per
 ``(dataset, target)`` by ``batch_id`` wins.
+
+The state table is partitioned by dataset, so a run reads only its own dataset's folder,
+and every ``COMPACT_EVERY`` batches that folder is rewritten to its latest row per
+target (through a stage folder), so it does not grow one small file per run forever.
 """
 from __future__ import annotations
 
@@ -19,6 +24,9 @@ from pyspark.sql.types import (BooleanType, DoubleType, LongType, StringType, St
 from .. import fs
 from ..session import work_dir
 
+# Fixed value: batches between compactions of a dataset's state folder.
+COMPACT_EVERY = 100
+
 STATE_SCHEMA = StructType([
     StructField("dataset", StringType(), False),
     StructField("target", StringType(), False),
@@ -105,17 +113,33 @@ def commit_state(spark: SparkSession, path: str, dataset: str, entries: list[Sta
         return
     when = now or _dt.datetime.now(_dt.timezone.utc)
     rows = [(dataset, e.target, e.column, e.type, e.value, int(e.batch_id), when) for e in entries]
-    spark.createDataFrame(rows, STATE_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    (spark.createDataFrame(rows, STATE_SCHEMA).coalesce(1).write.mode("append")
+     .partitionBy("dataset").parquet(path))
+    if any(e.batch_id % COMPACT_EVERY == 0 for e in entries):
+        compact_state(spark, path, dataset)
+
+
+def compact_state(spark: SparkSession, path: str, dataset: str) -> None:
+    """Rewrite one dataset's state folder to its latest row per target."""
+    stage = f"{path}__compact_{dataset}"
+    fs.delete(spark, stage)
+    latest = latest_state(spark, path, dataset).select(*STATE_SCHEMA.fieldNames())
+    latest.coalesce(1).write.mode("overwrite").parquet(stage)
+    (spark.read.schema(STATE_SCHEMA).parquet(stage).coalesce(1).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("dataset").parquet(path))
+    fs.delete(spark, stage)
 
 
 def append_audit(spark: SparkSession, path: str, rows: list[tuple]) -> None:
     if rows:
-        spark.createDataFrame(rows, AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(f"{path}/runs")
+        (spark.createDataFrame(rows, AUDIT_SCHEMA).coalesce(1).write.mode("append")
+         .partitionBy("dataset").parquet(f"{path}/runs"))
 
 
 def append_metrics(spark: SparkSession, path: str, rows: list[tuple]) -> None:
     if rows:
-        spark.createDataFrame(rows, METRIC_SCHEMA).coalesce(1).write.mode("append").parquet(f"{path}/metrics")
+        (spark.createDataFrame(rows, METRIC_SCHEMA).coalesce(1).write.mode("append")
+         .partitionBy("dataset").parquet(f"{path}/metrics"))
 
 
 def audit_frame(spark: SparkSession, path: str) -> DataFrame:

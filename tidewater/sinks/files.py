@@ -169,6 +169,8 @@ def recover_file_target(spark: SparkSession, target: TargetSpec) -> bool:
 
 def _read_existing(spark: SparkSession, target: TargetSpec, path: str, batch: DataFrame) -> DataFrame:
     fmt = _format(target)
+    if not target.partition_columns:
+        return spark.read.format(fmt).load(path)  # one listing, footer schema
     inferred = spark.read.format(fmt).load(path).schema
     schema = with_typed_partitions(inferred, batch.schema, list(target.partition_columns))
     return spark.read.format(fmt).schema(schema).load(path)
