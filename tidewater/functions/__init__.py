@@ -1,5 +1,5 @@
 """Column-expression helpers (all JVM-side built-ins, no Python UDFs)."""
-from .rows import content_hash, reason_column, row_hash
+from .rows import content_hash, literal_frame, reason_column, row_hash
 from .typed import after, parse, render
 
-__all__ = ["after", "parse", "render", "reason_column", "row_hash", "content_hash"]
+__all__ = ["after", "parse", "render", "reason_column", "row_hash", "content_hash", "literal_frame"]

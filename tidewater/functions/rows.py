@@ -32,3 +32,20 @@ def content_hash(columns: list[str]) -> Column:
     row order or partitioning of the data.
     """
     return F.sum(row_hash(columns).cast("decimal(38,0)"))
+
+
+def literal_frame(spark, rows: list[tuple], schema):
+    """A small DataFrame built from literals inside the JVM (``inline`` of an array of
+    structs) — no Python worker is started, unlike ``createDataFrame`` of a list."""
+    from pyspark.sql.types import StructType
+
+    assert isinstance(schema, StructType)
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+    structs = [
+        F.struct(*[(F.lit(v) if v is not None else F.lit(None)).cast(f.dataType).alias(f.name)
+                   for v, f in zip(row, schema.fields)])
+        for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs))).select(
+        *[F.col(f.name) for f in schema.fields])

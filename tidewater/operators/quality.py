@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, DoubleType, StringType, StructField, StructType,
                                _parse_datatype_string)
 
-from ..functions import typed
+from ..functions import literal_frame, typed
 from ..spec import FieldSpec, QualitySpec
 
 # Check names reported in results and metrics.
@@ -158,4 +158,4 @@ def result_frame(spark: SparkSession, dataset: str, result: QualityResult) -> Da
     """Long-form check results: one row per evaluated check (bounded by the spec)."""
     rows = [(dataset, o.check, o.column, o.observed, o.threshold, o.passed, o.detail)
             for o in result.outcomes]
-    return spark.createDataFrame(rows, RESULT_SCHEMA)
+    return literal_frame(spark, rows, RESULT_SCHEMA)

@@ -22,6 +22,7 @@ from pyspark.sql.types import (BooleanType, DoubleType, LongType, StringType, St
                                TimestampType)
 
 from .. import fs
+from ..functions import literal_frame
 from ..session import work_dir
 
 # Fixed value: batches between compactions of a dataset's state folder.
@@ -85,7 +86,7 @@ def default_audit_path(spark: SparkSession) -> str:
 
 def state_frame(spark: SparkSession, path: str) -> DataFrame:
     if not fs.exists(spark, path):
-        return spark.createDataFrame([], STATE_SCHEMA)
+        return literal_frame(spark, [], STATE_SCHEMA)
     return spark.read.schema(STATE_SCHEMA).parquet(path)
 
 
@@ -113,7 +114,7 @@ def commit_state(spark: SparkSession, path: str, dataset: str, entries: list[Sta
         return
     when = now or _dt.datetime.now(_dt.timezone.utc)
     rows = [(dataset, e.target, e.column, e.type, e.value, int(e.batch_id), when) for e in entries]
-    (spark.createDataFrame(rows, STATE_SCHEMA).coalesce(1).write.mode("append")
+    (literal_frame(spark, rows, STATE_SCHEMA).coalesce(1).write.mode("append")
      .partitionBy("dataset").parquet(path))
     if any(e.batch_id % COMPACT_EVERY == 0 for e in entries):
         compact_state(spark, path, dataset)
@@ -132,13 +133,13 @@ def compact_state(spark: SparkSession, path: str, dataset: str) -> None:
 
 def append_audit(spark: SparkSession, path: str, rows: list[tuple]) -> None:
     if rows:
-        (spark.createDataFrame(rows, AUDIT_SCHEMA).coalesce(1).write.mode("append")
+        (literal_frame(spark, rows, AUDIT_SCHEMA).coalesce(1).write.mode("append")
          .partitionBy("dataset").parquet(f"{path}/runs"))
 
 
 def append_metrics(spark: SparkSession, path: str, rows: list[tuple]) -> None:
     if rows:
-        (spark.createDataFrame(rows, METRIC_SCHEMA).coalesce(1).write.mode("append")
+        (literal_frame(spark, rows, METRIC_SCHEMA).coalesce(1).write.mode("append")
          .partitionBy("dataset").parquet(f"{path}/metrics"))
 
 

@@ -21,9 +21,10 @@ import datetime as _dt
 import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from .. import fs
+from ..functions import literal_frame
 from ..errors import MissingOptionError
 from ..operators.upsert import assert_unique_keys, merge_plan, should_broadcast, touched_partitions
 from ..spec import TargetSpec
@@ -31,6 +32,11 @@ from .common import (BATCH_ID, WriteContext, WriteReport, observed, observed_met
                      with_typed_partitions)
 
 STAGE_SCOPES = ("dynamic", "static")
+MANIFEST_SCHEMA = StructType([
+    StructField("path", StringType()), StructField("row_count", LongType()),
+    StructField("written_at", StringType()), StructField("checksum", StringType()),
+    StructField("mode", StringType()), StructField("batch_id", LongType()),
+])
 # File systems whose directory rename is atomic.
 ATOMIC_RENAME_SCHEMES = ("hdfs", "viewfs", "file")
 
@@ -67,15 +73,9 @@ def _save(df: DataFrame, target: TargetSpec, path: str, mode: str, partition_col
 def write_manifest(spark: SparkSession, manifest_path: str, location: str, metrics: dict,
                    mode: str, batch_id: int) -> None:
     """One-row JSON: location, rows written, UTC time, content checksum."""
-    row = {
-        "path": location,
-        "row_count": int(metrics["rows"]),
-        "written_at": _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ"),
-        "checksum": metrics.get("checksum"),
-        "mode": mode,
-        "batch_id": int(batch_id),
-    }
-    spark.createDataFrame([row]).coalesce(1).write.mode("overwrite").json(manifest_path)
+    row = (location, int(metrics["rows"]), _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ"),
+           metrics.get("checksum"), mode, int(batch_id))
+    literal_frame(spark, [row], MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite").json(manifest_path)
 
 
 def _report(spark, target, mode, path, metrics, ctx, **extra) -> WriteReport:
