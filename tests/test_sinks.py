@@ -102,13 +102,15 @@ def test_upsert_schema_union(spark, base, kind):
     assert rows == {1: ("a", None), 2: (None, 20)}
 
 
-def test_upsert_partition_scoped(spark, base):
-    t = _file(base, write_mode="merge", merge_keys=["id", "region"], partition_columns=["region"])
+@pytest.mark.parametrize("commit", ["rename", "copy"])
+def test_upsert_partition_scoped(spark, base, commit):
+    t = _file(base, write_mode="merge", merge_keys=["id", "region"], partition_columns=["region"],
+              options={"commit": commit})
     write_target(spark, _df(spark, [(1, "us", "a"), (2, "eu", "b")], "id bigint, region string, val string"), t)
     before = sorted(f for f in fs.list_dirs(spark, f"{base}/t"))
     us_files = spark.read.parquet(f"{base}/t/region=us").inputFiles()
     report = write_target(spark, _df(spark, [(2, "eu", "b2"), (3, "eu", "c")], "id bigint, region string, val string"), t)
-    assert report.extra["scope"] == "dynamic"
+    assert report.extra["scope"] == "dynamic" and report.extra["commit"] == commit
     assert spark.read.parquet(f"{base}/t/region=us").inputFiles() == us_files  # untouched partition kept
     assert sorted(fs.list_dirs(spark, f"{base}/t")) == before
     assert _as_dict(spark.read.parquet(f"{base}/t")) == {1: "a", 2: "b2", 3: "c"}
@@ -270,3 +272,21 @@ def test_bucketed_table_upsert_does_not_shuffle_target(spark, base):
     write_target(spark, batch, t)
     out = _as_dict(spark.table(t.options["table"]))
     assert len(out) == 101 and out[5] == "x" and out[500] == "y"
+
+
+def test_partition_swap_resumes_after_crash(spark, base):
+    schema = "id bigint, region string, val string"
+    t = _file(base, write_mode="merge", merge_keys=["id", "region"], partition_columns=["region"],
+              options={"commit": "rename"})
+    write_target(spark, _df(spark, [(1, "us", "a"), (2, "eu", "b"), (3, "apac", "c")], schema), t)
+    staged = _df(spark, [(1, "us", "a2"), (2, "eu", "b2")], schema)
+    stage = f"{base}/t__stage_dynamic"
+    fs.write_text(spark, stage + ".schema.json", staged.schema.json())
+    staged.write.partitionBy("region").parquet(stage)
+    # died after swapping region=eu only
+    fs.mkdirs(spark, f"{base}/t__old")
+    fs.rename(spark, f"{base}/t/region=eu", f"{base}/t__old/region=eu")
+    fs.rename(spark, f"{stage}/region=eu", f"{base}/t/region=eu")
+    assert recover_file_target(spark, t)
+    assert _as_dict(spark.read.parquet(f"{base}/t")) == {1: "a2", 2: "b2", 3: "c"}
+    assert not fs.exists(spark, stage) and not fs.exists(spark, f"{base}/t__old")

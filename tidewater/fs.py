@@ -60,3 +60,20 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(hpath):
         return []
     return [str(s.getPath().toString()) for s in fs.listStatus(hpath) if s.isDirectory()]
+
+
+def partition_dirs(spark: SparkSession, root: str, depth: int) -> list[str]:
+    """Relative paths (``a=1/b=2``) of the partition folders ``depth`` levels below root."""
+    fs, hroot = _fs(spark, root)
+    if not fs.exists(hroot):
+        return []
+    level = [("", hroot)]
+    for _ in range(depth):
+        nxt = []
+        for rel, hp in level:
+            for st in fs.listStatus(hp):
+                name = st.getPath().getName()
+                if st.isDirectory() and "=" in name and not name.startswith((".", "_")):
+                    nxt.append((f"{rel}/{name}" if rel else name, st.getPath()))
+        level = nxt
+    return sorted(rel for rel, _ in level)

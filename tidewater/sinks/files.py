@@ -5,8 +5,9 @@ to a stage directory next to the target (``<path>__stage_<scope>``), whose ``_SU
 marker says it is complete. The stage is then committed:
 
 * ``rename`` (default on HDFS and local paths, whose directory renames are atomic
-  metadata operations): target → ``<path>__old``, stage → target, old deleted. The data
-  is written once.
+  metadata operations): target → ``<path>__old``, stage → target, old deleted — or, for
+  a partition-scoped upsert, the same per touched partition folder. The data is written
+  once.
 * ``copy`` (default elsewhere, e.g. object stores where a rename is a copy): the target
   is overwritten from the stage, then the stage is removed.
 
@@ -139,12 +140,30 @@ def _swap_in(spark: SparkSession, path: str, stage: str) -> None:
     spark.catalog.refreshByPath(path)
 
 
+def _swap_partitions(spark: SparkSession, path: str, stage: str, partition_columns: list[str]) -> None:
+    """Each staged partition folder replaces its live folder (two atomic renames each).
+    Re-running after a crash finishes the folders still left in the stage."""
+    old = f"{path}__old"
+    for rel in fs.partition_dirs(spark, stage, len(partition_columns)):
+        live_p, old_p = f"{path}/{rel}", f"{old}/{rel}"
+        if fs.exists(spark, live_p):
+            fs.delete(spark, old_p)
+            fs.mkdirs(spark, old_p.rsplit("/", 1)[0])
+            fs.rename(spark, live_p, old_p)
+        fs.mkdirs(spark, live_p.rsplit("/", 1)[0])
+        fs.rename(spark, f"{stage}/{rel}", live_p)
+    fs.delete(spark, old)
+    fs.delete(spark, stage)
+    fs.delete(spark, stage + ".schema.json")
+    spark.catalog.refreshByPath(path)
+
+
 def recover_file_target(spark: SparkSession, target: TargetSpec) -> bool:
     """Finish or discard an upsert interrupted after/before its stage was complete."""
     path = _path(target)
     recovered = False
     old = f"{path}__old"
-    if fs.exists(spark, old):
+    if fs.exists(spark, old) and not fs.is_complete(spark, _stage_path(path, "dynamic")):
         stage = _stage_path(path, "static")
         if not fs.exists(spark, path):
             # died between the two renames: finish with the stage, else roll back
@@ -157,6 +176,8 @@ def recover_file_target(spark: SparkSession, target: TargetSpec) -> bool:
         if fs.is_complete(spark, stage) and fs.exists(spark, schema_file):
             if scope == "static" and _commit_mode(spark, target, path) == "rename":
                 _swap_in(spark, path, stage)
+            elif scope == "dynamic" and _commit_mode(spark, target, path) == "rename":
+                _swap_partitions(spark, path, stage, list(target.partition_columns))
             else:
                 text = spark.read.text(schema_file, wholetext=True).first()[0]
                 _apply_stage(spark, target, path, scope, StructType.fromJson(json.loads(text)))
@@ -199,10 +220,12 @@ def file_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wri
     stage = _stage_path(path, scope)
     fs.delete(spark, stage)
     fs.write_text(spark, stage + ".schema.json", combined.schema.json())
-    commit = "copy" if scope == "dynamic" else _commit_mode(spark, target, path)
+    commit = _commit_mode(spark, target, path)
     with_hash = bool(target.options.get("manifest_path")) and commit == "rename"
     metrics = _save(combined, target, stage, "overwrite", pcols, with_hash=with_hash)
-    if commit == "rename":
+    if commit == "rename" and scope == "dynamic":
+        _swap_partitions(spark, path, stage, pcols)
+    elif commit == "rename":
         _swap_in(spark, path, stage)
     else:
         metrics = _apply_stage(spark, target, path, scope, combined.schema)
