@@ -53,3 +53,16 @@ def test_partitioned_write_is_rebalanced(spark):
     df = rebalance(spark.read.parquet(f"{D}/events.parquet"), ["event_type"])
     assert "RebalancePartitions" in df._jdf.queryExecution().optimizedPlan().toString()
     assert F  # keep import used
+
+
+def test_distinct_keys_reuse_join_partitioning(spark):
+    orders = spark.read.parquet(f"{D}/orders.parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = _plan(merge_plan(orders, orders, ["o_custkey"], distinct_keys=True))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # one exchange per join side; the key aggregate's partitioning feeds the join directly
+    assert plan.count("Exchange hashpartitioning") == 2 and "SortMergeJoin" in plan

@@ -63,11 +63,17 @@ def should_broadcast(batch: DataFrame, keys: list[str], batch_rows: int | None,
 
 
 def merge_plan(existing: DataFrame, batch: DataFrame, keys: list[str], *,
-               null_safe: bool = False, broadcast_keys: bool = False) -> DataFrame:
+               null_safe: bool = False, broadcast_keys: bool = False,
+               distinct_keys: bool = False) -> DataFrame:
+    """``distinct_keys`` collapses repeated batch keys (map-side) before the join, so a key
+    repeated throughout a batch that allows duplicates cannot skew the join's build
+    side; the aggregate's hash partitioning is reused by the sort-merge join."""
     missing = [k for k in keys if k not in existing.columns or k not in batch.columns]
     if missing:
         raise SpecError(f"merge keys missing from target or batch: {missing}")
     right = batch.select(*[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)])
+    if distinct_keys:
+        right = right.distinct()
     if broadcast_keys:
         right = F.broadcast(right)
     conds = [

@@ -216,7 +216,8 @@ def file_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wri
             existing = existing.filter(touched)  # static partition pruning at planning
             scope = "dynamic"
     broadcast = should_broadcast(df, keys, ctx.batch_rows, ctx.broadcast_limit)
-    combined = merge_plan(existing, df, keys, null_safe=target.null_safe_keys, broadcast_keys=broadcast)
+    combined = merge_plan(existing, df, keys, null_safe=target.null_safe_keys, broadcast_keys=broadcast,
+                          distinct_keys=target.duplicate_keys == "allow")
     stage = _stage_path(path, scope)
     fs.delete(spark, stage)
     fs.write_text(spark, stage + ".schema.json", combined.schema.json())

@@ -199,7 +199,8 @@ def table_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wr
             existing = existing.filter(touched)
             dynamic = True
     broadcast = should_broadcast(df, keys, ctx.batch_rows, ctx.broadcast_limit)
-    combined = merge_plan(existing, df, keys, null_safe=target.null_safe_keys, broadcast_keys=broadcast)
+    combined = merge_plan(existing, df, keys, null_safe=target.null_safe_keys, broadcast_keys=broadcast,
+                          distinct_keys=target.duplicate_keys == "allow")
     stage = _stage_name(table, dynamic)
     spark.sql(f"DROP TABLE IF EXISTS {stage}")
     stage_loc = _location(target, _stage_suffix(dynamic))
