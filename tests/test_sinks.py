@@ -290,3 +290,12 @@ def test_partition_swap_resumes_after_crash(spark, base):
     assert recover_file_target(spark, t)
     assert _as_dict(spark.read.parquet(f"{base}/t")) == {1: "a2", 2: "b2", 3: "c"}
     assert not fs.exists(spark, stage) and not fs.exists(spark, f"{base}/t__old")
+
+
+def test_partitioned_upsert_adding_columns_rewrites_all(spark, base):
+    t = _file(base, write_mode="merge", merge_keys=["id", "region"], partition_columns=["region"])
+    write_target(spark, _df(spark, [(1, "us", "a"), (2, "eu", "b")], "id bigint, region string, val string"), t)
+    report = write_target(spark, _df(spark, [(2, "eu", "b2", 7)], "id bigint, region string, val string, n bigint"), t)
+    assert report.extra["scope"] == "static"
+    rows = {r["id"]: (r["val"], r["n"]) for r in spark.read.parquet(f"{base}/t").collect()}
+    assert rows == {1: ("a", None), 2: ("b2", 7)}

@@ -147,7 +147,8 @@ def run(spark: SparkSession, spec: DatasetSpec, *, targets: list[str] | None = N
     return process_batch(
         spark, spec, df, selected, run_id=run_id, run_time=run_time,
         persist=is_wide(spec.transforms) or bool(transforms),
-        states=states, marks=marks, wm_type=wm_type, extract_obs=extract_obs, state_path=state_path)
+        states=states, marks=marks, wm_type=wm_type, extract_obs=extract_obs, state_path=state_path,
+        extra_transforms=bool(transforms))
 
 
 def process_batch(spark: SparkSession, spec: DatasetSpec, df: DataFrame, selected: list[TargetSpec], *,
@@ -155,7 +156,7 @@ def process_batch(spark: SparkSession, spec: DatasetSpec, df: DataFrame, selecte
                   states: dict[str, st.StateEntry] | None = None,
                   marks: dict[str, tuple[str, str]] | None = None, wm_type: str | None = None,
                   extract_obs: Observation | None = None, state_path: str | None = None,
-                  batch_id: int | None = None) -> RunResult:
+                  batch_id: int | None = None, extra_transforms: bool = False) -> RunResult:
     """Profile, gate, quarantine, write and commit one transformed batch. Shared by the
     batch run and the streaming ``foreachBatch``."""
     states = states or {}
@@ -218,8 +219,9 @@ def process_batch(spark: SparkSession, spec: DatasetSpec, df: DataFrame, selecte
                 tdf = tdf.filter(F.col(WM) > typed.parse(v, ty))
             tdf = tdf.drop(WM)
             bid = batch_id if batch_id is not None else (prev.batch_id + 1 if prev else 1)
-            ctx = WriteContext(batch_id=bid, batch_rows=rows, keys_unique=_keys_unique(spec, t),
-                               run_time=run_time)
+            # code transforms run after the spec's, so they may undo its dedup
+            ctx = WriteContext(batch_id=bid, batch_rows=rows, run_time=run_time,
+                               keys_unique=_keys_unique(spec, t) and not extra_transforms)
             report = write_with_retry(spark, tdf, t, ctx, spec.retry)
             out.reports.append(report)
             out.targets_written.append(t.id)

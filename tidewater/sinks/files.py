@@ -210,7 +210,9 @@ def file_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wri
         return _report(spark, target, "merge", path, metrics, ctx, scope="create")
     existing = _read_existing(spark, target, path, df)
     scope = "static"
-    if pcols and set(pcols) <= set(keys) and set(pcols) <= set(existing.columns):
+    adds_columns = bool(set(df.columns) - set(existing.columns))
+    # a batch that adds columns rewrites everything, so no partition keeps the old schema
+    if pcols and set(pcols) <= set(keys) and set(pcols) <= set(existing.columns) and not adds_columns:
         touched = touched_partitions(df, pcols)
         if touched is not None:
             existing = existing.filter(touched)  # static partition pruning at planning

@@ -193,7 +193,7 @@ def table_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wr
         return WriteReport(target.id, target.type, "merge", metrics["rows"], table, extra={"scope": "create"})
     existing = spark.table(table)
     dynamic = False
-    if pcols and set(pcols) <= set(keys):
+    if pcols and set(pcols) <= set(keys) and set(df.columns) <= set(existing.columns):
         touched = touched_partitions(df, pcols)
         if touched is not None:
             existing = existing.filter(touched)
