@@ -182,3 +182,32 @@ def test_state_is_partitioned_and_compacts(spark, base):
     assert st.state_frame(spark, path).filter("dataset = 'ds'").count() == 1
     assert st.read_state(spark, path, "ds", ["file"])["file"].batch_id == 3
     assert st.read_state(spark, path, "other", ["file"])["file"].value == "5"
+
+
+def test_state_round_trip_and_last_write_wins(spark, base):
+    path = f"{base}/state"
+    assert st.read_state(spark, path, "orders", ["file"]) == {}
+    st.commit_state(spark, path, "orders", [st.StateEntry("file", "ts", "string", "2026-07-01T00:00:00", 1)])
+    assert st.read_state(spark, path, "orders", ["file"])["file"].value == "2026-07-01T00:00:00"
+    st.commit_state(spark, path, "orders", [st.StateEntry("file", "ts", "string", "a", 2)])
+    st.commit_state(spark, path, "orders", [st.StateEntry("file", "ts", "string", "b", 3)])
+    assert st.read_state(spark, path, "orders", ["file"])["file"].value == "b"
+
+
+def test_retry_exhausts_attempts(spark, base, monkeypatch):
+    from tidewater.plans import ingest
+    from tidewater.sinks import WriteContext
+    from tidewater.spec import RetrySpec, TargetSpec
+
+    calls = []
+
+    def broken(sp, df, target, ctx):
+        calls.append(1)
+        raise ValueError("permanent")
+
+    monkeypatch.setattr(ingest, "write_target", broken)
+    t = TargetSpec("file", {"path": base}, write_mode="overwrite")
+    with pytest.raises(ValueError):
+        ingest.write_with_retry(spark, spark.range(1), t, WriteContext(),
+                                RetrySpec(max_attempts=2, initial_delay_seconds=0.01, backoff_multiplier=1))
+    assert len(calls) == 2

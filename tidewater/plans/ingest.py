@@ -146,7 +146,10 @@ def run(spark: SparkSession, spec: DatasetSpec, *, targets: list[str] | None = N
     df = apply_chain(df, fns)
     return process_batch(
         spark, spec, df, selected, run_id=run_id, run_time=run_time,
-        persist=is_wide(spec.transforms) or bool(transforms),
+        # persist when a shuffle would otherwise rerun, or when several targets would
+        # each rescan the source; a single narrow target just rescans (column-pruned
+        # profile + one full read), which keeps executor storage free
+        persist=is_wide(spec.transforms) or bool(transforms) or len(selected) > 1,
         states=states, marks=marks, wm_type=wm_type, extract_obs=extract_obs, state_path=state_path,
         extra_transforms=bool(transforms))
 
