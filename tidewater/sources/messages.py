@@ -29,10 +29,10 @@ def decode_json_value(df: DataFrame, schema, value_col: str = "value",
                       keep: list[str] | None = None, flag_column: str | None = None) -> DataFrame:
     """Decode a bytes/string JSON payload into top-level columns.
 
-    ``keep`` names envelope columns to carry along (the reference drops them all).
+    ``keep`` names envelope columns to carry along (by default all are dropped).
     With ``flag_column`` set, rows whose payload is null or not a JSON object of that
     shape get ``flag_column = true`` so the caller can quarantine them; otherwise they
-    decode to all-NULL columns, as in the reference.
+    decode to all-NULL columns.
     """
     struct = value_schema(schema)
     raw = F.col(value_col).cast("string")
