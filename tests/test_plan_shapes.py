@@ -36,6 +36,18 @@ def test_broadcast_needs_a_known_small_batch(spark):
     assert should_broadcast(batch, ["k"], 1000)
     assert not should_broadcast(batch, ["k"], None)
     assert not should_broadcast(batch, ["k"], 10**9)
+    text = batch.selectExpr("cast(k as string) as s")
+    assert not should_broadcast(text, ["s"], 1000)  # string keys: size unknown
+    assert should_broadcast(text, ["s"], 1000, var_key_bytes=50_000)
+    assert not should_broadcast(text, ["s"], 1000, var_key_bytes=10**9)
+
+
+def test_profile_measures_string_key_bytes(spark):
+    from tidewater.operators.quality import bytes_alias, run_profile
+    from tidewater.spec import QualitySpec
+
+    df = spark.createDataFrame([("ab",), ("cde",), (None,)], "k string")
+    assert run_profile(df, QualitySpec(), size_columns=["k"])[bytes_alias("k")] == 5
 
 
 def test_registered_plans_stay_in_the_jvm(spark):

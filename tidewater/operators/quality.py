@@ -64,10 +64,18 @@ def _null_alias(i: int) -> str:
     return f"__nulls_{i}"
 
 
+def bytes_alias(column: str) -> str:
+    return f"__bytes_{column}"
+
+
 def profile_columns(df: DataFrame, spec: QualitySpec, wm_col: str | None = None,
-                    reason_col: str | None = None) -> list[Column]:
-    """Aggregate expressions of the one-pass profile."""
+                    reason_col: str | None = None, size_columns: list[str] | None = None) -> list[Column]:
+    """Aggregate expressions of the one-pass profile. ``size_columns`` (variable-width merge
+    keys) get their total byte size, which bounds a later broadcast of the batch keys."""
     exprs = [F.count(F.lit(1)).alias(ROWS)]
+    for c in size_columns or []:
+        if c in df.columns:
+            exprs.append(F.coalesce(F.sum(F.octet_length(F.col(f"`{c}`"))), F.lit(0)).alias(bytes_alias(c)))
     for i, c in enumerate(spec.max_null_fraction):
         if c in df.columns:
             exprs.append(F.count_if(F.col(f"`{c}`").isNull()).alias(_null_alias(i)))
@@ -80,9 +88,9 @@ def profile_columns(df: DataFrame, spec: QualitySpec, wm_col: str | None = None,
 
 
 def run_profile(df: DataFrame, spec: QualitySpec, wm_col: str | None = None,
-                reason_col: str | None = None) -> dict[str, Any]:
+                reason_col: str | None = None, size_columns: list[str] | None = None) -> dict[str, Any]:
     """One Spark job; returns the single profile row as a dict."""
-    row = df.agg(*profile_columns(df, spec, wm_col, reason_col)).first()
+    row = df.agg(*profile_columns(df, spec, wm_col, reason_col, size_columns)).first()
     return row.asDict() if row is not None else {ROWS: 0}
 
 

@@ -45,21 +45,40 @@ def _fixed_width(dtype: DataType) -> int | None:
     return None
 
 
-def key_bytes(batch: DataFrame, keys: list[str]) -> int:
-    """Estimated in-memory bytes of one row of the key columns."""
-    width = ROW_OVERHEAD_BYTES
+def is_variable_width(batch: DataFrame, column: str) -> bool:
+    return _fixed_width(batch.schema[column].dataType) is None
+
+
+def key_bytes(batch: DataFrame, keys: list[str], var_bytes_per_row: float | None = None) -> float:
+    """Bytes of one row of the key columns: fixed widths, plus either the measured mean of
+    the variable-width ones or an assumed width."""
+    width = float(ROW_OVERHEAD_BYTES)
     for k in keys:
         fixed = _fixed_width(batch.schema[k].dataType)
-        width += VARIABLE_KEY_BYTES if fixed is None else fixed
-    return width
+        if fixed is not None:
+            width += fixed
+        elif var_bytes_per_row is None:
+            width += VARIABLE_KEY_BYTES
+    return width + (var_bytes_per_row or 0.0)
 
 
 def should_broadcast(batch: DataFrame, keys: list[str], batch_rows: int | None,
-                     limit: int = DEFAULT_BROADCAST_LIMIT) -> bool:
-    """True only when the batch's key side is known to fit under ``limit``."""
+                     limit: int = DEFAULT_BROADCAST_LIMIT, var_key_bytes: int | None = None) -> bool:
+    """True only when the batch's key side is known to fit under ``limit``.
+
+    ``var_key_bytes`` is the measured total size of the variable-width key values (from
+    the quality profile); without it, variable-width keys are assumed ``VARIABLE_KEY_BYTES``
+    wide — and such an estimate is only trusted when the keys are all fixed-width.
+    """
     if batch_rows is None:
         return False
-    return batch_rows * key_bytes(batch, keys) <= limit
+    if batch_rows == 0:
+        return True
+    variable = [k for k in keys if is_variable_width(batch, k)]
+    if variable and var_key_bytes is None:
+        return False
+    per_row_var = (var_key_bytes / batch_rows) if variable else None
+    return batch_rows * key_bytes(batch, keys, per_row_var) <= limit
 
 
 def merge_plan(existing: DataFrame, batch: DataFrame, keys: list[str], *,

@@ -25,7 +25,8 @@ from pyspark.errors import AnalysisException
 from ..errors import DataQualityError, DuplicateMergeKeyError, SpecError
 from ..functions import typed
 from ..operators.chain import TransformFn, apply_chain, compile_chain, is_wide
-from ..operators.quality import BAD_ROWS, ROWS, WM_MAX, QualityResult, evaluate, run_profile
+from ..operators.quality import BAD_ROWS, ROWS, WM_MAX, QualityResult, bytes_alias, evaluate, run_profile
+from ..operators.upsert import is_variable_width
 from ..operators.quarantine import REASON, annotate_rows, good_rows, quarantine_batch, quarantine_rows
 from ..sinks import WriteContext, WriteReport, recover_target, write_target
 from ..sources import read_source
@@ -176,7 +177,10 @@ def process_batch(spark: SparkSession, spec: DatasetSpec, df: DataFrame, selecte
     started = _dt.datetime.now(_dt.timezone.utc)
     try:
         has_wm = WM in df.columns
-        profile = run_profile(df, dq, WM if has_wm else None, REASON if rows_mode else None)
+        size_cols = sorted({k for t in selected if t.is_merge for k in t.merge_keys
+                            if k in df.columns and is_variable_width(df, k)})
+        profile = run_profile(df, dq, WM if has_wm else None, REASON if rows_mode else None, size_cols)
+        column_bytes = {c: int(profile.get(bytes_alias(c)) or 0) for c in size_cols}
         visible = df.drop(WM, REASON)
         result = evaluate(visible, profile, dq, spec.source.schema)
         rows = int(profile.get(ROWS) or 0)
@@ -223,7 +227,7 @@ def process_batch(spark: SparkSession, spec: DatasetSpec, df: DataFrame, selecte
             tdf = tdf.drop(WM)
             bid = batch_id if batch_id is not None else (prev.batch_id + 1 if prev else 1)
             # code transforms run after the spec's, so they may undo its dedup
-            ctx = WriteContext(batch_id=bid, batch_rows=rows, run_time=run_time,
+            ctx = WriteContext(batch_id=bid, batch_rows=rows, run_time=run_time, column_bytes=column_bytes,
                                keys_unique=_keys_unique(spec, t) and not extra_transforms)
             report = write_with_retry(spark, tdf, t, ctx, spec.retry)
             out.reports.append(report)

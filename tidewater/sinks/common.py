@@ -20,10 +20,16 @@ class WriteContext:
     """What the run knows about the batch when it writes a target."""
     batch_id: int = 0
     batch_rows: int | None = None
+    # measured bytes of each variable-width column of the batch (merge keys), if profiled
+    column_bytes: dict[str, int] = field(default_factory=dict)
     keys_unique: bool = False
     broadcast_limit: int = DEFAULT_BROADCAST_LIMIT
     run_time: _dt.datetime = field(default_factory=lambda: _dt.datetime.now(_dt.timezone.utc))
 
+    def var_key_bytes(self, keys: list[str]) -> int | None:
+        """Measured bytes of the variable-width keys; None if any of them was not profiled."""
+        return sum(self.column_bytes[k] for k in keys) if all(k in self.column_bytes for k in keys) else None
+
 
 @dataclass
 class WriteReport:

@@ -27,7 +27,8 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from .. import fs
 from ..functions import literal_frame
 from ..errors import MissingOptionError
-from ..operators.upsert import assert_unique_keys, merge_plan, should_broadcast, touched_partitions
+from ..operators.upsert import (assert_unique_keys, is_variable_width, merge_plan, should_broadcast,
+                                touched_partitions)
 from ..spec import TargetSpec
 from .common import (BATCH_ID, WriteContext, WriteReport, observed, observed_metrics, rebalance,
                      with_typed_partitions)
@@ -217,7 +218,9 @@ def file_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wri
         if touched is not None:
             existing = existing.filter(touched)  # static partition pruning at planning
             scope = "dynamic"
-    broadcast = should_broadcast(df, keys, ctx.batch_rows, ctx.broadcast_limit)
+    var_keys = [k for k in keys if is_variable_width(df, k)]
+    broadcast = should_broadcast(df, keys, ctx.batch_rows, ctx.broadcast_limit,
+                                 ctx.var_key_bytes(var_keys) if var_keys else None)
     combined = merge_plan(existing, df, keys, null_safe=target.null_safe_keys, broadcast_keys=broadcast,
                           distinct_keys=target.duplicate_keys == "allow")
     stage = _stage_path(path, scope)

@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 
 from .. import fs
 from ..errors import MissingOptionError
-from ..operators.upsert import assert_unique_keys, merge_plan, should_broadcast, touched_partitions
+from ..operators.upsert import (assert_unique_keys, is_variable_width, merge_plan, should_broadcast,
+                                touched_partitions)
 from ..spec import TargetSpec
 from .common import BATCH_ID, WriteContext, WriteReport, observed, observed_metrics, rebalance
 
@@ -198,7 +199,9 @@ def table_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wr
         if touched is not None:
             existing = existing.filter(touched)
             dynamic = True
-    broadcast = should_broadcast(df, keys, ctx.batch_rows, ctx.broadcast_limit)
+    var_keys = [k for k in keys if is_variable_width(df, k)]
+    broadcast = should_broadcast(df, keys, ctx.batch_rows, ctx.broadcast_limit,
+                                 ctx.var_key_bytes(var_keys) if var_keys else None)
     combined = merge_plan(existing, df, keys, null_safe=target.null_safe_keys, broadcast_keys=broadcast,
                           distinct_keys=target.duplicate_keys == "allow")
     stage = _stage_name(table, dynamic)
