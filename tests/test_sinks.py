@@ -299,3 +299,11 @@ def test_partitioned_upsert_adding_columns_rewrites_all(spark, base):
     assert report.extra["scope"] == "static"
     rows = {r["id"]: (r["val"], r["n"]) for r in spark.read.parquet(f"{base}/t").collect()}
     assert rows == {1: ("a", None), 2: ("b2", 7)}
+
+
+def test_overwrite_touched_partitions_only(spark, base):
+    schema = "id bigint, region string"
+    t = _file(base, write_mode="overwrite", partition_columns=["region"], options={"overwrite_scope": "partitions"})
+    write_target(spark, _df(spark, [(1, "us"), (2, "eu")], schema), t)
+    write_target(spark, _df(spark, [(3, "eu")], schema), t)
+    assert sorted((r["id"], r["region"]) for r in spark.read.parquet(f"{base}/t").collect()) == [(1, "us"), (3, "eu")]
