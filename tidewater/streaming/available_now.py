@@ -20,12 +20,21 @@ from ..plans.ingest import RunResult, process_batch, select_targets
 from ..session import work_dir
 from ..spec import DatasetSpec
 
-# Source types the file stream can read.
+# File source types the stream can read (besides Kafka).
 STREAM_FORMATS = ("parquet", "csv", "json")
 
 
 def stream_frame(spark: SparkSession, spec: DatasetSpec) -> DataFrame:
     src = spec.source
+    if src.type == "kafka":
+        # offsets live in the stream checkpoint; needs the Kafka connector on the classpath
+        from ..sources.messages import decode_json_value
+
+        options = dict(src.options)
+        schema = options.pop("value_schema", None)
+        keep = options.pop("keep_columns", None)
+        raw = spark.readStream.format("kafka").options(**{k: str(v) for k, v in options.items()}).load()
+        return decode_json_value(raw, schema, "value", keep=list(keep or [])) if schema else raw
     if src.type not in STREAM_FORMATS:
         raise SpecError(f"streaming runs read file sources {STREAM_FORMATS}, not {src.type!r}")
     options = {k: str(v) for k, v in src.options.items()}
