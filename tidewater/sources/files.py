@@ -16,6 +16,8 @@ def read_files(spark: SparkSession, source: SourceSpec, fmt: str) -> DataFrame:
     if not path:
         raise MissingOptionError("File source requires 'path' option")
     reader = spark.read.format(fmt)
+    if fmt == "csv":
+        options.setdefault("header", CSV_DEFAULTS["header"])
     schema = source.struct_type()
     # A declared schema beats inference for text formats: no inference job, no drift
     # (CSV inference would turn bigint into int and dates into zoned timestamps).
@@ -23,8 +25,5 @@ def read_files(spark: SparkSession, source: SourceSpec, fmt: str) -> DataFrame:
         reader = reader.schema(schema)
         options.pop("inferSchema", None)
     elif fmt == "csv":
-        for key, value in CSV_DEFAULTS.items():
-            options.setdefault(key, value)
-    if fmt == "csv":
-        options.setdefault("header", "true")
+        options.setdefault("inferSchema", CSV_DEFAULTS["inferSchema"])
     return reader.options(**options).load(path)
