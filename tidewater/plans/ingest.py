@@ -29,11 +29,14 @@ from ..operators.quality import BAD_ROWS, ROWS, WM_MAX, QualityResult, bytes_ali
 from ..operators.upsert import is_variable_width
 from ..operators.quarantine import REASON, annotate_rows, good_rows, quarantine_batch, quarantine_rows
 from ..sinks import WriteContext, WriteReport, recover_target, write_target
+from ..session import work_dir
 from ..sources import read_source
 from ..spec import DatasetSpec, RetrySpec, TargetSpec
 from . import state as st
 
 WM = "__wm"
+# Sources whose second read may return other rows (live database, topic).
+UNREPRODUCIBLE_SOURCES = ("jdbc", "kafka")
 
 # Metric names.
 METRIC_ROWS = "ingestion.row_count"
@@ -117,6 +120,12 @@ def _advanced(spark: SparkSession, new: str, new_type: str, olds: dict[str, tupl
     return {k: bool(row[f"t{i}"]) for i, k in enumerate(olds)}
 
 
+def storage_for(spec: DatasetSpec) -> str:
+    if spec.batch_storage != "auto":
+        return spec.batch_storage
+    return "checkpoint" if spec.source.type in UNREPRODUCIBLE_SOURCES else "cache"
+
+
 def run(spark: SparkSession, spec: DatasetSpec, *, targets: list[str] | None = None,
         transforms: list[TransformFn] | None = None, run_time: _dt.datetime | None = None,
         run_id: str | None = None) -> RunResult:
@@ -150,7 +159,8 @@ def run(spark: SparkSession, spec: DatasetSpec, *, targets: list[str] | None = N
         # persist when a shuffle would otherwise rerun, or when several targets would
         # each rescan the source; a single narrow target just rescans (column-pruned
         # profile + one full read), which keeps executor storage free
-        persist=is_wide(spec.transforms) or bool(transforms) or len(selected) > 1,
+        persist=(is_wide(spec.transforms) or bool(transforms) or len(selected) > 1
+                 or storage_for(spec) == "checkpoint"),
         states=states, marks=marks, wm_type=wm_type, extract_obs=extract_obs, state_path=state_path,
         extra_transforms=bool(transforms))
 
@@ -172,7 +182,14 @@ def process_batch(spark: SparkSession, spec: DatasetSpec, df: DataFrame, selecte
     if rows_mode:
         df = annotate_rows(df, q.not_null, q.rules)
         persist = True
-    if persist:
+    checkpointed = persist and storage_for(spec) == "checkpoint"
+    if checkpointed:
+        # reliable checkpoint into the shared spark.checkpoint.dir: lineage is cut, so a
+        # lost executor re-reads these files instead of re-querying the source
+        work_dir(spark)
+        df = df.checkpoint(eager=True)
+        persist = False
+    elif persist:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
     started = _dt.datetime.now(_dt.timezone.utc)
     try:

@@ -134,6 +134,9 @@ class DatasetSpec:
     quarantine: QuarantineSpec | None = None
     state_path: str | None = None
     audit_path: str | None = None
+    # How a batch read more than once is kept: "auto" (checkpoint for sources whose re-read
+    # is not reproducible, i.e. jdbc/kafka; executor cache otherwise), "cache", "checkpoint".
+    batch_storage: str = "auto"
     description: str = ""
     owner: str = DEFAULT_OWNER
     schedule: str = DEFAULT_SCHEDULE
@@ -174,6 +177,8 @@ def validate(spec: DatasetSpec) -> None:
         raise SpecError("watermark_overlap re-reads rows at the watermark; every target must merge")
     if spec.data_quality.schema_level not in ("presence", "type"):
         raise SpecError("schema_level must be 'presence' or 'type'")
+    if spec.batch_storage not in ("auto", "cache", "checkpoint"):
+        raise SpecError("batch_storage must be 'auto', 'cache' or 'checkpoint'")
     if spec.quarantine is not None and spec.quarantine.mode not in ("batch", "rows"):
         raise SpecError("quarantine.mode must be 'batch' or 'rows'")
 
@@ -239,6 +244,7 @@ def spec_from_dict(raw: dict[str, Any]) -> DatasetSpec:
         ),
         state_path=raw.get("state_path"),
         audit_path=raw.get("audit_path"),
+        batch_storage=str(raw.get("batch_storage", "auto")),
         description=raw.get("description", ""),
         owner=raw.get("owner", DEFAULT_OWNER),
         schedule=raw.get("schedule", DEFAULT_SCHEDULE),
