@@ -7,6 +7,8 @@ from pyspark.sql.types import StructType, _parse_datatype_string
 
 from ..spec import SourceSpec
 
+UNDECODABLE = "_undecodable"
+
 
 def value_schema(schema) -> StructType:
     """A struct from a Spark JSON schema dict, a JSON string or a DDL string."""
@@ -60,7 +62,10 @@ def read_kafka(spark: SparkSession, source: SourceSpec) -> DataFrame:
     options = {k: v for k, v in source.options.items()}
     schema = options.pop("value_schema", None)
     keep = options.pop("keep_columns", None)
+    flag = options.pop("flag_undecodable", None)
     raw = spark.read.format("kafka").options(**{k: str(v) for k, v in options.items()}).load()
     if not schema:
         return raw
-    return decode_json_value(raw, schema, "value", keep=list(keep or []))
+    # with flag_undecodable, a quarantine rule such as ``NOT _undecodable`` routes bad payloads
+    return decode_json_value(raw, schema, "value", keep=list(keep or []),
+                             flag_column=UNDECODABLE if str(flag).lower() == "true" else None)
