@@ -13,7 +13,8 @@ def _plan(df) -> str:
 
 
 def test_top1_has_partial_window_group_limit(spark):
-    df = dedup_latest(spark.read.parquet(f"{D}/orders.parquet"), ["o_custkey"], "o_orderdate", "o_orderkey")
+    df = dedup_latest(spark.read.parquet(f"{D}/orders.parquet"), ["o_custkey"], "o_orderdate", "o_orderkey",
+                      method="window")
     plan = _plan(df)
     assert "WindowGroupLimit" in plan and "Partial" in plan
 

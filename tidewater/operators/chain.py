@@ -45,7 +45,7 @@ def compile_transform(t: TransformSpec, dataset_name: str, run_time: _dt.datetim
         keys = p["keys"]
         if p.get("order_by"):
             return lambda df: dedup_latest(df, keys, p["order_by"], p.get("tie_breakers"),
-                                           p.get("method", "window"))
+                                           p.get("method", "agg"))
         return lambda df: dedup_any(df, keys)
     if kind in _CUSTOM:
         return _CUSTOM[kind](**p)
