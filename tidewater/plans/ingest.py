@@ -266,8 +266,22 @@ def process_batch(spark: SparkSession, spec: DatasetSpec, df: DataFrame, selecte
             df.unpersist()
 
 
-def run_many(spark: SparkSession, specs: list[DatasetSpec], **kwargs) -> list[RunResult]:
-    return [run(spark, s, **kwargs) for s in specs]
+def run_many(spark: SparkSession, specs: list[DatasetSpec], parallelism: int = 1,
+             **kwargs) -> list[RunResult | BaseException]:
+    """Run several datasets, ``parallelism`` at a time from driver threads (Spark schedules
+    their jobs side by side; one dataset's failure does not stop the others). Results come
+    back in spec order; a failed dataset yields its exception."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def _one(spec: DatasetSpec) -> RunResult | BaseException:
+        spark.sparkContext.setJobGroup(f"tidewater-{spec.dataset_name}", f"ingest {spec.dataset_name}")
+        try:
+            return run(spark, spec, **kwargs)
+        except Exception as exc:  # reported per dataset
+            return exc
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        return list(pool.map(_one, specs))
 
 
 TransformFactory = Callable[..., TransformFn]
