@@ -159,6 +159,20 @@ def decode_json_value_q(spark, d):
     return decode_json_value(_table(spark, d, "events"), "k bigint", value_col="props", keep=["event_id"])
 
 
+def decode_json_value_flagged(spark, d):
+    """Decode keeping an envelope column and flagging payloads that do not decode."""
+    return decode_json_value(_table(spark, d, "events"), "k bigint", value_col="props",
+                             keep=["event_id", "ts"], flag_column="_undecodable")
+
+
+def incremental_overlap_scan(spark, d):
+    """``watermark_overlap``: rows at the stored mark are read again (for merge targets)."""
+    marks = st.read_state(spark, _state_with_cut(spark), "orders", ["file"])
+    src = SourceSpec("parquet", {"path": f"{d}/orders.parquet"}, watermark_column="o_orderdate",
+                     watermark_overlap=True)
+    return read_incremental(spark, src, marks["file"].watermark)
+
+
 # --------------------------------------------------------------------------- transforms
 
 def rename_columns_q(spark, d):
@@ -579,6 +593,8 @@ QUERIES: dict[str, Query] = {
     "next_watermark": next_watermark,
     "scan_custom_source": scan_custom_source,
     "decode_json_value": decode_json_value_q,
+    "decode_json_value_flagged": decode_json_value_flagged,
+    "incremental_overlap_scan": incremental_overlap_scan,
     "rename_columns": rename_columns_q,
     "cast_columns": cast_columns_q,
     "add_metadata": add_metadata_q,
@@ -640,6 +656,10 @@ ORACLE: dict[str, str] = {
     "next_watermark": f"SELECT max(o_orderdate) AS watermark FROM orders WHERE o_orderdate > TIMESTAMP '{CUT}'",
     "scan_custom_source": "SELECT * FROM orders",
     "decode_json_value": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
+    "decode_json_value_flagged": (
+        "SELECT event_id, ts, CAST(json_extract(props, '$.k') AS BIGINT) AS k, "
+        "json_extract(props, '$.k') IS NULL AS _undecodable FROM events"),
+    "incremental_overlap_scan": f"SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '{CUT}'",
     "rename_columns": ("SELECT o_orderkey AS o_custkey, o_custkey AS o_orderkey, o_orderstatus, o_totalprice, "
                        "o_orderdate, o_orderpriority FROM orders"),
     "cast_columns": ("SELECT o_orderkey, TRY_CAST(split_part(o_orderpriority, '-', 1) AS INTEGER) AS prio, "
