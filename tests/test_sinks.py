@@ -307,3 +307,11 @@ def test_overwrite_touched_partitions_only(spark, base):
     write_target(spark, _df(spark, [(1, "us"), (2, "eu")], schema), t)
     write_target(spark, _df(spark, [(3, "eu")], schema), t)
     assert sorted((r["id"], r["region"]) for r in spark.read.parquet(f"{base}/t").collect()) == [(1, "us"), (3, "eu")]
+
+
+def test_unreadable_target_is_not_overwritten(spark, base):
+    t = _file(base, write_mode="merge", merge_keys=["id"])
+    fs.write_text(spark, f"{base}/t/part-0.parquet", "not parquet at all")
+    with pytest.raises(Exception):
+        write_target(spark, _df(spark, [(1, "a")]), t)
+    assert fs.exists(spark, f"{base}/t/part-0.parquet")  # the existing data is left alone
