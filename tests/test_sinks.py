@@ -315,3 +315,11 @@ def test_unreadable_target_is_not_overwritten(spark, base):
     with pytest.raises(Exception):
         write_target(spark, _df(spark, [(1, "a")]), t)
     assert fs.exists(spark, f"{base}/t/part-0.parquet")  # the existing data is left alone
+
+
+def test_delta_merge_statement():
+    from tidewater.sinks.delta import merge_into_sql
+
+    assert merge_into_sql("delta.`/p`", "v", ["id"]) == (
+        "MERGE INTO delta.`/p` AS t USING v AS s ON t.`id` = s.`id` "
+        "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *")

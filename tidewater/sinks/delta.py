@@ -1,13 +1,14 @@
 """Delta Lake targets (need the Delta connector on the classpath).
 
 Append evolves the schema (``mergeSchema``), overwrite replaces it (``overwriteSchema``),
-and merge is a native row-level ``MERGE`` through ``DataFrame.mergeInto``: matched rows
+and merge is a native row-level ``MERGE INTO … UPDATE SET * / INSERT *``: matched rows
 are updated, others inserted. Exactly one of ``table`` or ``path`` must be given.
 """
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..errors import SpecError
 from ..spec import TargetSpec
@@ -57,14 +58,21 @@ def delta_overwrite(spark, df, target, ctx: WriteContext) -> WriteReport:
     return WriteReport(target.id, target.type, "overwrite", m["rows"], _identifier(target))
 
 
+def merge_into_sql(identifier: str, source_view: str, keys: list[str]) -> str:
+    on = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
+    return (f"MERGE INTO {identifier} AS t USING {source_view} AS s ON {on} "
+            "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *")
+
+
 def delta_upsert(spark, df, target, ctx: WriteContext) -> WriteReport:
     if not _exists(spark, target):
         m = _write(df, target, "overwrite")
         return WriteReport(target.id, target.type, "merge", m["rows"], _identifier(target))
     ident = _identifier(target)
-    cond = " AND ".join(f"__target.{k} = __source.{k}" for k in target.merge_keys)
-    (df.alias("__source").mergeInto(ident, F.expr(cond.replace("__target.", f"{ident}.")))
-       .whenMatched().updateAll()
-       .whenNotMatched().insertAll()
-       .merge())
+    view = f"tidewater_merge_{uuid.uuid4().hex[:12]}"
+    df.createOrReplaceTempView(view)
+    try:
+        spark.sql(merge_into_sql(ident, view, list(target.merge_keys)))
+    finally:
+        spark.catalog.dropTempView(view)
     return WriteReport(target.id, target.type, "merge", -1, ident)
