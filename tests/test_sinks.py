@@ -283,6 +283,7 @@ def test_partition_swap_resumes_after_crash(spark, base):
     stage = f"{base}/t__stage_dynamic"
     fs.write_text(spark, stage + ".schema.json", staged.schema.json())
     staged.write.partitionBy("region").parquet(stage)
+    fs.write_text(spark, stage + ".plan.json", '{"replace": ["region=eu", "region=us"], "remove": []}')
     # died after swapping region=eu only
     fs.mkdirs(spark, f"{base}/t__old")
     fs.rename(spark, f"{base}/t/region=eu", f"{base}/t__old/region=eu")
@@ -323,3 +324,31 @@ def test_delta_merge_statement():
     assert merge_into_sql("delta.`/p`", "v", ["id"]) == (
         "MERGE INTO delta.`/p` AS t USING v AS s ON t.`id` = s.`id` "
         "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *")
+
+
+
+@pytest.mark.parametrize("commit", ["rename", "copy"])
+def test_upsert_partitions_outside_key_moves_rows(spark, base, commit):
+    """Partitioned by region, keyed by id: a key that changes region leaves its old
+    partition, which is removed once empty; untouched partitions keep their files."""
+    schema = "id bigint, region string, val string"
+    t = _file(base, write_mode="merge", merge_keys=["id"], partition_columns=["region"],
+              options={"commit": commit})
+    write_target(spark, _df(spark, [(1, "us", "a"), (2, "eu", "b"), (3, "apac", "c"), (4, "us", "d")], schema), t)
+    apac_files = spark.read.parquet(f"{base}/t/region=apac").inputFiles()
+    report = write_target(spark, _df(spark, [(2, "us", "b2"), (5, "latam", "e")], schema), t)
+    assert report.extra["scope"] == "dynamic" and report.extra["removed"] == 1
+    out = {r["id"]: (r["region"], r["val"]) for r in spark.read.parquet(f"{base}/t").collect()}
+    assert out == {1: ("us", "a"), 2: ("us", "b2"), 3: ("apac", "c"), 4: ("us", "d"), 5: ("latam", "e")}
+    assert not fs.exists(spark, f"{base}/t/region=eu")
+    assert spark.read.parquet(f"{base}/t/region=apac").inputFiles() == apac_files
+
+
+def test_partition_values_with_special_characters(spark, base):
+    schema = "id bigint, region string, val string"
+    t = _file(base, write_mode="merge", merge_keys=["id"], partition_columns=["region"])
+    write_target(spark, _df(spark, [(1, "a b:c/d", "x"), (2, None, "y")], schema), t)
+    write_target(spark, _df(spark, [(1, "other", "x2"), (2, "z", "y2")], schema), t)
+    out = {r["id"]: (r["region"], r["val"]) for r in
+           spark.read.schema("id bigint, val string, region string").parquet(f"{base}/t").collect()}
+    assert out == {1: ("other", "x2"), 2: ("z", "y2")}

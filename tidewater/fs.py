@@ -55,6 +55,15 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, hpath = _fs(spark, path)
+    stream = fs.open(hpath)
+    try:
+        return str(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
 def list_dirs(spark: SparkSession, path: str) -> list[str]:
     fs, hpath = _fs(spark, path)
     if not fs.exists(hpath):

@@ -12,6 +12,7 @@ AQE may still switch to broadcast at runtime or split skewed target partitions.
 """
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -27,6 +28,8 @@ from ..errors import DuplicateMergeKeyError, SpecError
 # names in a static partition filter before it rewrites the whole target instead.
 DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
 MAX_SCOPED_PARTITIONS = 10_000
+# Fixed value: folder name Spark gives a NULL (or empty string) partition value.
+DEFAULT_PARTITION_NAME = "__HIVE_DEFAULT_PARTITION__"
 VARIABLE_KEY_BYTES = 64
 ROW_OVERHEAD_BYTES = 16
 
@@ -114,21 +117,52 @@ def assert_unique_keys(batch: DataFrame, keys: list[str]) -> None:
             f"or set duplicate_keys: allow")
 
 
+@dataclass
+class Touched:
+    """Partitions an upsert rewrites: a filter for the target scan, and the values as
+    they appear in partition folder names (``cast(value as string)``)."""
+    condition: object
+    folder_values: set
+
+
 def touched_partitions(batch: DataFrame, partition_columns: list[str],
-                       limit: int = MAX_SCOPED_PARTITIONS):
-    """A filter selecting the partitions the batch writes to, or None when there are more
-    than ``limit`` of them. At most ``limit + 1`` distinct values reach the driver; the
-    filter is a literal ``IN`` list, so the scan prunes partitions at planning time."""
-    values = batch.select(*partition_columns).distinct().limit(limit + 1).collect()
-    if len(values) > limit:
+                       limit: int = MAX_SCOPED_PARTITIONS, existing: DataFrame | None = None,
+                       keys: list[str] | None = None, null_safe: bool = False,
+                       broadcast_keys: bool = False) -> Touched | None:
+    """The partitions an upsert must rewrite, or None when there are more than ``limit``.
+
+    With the partition columns inside the merge key these are the batch's own partitions.
+    Otherwise a key may sit in (or move from) any partition, so ``existing`` and ``keys``
+    are given and the partitions holding a matched key are added: a semi join of the
+    target's key columns — a column-pruned scan, partition values come from folder
+    names — against the batch keys. At most ``limit + 1`` distinct values reach the
+    driver; the filter is a literal ``IN`` list, so the scan prunes partitions at planning
+    time."""
+    wanted = batch.select(*partition_columns)
+    if existing is not None and keys:
+        right = batch.select(*[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)])
+        if broadcast_keys:
+            right = F.broadcast(right)
+        conds = [existing[f"`{k}`"].eqNullSafe(right[f"__k{i}"]) if null_safe
+                 else existing[f"`{k}`"] == right[f"__k{i}"] for i, k in enumerate(keys)]
+        matched = (existing.select(*keys, *partition_columns)
+                   .join(right, reduce(lambda a, b: a & b, conds), "left_semi")
+                   .select(*partition_columns))
+        wanted = wanted.unionByName(matched)
+    text = [F.col(f"`{c}`").cast("string").alias(f"__s{i}") for i, c in enumerate(partition_columns)]
+    rows = wanted.distinct().select(*partition_columns, *text).limit(limit + 1).collect()
+    if len(rows) > limit:
         return None
-    if not values:
-        return F.lit(False)
+    folders = {tuple(DEFAULT_PARTITION_NAME if r[f"__s{i}"] in (None, "") else r[f"__s{i}"]
+                     for i in range(len(partition_columns))) for r in rows}
+    if not rows:
+        return Touched(F.lit(False), folders)
     if len(partition_columns) == 1:
         c = partition_columns[0]
-        present = [v[c] for v in values if v[c] is not None]
+        present = [r[c] for r in rows if r[c] is not None]
         cond = F.col(f"`{c}`").isin(present) if present else F.lit(False)
-        return cond | F.col(f"`{c}`").isNull() if len(present) < len(values) else cond
-    terms = [reduce(lambda a, b: a & b, [F.col(f"`{c}`").eqNullSafe(F.lit(v[c])) for c in partition_columns])
-             for v in values]
-    return reduce(lambda a, b: a | b, terms)
+        cond = cond | F.col(f"`{c}`").isNull() if len(present) < len(rows) else cond
+        return Touched(cond, folders)
+    terms = [reduce(lambda a, b: a & b, [F.col(f"`{c}`").eqNullSafe(F.lit(r[c])) for c in partition_columns])
+             for r in rows]
+    return Touched(reduce(lambda a, b: a | b, terms), folders)

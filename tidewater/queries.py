@@ -33,6 +33,7 @@ from .spec import FieldSpec, QualitySpec, SourceSpec, TargetSpec, TransformSpec,
 CUT = "1998-01-01 00:00:00"
 REVISED_FROM = "1997-01-01 00:00:00"
 URGENT = "1-URGENT"
+HIGH = "2-HIGH"
 ORDERS_DDL = ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
               "o_orderdate timestamp_ntz, o_orderpriority string")
 EVENTS_DDL = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -509,6 +510,20 @@ def upsert_file_partitioned(spark, d):
     return spark.read.schema(ORDERS_DDL).parquet(path)
 
 
+def upsert_file_moving_partitions(spark, d):
+    """Partitioned by priority, keyed by order: re-prioritized orders leave their partition;
+    only the partitions holding a matched key or receiving a batch row are rewritten."""
+    path = scratch_path(spark, "upsert_file_move")
+    orders = _table(spark, d, "orders")
+    t = _file_target(path, write_mode="merge", merge_keys=["o_orderkey"], partition_columns=["o_orderpriority"])
+    write_target(spark, orders, t)
+    moved = (_revised(orders).filter(F.col("o_orderpriority") == URGENT)
+             .withColumn("o_orderpriority", F.lit(HIGH)))
+    report = write_target(spark, moved, t)
+    assert report.extra.get("scope") == "dynamic" and report.extra.get("replaced") == 2
+    return spark.read.schema(ORDERS_DDL).parquet(path)
+
+
 def upsert_table(spark, d):
     orders = _table(spark, d, "orders")
     t = _table_target(spark, "upsert_table", write_mode="upsert", merge_keys=["o_orderkey"])
@@ -628,6 +643,7 @@ QUERIES: dict[str, Query] = {
     "append_idempotent": append_idempotent,
     "upsert_file": upsert_file,
     "upsert_file_partitioned": upsert_file_partitioned,
+    "upsert_file_moving_partitions": upsert_file_moving_partitions,
     "upsert_table": upsert_table,
     "stream_available_now_upsert": stream_available_now_upsert,
     "ingest_full": ingest_full,
@@ -726,6 +742,11 @@ ORACLE: dict[str, str] = {
         "SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderstatus = 'O' AND "
         f"o_orderdate >= TIMESTAMP '{REVISED_FROM}' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice, "
         "o_orderdate, o_orderpriority FROM orders"),
+    "upsert_file_moving_partitions": (
+        f"SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderpriority = '{URGENT}' AND "
+        f"o_orderdate >= TIMESTAMP '{REVISED_FROM}' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice, "
+        f"o_orderdate, CASE WHEN o_orderpriority = '{URGENT}' AND o_orderdate >= TIMESTAMP '{REVISED_FROM}' "
+        f"THEN '{HIGH}' ELSE o_orderpriority END AS o_orderpriority FROM orders"),
     "upsert_table": _UPSERTED,
     "stream_available_now_upsert": _UPSERTED,
     "ingest_full": f"SELECT * FROM orders WHERE o_orderdate > TIMESTAMP '{CUT}' {_LATEST}",

@@ -14,12 +14,16 @@ marker says it is complete. The stage is then committed:
 A run that starts and finds a complete stage re-applies it (idempotent); an incomplete
 one is discarded; a half-finished swap is completed or rolled back. When the partition
 columns are part of the merge key, only the partitions the batch touches are read and
-rewritten (dynamic partition overwrite from the stage).
+rewritten (dynamic partition overwrite from the stage); otherwise the partitions holding
+a matched key are found first by a semi join on the target's key columns, so an upsert
+into a date-partitioned, id-keyed target still rewrites only the partitions it touches.
 """
 from __future__ import annotations
 
 import datetime as _dt
 import json
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -27,8 +31,8 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from .. import fs
 from ..functions import literal_frame
 from ..errors import MissingOptionError
-from ..operators.upsert import (assert_unique_keys, is_variable_width, merge_plan, should_broadcast,
-                                touched_partitions)
+from ..operators.upsert import (Touched, assert_unique_keys, is_variable_width, merge_plan,
+                                should_broadcast, touched_partitions)
 from ..spec import TargetSpec
 from .common import (BATCH_ID, WriteContext, WriteReport, observed, observed_metrics, rebalance,
                      with_typed_partitions)
@@ -114,13 +118,11 @@ def _stage_path(path: str, scope: str) -> str:
 
 def _apply_stage(spark: SparkSession, target: TargetSpec, path: str, scope: str,
                  schema: StructType) -> dict:
+    """Copy commit: overwrite the target (only the staged partitions when dynamic)."""
     stage = _stage_path(path, scope)
     staged = spark.read.format(_format(target)).schema(schema).load(stage)
-    metrics = _save(staged, target, path, "overwrite", list(target.partition_columns),
-                    dynamic=(scope == "dynamic"), with_hash=bool(target.options.get("manifest_path")))
-    fs.delete(spark, stage)
-    fs.delete(spark, stage + ".schema.json")
-    return metrics
+    return _save(staged, target, path, "overwrite", list(target.partition_columns),
+                 dynamic=(scope == "dynamic"), with_hash=bool(target.options.get("manifest_path")))
 
 
 def _commit_mode(spark: SparkSession, target: TargetSpec, path: str) -> str:
@@ -130,6 +132,12 @@ def _commit_mode(spark: SparkSession, target: TargetSpec, path: str) -> str:
     return mode
 
 
+def _clear_stage(spark: SparkSession, stage: str) -> None:
+    fs.delete(spark, stage)
+    fs.delete(spark, stage + ".schema.json")
+    fs.delete(spark, stage + ".plan.json")
+
+
 def _swap_in(spark: SparkSession, path: str, stage: str) -> None:
     old = f"{path}__old"
     fs.delete(spark, old)
@@ -137,26 +145,47 @@ def _swap_in(spark: SparkSession, path: str, stage: str) -> None:
         fs.rename(spark, path, old)
     fs.rename(spark, stage, path)
     fs.delete(spark, old)
-    fs.delete(spark, stage + ".schema.json")
+    _clear_stage(spark, stage)
     spark.catalog.refreshByPath(path)
 
 
-def _swap_partitions(spark: SparkSession, path: str, stage: str, partition_columns: list[str]) -> None:
-    """Each staged partition folder replaces its live folder (two atomic renames each).
-    Re-running after a crash finishes the folders still left in the stage."""
+def _folder_values(rel: str) -> tuple[str, ...]:
+    """``a=x/b=y%3Az`` → ``("x", "y:z")`` (Spark escapes special characters as %XX)."""
+    return tuple(unquote(part.split("=", 1)[1]) for part in rel.split("/"))
+
+
+def _partition_plan(spark: SparkSession, path: str, stage: str, depth: int, touched: Touched) -> dict:
+    """Folders to replace from the stage, and touched live folders the upsert emptied
+    (every row of theirs moved to another partition) which must be removed."""
+    staged = fs.partition_dirs(spark, stage, depth)
+    live = [rel for rel in fs.partition_dirs(spark, path, depth) if _folder_values(rel) in touched.folder_values]
+    return {"replace": staged, "remove": sorted(set(live) - set(staged))}
+
+
+def _commit_partitions(spark: SparkSession, target: TargetSpec, path: str, stage: str, plan: dict,
+                       commit: str, schema: StructType) -> dict | None:
+    """Apply a partition plan; re-running it after a crash finishes the remaining steps."""
     old = f"{path}__old"
-    for rel in fs.partition_dirs(spark, stage, len(partition_columns)):
-        live_p, old_p = f"{path}/{rel}", f"{old}/{rel}"
-        if fs.exists(spark, live_p):
-            fs.delete(spark, old_p)
-            fs.mkdirs(spark, old_p.rsplit("/", 1)[0])
-            fs.rename(spark, live_p, old_p)
-        fs.mkdirs(spark, live_p.rsplit("/", 1)[0])
-        fs.rename(spark, f"{stage}/{rel}", live_p)
+    metrics = None
+    if commit == "rename":
+        for rel in plan["replace"]:
+            if not fs.exists(spark, f"{stage}/{rel}"):
+                continue  # already moved in
+            live_p, old_p = f"{path}/{rel}", f"{old}/{rel}"
+            if fs.exists(spark, live_p):
+                fs.delete(spark, old_p)
+                fs.mkdirs(spark, old_p.rsplit("/", 1)[0])
+                fs.rename(spark, live_p, old_p)
+            fs.mkdirs(spark, live_p.rsplit("/", 1)[0])
+            fs.rename(spark, f"{stage}/{rel}", live_p)
+    else:
+        metrics = _apply_stage(spark, target, path, "dynamic", schema)
+    for rel in plan["remove"]:
+        fs.delete(spark, f"{path}/{rel}")
     fs.delete(spark, old)
-    fs.delete(spark, stage)
-    fs.delete(spark, stage + ".schema.json")
+    _clear_stage(spark, stage)
     spark.catalog.refreshByPath(path)
+    return metrics
 
 
 def recover_file_target(spark: SparkSession, target: TargetSpec) -> bool:
@@ -164,28 +193,34 @@ def recover_file_target(spark: SparkSession, target: TargetSpec) -> bool:
     path = _path(target)
     recovered = False
     old = f"{path}__old"
-    if fs.exists(spark, old) and not fs.is_complete(spark, _stage_path(path, "dynamic")):
+    dynamic_stage = _stage_path(path, "dynamic")
+    if fs.exists(spark, old) and not fs.exists(spark, dynamic_stage + ".plan.json"):
         stage = _stage_path(path, "static")
         if not fs.exists(spark, path):
             # died between the two renames: finish with the stage, else roll back
             fs.rename(spark, stage if fs.is_complete(spark, stage) else old, path)
             recovered = True
         fs.delete(spark, old)
+    commit = _commit_mode(spark, target, path)
     for scope in STAGE_SCOPES:
         stage = _stage_path(path, scope)
         schema_file = stage + ".schema.json"
-        if fs.is_complete(spark, stage) and fs.exists(spark, schema_file):
-            if scope == "static" and _commit_mode(spark, target, path) == "rename":
-                _swap_in(spark, path, stage)
-            elif scope == "dynamic" and _commit_mode(spark, target, path) == "rename":
-                _swap_partitions(spark, path, stage, list(target.partition_columns))
-            else:
-                text = spark.read.text(schema_file, wholetext=True).first()[0]
-                _apply_stage(spark, target, path, scope, StructType.fromJson(json.loads(text)))
-            recovered = True
+        plan_file = stage + ".plan.json"
+        ready = fs.exists(spark, schema_file) and (
+            fs.exists(spark, plan_file) if scope == "dynamic" else fs.is_complete(spark, stage))
+        if not ready:
+            _clear_stage(spark, stage)
+            continue
+        schema = StructType.fromJson(json.loads(fs.read_text(spark, schema_file)))
+        if scope == "dynamic":
+            plan = json.loads(fs.read_text(spark, plan_file))
+            _commit_partitions(spark, target, path, stage, plan, commit, schema)
+        elif commit == "rename":
+            _swap_in(spark, path, stage)
         else:
-            fs.delete(spark, stage)
-            fs.delete(spark, schema_file)
+            _apply_stage(spark, target, path, scope, schema)
+            _clear_stage(spark, stage)
+        recovered = True
     return recovered
 
 
@@ -210,33 +245,38 @@ def file_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wri
                         with_hash=bool(target.options.get("manifest_path")))
         return _report(spark, target, "merge", path, metrics, ctx, scope="create")
     existing = _read_existing(spark, target, path, df)
-    scope = "static"
-    adds_columns = bool(set(df.columns) - set(existing.columns))
-    # a batch that adds columns rewrites everything, so no partition keeps the old schema
-    if pcols and set(pcols) <= set(keys) and set(pcols) <= set(existing.columns) and not adds_columns:
-        touched = touched_partitions(df, pcols)
-        if touched is not None:
-            existing = existing.filter(touched)  # static partition pruning at planning
-            scope = "dynamic"
     var_keys = [k for k in keys if is_variable_width(df, k)]
     broadcast = should_broadcast(df, keys, ctx.batch_rows, ctx.broadcast_limit,
                                  ctx.var_key_bytes(var_keys) if var_keys else None)
+    touched = None
+    # a batch that adds columns rewrites everything, so no partition keeps the old schema
+    if pcols and set(pcols) <= set(existing.columns) and not set(df.columns) - set(existing.columns):
+        in_key = set(pcols) <= set(keys)
+        touched = touched_partitions(df, pcols, existing=None if in_key else existing, keys=keys,
+                                     null_safe=target.null_safe_keys, broadcast_keys=broadcast)
+    scope = "static" if touched is None else "dynamic"
+    if touched is not None:
+        existing = existing.filter(touched.condition)  # static partition pruning at planning
     combined = merge_plan(existing, df, keys, null_safe=target.null_safe_keys, broadcast_keys=broadcast,
                           distinct_keys=target.duplicate_keys == "allow")
     stage = _stage_path(path, scope)
-    fs.delete(spark, stage)
+    _clear_stage(spark, stage)
     fs.write_text(spark, stage + ".schema.json", combined.schema.json())
     commit = _commit_mode(spark, target, path)
     with_hash = bool(target.options.get("manifest_path")) and commit == "rename"
     metrics = _save(combined, target, stage, "overwrite", pcols, with_hash=with_hash)
-    if commit == "rename" and scope == "dynamic":
-        _swap_partitions(spark, path, stage, pcols)
+    extra = {"scope": scope, "broadcast": broadcast, "commit": commit}
+    if scope == "dynamic":
+        plan = _partition_plan(spark, path, stage, len(pcols), touched)
+        fs.write_text(spark, stage + ".plan.json", json.dumps(plan))  # the stage is now committed
+        metrics = _commit_partitions(spark, target, path, stage, plan, commit, combined.schema) or metrics
+        extra.update(replaced=len(plan["replace"]), removed=len(plan["remove"]))
     elif commit == "rename":
         _swap_in(spark, path, stage)
     else:
         metrics = _apply_stage(spark, target, path, scope, combined.schema)
-    return _report(spark, target, "merge", path, metrics, ctx, scope=scope, broadcast=broadcast,
-                   commit=commit)
+        _clear_stage(spark, stage)
+    return _report(spark, target, "merge", path, metrics, ctx, **extra)
 
 
 def read_file_target(spark: SparkSession, target: TargetSpec, schema: StructType | None = None) -> DataFrame:

@@ -194,14 +194,16 @@ def table_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wr
         return WriteReport(target.id, target.type, "merge", metrics["rows"], table, extra={"scope": "create"})
     existing = spark.table(table)
     dynamic = False
+    var_keys = [k for k in keys if is_variable_width(df, k)]
+    broadcast = should_broadcast(df, keys, ctx.batch_rows, ctx.broadcast_limit,
+                                 ctx.var_key_bytes(var_keys) if var_keys else None)
+    # Partition-scoped only with the partition columns inside the merge key: then no key
+    # can leave a partition, so no partition is emptied by the upsert.
     if pcols and set(pcols) <= set(keys) and set(df.columns) <= set(existing.columns):
         touched = touched_partitions(df, pcols)
         if touched is not None:
-            existing = existing.filter(touched)
+            existing = existing.filter(touched.condition)
             dynamic = True
-    var_keys = [k for k in keys if is_variable_width(df, k)]
-    broadcast = should_broadcast(df, keys, ctx.batch_rows, ctx.broadcast_limit,
-                                 ctx.var_key_bytes(var_keys) if var_keys else None)
     combined = merge_plan(existing, df, keys, null_safe=target.null_safe_keys, broadcast_keys=broadcast,
                           distinct_keys=target.duplicate_keys == "allow")
     stage = _stage_name(table, dynamic)
