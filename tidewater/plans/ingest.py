@@ -13,7 +13,6 @@ from __future__ import annotations
 import datetime as _dt
 import time
 import uuid
-from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -283,5 +282,3 @@ def run_many(spark: SparkSession, specs: list[DatasetSpec], parallelism: int = 1
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         return list(pool.map(_one, specs))
 
-
-TransformFactory = Callable[..., TransformFn]
