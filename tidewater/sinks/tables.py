@@ -19,6 +19,10 @@ a run that finds one re-applies it. The stage is committed by
 
 With ``bucket_count`` the target is bucketed by the merge keys, so the upsert's anti
 join reads the target without shuffling it; only the batch keys are shuffled.
+
+An external table partitioned by columns outside the merge key is upserted through its
+folder like a file target (only partitions holding a matched key or receiving batch rows
+are rewritten, emptied ones removed) and the catalog's partitions are then re-synced.
 """
 from __future__ import annotations
 
@@ -193,6 +197,23 @@ def table_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wr
         metrics = _create(df, target, table, "overwrite", _location(target), pcols)
         return WriteReport(target.id, target.type, "merge", metrics["rows"], table, extra={"scope": "create"})
     existing = spark.table(table)
+    buckets = int(target.options.get("bucket_count", 0) or 0)
+    if (pcols and not set(pcols) <= set(keys) and _location(target) and not buckets
+            and set(df.columns) <= set(existing.columns)):
+        # Keys may move between partitions: upsert the table's folder partition by
+        # partition like a file target (emptied partitions removed), then sync the catalog.
+        from .files import file_upsert
+
+        folder = TargetSpec("file", {"path": _location(target), "format": target.options.get("format", "parquet"),
+                                     "commit": target.options.get("commit", "auto")},
+                            write_mode="merge", merge_keys=keys, partition_columns=pcols,
+                            duplicate_keys=target.duplicate_keys, null_safe_keys=target.null_safe_keys)
+        report = file_upsert(spark, df.select(*[F.col(f"`{c}`") for c in existing.columns]), folder,
+                             WriteContext(ctx.batch_id, ctx.batch_rows, ctx.column_bytes, True,
+                                          ctx.broadcast_limit, ctx.run_time))
+        spark.sql(f"REFRESH TABLE {table}")
+        repair_partitions(spark, table, sync=True)
+        return WriteReport(target.id, target.type, "merge", report.rows, table, extra=report.extra)
     dynamic = False
     var_keys = [k for k in keys if is_variable_width(df, k)]
     broadcast = should_broadcast(df, keys, ctx.batch_rows, ctx.broadcast_limit,
