@@ -117,6 +117,20 @@ def assert_unique_keys(batch: DataFrame, keys: list[str]) -> None:
             f"or set duplicate_keys: allow")
 
 
+def matched_partitions(existing: DataFrame, batch: DataFrame, keys: list[str], partition_columns: list[str],
+                       null_safe: bool = False, broadcast_keys: bool = False) -> DataFrame:
+    """Partition values of target rows whose key is in the batch (a semi join that reads
+    only the key columns; partition values come from folder names)."""
+    right = batch.select(*[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)])
+    if broadcast_keys:
+        right = F.broadcast(right)
+    conds = [existing[f"`{k}`"].eqNullSafe(right[f"__k{i}"]) if null_safe
+             else existing[f"`{k}`"] == right[f"__k{i}"] for i, k in enumerate(keys)]
+    return (existing.select(*keys, *partition_columns)
+            .join(right, reduce(lambda a, b: a & b, conds), "left_semi")
+            .select(*partition_columns))
+
+
 @dataclass
 class Touched:
     """Partitions an upsert rewrites: a filter for the target scan, and the values as
@@ -140,15 +154,8 @@ def touched_partitions(batch: DataFrame, partition_columns: list[str],
     time."""
     wanted = batch.select(*partition_columns)
     if existing is not None and keys:
-        right = batch.select(*[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)])
-        if broadcast_keys:
-            right = F.broadcast(right)
-        conds = [existing[f"`{k}`"].eqNullSafe(right[f"__k{i}"]) if null_safe
-                 else existing[f"`{k}`"] == right[f"__k{i}"] for i, k in enumerate(keys)]
-        matched = (existing.select(*keys, *partition_columns)
-                   .join(right, reduce(lambda a, b: a & b, conds), "left_semi")
-                   .select(*partition_columns))
-        wanted = wanted.unionByName(matched)
+        wanted = wanted.unionByName(
+            matched_partitions(existing, batch, keys, partition_columns, null_safe, broadcast_keys))
     text = [F.col(f"`{c}`").cast("string").alias(f"__s{i}") for i, c in enumerate(partition_columns)]
     rows = wanted.distinct().select(*partition_columns, *text).limit(limit + 1).collect()
     if len(rows) > limit:

@@ -13,6 +13,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from tidewater import local_session  # noqa: E402
 from tidewater.operators import dedup_latest, merge_plan  # noqa: E402
+from tidewater.operators.upsert import matched_partitions  # noqa: E402
 from tidewater.operators.quality import profile_columns  # noqa: E402
 from tidewater.queries import CUT, incremental_scan  # noqa: E402
 from tidewater.session import scratch_path, unique_name  # noqa: E402
@@ -32,6 +33,9 @@ def main(sf_dir: str) -> None:
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     later = orders.filter(f"o_orderdate > timestamp_ntz'{CUT}'")
+    by_priority = scratch_path(spark, "plans_by_priority")
+    orders.write.partitionBy("o_orderpriority").parquet(by_priority)
+    partitioned = spark.read.parquet(by_priority)
     bucketed = unique_name("plans_bucketed")
     orders.write.option("path", scratch_path(spark, "plans")).bucketBy(16, "o_orderkey").saveAsTable(bucketed)
     cases = [
@@ -47,6 +51,9 @@ def main(sf_dir: str) -> None:
         ("Upsert into a bucketed table: target read without a shuffle",
          merge_plan(spark.table(bucketed), later, ["o_orderkey"])),
         ("Partitioned write: rebalanced by partition value", rebalance(events, ["event_type"])),
+        ("Upsert into a target partitioned outside the key: partitions holding a matched key "
+         "(semi join reading only the key column)",
+         matched_partitions(partitioned, later, ["o_orderkey"], ["o_orderpriority"]).distinct()),
     ]
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # show the non-broadcast shapes
     out = [f"# Physical plans ({os.path.basename(sf_dir)}, local[8], AQE on)\n",
