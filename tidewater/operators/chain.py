@@ -29,9 +29,17 @@ def register_transform(kind: str, factory: Callable[..., TransformFn], wide: boo
         WIDE_TRANSFORMS.add(kind.lower())
 
 
+# Parameters each built-in transform needs.
+REQUIRED_PARAMS = {"rename": ("mapping",), "cast": ("columns",), "drop": ("columns",),
+                   "deduplicate": ("keys",), "add_metadata": ()}
+
+
 def compile_transform(t: TransformSpec, dataset_name: str, run_time: _dt.datetime) -> TransformFn:
     p = t.params
     kind = t.type
+    missing = [k for k in REQUIRED_PARAMS.get(kind, ()) if k not in p]
+    if missing:
+        raise SpecError(f"transform {kind!r} needs {missing}")
     if kind == "rename":
         return lambda df: rename_columns(df, p["mapping"])
     if kind == "cast":
