@@ -365,3 +365,26 @@ def test_table_upsert_partitions_outside_key(spark, base):
     assert {r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()} == {"region=us", "region=apac"}
     out = {r["id"]: (r["val"], r["region"]) for r in spark.table(name).collect()}
     assert out == {1: ("a", "us"), 2: ("b2", "us"), 3: ("c", "apac")}
+
+
+@pytest.mark.parametrize("commit", ["rename", "copy"])
+def test_failed_overwrite_keeps_old_data(spark, base, commit):
+    t = _file(base, write_mode="overwrite", options={"commit": commit})
+    write_target(spark, _df(spark, [(1, "a")]), t)
+    bad = spark.range(3).selectExpr("id", "cast(assert_true(id < 2) as string) as val")
+    with pytest.raises(Exception):
+        write_target(spark, bad, t)
+    assert _as_dict(spark.read.parquet(f"{base}/t")) == {1: "a"}
+    write_target(spark, _df(spark, [(2, "b")]), t)
+    assert _as_dict(spark.read.parquet(f"{base}/t")) == {2: "b"}
+
+
+def test_failed_table_overwrite_keeps_old_data(spark, base):
+    t = _table(spark, base, write_mode="overwrite")
+    write_target(spark, _df(spark, [(1, "a")]), t)
+    bad = spark.range(3).selectExpr("id", "cast(assert_true(id < 2) as string) as val")
+    with pytest.raises(Exception):
+        write_target(spark, bad, t)
+    assert _as_dict(spark.table(t.options["table"])) == {1: "a"}
+    write_target(spark, _df(spark, [(2, "b"), (3, "c")]), t)
+    assert _as_dict(spark.table(t.options["table"])) == {2: "b", 3: "c"}

@@ -105,11 +105,31 @@ def file_append(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wri
 
 
 def file_overwrite(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: WriteContext) -> WriteReport:
+    """Replace the target. A full replace is staged like an upsert, so the old data stays
+    readable until the new data is complete (a failed job leaves the target as it was);
+    ``overwrite_scope: partitions`` uses Spark's dynamic partition overwrite, which only
+    swaps in the written partitions at job commit."""
     path = _path(target)
-    dynamic = target.options.get("overwrite_scope", "table") == "partitions" and bool(target.partition_columns)
-    metrics = _save(df, target, path, "overwrite", list(target.partition_columns), dynamic=dynamic,
-                    with_hash=bool(target.options.get("manifest_path")))
-    return _report(spark, target, "overwrite", path, metrics, ctx)
+    pcols = list(target.partition_columns)
+    with_hash = bool(target.options.get("manifest_path"))
+    if target.options.get("overwrite_scope", "table") == "partitions" and pcols:
+        metrics = _save(df, target, path, "overwrite", pcols, dynamic=True, with_hash=with_hash)
+        return _report(spark, target, "overwrite", path, metrics, ctx, scope="partitions")
+    recover_file_target(spark, target)
+    if not fs.exists(spark, path):
+        metrics = _save(df, target, path, "overwrite", pcols, with_hash=with_hash)
+        return _report(spark, target, "overwrite", path, metrics, ctx, scope="create")
+    stage = _stage_path(path, "static")
+    _clear_stage(spark, stage)
+    fs.write_text(spark, stage + ".schema.json", df.schema.json())
+    commit = _commit_mode(spark, target, path)
+    metrics = _save(df, target, stage, "overwrite", pcols, with_hash=with_hash and commit == "rename")
+    if commit == "rename":
+        _swap_in(spark, path, stage)
+    else:
+        metrics = _apply_stage(spark, target, path, "static", df.schema)
+        _clear_stage(spark, stage)
+    return _report(spark, target, "overwrite", path, metrics, ctx, scope="table", commit=commit)
 
 
 def _stage_path(path: str, scope: str) -> str:

@@ -106,10 +106,25 @@ def table_append(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wr
 
 
 def table_overwrite(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: WriteContext) -> WriteReport:
+    """Replace the table. An existing table is replaced from a complete stage table
+    (``saveAsTable(mode="overwrite")`` would drop it before the new data exists)."""
     table = _table(target)
-    metrics = _create(df, target, table, "overwrite", _location(target), list(target.partition_columns))
-    _maybe_repair(spark, target)
-    return WriteReport(target.id, target.type, "overwrite", metrics["rows"], table)
+    pcols = list(target.partition_columns)
+    recover_table_target(spark, target)
+    if not spark.catalog.tableExists(table):
+        metrics = _create(df, target, table, "overwrite", _location(target), pcols)
+        _maybe_repair(spark, target)
+        return WriteReport(target.id, target.type, "overwrite", metrics["rows"], table)
+    stage = _stage_name(table, False)
+    spark.sql(f"DROP TABLE IF EXISTS {stage}")
+    stage_loc = _location(target, _stage_suffix(False))
+    if stage_loc:
+        fs.delete(spark, stage_loc)
+    staged = _create(df, target, stage, "overwrite", stage_loc, pcols)
+    metrics = _apply_stage(spark, target, False)
+    rows = staged["rows"] if metrics["rows"] is None else metrics["rows"]
+    return WriteReport(target.id, target.type, "overwrite", rows, table,
+                       extra={"commit": _commit_mode(spark, target, False)})
 
 
 def _stage_name(table: str, dynamic: bool) -> str:
