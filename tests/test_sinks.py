@@ -159,7 +159,10 @@ def test_manifest(spark, base):
     df = _df(spark, [(1, "a"), (2, "b")])
     write_target(spark, df, t, WriteContext(batch_id=7))
     m = spark.read.json(f"{base}/m").first()
-    assert m["row_count"] == 2 and m["path"] == f"{base}/t" and m["batch_id"] == 7
+    assert m["row_count"] == 2 and m["path"] == f"{base}/t" and m["batch_id"] == 7 and m["total_rows"] == 2
+    write_target(spark, df, t, WriteContext(batch_id=8))  # append: batch count and total differ
+    m8 = spark.read.json(f"{base}/m").first()
+    assert (m8["row_count"], m8["total_rows"]) == (2, 4)
     # order-insensitive content checksum: same rows in another order and partitioning
     t2 = TargetSpec("file", {"path": f"{base}/t2", "manifest_path": f"{base}/m2"})
     write_target(spark, df.orderBy("id", ascending=False).repartition(3), t2)

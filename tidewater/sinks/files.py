@@ -42,6 +42,7 @@ MANIFEST_SCHEMA = StructType([
     StructField("path", StringType()), StructField("row_count", LongType()),
     StructField("written_at", StringType()), StructField("checksum", StringType()),
     StructField("mode", StringType()), StructField("batch_id", LongType()),
+    StructField("total_rows", LongType()),
 ])
 # File systems whose directory rename is atomic.
 ATOMIC_RENAME_SCHEMES = ("hdfs", "viewfs", "file")
@@ -77,17 +78,20 @@ def _save(df: DataFrame, target: TargetSpec, path: str, mode: str, partition_col
 
 
 def write_manifest(spark: SparkSession, manifest_path: str, location: str, metrics: dict,
-                   mode: str, batch_id: int) -> None:
-    """One-row JSON: location, rows written, UTC time, content checksum."""
+                   mode: str, batch_id: int, total_rows: int | None = None) -> None:
+    """One-row JSON: location, rows written by this write and their content checksum, UTC
+    time, and the target's total row count after it."""
     row = (location, int(metrics["rows"]), _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ"),
-           metrics.get("checksum"), mode, int(batch_id))
+           metrics.get("checksum"), mode, int(batch_id), total_rows)
     literal_frame(spark, [row], MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite").json(manifest_path)
 
 
 def _report(spark, target, mode, path, metrics, ctx, **extra) -> WriteReport:
     manifest = target.options.get("manifest_path")
     if manifest:
-        write_manifest(spark, str(manifest), path, metrics, mode, ctx.batch_id)
+        # a column-free count: answered from Parquet footers, no data pages read
+        total = spark.read.format(_format(target)).load(path).count()
+        write_manifest(spark, str(manifest), path, metrics, mode, ctx.batch_id, total)
     return WriteReport(target.id, target.type, mode, metrics["rows"], path, metrics.get("checksum"), extra)
 
 
