@@ -251,3 +251,28 @@ def test_run_many_in_parallel(spark, base):
     results = run_many(spark, specs + [bad], parallelism=3)
     assert [r.row_count for r in results[:3]] == [1, 1, 1]
     assert isinstance(results[3], Exception)
+
+
+def test_csv_seed_row_appended_to_table(spark, base):
+    """A headered CSV landing file with a declared all-string schema, appended to a table."""
+    from tidewater.session import unique_name
+
+    (spark.createDataFrame([("1", "c1", "10.5", "2024-01-01T00:00:00Z")],
+                           "order_id string, customer_id string, amount string, updated_at string")
+     .coalesce(1).write.option("header", True).csv(f"{base}/csv"))
+    table = unique_name("seed")
+    spec = spec_from_dict({
+        "dataset_name": "customer_orders_local",
+        "source": {"type": "s3_csv", "options": {"path": f"{base}/csv"}, "watermark_column": "updated_at",
+                   "schema": [{"name": "order_id", "type": "string"}, {"name": "customer_id", "type": "string"},
+                              {"name": "amount", "type": "double"}, {"name": "updated_at", "type": "string"}]},
+        "transforms": [{"type": "add_metadata"}],
+        "targets": [{"type": "hive", "options": {"table": table, "path": f"{base}/table"}}],
+        "data_quality": {"min_row_count": 1, "max_null_fraction": {"order_id": 0.0}},
+        "state_path": f"{base}/state", "audit_path": f"{base}/audit",
+    })
+    res = run(spark, spec)
+    row = spark.table(table).first()
+    assert res.row_count == 1 and row["amount"] == 10.5 and row["_dataset_name"] == "customer_orders_local"
+    assert res.watermark == "2024-01-01T00:00:00Z"
+    assert run(spark, spec).row_count == 0  # nothing past the mark on the second run
