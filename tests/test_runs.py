@@ -275,4 +275,5 @@ def test_csv_seed_row_appended_to_table(spark, base):
     row = spark.table(table).first()
     assert res.row_count == 1 and row["amount"] == 10.5 and row["_dataset_name"] == "customer_orders_local"
     assert res.watermark == "2024-01-01T00:00:00Z"
-    assert run(spark, spec).row_count == 0  # nothing past the mark on the second run
+    with pytest.raises(DataQualityError):  # idle rerun: nothing past the mark, row floor 1 fails
+        run(spark, spec)
