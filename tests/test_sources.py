@@ -128,3 +128,19 @@ def test_jdbc_options():
     assert part["dbtable"] == "(select * from t) src" and part["partitionColumn"] == "id"
     assert part["numPartitions"] == "4" and "query" not in part
     assert jdbc_options({"url": "jdbc:x", "dbtable": "t"})["dbtable"] == "t"
+
+
+def test_secret_references(monkeypatch, tmp_path):
+    from tidewater.errors import SpecError
+    from tidewater.secrets import resolve_options
+    from tidewater.sinks.warehouse import connection_options
+    from tidewater.spec import TargetSpec
+
+    monkeypatch.setenv("TW_TEST_PW", "s3cret")
+    assert jdbc_options({"url": "jdbc:x", "dbtable": "t", "password_secret": "env:TW_TEST_PW"})["password"] == "s3cret"
+    secret_file = tmp_path / "pw"
+    secret_file.write_text("from-file\n")
+    opts = connection_options(TargetSpec("snowflake", {"table": "T", "sfPassword_secret": f"file:{secret_file}"}))
+    assert opts == {"sfPassword": "from-file"}
+    with pytest.raises(SpecError):
+        resolve_options({"password_secret": "vault:x"})

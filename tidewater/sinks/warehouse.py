@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..errors import MissingOptionError
+from ..secrets import resolve_options
 from ..spec import TargetSpec
 from .common import WriteContext, WriteReport, observed, observed_metrics
 
@@ -30,7 +31,8 @@ def _table(target: TargetSpec) -> str:
 
 
 def connection_options(target: TargetSpec) -> dict[str, str]:
-    return {k: str(v) for k, v in target.options.items() if k not in OWN_OPTIONS and v is not None}
+    opts = resolve_options(target.options)
+    return {k: str(v) for k, v in opts.items() if k not in OWN_OPTIONS and v is not None}
 
 
 def _format(target: TargetSpec) -> str:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..errors import MissingOptionError
+from ..secrets import resolve_options
 from ..spec import SourceSpec
 
 # Spec option names that map onto Spark's partitioned-read options.
@@ -22,7 +23,7 @@ PARTITION_OPTIONS = {
 
 def jdbc_options(options: dict) -> dict[str, str]:
     """Spark JDBC reader options for a spec's source options (no I/O)."""
-    opts = {k: str(v) for k, v in options.items() if v is not None}
+    opts = {k: str(v) for k, v in resolve_options(options).items() if v is not None}
     for ours, spark_name in PARTITION_OPTIONS.items():
         if ours in opts:
             opts[spark_name] = opts.pop(ours)

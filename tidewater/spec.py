@@ -30,6 +30,8 @@ TARGET_ALIASES = {
     "snowflake": "warehouse",
 }
 WRITE_MODES = ("append", "overwrite", "merge", "upsert")
+# Fixed value: Spark data source name of the Snowflake connector (default for that alias).
+SNOWFLAKE_FORMAT = "net.snowflake.spark.snowflake"
 
 # Spec defaults.
 DEFAULT_OWNER = "data-eng"
@@ -203,9 +205,12 @@ def _source(raw: dict[str, Any]) -> SourceSpec:
 
 def _target(raw: dict[str, Any]) -> TargetSpec:
     kind = str(raw["type"]).lower()
+    options = dict(raw.get("options") or {})
+    if kind == "snowflake":
+        options.setdefault("format", SNOWFLAKE_FORMAT)
     return TargetSpec(
         type=TARGET_ALIASES.get(kind, kind),
-        options=dict(raw.get("options") or {}),
+        options=options,
         write_mode=str(raw.get("write_mode", "append")).lower(),
         merge_keys=list(raw.get("merge_keys") or []),
         partition_columns=list(raw.get("partition_columns") or []),
