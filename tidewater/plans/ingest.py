@@ -11,6 +11,7 @@ again), plus tiny state/audit appends.
 from __future__ import annotations
 
 import datetime as _dt
+import logging
 import time
 import uuid
 from dataclasses import dataclass, field
@@ -33,6 +34,8 @@ from ..sources import read_source
 from ..spec import DatasetSpec, RetrySpec, TargetSpec
 from . import state as st
 
+log = logging.getLogger("tidewater.run")
+
 WM = "__wm"
 # Sources whose second read may return other rows (live database, topic).
 UNREPRODUCIBLE_SOURCES = ("jdbc", "kafka")
@@ -219,6 +222,8 @@ def process_batch(spark: SparkSession, spec: DatasetSpec, df: DataFrame, selecte
                 st.append_audit(spark, audit_path, [
                     (run_id, spec.dataset_name, None, None, rows, None, False, result.reason, None,
                      started, _dt.datetime.now(_dt.timezone.utc))])
+                log.warning("quality gate failed", extra={"dataset": spec.dataset_name, "run_id": run_id,
+                                                          "violations": result.reason})
                 raise DataQualityError(spec.dataset_name, result)
         load = df
         if rows_mode:
@@ -259,6 +264,8 @@ def process_batch(spark: SparkSession, spec: DatasetSpec, df: DataFrame, selecte
                                result.reason or None, value, started, _dt.datetime.now(_dt.timezone.utc)))
         st.append_metrics(spark, audit_path, metrics)
         st.append_audit(spark, audit_path, audit_rows)
+        log.info("run completed", extra={"dataset": spec.dataset_name, "run_id": run_id, "rows": rows,
+                                         "targets": out.targets_written, "watermark": new_wm})
         return out
     finally:
         if persist:
