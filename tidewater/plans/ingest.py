@@ -1,12 +1,16 @@
 """Spec-driven ingestion run:
 
     recover staged commits → read state → scan (+ typed watermark filter, pushed down)
-    → transforms → [persist if the plan shuffles] → one-pass profile → quality gate
-    (→ quarantine) → write every target → advance each target's state → audit
+    → transforms → [keep the batch] → one-pass profile → quality gate (→ quarantine)
+    → write every target → advance each target's state → audit
 
-Spark jobs per run: the profile (which also fills the persisted batch), then one write
-job per target (row count and checksum are observed during the write, not counted
-again), plus tiny state/audit appends.
+The batch is kept (executor cache, or a reliable checkpoint for sources whose re-read is
+not reproducible) when it would otherwise be computed more than once at a cost: a
+shuffle in the transforms, several targets, row quarantine, or a JDBC/Kafka source. A
+single narrow target rescans instead (a column-pruned profile, then one full read).
+
+Spark jobs per run: the profile, then one write job per target (row count and checksum
+are observed during the write, not counted again), plus tiny state/audit appends.
 """
 from __future__ import annotations
 
@@ -17,17 +21,16 @@ import uuid
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from pyspark.errors import AnalysisException
-
 from ..errors import DataQualityError, DuplicateMergeKeyError, SpecError
 from ..functions import typed
 from ..operators.chain import TransformFn, apply_chain, compile_chain, is_wide
 from ..operators.quality import BAD_ROWS, ROWS, WM_MAX, QualityResult, bytes_alias, evaluate, run_profile
-from ..operators.upsert import is_variable_width
 from ..operators.quarantine import REASON, annotate_rows, good_rows, quarantine_batch, quarantine_rows
+from ..operators.upsert import is_variable_width
 from ..sinks import WriteContext, WriteReport, recover_target, write_target
 from ..session import work_dir
 from ..sources import read_source
