@@ -248,19 +248,20 @@ def recover_file_target(spark: SparkSession, target: TargetSpec) -> bool:
     return recovered
 
 
-def _read_existing(spark: SparkSession, target: TargetSpec, path: str, batch: DataFrame) -> DataFrame:
-    fmt = _format(target)
-    if not target.partition_columns:
-        return spark.read.format(fmt).load(path)  # one listing, footer schema
-    inferred = spark.read.format(fmt).load(path).schema
-    schema = with_typed_partitions(inferred, batch.schema, list(target.partition_columns))
-    return spark.read.format(fmt).schema(schema).load(path)
+def _partitioned_schema(spark: SparkSession, target: TargetSpec, path: str, batch: DataFrame,
+                        rels: list[str]) -> StructType:
+    """Target schema from one partition folder (one small listing, not the whole target),
+    with partition columns typed like the batch."""
+    reader = spark.read.format(_format(target)).option("basePath", path)
+    inferred = reader.load(f"{path}/{rels[0]}").schema if rels else reader.load(path).schema
+    return with_typed_partitions(inferred, batch.schema, list(target.partition_columns))
 
 
 def file_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: WriteContext) -> WriteReport:
     path = _path(target)
     keys = list(target.merge_keys)
     pcols = list(target.partition_columns)
+    fmt = _format(target)
     recover_file_target(spark, target)
     if target.duplicate_keys == "error" and not ctx.keys_unique:
         assert_unique_keys(df, keys)
@@ -268,16 +269,33 @@ def file_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wri
         metrics = _save(df, target, path, "overwrite", pcols,
                         with_hash=bool(target.options.get("manifest_path")))
         return _report(spark, target, "merge", path, metrics, ctx, scope="create")
-    existing = _read_existing(spark, target, path, df)
     var_keys = [k for k in keys if is_variable_width(df, k)]
     broadcast = should_broadcast(df, keys, ctx.batch_rows, ctx.broadcast_limit,
                                  ctx.var_key_bytes(var_keys) if var_keys else None)
     touched = None
-    # a batch that adds columns rewrites everything, so no partition keeps the old schema
-    if pcols and set(pcols) <= set(existing.columns) and not set(df.columns) - set(existing.columns):
-        in_key = set(pcols) <= set(keys)
-        touched = touched_partitions(df, pcols, existing=None if in_key else existing, keys=keys,
-                                     null_safe=target.null_safe_keys, broadcast_keys=broadcast)
+    existing = None
+    if not pcols:
+        existing = spark.read.format(fmt).load(path)  # one listing, footer schema
+    else:
+        rels = fs.partition_dirs(spark, path, len(pcols))  # folders only, no file listing
+        schema = _partitioned_schema(spark, target, path, df, rels)
+        names = set(schema.fieldNames())
+        # a batch that adds columns rewrites everything, so no partition keeps the old schema
+        if set(pcols) <= names and not set(df.columns) - names:
+            if set(pcols) <= set(keys):
+                # keys cannot change partition: read only the batch's partition folders, so
+                # the files of untouched partitions are never even listed
+                touched = touched_partitions(df, pcols)
+                if touched is not None:
+                    wanted = [f"{path}/{rel}" for rel in rels if _folder_values(rel) in touched.folder_values]
+                    existing = (spark.read.format(fmt).schema(schema).option("basePath", path).load(wanted)
+                                if wanted else literal_frame(spark, [], schema))
+            else:
+                existing = spark.read.format(fmt).schema(schema).load(path)
+                touched = touched_partitions(df, pcols, existing=existing, keys=keys,
+                                             null_safe=target.null_safe_keys, broadcast_keys=broadcast)
+        if existing is None:
+            existing = spark.read.format(fmt).schema(schema).load(path)
     scope = "static" if touched is None else "dynamic"
     if touched is not None:
         existing = existing.filter(touched.condition)  # static partition pruning at planning
