@@ -13,6 +13,17 @@ from ..functions import content_hash
 from ..operators.upsert import DEFAULT_BROADCAST_LIMIT
 
 BATCH_ID = "_batch_id"
+# File systems whose directory rename is atomic.
+ATOMIC_RENAME_SCHEMES = ("hdfs", "viewfs", "file")
+
+
+def commit_mode(spark, requested: str, location: str) -> str:
+    """``rename`` or ``copy``; ``auto`` renames where a directory rename is atomic."""
+    if requested == "auto":
+        from .. import fs
+
+        return "rename" if fs.scheme(spark, location) in ATOMIC_RENAME_SCHEMES else "copy"
+    return requested
 
 
 @dataclass

@@ -34,8 +34,8 @@ from ..errors import MissingOptionError
 from ..operators.upsert import (Touched, assert_unique_keys, is_variable_width, merge_plan,
                                 should_broadcast, touched_partitions)
 from ..spec import TargetSpec
-from .common import (BATCH_ID, WriteContext, WriteReport, observed, observed_metrics, rebalance,
-                     with_typed_partitions)
+from .common import (BATCH_ID, WriteContext, WriteReport, commit_mode, observed, observed_metrics,
+                     rebalance, with_typed_partitions)
 
 STAGE_SCOPES = ("dynamic", "static")
 MANIFEST_SCHEMA = StructType([
@@ -44,8 +44,6 @@ MANIFEST_SCHEMA = StructType([
     StructField("mode", StringType()), StructField("batch_id", LongType()),
     StructField("total_rows", LongType()),
 ])
-# File systems whose directory rename is atomic.
-ATOMIC_RENAME_SCHEMES = ("hdfs", "viewfs", "file")
 
 
 def _path(target: TargetSpec) -> str:
@@ -150,10 +148,7 @@ def _apply_stage(spark: SparkSession, target: TargetSpec, path: str, scope: str,
 
 
 def _commit_mode(spark: SparkSession, target: TargetSpec, path: str) -> str:
-    mode = str(target.options.get("commit", "auto"))
-    if mode == "auto":
-        return "rename" if fs.scheme(spark, path) in ATOMIC_RENAME_SCHEMES else "copy"
-    return mode
+    return commit_mode(spark, str(target.options.get("commit", "auto")), path)
 
 
 def _clear_stage(spark: SparkSession, stage: str) -> None:

@@ -34,10 +34,8 @@ from ..errors import MissingOptionError
 from ..operators.upsert import (assert_unique_keys, is_variable_width, merge_plan, should_broadcast,
                                 touched_partitions)
 from ..spec import TargetSpec
-from .common import BATCH_ID, WriteContext, WriteReport, observed, observed_metrics, rebalance
+from .common import BATCH_ID, WriteContext, WriteReport, commit_mode, observed, observed_metrics, rebalance
 
-# File systems whose directory rename is atomic.
-ATOMIC_RENAME_SCHEMES = ("hdfs", "viewfs", "file")
 
 
 def _table(target: TargetSpec) -> str:
@@ -138,13 +136,10 @@ def _stage_suffix(dynamic: bool) -> str:
 
 
 def _commit_mode(spark: SparkSession, target: TargetSpec, dynamic: bool) -> str:
-    mode = str(target.options.get("commit", "auto"))
     live = _location(target)
     if dynamic or live is None:
         return "copy"
-    if mode == "auto":
-        return "rename" if fs.scheme(spark, live) in ATOMIC_RENAME_SCHEMES else "copy"
-    return mode
+    return commit_mode(spark, str(target.options.get("commit", "auto")), live)
 
 
 def _swap_folders(spark: SparkSession, target: TargetSpec) -> None:
