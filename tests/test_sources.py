@@ -144,3 +144,26 @@ def test_secret_references(monkeypatch, tmp_path):
     assert opts == {"sfPassword": "from-file"}
     with pytest.raises(SpecError):
         resolve_options({"password_secret": "vault:x"})
+
+
+def test_python_source_skips_row_groups(spark, base):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from tidewater.sources.arrow_files import ArrowFilesSource, ArrowFilesReader
+
+    import os
+
+    os.makedirs(base, exist_ok=True)
+    table = pa.table({"id": list(range(1000)), "v": [str(i) for i in range(1000)]})
+    pq.write_table(table, f"{base}/data.parquet", row_group_size=100)
+    register_data_source(spark, ArrowFilesSource)
+    src = SourceSpec("arrowfiles", {"path": base}, watermark_column="id")
+    df = read_incremental(spark, src, ("849", "bigint"))
+    assert sorted(r["id"] for r in df.collect()) == list(range(850, 1000))
+    # planning keeps only the row groups that can hold id > 849
+    from pyspark.sql.datasource import GreaterThan
+
+    reader = ArrowFilesReader(base, ["id", "v"], 1000, 8)
+    list(reader.pushFilters([GreaterThan(("id",), 849)]))
+    assert [p.row_group for p in reader.partitions()] == [8, 9]

@@ -45,6 +45,8 @@ def register_data_source(spark: SparkSession, cls) -> str:
     """Register a Python Data Source class and expose it as a source type of its name."""
     ship_by_value(cls)
     spark.dataSource.register(cls)
+    # let Python sources that implement pushFilters receive them (off by default)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     fmt = cls.name()
 
     def _read(sp: SparkSession, s: SourceSpec) -> DataFrame:

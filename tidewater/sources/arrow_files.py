@@ -1,13 +1,27 @@
 """A user-defined source written with the Python Data Source API.
 
 ``arrowfiles`` reads a directory of Parquet files with pyarrow inside the tasks: the
-driver only lists files (one input partition per file), and every task streams its
-file's record batches to Spark through Arrow. It shows how a source type that Spark
-does not ship is plugged in (``register_source``) while the read stays distributed.
+driver only lists files (one input partition per file, or per row group when there are
+few files), and every task streams its record batches to Spark through Arrow. Simple
+comparison filters (such as the incremental watermark) are taken as partially pushed:
+row groups whose min/max statistics rule them out are skipped, and Spark still applies
+the filters to the rows. It shows how a source type that Spark does not ship is plugged
+in (``register_source``) while the read stays distributed.
 """
 from __future__ import annotations
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import (DataSource, DataSourceReader, EqualTo, GreaterThan, GreaterThanOrEqual,
+                                    InputPartition, LessThan, LessThanOrEqual)
+
+# Comparison filters used to skip row groups, and the row-group statistics
+# range test for each (True when the group may hold a matching row).
+_MAY_MATCH = {
+    EqualTo: lambda lo, hi, v: lo <= v <= hi,
+    GreaterThan: lambda lo, hi, v: hi > v,
+    GreaterThanOrEqual: lambda lo, hi, v: hi >= v,
+    LessThan: lambda lo, hi, v: lo < v,
+    LessThanOrEqual: lambda lo, hi, v: lo <= v,
+}
 
 
 def _filesystem(path: str):
@@ -78,12 +92,38 @@ class FilePartition(InputPartition):
         self.row_group = row_group
 
 
+def _group_may_match(metadata, group: int, filters) -> bool:
+    """False only when a filter's column statistics in this row group exclude every row."""
+    if not filters:
+        return True
+    rg = metadata.row_group(group)
+    stats = {rg.column(i).path_in_schema: rg.column(i).statistics for i in range(rg.num_columns)}
+    for f in filters:
+        st = stats.get(".".join(f.attribute))
+        if st is None or not st.has_min_max:
+            continue
+        try:
+            if not _MAY_MATCH[type(f)](st.min, st.max, f.value):
+                return False
+        except TypeError:  # statistics and literal not comparable: keep the group
+            continue
+    return True
+
+
 class ArrowFilesReader(DataSourceReader):
     def __init__(self, path: str, columns: list[str], batch_rows: int, min_partitions: int) -> None:
         self.path = path
         self.columns = columns
         self.batch_rows = batch_rows
         self.min_partitions = min_partitions
+        self.filters: list = []
+
+    def pushFilters(self, filters):
+        # partially pushed: used to skip row groups, still evaluated by Spark on the rows
+        for f in filters:
+            if type(f) in _MAY_MATCH:
+                self.filters.append(f)
+            yield f
 
     def partitions(self):
         files = _list_files(self.path)
@@ -97,9 +137,11 @@ class ArrowFilesReader(DataSourceReader):
         parts = []
         for p in files:
             with fs.open_input_file(p) as handle:
-                groups = pq.ParquetFile(handle).metadata.num_row_groups
-            parts += [FilePartition(p, g) for g in range(groups)] or [FilePartition(p)]
-        return parts
+                meta = pq.ParquetFile(handle).metadata
+            groups = [g for g in range(meta.num_row_groups) if _group_may_match(meta, g, self.filters)]
+            parts += [FilePartition(p, g) for g in groups]
+        # every group pruned: one empty partition (row group -1 reads nothing)
+        return parts if parts else [FilePartition(files[0], -1)]
 
     def read(self, partition):
         import pyarrow.parquet as pq
@@ -107,8 +149,13 @@ class ArrowFilesReader(DataSourceReader):
         fs, _ = _filesystem(self.path)
         with fs.open_input_file(partition.path) as handle:
             pf = pq.ParquetFile(handle)
-            groups = None if partition.row_group is None else [partition.row_group]
-            yield from pf.iter_batches(batch_size=self.batch_rows, row_groups=groups, columns=self.columns)
+            if partition.row_group is None:
+                groups = [g for g in range(pf.metadata.num_row_groups)
+                          if _group_may_match(pf.metadata, g, self.filters)]
+            else:
+                groups = [partition.row_group] if partition.row_group >= 0 else []
+            if groups:
+                yield from pf.iter_batches(batch_size=self.batch_rows, row_groups=groups, columns=self.columns)
 
 
 class ArrowFilesSource(DataSource):
