@@ -167,3 +167,22 @@ def test_python_source_skips_row_groups(spark, base):
     reader = ArrowFilesReader(base, ["id", "v"], 1000, 8)
     list(reader.pushFilters([GreaterThan(("id",), 849)]))
     assert [p.row_group for p in reader.partitions()] == [8, 9]
+
+
+def test_python_source_splits_a_large_file(spark, base):
+    import os
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from tidewater.sources.arrow_files import ArrowFilesReader
+
+    os.makedirs(base, exist_ok=True)
+    for i in range(9):  # many small files and one big one
+        pq.write_table(pa.table({"id": [i]}), f"{base}/small{i}.parquet")
+    pq.write_table(pa.table({"id": list(range(10_000))}), f"{base}/big.parquet", row_group_size=1000)
+    big = os.path.getsize(f"{base}/big.parquet")
+    reader = ArrowFilesReader(base, ["id"], 1000, min_partitions=8, split_bytes=big - 1)
+    parts = reader.partitions()
+    assert sum(1 for p in parts if p.path.endswith("big.parquet")) == 10
+    assert sum(1 for p in parts if p.row_group is None) == 9

@@ -1,8 +1,8 @@
 """A user-defined source written with the Python Data Source API.
 
 ``arrowfiles`` reads a directory of Parquet files with pyarrow inside the tasks: the
-driver only lists files (one input partition per file, or per row group when there are
-few files), and every task streams its record batches to Spark through Arrow. Simple
+driver only lists files (one input partition per file; large files, or all files when
+there are few, are split into row groups), and every task streams its record batches to Spark through Arrow. Simple
 comparison filters (such as the incremental watermark) are taken as partially pushed:
 row groups whose min/max statistics rule them out are skipped, and Spark still applies
 the filters to the rows. It shows how a source type that Spark does not ship is plugged
@@ -30,18 +30,19 @@ def _filesystem(path: str):
     return pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
 
 
-def _list_files(path: str) -> list[str]:
+def _list_files(path: str) -> list[tuple[str, int]]:
+    """``(path, size)`` of the Parquet files under ``path`` (or the file itself)."""
     import pyarrow.fs as pafs
 
     fs, root = _filesystem(path)
     info = fs.get_file_info(root)
     if info.type == pafs.FileType.File:
-        return [root]
+        return [(root, info.size)]
     selector = pafs.FileSelector(root, recursive=True)
-    names = [f.path for f in fs.get_file_info(selector)
+    found = [(f.path, f.size) for f in fs.get_file_info(selector)
              if f.type == pafs.FileType.File and f.path.endswith(".parquet")
              and not f.base_name.startswith(("_", "."))]
-    return sorted(names)
+    return sorted(found)
 
 
 def _ddl(arrow_type) -> str:
@@ -111,11 +112,13 @@ def _group_may_match(metadata, group: int, filters) -> bool:
 
 
 class ArrowFilesReader(DataSourceReader):
-    def __init__(self, path: str, columns: list[str], batch_rows: int, min_partitions: int) -> None:
+    def __init__(self, path: str, columns: list[str], batch_rows: int, min_partitions: int,
+                 split_bytes: int = 256 * 1024 * 1024) -> None:
         self.path = path
         self.columns = columns
         self.batch_rows = batch_rows
         self.min_partitions = min_partitions
+        self.split_bytes = split_bytes
         self.filters: list = []
 
     def pushFilters(self, filters):
@@ -126,22 +129,25 @@ class ArrowFilesReader(DataSourceReader):
             yield f
 
     def partitions(self):
-        files = _list_files(self.path)
-        if len(files) >= self.min_partitions:
-            return [FilePartition(p) for p in files]
-        # Few large files: split them by row group so every core gets work. Only the
-        # footers of these few files are read on the driver.
+        """One partition per file; a file larger than ``split_bytes`` (or any file when there
+        are fewer files than ``min_partitions``) is split into its row groups, so one big
+        file cannot become one straggling task. Only those files' footers are read here."""
         import pyarrow.parquet as pq
 
+        files = _list_files(self.path)
+        few = len(files) < self.min_partitions
         fs, _ = _filesystem(self.path)
         parts = []
-        for p in files:
+        for p, size in files:
+            if not few and size <= self.split_bytes:
+                parts.append(FilePartition(p))
+                continue
             with fs.open_input_file(p) as handle:
                 meta = pq.ParquetFile(handle).metadata
-            groups = [g for g in range(meta.num_row_groups) if _group_may_match(meta, g, self.filters)]
-            parts += [FilePartition(p, g) for g in groups]
+            parts += [FilePartition(p, g) for g in range(meta.num_row_groups)
+                      if _group_may_match(meta, g, self.filters)]
         # every group pruned: one empty partition (row group -1 reads nothing)
-        return parts if parts else [FilePartition(files[0], -1)]
+        return parts if parts else [FilePartition(files[0][0], -1)]
 
     def read(self, partition):
         import pyarrow.parquet as pq
@@ -172,11 +178,12 @@ class ArrowFilesSource(DataSource):
         if not files:
             raise FileNotFoundError(f"no parquet files under {self.options['path']}")
         fs, _ = _filesystem(self.options["path"])
-        with fs.open_input_file(files[0]) as handle:
+        with fs.open_input_file(files[0][0]) as handle:
             arrow_schema = pq.ParquetFile(handle).schema_arrow
         return ", ".join(f"`{f.name}` {_ddl(f.type)}" for f in arrow_schema)
 
     def reader(self, schema):
         return ArrowFilesReader(self.options["path"], [f.name for f in schema.fields],
                                 int(self.options.get("batch_rows", 65536)),
-                                int(self.options.get("min_partitions", 8)))
+                                int(self.options.get("min_partitions", 8)),
+                                int(self.options.get("split_bytes", 256 * 1024 * 1024)))
