@@ -391,3 +391,12 @@ def test_failed_table_overwrite_keeps_old_data(spark, base):
     assert _as_dict(spark.table(t.options["table"])) == {1: "a"}
     write_target(spark, _df(spark, [(2, "b"), (3, "c")]), t)
     assert _as_dict(spark.table(t.options["table"])) == {2: "b", 3: "c"}
+
+
+def test_repeated_null_keys_are_not_duplicates(spark, base):
+    t = _file(base, write_mode="merge", merge_keys=["id"])
+    write_target(spark, _df(spark, [(None, "a"), (None, "b"), (1, "c")]), t)  # NULLs never match
+    assert spark.read.parquet(f"{base}/t").count() == 3
+    safe = TargetSpec("file", {"path": f"{base}/s"}, write_mode="merge", merge_keys=["id"], null_safe_keys=True)
+    with pytest.raises(DuplicateMergeKeyError):
+        write_target(spark, _df(spark, [(None, "a"), (None, "b")]), safe)

@@ -106,10 +106,14 @@ def merge_plan(existing: DataFrame, batch: DataFrame, keys: list[str], *,
     return remaining.unionByName(batch, allowMissingColumns=True)
 
 
-def assert_unique_keys(batch: DataFrame, keys: list[str]) -> None:
+def assert_unique_keys(batch: DataFrame, keys: list[str], null_safe: bool = False) -> None:
     """Raise when some key occurs twice in the batch (one shuffle of the key columns,
-    combined map-side; only one offending key is brought back)."""
-    dup = (batch.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).collect())
+    combined map-side; only one offending key is brought back). Unless keys compare
+    null-safely, a key with a NULL part matches nothing, so repeats of it are allowed."""
+    rows = batch.select(*keys)
+    if not null_safe:
+        rows = rows.dropna(how="any", subset=keys)
+    dup = (rows.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).collect())
     if dup:
         sample = {k: dup[0][k] for k in keys}
         raise DuplicateMergeKeyError(

@@ -259,7 +259,7 @@ def file_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wri
     fmt = _format(target)
     recover_file_target(spark, target)
     if target.duplicate_keys == "error" and not ctx.keys_unique:
-        assert_unique_keys(df, keys)
+        assert_unique_keys(df, keys, target.null_safe_keys)
     if not fs.exists(spark, path):
         metrics = _save(df, target, path, "overwrite", pcols,
                         with_hash=bool(target.options.get("manifest_path")))

@@ -202,7 +202,7 @@ def table_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wr
     pcols = list(target.partition_columns)
     recover_table_target(spark, target)
     if target.duplicate_keys == "error" and not ctx.keys_unique:
-        assert_unique_keys(df, keys)
+        assert_unique_keys(df, keys, target.null_safe_keys)
     if not spark.catalog.tableExists(table):
         metrics = _create(df, target, table, "overwrite", _location(target), pcols)
         return WriteReport(target.id, target.type, "merge", metrics["rows"], table, extra={"scope": "create"})
