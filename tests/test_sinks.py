@@ -400,3 +400,28 @@ def test_repeated_null_keys_are_not_duplicates(spark, base):
     safe = TargetSpec("file", {"path": f"{base}/s"}, write_mode="merge", merge_keys=["id"], null_safe_keys=True)
     with pytest.raises(DuplicateMergeKeyError):
         write_target(spark, _df(spark, [(None, "a"), (None, "b")]), safe)
+
+
+def test_table_half_done_swap_rolls_back(spark, base):
+    from tidewater.sinks.tables import recover_table_target
+
+    t = _table(spark, base, write_mode="merge", merge_keys=["id"], options={"commit": "rename"})
+    write_target(spark, _df(spark, [(1, "a"), (2, "b")]), t)
+    # died after moving the live folder aside (the stage table entry was already dropped)
+    fs.rename(spark, f"{base}/t", f"{base}/t__old")
+    assert recover_table_target(spark, t)
+    assert _as_dict(spark.table(t.options["table"])) == {1: "a", 2: "b"}
+    write_target(spark, _df(spark, [(2, "b2")]), t)
+    assert _as_dict(spark.table(t.options["table"])) == {1: "a", 2: "b2"}
+
+
+def test_table_stage_left_behind_is_reapplied(spark, base):
+    from tidewater.sinks.tables import recover_table_target
+
+    t = _table(spark, base, write_mode="merge", merge_keys=["id"], options={"commit": "copy"})
+    write_target(spark, _df(spark, [(1, "a")]), t)
+    stage = f"{t.options['table']}__stage_full"
+    _df(spark, [(1, "a"), (2, "b")]).write.option("path", f"{base}/t__stage_full").saveAsTable(stage)
+    assert recover_table_target(spark, t)
+    assert _as_dict(spark.table(t.options["table"])) == {1: "a", 2: "b"}
+    assert not spark.catalog.tableExists(stage)
