@@ -425,3 +425,34 @@ def test_table_stage_left_behind_is_reapplied(spark, base):
     assert recover_table_target(spark, t)
     assert _as_dict(spark.table(t.options["table"])) == {1: "a", 2: "b"}
     assert not spark.catalog.tableExists(stage)
+
+
+def test_upsert_keeps_columns_present_in_some_files_only(spark, base):
+    # appends with schema evolution leave files with and without column n
+    write_target(spark, _df(spark, [(1, "a")]), _file(base))
+    write_target(spark, _df(spark, [(2, "b", 5)], "id bigint, val string, n bigint"), _file(base))
+    t = _file(base, write_mode="merge", merge_keys=["id"])
+    write_target(spark, _df(spark, [(3, "c")]), t)
+    rows = {r["id"]: (r["val"], r["n"]) for r in
+            spark.read.option("mergeSchema", "true").parquet(f"{base}/t").collect()}
+    assert rows == {1: ("a", None), 2: ("b", 5), 3: ("c", None)}
+
+
+def test_partitioned_upsert_keeps_columns_of_later_partitions(spark, base):
+    schema = "id bigint, val string, region string"
+    write_target(spark, _df(spark, [(1, "a", "apac")], schema), _file(base, partition_columns=["region"]))
+    write_target(spark, _df(spark, [(2, "b", 7, "eu")], "id bigint, val string, n bigint, region string"),
+                 _file(base, partition_columns=["region"]))
+    t = _file(base, write_mode="merge", merge_keys=["id", "region"], partition_columns=["region"])
+    write_target(spark, _df(spark, [(3, "c", "eu")], schema), t)
+    rows = {r["id"]: (r["val"], r["n"], r["region"]) for r in
+            spark.read.option("mergeSchema", "true").parquet(f"{base}/t").collect()}
+    assert rows == {1: ("a", None, "apac"), 2: ("b", 7, "eu"), 3: ("c", None, "eu")}
+
+
+def test_partitioned_upsert_after_empty_first_batch(spark, base):
+    schema = "id bigint, val string, region string"
+    t = _file(base, write_mode="merge", merge_keys=["id"], partition_columns=["region"])
+    write_target(spark, _df(spark, [], schema), t)
+    write_target(spark, _df(spark, [(1, "a", "us")], schema), t)
+    assert _as_dict(spark.read.parquet(f"{base}/t")) == {1: "a"}

@@ -244,14 +244,27 @@ def recover_file_target(spark: SparkSession, target: TargetSpec) -> bool:
 
 
 def _partitioned_schema(spark: SparkSession, target: TargetSpec, path: str, batch: DataFrame,
-                        rels: list[str]) -> StructType:
-    """Target schema from one partition folder (one small listing, not the whole target),
-    with partition columns typed like the batch."""
+                        rels: list[str], merge: bool = False) -> StructType:
+    """Schema of the given partition folders (``merge``: union of all their files' footers),
+    with partition columns typed like the batch instead of inferred from folder names."""
     reader = spark.read.format(_format(target)).option("basePath", path)
-    inferred = reader.load(f"{path}/{rels[0]}").schema if rels else reader.load(path).schema
+    if merge:
+        reader = reader.option("mergeSchema", "true")
+    inferred = reader.load([f"{path}/{r}" for r in rels]).schema if rels else reader.load(path).schema
     return with_typed_partitions(inferred, batch.schema, list(target.partition_columns))
 
 
+def _read_partitions(spark: SparkSession, target: TargetSpec, path: str, batch: DataFrame,
+                     folders: list[str]) -> DataFrame:
+    """The rows of the partitions about to be rewritten, under the merged schema of their
+    files (a column present in only some files survives the rewrite)."""
+    rels = [f[len(path) + 1:] for f in folders]
+    schema = _partitioned_schema(spark, target, path, batch, rels, merge=True)
+    if not folders:
+        return literal_frame(spark, [], schema)
+    return spark.read.format(_format(target)).schema(schema).option("basePath", path).load(folders)
+
+
 def file_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: WriteContext) -> WriteReport:
     path = _path(target)
     keys = list(target.merge_keys)
@@ -260,7 +273,8 @@ def file_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wri
     recover_file_target(spark, target)
     if target.duplicate_keys == "error" and not ctx.keys_unique:
         assert_unique_keys(df, keys, target.null_safe_keys)
-    if not fs.exists(spark, path):
+    # absent, or partitioned with no partition yet (an empty batch was written): nothing to merge with
+    if not fs.exists(spark, path) or (pcols and not fs.partition_dirs(spark, path, len(pcols))):
         metrics = _save(df, target, path, "overwrite", pcols,
                         with_hash=bool(target.options.get("manifest_path")))
         return _report(spark, target, "merge", path, metrics, ctx, scope="create")
@@ -268,29 +282,28 @@ def file_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wri
     broadcast = should_broadcast(df, keys, ctx.batch_rows, ctx.broadcast_limit,
                                  ctx.var_key_bytes(var_keys) if var_keys else None)
     touched = None
-    existing = None
     if not pcols:
-        existing = spark.read.format(fmt).load(path)  # one listing, footer schema
+        # every file is rewritten anyway, so merging all footers' schemas costs little
+        existing = spark.read.format(fmt).option("mergeSchema", "true").load(path)
     else:
         rels = fs.partition_dirs(spark, path, len(pcols))  # folders only, no file listing
-        schema = _partitioned_schema(spark, target, path, df, rels)
-        names = set(schema.fieldNames())
+        first = _partitioned_schema(spark, target, path, df, rels[:1])
+        names = set(first.fieldNames())
+        wanted = [f"{path}/{rel}" for rel in rels]
         # a batch that adds columns rewrites everything, so no partition keeps the old schema
         if set(pcols) <= names and not set(df.columns) - names:
             if set(pcols) <= set(keys):
-                # keys cannot change partition: read only the batch's partition folders, so
-                # the files of untouched partitions are never even listed
+                # keys cannot change partition: only the batch's partition folders are read,
+                # so the files of untouched partitions are never even listed
                 touched = touched_partitions(df, pcols)
-                if touched is not None:
-                    wanted = [f"{path}/{rel}" for rel in rels if _folder_values(rel) in touched.folder_values]
-                    existing = (spark.read.format(fmt).schema(schema).option("basePath", path).load(wanted)
-                                if wanted else literal_frame(spark, [], schema))
             else:
-                existing = spark.read.format(fmt).schema(schema).load(path)
-                touched = touched_partitions(df, pcols, existing=existing, keys=keys,
+                # the key columns of every partition (one footer's schema is enough for them)
+                keys_side = spark.read.format(fmt).schema(first).load(path)
+                touched = touched_partitions(df, pcols, existing=keys_side, keys=keys,
                                              null_safe=target.null_safe_keys, broadcast_keys=broadcast)
-        if existing is None:
-            existing = spark.read.format(fmt).schema(schema).load(path)
+            if touched is not None:
+                wanted = [w for w, rel in zip(wanted, rels) if _folder_values(rel) in touched.folder_values]
+        existing = _read_partitions(spark, target, path, df, wanted)
     scope = "static" if touched is None else "dynamic"
     if touched is not None:
         existing = existing.filter(touched.condition)  # static partition pruning at planning
