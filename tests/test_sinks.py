@@ -456,3 +456,11 @@ def test_partitioned_upsert_after_empty_first_batch(spark, base):
     write_target(spark, _df(spark, [], schema), t)
     write_target(spark, _df(spark, [(1, "a", "us")], schema), t)
     assert _as_dict(spark.read.parquet(f"{base}/t")) == {1: "a"}
+
+
+def test_manifest_checksum_with_map_column(spark, base):
+    df = spark.createDataFrame([(1, {"b": 2, "a": 1}), (2, {})], "id bigint, m map<string,int>")
+    t = TargetSpec("file", {"path": f"{base}/t", "manifest_path": f"{base}/m"})
+    write_target(spark, df, t)
+    m = spark.read.json(f"{base}/m").first()
+    assert m["row_count"] == 2 and m["checksum"] is not None

@@ -19,19 +19,22 @@ def reason_column(not_null: list[str] | None = None, rules: dict[str, str] | Non
     return F.concat_ws("; ", F.filter(F.array(*checks), lambda r: r.isNotNull()))
 
 
-def row_hash(columns: list[str]) -> Column:
-    """64-bit hash of one row's values (column order as given)."""
-    return F.xxhash64(*[F.col(c) for c in columns])
+def row_hash(columns: list[str], map_columns: set[str] | None = None) -> Column:
+    """64-bit hash of one row's values (column order as given). Map values, which Spark
+    cannot hash, enter as their entries sorted by key."""
+    maps = map_columns or set()
+    return F.xxhash64(*[F.array_sort(F.map_entries(F.col(f"`{c}`"))) if c in maps else F.col(f"`{c}`")
+                        for c in columns])
 
 
-def content_hash(columns: list[str]) -> Column:
+def content_hash(columns: list[str], map_columns: set[str] | None = None) -> Column:
     """Aggregate: order-insensitive hash of a whole frame.
 
     A sum of row hashes in ``decimal(38,0)`` — a ``bigint`` sum would overflow under ANSI —
     so it can be computed partially on every partition and does not depend on the
     row order or partitioning of the data.
     """
-    return F.sum(row_hash(columns).cast("decimal(38,0)"))
+    return F.sum(row_hash(columns, map_columns).cast("decimal(38,0)"))
 
 
 def literal_frame(spark, rows: list[tuple], schema):

@@ -7,7 +7,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import MapType, StructField, StructType
 
 from ..functions import content_hash
 from ..operators.upsert import DEFAULT_BROADCAST_LIMIT
@@ -58,7 +58,8 @@ def observed(df: DataFrame, with_hash: bool) -> tuple[DataFrame, Observation]:
     obs = Observation()
     metrics = [F.count(F.lit(1)).alias("rows")]
     if with_hash:
-        metrics.append(content_hash(df.columns).cast("string").alias("checksum"))
+        maps = {f.name for f in df.schema.fields if isinstance(f.dataType, MapType)}
+        metrics.append(content_hash(df.columns, maps).cast("string").alias("checksum"))
     return df.observe(obs, *metrics), obs
 
 
