@@ -103,6 +103,29 @@ def scan_json(spark, d):
     return read_source(spark, src)
 
 
+DOCUMENTS_DDL = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+EMBEDDINGS_DDL = "vec_id bigint, embedding array<float>, label int"
+
+
+def _fields(ddl: str) -> list[FieldSpec]:
+    return [FieldSpec(name, type_) for name, type_ in (c.split(" ", 1) for c in ddl.split(", "))]
+
+
+def scan_csv_documents(spark, d):
+    """Whole multi-line texts with quotes through CSV: quoted fields, multiLine reader."""
+    path = scratch_path(spark, "scan_csv_documents")
+    _table(spark, d, "documents").write.option("header", "true").csv(path)
+    src = SourceSpec("csv", {"path": path, "multiLine": "true"}, schema=_fields(DOCUMENTS_DDL))
+    return read_source(spark, src)
+
+
+def scan_json_embeddings(spark, d):
+    """Nested values (float arrays) through JSON lines with a declared schema."""
+    path = scratch_path(spark, "scan_json_embeddings")
+    _table(spark, d, "embeddings").write.json(path)
+    return read_source(spark, SourceSpec("json", {"path": path}, schema=_fields(EMBEDDINGS_DDL)))
+
+
 def _orders_table(spark, d, name: str, partition_by: list[str] | None = None, table_name: str = "orders") -> str:
     table = unique_name(name)
     writer = _table(spark, d, table_name).write.option("path", scratch_path(spark, name))
@@ -599,6 +622,8 @@ QUERIES: dict[str, Query] = {
     "scan_parquet": scan_parquet,
     "scan_csv": scan_csv,
     "scan_json": scan_json,
+    "scan_csv_documents": scan_csv_documents,
+    "scan_json_embeddings": scan_json_embeddings,
     "scan_table": scan_table,
     "scan_table_partition_filter": scan_table_partition_filter,
     "initial_scan": initial_scan,
@@ -663,6 +688,8 @@ ORACLE: dict[str, str] = {
     "scan_parquet": "SELECT * FROM orders",
     "scan_csv": "SELECT * FROM orders",
     "scan_json": "SELECT * FROM orders",
+    "scan_csv_documents": "SELECT * FROM documents",
+    "scan_json_embeddings": "SELECT * FROM embeddings",
     "scan_table": "SELECT * FROM orders",
     "scan_table_partition_filter": "SELECT * FROM customer WHERE c_mktsegment = 'BUILDING'",
     "initial_scan": "SELECT * FROM orders",
