@@ -103,6 +103,9 @@ def scan_json(spark, d):
     return read_source(spark, src)
 
 
+LINEITEM_DDL = ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz")
 DOCUMENTS_DDL = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 EMBEDDINGS_DDL = "vec_id bigint, embedding array<float>, label int"
 
@@ -602,6 +605,30 @@ def ingest_full(spark, d):
     return spark.read.parquet(f"{base}/target").select(*ORDER_COLS)
 
 
+def ingest_lineitem_latest(spark, d):
+    """Two incremental runs over lineitem (its line keys repeat): each batch keeps the latest
+    row per (l_orderkey, l_linenumber) and merges into a target partitioned by return flag —
+    outside the key, so a line whose flag changed moves partition."""
+    base = scratch_path(spark, "ingest_lineitem")
+    lineitem = _table(spark, d, "lineitem")
+    landing = f"{base}/landing"
+    _land(lineitem.filter(F.col("l_shipdate") <= _ts(CUT)), landing)
+    spec = spec_from_dict({
+        "dataset_name": "lineitem",
+        "source": _parquet_source(landing, watermark_column="l_shipdate"),
+        "transforms": [{"type": "deduplicate", "keys": ["l_orderkey", "l_linenumber"], "order_by": "l_shipdate",
+                        "tie_breakers": ["l_partkey", "l_suppkey"]}],
+        "targets": [{"type": "file", "options": {"path": f"{base}/target"}, "write_mode": "merge",
+                     "merge_keys": ["l_orderkey", "l_linenumber"], "partition_columns": ["l_returnflag"]}],
+        "state_path": f"{base}/state", "audit_path": f"{base}/audit",
+    })
+    run(spark, spec)
+    _land(lineitem, landing)
+    second = run(spark, spec)
+    assert second.reports[0].extra.get("scope") == "dynamic"
+    return spark.read.schema(LINEITEM_DDL).parquet(f"{base}/target")
+
+
 def ingest_single_target(spark, d):
     base = scratch_path(spark, "ingest_single")
     spec = spec_from_dict(_two_target_spec(spark, base, d))
@@ -671,6 +698,7 @@ QUERIES: dict[str, Query] = {
     "stream_available_now_upsert": stream_available_now_upsert,
     "ingest_full": ingest_full,
     "ingest_single_target": ingest_single_target,
+    "ingest_lineitem_latest": ingest_lineitem_latest,
     "run_audit": run_audit,
 }
 
@@ -776,5 +804,7 @@ ORACLE: dict[str, str] = {
     "stream_available_now_upsert": _UPSERTED,
     "ingest_full": f"SELECT * FROM orders WHERE o_orderdate > TIMESTAMP '{CUT}' {_LATEST}",
     "ingest_single_target": _BOTH_TARGETS,
+    "ingest_lineitem_latest": ("SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, "
+                               "l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC) = 1"),
     "run_audit": "SELECT 'orders' AS dataset, 'file' AS target, count(*) AS row_count, true AS dq_passed FROM orders",
 }
