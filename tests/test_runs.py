@@ -277,3 +277,15 @@ def test_csv_seed_row_appended_to_table(spark, base):
     assert res.watermark == "2024-01-01T00:00:00Z"
     with pytest.raises(DataQualityError):  # idle rerun: nothing past the mark, row floor 1 fails
         run(spark, spec)
+
+
+def test_audit_compaction_keeps_history(spark, base):
+    spec = _spec(base)
+    for day in range(1, 4):
+        _land(spark, base, [(day, f"c{day}", 1.0, f"2026-01-0{day}")])
+        run(spark, spec)
+    before = st.audit_frame(spark, f"{base}/audit").count()
+    st.compact_audit(spark, f"{base}/audit", "customer_orders")
+    runs = st.audit_frame(spark, f"{base}/audit")
+    assert runs.count() == before == 3 and len(runs.inputFiles()) == 1
+    assert st.metrics_frame(spark, f"{base}/audit").count() == 3

@@ -267,6 +267,8 @@ def process_batch(spark: SparkSession, spec: DatasetSpec, df: DataFrame, selecte
                                result.reason or None, value, started, _dt.datetime.now(_dt.timezone.utc)))
         st.append_metrics(spark, audit_path, metrics)
         st.append_audit(spark, audit_path, audit_rows)
+        if audit_rows and st.due_for_compaction(audit_rows[0][3]):
+            st.compact_audit(spark, audit_path, spec.dataset_name)
         log.info("run completed", extra={"dataset": spec.dataset_name, "run_id": run_id, "rows": rows,
                                          "targets": out.targets_written, "watermark": new_wm})
         return out

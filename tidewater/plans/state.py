@@ -120,17 +120,35 @@ def commit_state(spark: SparkSession, path: str, dataset: str, entries: list[Sta
         compact_state(spark, path, dataset)
 
 
-def compact_state(spark: SparkSession, path: str, dataset: str) -> None:
-    """Rewrite one dataset's state folder to its latest row per target."""
+def due_for_compaction(batch_id: int) -> bool:
+    return batch_id % COMPACT_EVERY == 0
+
+
+def _rewrite_dataset(spark: SparkSession, path: str, dataset: str, rows: DataFrame, schema: StructType) -> None:
+    """Replace one dataset's folder of a log table by ``rows`` (one file), via a stage."""
     stage = f"{path}__compact_{dataset}"
     fs.delete(spark, stage)
-    latest = latest_state(spark, path, dataset).select(*STATE_SCHEMA.fieldNames())
-    latest.coalesce(1).write.mode("overwrite").parquet(stage)
-    (spark.read.schema(STATE_SCHEMA).parquet(stage).coalesce(1).write.mode("overwrite")
+    rows.select(*schema.fieldNames()).coalesce(1).write.mode("overwrite").parquet(stage)
+    (spark.read.schema(schema).parquet(stage).coalesce(1).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("dataset").parquet(path))
     fs.delete(spark, stage)
 
 
+def compact_state(spark: SparkSession, path: str, dataset: str) -> None:
+    """Rewrite one dataset's state folder to its latest row per target."""
+    _rewrite_dataset(spark, path, dataset, latest_state(spark, path, dataset), STATE_SCHEMA)
+
+
+def compact_audit(spark: SparkSession, path: str, dataset: str) -> None:
+    """Merge one dataset's run and metric rows, one small file per run, into one file each
+    (history is kept whole)."""
+    for sub, schema in (("runs", AUDIT_SCHEMA), ("metrics", METRIC_SCHEMA)):
+        folder = f"{path}/{sub}"
+        if fs.exists(spark, folder):
+            rows = spark.read.schema(schema).parquet(folder).filter(F.col("dataset") == dataset)
+            _rewrite_dataset(spark, folder, dataset, rows, schema)
+
+
 def append_audit(spark: SparkSession, path: str, rows: list[tuple]) -> None:
     if rows:
         (literal_frame(spark, rows, AUDIT_SCHEMA).coalesce(1).write.mode("append")
