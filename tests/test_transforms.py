@@ -88,3 +88,10 @@ def test_chain(spark):
     assert out.columns == ["id", "version", "_ingested_at"] and out.first()["version"] == 2
     with pytest.raises(SpecError):
         compile_chain([TransformSpec("nope", {})], "ds", dt.datetime(2026, 1, 1))
+
+
+@pytest.mark.parametrize("method", ["window", "agg"])
+def test_dedup_with_awkward_column_names(spark, method):
+    df = spark.createDataFrame([(1, 1, "x"), (1, 2, "y")], "`k.id` bigint, `v er` bigint, `p.q` string")
+    out = dedup_latest(df, ["k.id"], "v er", method=method).collect()
+    assert [tuple(r) for r in out] == [(1, 2, "y")]

@@ -41,16 +41,19 @@ def dedup_latest(df: DataFrame, keys: list[str], order_by, tie_breakers=None,
     missing = [c for c in keys + order if c not in df.columns]
     if missing:
         raise SpecError(f"dedup columns not in frame: {missing}")
+    def col(c: str):
+        return F.col(f"`{c}`")
+
     if method == "window":
-        w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order])
+        w = Window.partitionBy(*[col(k) for k in keys]).orderBy(*[col(c).desc_nulls_last() for c in order])
         return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
     if method == "agg":
         payload = [c for c in df.columns if c not in keys]
         if not payload:
             return df.dropDuplicates(keys)
         # Struct comparison puts NULL fields first, so max() prefers a non-null order.
-        best = F.max_by(F.struct(*payload), F.struct(*order)).alias("__best")
-        grouped = df.groupBy(*keys).agg(best)
-        return grouped.select(*[F.col(c) if c in keys else F.col(f"__best.{c}").alias(c)
+        best = F.max_by(F.struct(*[col(c) for c in payload]), F.struct(*[col(c) for c in order])).alias("__best")
+        grouped = df.groupBy(*[col(k) for k in keys]).agg(best)
+        return grouped.select(*[col(c) if c in keys else F.col("__best").getField(c).alias(c)
                                 for c in df.columns])
     raise SpecError("dedup method must be 'window' or 'agg'")
