@@ -464,3 +464,11 @@ def test_manifest_checksum_with_map_column(spark, base):
     write_target(spark, df, t)
     m = spark.read.json(f"{base}/m").first()
     assert m["row_count"] == 2 and m["checksum"] is not None
+
+
+def test_empty_merge_batch_leaves_target_untouched(spark, base):
+    t = _file(base, write_mode="merge", merge_keys=["id"])
+    write_target(spark, _df(spark, [(1, "a")]), t)
+    files = spark.read.parquet(f"{base}/t").inputFiles()
+    report = write_target(spark, _df(spark, []), t, WriteContext(batch_rows=0))
+    assert report.extra["scope"] == "empty" and spark.read.parquet(f"{base}/t").inputFiles() == files

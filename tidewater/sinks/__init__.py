@@ -65,7 +65,13 @@ def write_target(spark: SparkSession, df: DataFrame, target: TargetSpec,
     fn = modes.get(mode)
     if fn is None:
         raise UnsupportedWriteModeError(f"Unsupported write mode: {target.write_mode} for {target.type}")
-    return fn(spark, df, target, ctx or WriteContext())
+    ctx = ctx or WriteContext()
+    if mode == "merge" and ctx.batch_rows == 0:
+        # merging nothing changes nothing: do not rewrite the target
+        return WriteReport(target.id, target.type, "merge", 0, str(target.options.get("path")
+                                                                     or target.options.get("table", "")),
+                           extra={"scope": "empty"})
+    return fn(spark, df, target, ctx)
 
 
 def recover_target(spark: SparkSession, target: TargetSpec) -> bool:
