@@ -13,7 +13,7 @@ from .plans import run_many
 from .spec import load_spec, load_spec_dir
 
 
-def main(argv: list[str] | None = None) -> int:
+def main(argv: list[str] | None = None, stop_session: bool = True) -> int:
     parser = argparse.ArgumentParser(prog="tidewater", description=__doc__)
     parser.add_argument("spec", help="spec file (.yaml/.yml/.json) or a directory of specs")
     parser.add_argument("--target", action="append", default=None,
@@ -40,7 +40,8 @@ def main(argv: list[str] | None = None) -> int:
                               "watermark": r.watermark, "skipped": r.skipped,
                               "quality_passed": r.quality.passed if r.quality else None}))
     finally:
-        spark.stop()
+        if stop_session:
+            spark.stop()
     return 1 if failed else 0
 
 
