@@ -52,6 +52,10 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", sorted(entry_mod.queries()))
 def test_query_matches_oracle(spark, duck, name):
     sdf = entry_mod.queries()[name](spark, D)
+    plan = sdf._jdf.queryExecution().executedPlan().toString()
+    # no row-at-a-time Python, no cartesian products in any registered query
+    assert "BatchEvalPython" not in plan and "CartesianProduct" not in plan
+    assert "BroadcastNestedLoopJoin" not in plan
     srows = [tuple(r) for r in sdf.collect()]
     res = duck.execute(entry_mod.oracle_sql()[name])
     dcols = [c[0] for c in res.description]
