@@ -472,3 +472,11 @@ def test_empty_merge_batch_leaves_target_untouched(spark, base):
     files = spark.read.parquet(f"{base}/t").inputFiles()
     report = write_target(spark, _df(spark, []), t, WriteContext(batch_rows=0))
     assert report.extra["scope"] == "empty" and spark.read.parquet(f"{base}/t").inputFiles() == files
+
+
+def test_table_append_evolves_schema(spark, base):
+    t = _table(spark, base)
+    write_target(spark, _df(spark, [(1, "a")]), t)
+    write_target(spark, _df(spark, [(2, "b", 7)], "id bigint, val string, n bigint"), t)
+    rows = {r["id"]: (r["val"], r["n"]) for r in spark.table(t.options["table"]).collect()}
+    assert rows == {1: ("a", None), 2: ("b", 7)}

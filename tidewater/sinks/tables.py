@@ -2,7 +2,8 @@
 
 Options: ``table`` (required), ``path`` (external location), ``format``, ``repair``
 (run ``MSCK REPAIR`` after partitioned writes), ``bucket_count`` (bucket the table by
-its merge keys), ``commit`` (``auto`` | ``rename`` | ``copy``).
+its merge keys), ``commit`` (``auto`` | ``rename`` | ``copy``), ``schema_evolution``
+(default on: an append adds the batch's new columns to the table first).
 
 Upserts write the combined result to a stage table first (a table cannot be overwritten
 by a query that reads it); its name carries the scope (``<table>__stage_full`` or
@@ -88,9 +89,23 @@ def _maybe_repair(spark: SparkSession, target: TargetSpec) -> None:
         repair_partitions(spark, _table(target))
 
 
+def _add_new_columns(spark: SparkSession, target: TargetSpec, df: DataFrame) -> None:
+    """Schema evolution on append (``schema_evolution``, default on): columns the batch
+    brings are added to the table first, so older rows read them as NULL."""
+    table = _table(target)
+    if not target.options.get("schema_evolution", True) or not spark.catalog.tableExists(table):
+        return
+    present = {c.lower() for c in spark.table(table).columns}
+    new = [f for f in df.schema.fields if f.name.lower() not in present]
+    if new:
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({cols})")
+
+
 def table_append(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: WriteContext) -> WriteReport:
     table = _table(target)
     pcols = list(target.partition_columns)
+    _add_new_columns(spark, target, df)
     if target.idempotent:
         df = df.withColumn(BATCH_ID, F.lit(int(ctx.batch_id)).cast("int"))
         if spark.catalog.tableExists(table):
