@@ -458,6 +458,15 @@ def append_evolving_schema(spark, d):
     return spark.read.option("mergeSchema", "true").parquet(path).select("o_orderkey", "o_orderstatus")
 
 
+def table_append_evolving_schema(spark, d):
+    """Catalog table: the second append brings a new column, added to the table first."""
+    orders = _table(spark, d, "orders")
+    t = _table_target(spark, "table_append_evolving")
+    write_target(spark, _earlier(orders).select("o_orderkey", "o_orderdate"), t)
+    write_target(spark, _later(orders).select("o_orderkey", "o_orderdate", "o_orderstatus"), t)
+    return spark.table(t.options["table"]).select("o_orderkey", "o_orderstatus")
+
+
 def overwrite_evolving_schema(spark, d):
     path = scratch_path(spark, "overwrite_evolving")
     orders = _table(spark, d, "orders")
@@ -687,6 +696,7 @@ QUERIES: dict[str, Query] = {
     "sink_table_overwrite": sink_table_overwrite,
     "table_repair_partitions": table_repair_partitions,
     "append_evolving_schema": append_evolving_schema,
+    "table_append_evolving_schema": table_append_evolving_schema,
     "overwrite_evolving_schema": overwrite_evolving_schema,
     "fan_out": fan_out,
     "sink_custom_target": sink_custom_target,
@@ -784,6 +794,9 @@ ORACLE: dict[str, str] = {
     "append_evolving_schema": (
         f"SELECT o_orderkey, CASE WHEN o_orderdate > TIMESTAMP '{CUT}' THEN o_orderstatus END AS o_orderstatus "
         "FROM orders"),
+    "table_append_evolving_schema": (
+        f"SELECT o_orderkey, CASE WHEN o_orderdate > TIMESTAMP '{CUT}' THEN o_orderstatus END AS o_orderstatus "
+        "FROM orders"),
     "overwrite_evolving_schema": "SELECT o_orderkey, o_orderstatus FROM orders",
     "fan_out": _BOTH_TARGETS,
     "sink_custom_target": "SELECT * FROM orders",
