@@ -175,15 +175,19 @@ def _apply_stage(spark: SparkSession, target: TargetSpec, dynamic: bool) -> dict
     table = _table(target)
     stage = _stage_name(table, dynamic)
     staged = spark.table(stage)
-    live_cols = spark.table(table).columns
-    same_columns = set(staged.columns) == set(live_cols)
+    live_cols = {c.lower() for c in spark.table(table).columns}
+    staged_cols = {c.lower() for c in staged.columns}
+    if staged_cols > live_cols and target.options.get("schema_evolution", True):
+        _add_new_columns(spark, target, staged)  # the table keeps its identity, no drop
+        live_cols = staged_cols
+    same_columns = staged_cols == live_cols
     if same_columns and _commit_mode(spark, target, dynamic) == "rename":
         spark.sql(f"DROP TABLE IF EXISTS {stage}")  # external: the folder stays
         _swap_folders(spark, target)
         return {"rows": None, "checksum": None}
     if same_columns:
         metrics = _insert_overwrite(spark, staged, table, dynamic)
-    else:  # schema evolved: replace the table definition from the stage
+    else:  # columns removed (an overwrite with another schema): replace the table definition
         metrics = _create(staged, target, table, "overwrite", _location(target), list(target.partition_columns))
     spark.sql(f"DROP TABLE IF EXISTS {stage}")
     stage_loc = _location(target, _stage_suffix(dynamic))
