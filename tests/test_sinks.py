@@ -480,3 +480,11 @@ def test_table_append_evolves_schema(spark, base):
     write_target(spark, _df(spark, [(2, "b", 7)], "id bigint, val string, n bigint"), t)
     rows = {r["id"]: (r["val"], r["n"]) for r in spark.table(t.options["table"]).collect()}
     assert rows == {1: ("a", None), 2: ("b", 7)}
+
+
+def test_table_upsert_partitioned_outside_key_with_fewer_columns(spark, base):
+    t = _table(spark, base, write_mode="merge", merge_keys=["id"], partition_columns=["region"])
+    write_target(spark, _df(spark, [(1, "a", "us"), (2, "b", "eu")], "id bigint, val string, region string"), t)
+    write_target(spark, _df(spark, [(2, "us")], "id bigint, region string"), t)  # no val column
+    out = {r["id"]: (r["val"], r["region"]) for r in spark.table(t.options["table"]).collect()}
+    assert out == {1: ("a", "us"), 2: (None, "us")}

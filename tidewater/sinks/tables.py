@@ -237,9 +237,10 @@ def table_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wr
                                      "commit": target.options.get("commit", "auto")},
                             write_mode="merge", merge_keys=keys, partition_columns=pcols,
                             duplicate_keys=target.duplicate_keys, null_safe_keys=target.null_safe_keys)
-        report = file_upsert(spark, df.select(*[F.col(f"`{c}`") for c in existing.columns]), folder,
-                             WriteContext(ctx.batch_id, ctx.batch_rows, ctx.column_bytes, True,
-                                          ctx.broadcast_limit, ctx.run_time))
+        ordered = df.select(*[F.col(f"`{c}`") for c in existing.columns if c in df.columns])
+        report = file_upsert(spark, ordered, folder, WriteContext(
+            batch_id=ctx.batch_id, batch_rows=ctx.batch_rows, column_bytes=ctx.column_bytes,
+            keys_unique=True, broadcast_limit=ctx.broadcast_limit, run_time=ctx.run_time))  # checked above
         spark.sql(f"REFRESH TABLE {table}")
         repair_partitions(spark, table, sync=True)
         return WriteReport(target.id, target.type, "merge", report.rows, table, extra=report.extra)
