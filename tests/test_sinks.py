@@ -488,3 +488,15 @@ def test_table_upsert_partitioned_outside_key_with_fewer_columns(spark, base):
     write_target(spark, _df(spark, [(2, "us")], "id bigint, region string"), t)  # no val column
     out = {r["id"]: (r["val"], r["region"]) for r in spark.table(t.options["table"]).collect()}
     assert out == {1: ("a", "us"), 2: (None, "us")}
+
+
+def test_full_overwrite_ignores_session_dynamic_default(spark, base):
+    schema = "id bigint, region string"
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        t = _file(base, write_mode="overwrite", partition_columns=["region"], options={"commit": "copy"})
+        write_target(spark, _df(spark, [(1, "us"), (2, "eu")], schema), t)
+        write_target(spark, _df(spark, [(3, "eu")], schema), t)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert [(r["id"], r["region"]) for r in spark.read.parquet(f"{base}/t").collect()] == [(3, "eu")]

@@ -67,8 +67,8 @@ def _save(df: DataFrame, target: TargetSpec, path: str, mode: str, partition_col
         df = rebalance(df, partition_columns)
     df, obs = observed(df, with_hash)
     writer = df.write.format(_format(target)).mode(mode).options(**_write_options(target))
-    if dynamic:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
+    if mode == "overwrite":  # explicit either way: never inherit the session's default
+        writer = writer.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     if partition_columns:
         writer = writer.partitionBy(*partition_columns)
     writer.save(path)

@@ -71,9 +71,8 @@ def _create(df: DataFrame, target: TargetSpec, table: str, mode: str, location:
 def _insert_overwrite(spark: SparkSession, df: DataFrame, table: str, dynamic: bool) -> dict:
     cols = spark.table(table).columns  # insertInto is positional: follow the table's order
     df, obs = observed(df.select(*[F.col(f"`{c}`") for c in cols]), False)
-    writer = df.write.mode("overwrite")
-    if dynamic:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
+    # explicit either way: never inherit the session's default overwrite mode
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     writer.insertInto(table, overwrite=True)
     return observed_metrics(obs)
 
