@@ -134,6 +134,16 @@ def storage_for(spec: DatasetSpec) -> str:
 def run(spark: SparkSession, spec: DatasetSpec, *, targets: list[str] | None = None,
         transforms: list[TransformFn] | None = None, run_time: _dt.datetime | None = None,
         run_id: str | None = None) -> RunResult:
+    """Run one dataset spec once.
+
+    ``targets`` restricts the run to targets named by id (or, failing that, by type);
+    each keeps its own watermark, so targets run at different times each get exactly the
+    rows they have not loaded. ``transforms`` are extra ``DataFrame -> DataFrame``
+    functions applied after the spec's own. ``run_time`` fixes ``_ingested_at``.
+
+    Raises ``DataQualityError`` when the gate fails and the spec says so (after the batch
+    quarantine, if configured); nothing is written and no state advances then.
+    """
     run_time = run_time or _dt.datetime.now(_dt.timezone.utc)
     run_id = run_id or uuid.uuid4().hex
     selected = select_targets(spec, targets)

@@ -62,6 +62,7 @@ def register_data_source(spark: SparkSession, cls) -> str:
 
 
 def read_source(spark: SparkSession, source: SourceSpec) -> DataFrame:
+    """A lazy DataFrame over the source (type aliases such as ``s3_parquet`` accepted)."""
     kind = source.type.lower()
     fn = _REGISTRY.get(SOURCE_ALIASES.get(kind, kind))
     if fn is None:
