@@ -142,7 +142,7 @@ def run(spark: SparkSession, spec: DatasetSpec, *, targets: list[str] | None = N
     functions applied after the spec's own. ``run_time`` fixes ``_ingested_at``.
 
     Raises ``DataQualityError`` when the gate fails and the spec says so (after the batch
-    quarantine, if configured); nothing is written and no state advances then.
+    quarantine, if configured); no target is written and no state advances then.
     """
     run_time = run_time or _dt.datetime.now(_dt.timezone.utc)
     run_id = run_id or uuid.uuid4().hex
