@@ -500,3 +500,17 @@ def test_full_overwrite_ignores_session_dynamic_default(spark, base):
     finally:
         spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
     assert [(r["id"], r["region"]) for r in spark.read.parquet(f"{base}/t").collect()] == [(3, "eu")]
+
+
+@pytest.mark.parametrize("partitioned", [False, True])
+def test_insert_only_upsert_appends(spark, base, partitioned):
+    schema = "id bigint, val string, region string"
+    t = _file(base, write_mode="merge", merge_keys=["id"], partition_columns=["region"] if partitioned else [])
+    write_target(spark, _df(spark, [(1, "a", "us"), (2, "b", "eu")], schema), t)
+    before = set(spark.read.parquet(f"{base}/t").inputFiles())
+    report = write_target(spark, _df(spark, [(3, "c", "eu")], schema), t)
+    assert report.extra["scope"] == "insert"
+    assert before <= set(spark.read.parquet(f"{base}/t").inputFiles())  # nothing rewritten
+    # replaying the same batch finds its keys and merges: still one copy
+    assert write_target(spark, _df(spark, [(3, "c", "eu")], schema), t).extra["scope"] != "insert"
+    assert _as_dict(spark.read.parquet(f"{base}/t")) == {1: "a", 2: "b", 3: "c"}

@@ -135,6 +135,20 @@ def matched_partitions(existing: DataFrame, batch: DataFrame, keys: list[str], p
             .select(*partition_columns))
 
 
+def any_key_matches(existing: DataFrame, batch: DataFrame, keys: list[str], null_safe: bool = False,
+                    broadcast_keys: bool = False) -> bool:
+    """Does any batch key already exist in the target? A semi join reading only the
+    target's key columns; it stops at the first match."""
+    right = batch.select(*[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)])
+    if broadcast_keys:
+        right = F.broadcast(right)
+    conds = [existing[f"`{k}`"].eqNullSafe(right[f"__k{i}"]) if null_safe
+             else existing[f"`{k}`"] == right[f"__k{i}"] for i, k in enumerate(keys)]
+    probe = existing.select(*[F.col(f"`{k}`") for k in keys]).join(right, reduce(lambda a, b: a & b, conds),
+                                                                  "left_semi")
+    return len(probe.limit(1).collect()) > 0
+
+
 @dataclass
 class Touched:
     """Partitions an upsert rewrites: a filter for the target scan, and the values as

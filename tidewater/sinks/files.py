@@ -31,8 +31,8 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from .. import fs
 from ..functions import literal_frame
 from ..errors import MissingOptionError
-from ..operators.upsert import (Touched, assert_unique_keys, is_variable_width, merge_plan,
-                                should_broadcast, touched_partitions)
+from ..operators.upsert import (Touched, any_key_matches, assert_unique_keys, is_variable_width,
+                                merge_plan, should_broadcast, touched_partitions)
 from ..spec import TargetSpec
 from .common import (BATCH_ID, WriteContext, WriteReport, commit_mode, observed, observed_metrics,
                      rebalance, with_typed_partitions)
@@ -307,14 +307,20 @@ def file_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wri
     scope = "static" if touched is None else "dynamic"
     if touched is not None:
         existing = existing.filter(touched.condition)  # static partition pruning at planning
+    with_hash = bool(target.options.get("manifest_path"))
+    if not set(df.columns) - set(existing.columns) and not any_key_matches(
+            existing, df, keys, target.null_safe_keys, broadcast):
+        # no batch key is in the target (an insert-only batch): append, rewrite nothing.
+        # A replay after a crash finds its own rows and takes the merge path instead.
+        metrics = _save(df, target, path, "append", pcols, with_hash=with_hash)
+        return _report(spark, target, "merge", path, metrics, ctx, scope="insert", broadcast=broadcast)
     combined = merge_plan(existing, df, keys, null_safe=target.null_safe_keys, broadcast_keys=broadcast,
                           distinct_keys=target.duplicate_keys == "allow")
     stage = _stage_path(path, scope)
     _clear_stage(spark, stage)
     fs.write_text(spark, stage + ".schema.json", combined.schema.json())
     commit = _commit_mode(spark, target, path)
-    with_hash = bool(target.options.get("manifest_path")) and commit == "rename"
-    metrics = _save(combined, target, stage, "overwrite", pcols, with_hash=with_hash)
+    metrics = _save(combined, target, stage, "overwrite", pcols, with_hash=with_hash and commit == "rename")
     extra = {"scope": scope, "broadcast": broadcast, "commit": commit}
     if scope == "dynamic":
         plan = _partition_plan(spark, path, stage, len(pcols), touched)
