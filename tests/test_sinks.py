@@ -514,3 +514,11 @@ def test_insert_only_upsert_appends(spark, base, partitioned):
     # replaying the same batch finds its keys and merges: still one copy
     assert write_target(spark, _df(spark, [(3, "c", "eu")], schema), t).extra["scope"] != "insert"
     assert _as_dict(spark.read.parquet(f"{base}/t")) == {1: "a", 2: "b", 3: "c"}
+
+
+def test_table_insert_only_upsert_appends(spark, base):
+    t = _table(spark, base, write_mode="merge", merge_keys=["id"])
+    write_target(spark, _df(spark, [(1, "a")]), t)
+    assert write_target(spark, _df(spark, [(2, "b")]), t).extra["scope"] == "insert"
+    assert write_target(spark, _df(spark, [(2, "b2")]), t).extra["scope"] == "static"
+    assert _as_dict(spark.table(t.options["table"])) == {1: "a", 2: "b2"}

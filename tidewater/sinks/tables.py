@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 
 from .. import fs
 from ..errors import MissingOptionError
-from ..operators.upsert import (assert_unique_keys, is_variable_width, merge_plan, should_broadcast,
-                                touched_partitions)
+from ..operators.upsert import (any_key_matches, assert_unique_keys, is_variable_width, merge_plan,
+                                should_broadcast, touched_partitions)
 from ..spec import TargetSpec
 from .common import BATCH_ID, WriteContext, WriteReport, commit_mode, observed, observed_metrics, rebalance
 
@@ -254,6 +254,13 @@ def table_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wr
         if touched is not None:
             existing = existing.filter(touched.condition)
             dynamic = True
+    if set(df.columns) <= set(existing.columns) and not any_key_matches(
+            existing, df, keys, target.null_safe_keys, broadcast):
+        # insert-only batch: append by name, rewrite nothing (a replay takes the merge path)
+        metrics = _create(df, target, table, "append", _location(target), pcols)
+        _maybe_repair(spark, target)
+        return WriteReport(target.id, target.type, "merge", metrics["rows"], table,
+                           extra={"scope": "insert", "broadcast": broadcast})
     combined = merge_plan(existing, df, keys, null_safe=target.null_safe_keys, broadcast_keys=broadcast,
                           distinct_keys=target.duplicate_keys == "allow")
     stage = _stage_name(table, dynamic)
