@@ -308,8 +308,8 @@ def file_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wri
     if touched is not None:
         existing = existing.filter(touched.condition)  # static partition pruning at planning
     with_hash = bool(target.options.get("manifest_path"))
-    if not set(df.columns) - set(existing.columns) and not any_key_matches(
-            existing, df, keys, target.null_safe_keys, broadcast):
+    if (target.options.get("insert_probe", True) and not set(df.columns) - set(existing.columns)
+            and not any_key_matches(existing, df, keys, target.null_safe_keys, broadcast)):
         # no batch key is in the target (an insert-only batch): append, rewrite nothing.
         # A replay after a crash finds its own rows and takes the merge path instead.
         metrics = _save(df, target, path, "append", pcols, with_hash=with_hash)

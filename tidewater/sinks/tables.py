@@ -254,8 +254,8 @@ def table_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wr
         if touched is not None:
             existing = existing.filter(touched.condition)
             dynamic = True
-    if set(df.columns) <= set(existing.columns) and not any_key_matches(
-            existing, df, keys, target.null_safe_keys, broadcast):
+    if (target.options.get("insert_probe", True) and set(df.columns) <= set(existing.columns)
+            and not any_key_matches(existing, df, keys, target.null_safe_keys, broadcast)):
         # insert-only batch: append by name, rewrite nothing (a replay takes the merge path)
         metrics = _create(df, target, table, "append", _location(target), pcols)
         _maybe_repair(spark, target)
