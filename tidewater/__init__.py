@@ -7,13 +7,17 @@ target half-replaced.
 """
 from .errors import (DataQualityError, DuplicateMergeKeyError, MissingOptionError, SpecError,
                      UnknownConnectorError, UnsupportedWriteModeError)
-from .plans import RunResult, run
+from .operators import check_quality, dedup_latest
+from .plans import RunResult, run, run_many
 from .session import local_session, work_dir
-from .spec import DatasetSpec, load_spec, load_spec_dir, spec_from_dict
+from .sinks import WriteContext, write_target
+from .sources import read_incremental, read_source
+from .spec import DatasetSpec, SourceSpec, TargetSpec, load_spec, load_spec_dir, spec_from_dict
 
 __all__ = [
     "DataQualityError", "DuplicateMergeKeyError", "MissingOptionError", "SpecError",
     "UnknownConnectorError", "UnsupportedWriteModeError",
-    "RunResult", "run", "local_session", "work_dir",
-    "DatasetSpec", "load_spec", "load_spec_dir", "spec_from_dict",
+    "RunResult", "run", "run_many", "local_session", "work_dir",
+    "check_quality", "dedup_latest", "WriteContext", "write_target", "read_incremental", "read_source",
+    "DatasetSpec", "SourceSpec", "TargetSpec", "load_spec", "load_spec_dir", "spec_from_dict",
 ]
