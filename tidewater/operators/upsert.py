@@ -151,10 +151,12 @@ def any_key_matches(existing: DataFrame, batch: DataFrame, keys: list[str], null
 
 @dataclass
 class Touched:
-    """Partitions an upsert rewrites: a filter for the target scan, and the values as
-    they appear in partition folder names (``cast(value as string)``)."""
+    """Partitions an upsert rewrites: a filter for the target scan, the values as they
+    appear in partition folder names (``cast(value as string)``), and — when the target's
+    keys were probed — whether any batch key is already in the target."""
     condition: object
     folder_values: set
+    any_match: bool | None = None
 
 
 def touched_partitions(batch: DataFrame, partition_columns: list[str],
@@ -170,24 +172,27 @@ def touched_partitions(batch: DataFrame, partition_columns: list[str],
     names — against the batch keys. At most ``limit + 1`` distinct values reach the
     driver; the filter is a literal ``IN`` list, so the scan prunes partitions at planning
     time."""
-    wanted = batch.select(*partition_columns)
-    if existing is not None and keys:
-        wanted = wanted.unionByName(
-            matched_partitions(existing, batch, keys, partition_columns, null_safe, broadcast_keys))
+    probed = existing is not None and bool(keys)
+    wanted = batch.select(*partition_columns).withColumn("__matched", F.lit(False))
+    if probed:
+        matched = matched_partitions(existing, batch, keys, partition_columns, null_safe, broadcast_keys)
+        wanted = wanted.unionByName(matched.withColumn("__matched", F.lit(True)))
     text = [F.col(f"`{c}`").cast("string").alias(f"__s{i}") for i, c in enumerate(partition_columns)]
-    rows = wanted.distinct().select(*partition_columns, *text).limit(limit + 1).collect()
+    found = wanted.distinct().select(*partition_columns, "__matched", *text).limit(2 * limit + 2).collect()
+    any_match = any(r["__matched"] for r in found) if probed else None
+    rows = list({tuple(r[c] for c in partition_columns): r for r in found}.values())
     if len(rows) > limit:
         return None
     folders = {tuple(DEFAULT_PARTITION_NAME if r[f"__s{i}"] in (None, "") else r[f"__s{i}"]
                      for i in range(len(partition_columns))) for r in rows}
     if not rows:
-        return Touched(F.lit(False), folders)
+        return Touched(F.lit(False), folders, any_match)
     if len(partition_columns) == 1:
         c = partition_columns[0]
         present = [r[c] for r in rows if r[c] is not None]
         cond = F.col(f"`{c}`").isin(present) if present else F.lit(False)
         cond = cond | F.col(f"`{c}`").isNull() if len(present) < len(rows) else cond
-        return Touched(cond, folders)
+        return Touched(cond, folders, any_match)
     terms = [reduce(lambda a, b: a & b, [F.col(f"`{c}`").eqNullSafe(F.lit(r[c])) for c in partition_columns])
              for r in rows]
-    return Touched(reduce(lambda a, b: a | b, terms), folders)
+    return Touched(reduce(lambda a, b: a | b, terms), folders, any_match)

@@ -282,38 +282,52 @@ def file_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wri
     broadcast = should_broadcast(df, keys, ctx.batch_rows, ctx.broadcast_limit,
                                  ctx.var_key_bytes(var_keys) if var_keys else None)
     touched = None
+    with_hash = bool(target.options.get("manifest_path"))
+    probe = bool(target.options.get("insert_probe", True))
     if not pcols:
-        # every file is rewritten anyway, so merging all footers' schemas costs little
-        existing = spark.read.format(fmt).option("mergeSchema", "true").load(path)
+        plain = spark.read.format(fmt).load(path)  # one listing, one footer's schema
+        adds_columns = bool(set(df.columns) - set(plain.columns))
+        matched = None
     else:
         rels = fs.partition_dirs(spark, path, len(pcols))  # folders only, no file listing
         first = _partitioned_schema(spark, target, path, df, rels[:1])
         names = set(first.fieldNames())
         wanted = [f"{path}/{rel}" for rel in rels]
+        adds_columns = bool(set(df.columns) - names)
         # a batch that adds columns rewrites everything, so no partition keeps the old schema
-        if set(pcols) <= names and not set(df.columns) - names:
+        if set(pcols) <= names and not adds_columns:
             if set(pcols) <= set(keys):
                 # keys cannot change partition: only the batch's partition folders are read,
                 # so the files of untouched partitions are never even listed
                 touched = touched_partitions(df, pcols)
             else:
-                # the key columns of every partition (one footer's schema is enough for them)
+                # the key columns of every partition (one footer's schema is enough for them);
+                # the same semi join tells whether any batch key exists at all
                 keys_side = spark.read.format(fmt).schema(first).load(path)
                 touched = touched_partitions(df, pcols, existing=keys_side, keys=keys,
                                              null_safe=target.null_safe_keys, broadcast_keys=broadcast)
             if touched is not None:
                 wanted = [w for w, rel in zip(wanted, rels) if _folder_values(rel) in touched.folder_values]
+        matched = touched.any_match if touched is not None else None
+        plain = (spark.read.format(fmt).schema(first).option("basePath", path).load(wanted) if wanted
+                 else literal_frame(spark, [], first))
+    if probe and not adds_columns:
+        if matched is None:  # key columns only; stops at the first match
+            matched = any_key_matches(plain, df, keys, target.null_safe_keys, broadcast)
+        if not matched:
+            # no batch key is in the target (an insert-only batch): append, rewrite nothing.
+            # A replay after a crash finds its own rows and takes the merge path instead.
+            metrics = _save(df, target, path, "append", pcols, with_hash=with_hash)
+            return _report(spark, target, "merge", path, metrics, ctx, scope="insert", broadcast=broadcast)
+    # the rows to rewrite, under the merged schema of their files (a column present in only
+    # some files survives); the files are rewritten anyway, so reading all footers costs little
+    if not pcols:
+        existing = spark.read.format(fmt).option("mergeSchema", "true").load(path)
+    else:
         existing = _read_partitions(spark, target, path, df, wanted)
     scope = "static" if touched is None else "dynamic"
     if touched is not None:
         existing = existing.filter(touched.condition)  # static partition pruning at planning
-    with_hash = bool(target.options.get("manifest_path"))
-    if (target.options.get("insert_probe", True) and not set(df.columns) - set(existing.columns)
-            and not any_key_matches(existing, df, keys, target.null_safe_keys, broadcast)):
-        # no batch key is in the target (an insert-only batch): append, rewrite nothing.
-        # A replay after a crash finds its own rows and takes the merge path instead.
-        metrics = _save(df, target, path, "append", pcols, with_hash=with_hash)
-        return _report(spark, target, "merge", path, metrics, ctx, scope="insert", broadcast=broadcast)
     combined = merge_plan(existing, df, keys, null_safe=target.null_safe_keys, broadcast_keys=broadcast,
                           distinct_keys=target.duplicate_keys == "allow")
     stage = _stage_path(path, scope)
