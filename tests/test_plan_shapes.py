@@ -79,3 +79,19 @@ def test_distinct_keys_reuse_join_partitioning(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     # one exchange per join side; the key aggregate's partitioning feeds the join directly
     assert plan.count("Exchange hashpartitioning") == 2 and "SortMergeJoin" in plan
+
+
+def test_probe_and_touched_partitions_report_matches(spark):
+    from tidewater.operators.upsert import any_key_matches, touched_partitions
+
+    target = spark.createDataFrame([(1, "us"), (2, "eu")], "id bigint, region string")
+    inserts = spark.createDataFrame([(3, "eu")], "id bigint, region string")
+    updates = spark.createDataFrame([(2, "us")], "id bigint, region string")
+    assert not any_key_matches(target, inserts, ["id"])
+    assert any_key_matches(target, updates, ["id"])
+    moved = touched_partitions(updates, ["region"], existing=target, keys=["id"])
+    assert moved.any_match and moved.folder_values == {("us",), ("eu",)}
+    fresh = touched_partitions(inserts, ["region"], existing=target, keys=["id"])
+    assert fresh.any_match is False and fresh.folder_values == {("eu",)}
+    assert touched_partitions(inserts, ["region"]).any_match is None
+    assert touched_partitions(updates, ["region"], limit=0) is None
