@@ -131,25 +131,29 @@ def storage_for(spec: DatasetSpec) -> str:
     return "checkpoint" if spec.source.type in UNREPRODUCIBLE_SOURCES else "cache"
 
 
-def run(spark: SparkSession, spec: DatasetSpec, *, targets: list[str] | None = None,
-        transforms: list[TransformFn] | None = None, run_time: _dt.datetime | None = None,
-        run_id: str | None = None) -> RunResult:
-    """Run one dataset spec once.
-
-    ``targets`` restricts the run to targets named by id (or, failing that, by type);
-    each keeps its own watermark, so targets run at different times each get exactly the
-    rows they have not loaded. ``transforms`` are extra ``DataFrame -> DataFrame``
-    functions applied after the spec's own. ``run_time`` fixes ``_ingested_at``.
-
-    Raises ``DataQualityError`` when the gate fails and the spec says so (after the batch
-    quarantine, if configured); no target is written and no state advances then.
-    """
+@dataclass
+class PreparedBatch:
+    """The lazy, transformed batch of a run and what the run knows before acting on it."""
+    df: DataFrame
+    selected: list[TargetSpec]
+    states: dict
+    marks: dict
+    wm_type: str | None
+    extract_obs: Observation | None
+    state_path: str
+
+
+def prepare_batch(spark: SparkSession, spec: DatasetSpec, *, targets: list[str] | None = None,
+                  transforms: list[TransformFn] | None = None,
+                  run_time: _dt.datetime | None = None, recover: bool = True) -> PreparedBatch:
+    """Read state and build the batch's plan (incremental filter, transforms) without
+    running it — ``prepare_batch(...).df.explain()`` shows what a run would execute."""
     run_time = run_time or _dt.datetime.now(_dt.timezone.utc)
-    run_id = run_id or uuid.uuid4().hex
     selected = select_targets(spec, targets)
     state_path = spec.state_path or st.default_state_path(spark)
-    for t in selected:
-        recover_target(spark, t)
+    if recover:
+        for t in selected:
+            recover_target(spark, t)
     states = st.read_state(spark, state_path, spec.dataset_name, [t.id for t in selected])
 
     wm_col = spec.source.watermark_column
@@ -168,16 +172,34 @@ def run(spark: SparkSession, spec: DatasetSpec, *, targets: list[str] | None = N
         extract_obs = Observation()
         df = df.observe(extract_obs, typed.render(F.max(F.col(WM)), df.schema[WM].dataType).alias("wm"))
     fns = compile_chain(spec.transforms, spec.dataset_name, run_time) + list(transforms or [])
-    df = apply_chain(df, fns)
+    return PreparedBatch(apply_chain(df, fns), selected, states, marks, wm_type, extract_obs, state_path)
+
+
+def run(spark: SparkSession, spec: DatasetSpec, *, targets: list[str] | None = None,
+        transforms: list[TransformFn] | None = None, run_time: _dt.datetime | None = None,
+        run_id: str | None = None) -> RunResult:
+    """Run one dataset spec once.
+
+    ``targets`` restricts the run to targets named by id (or, failing that, by type);
+    each keeps its own watermark, so targets run at different times each get exactly the
+    rows they have not loaded. ``transforms`` are extra ``DataFrame -> DataFrame``
+    functions applied after the spec's own. ``run_time`` fixes ``_ingested_at``.
+
+    Raises ``DataQualityError`` when the gate fails and the spec says so (after the batch
+    quarantine, if configured); no target is written and no state advances then.
+    """
+    run_time = run_time or _dt.datetime.now(_dt.timezone.utc)
+    run_id = run_id or uuid.uuid4().hex
+    b = prepare_batch(spark, spec, targets=targets, transforms=transforms, run_time=run_time)
     return process_batch(
-        spark, spec, df, selected, run_id=run_id, run_time=run_time,
+        spark, spec, b.df, b.selected, run_id=run_id, run_time=run_time,
         # persist when a shuffle would otherwise rerun, or when several targets would
         # each rescan the source; a single narrow target just rescans (column-pruned
         # profile + one full read), which keeps executor storage free
-        persist=(is_wide(spec.transforms) or bool(transforms) or len(selected) > 1
+        persist=(is_wide(spec.transforms) or bool(transforms) or len(b.selected) > 1
                  or storage_for(spec) == "checkpoint"),
-        states=states, marks=marks, wm_type=wm_type, extract_obs=extract_obs, state_path=state_path,
-        extra_transforms=bool(transforms))
+        states=b.states, marks=b.marks, wm_type=b.wm_type, extract_obs=b.extract_obs,
+        state_path=b.state_path, extra_transforms=bool(transforms))
 
 
 def process_batch(spark: SparkSession, spec: DatasetSpec, df: DataFrame, selected: list[TargetSpec], *,
