@@ -15,7 +15,10 @@ from tidewater import local_session  # noqa: E402
 from tidewater.operators import dedup_latest, merge_plan  # noqa: E402
 from tidewater.operators.upsert import matched_partitions  # noqa: E402
 from tidewater.operators.quality import profile_columns  # noqa: E402
-from tidewater.queries import CUT, incremental_scan  # noqa: E402
+from tidewater.plans import prepare_batch  # noqa: E402
+from tidewater.plans import state as st  # noqa: E402
+from tidewater.queries import CUT, _full_spec, incremental_scan  # noqa: E402
+from tidewater.spec import spec_from_dict  # noqa: E402
 from tidewater.session import scratch_path, unique_name  # noqa: E402
 from tidewater.sinks.common import rebalance  # noqa: E402
 from tidewater.spec import QualitySpec  # noqa: E402
@@ -38,7 +41,13 @@ def main(sf_dir: str) -> None:
     partitioned = spark.read.parquet(by_priority)
     bucketed = unique_name("plans_bucketed")
     orders.write.option("path", scratch_path(spark, "plans")).bucketBy(16, "o_orderkey").saveAsTable(bucketed)
+    run_base = scratch_path(spark, "plans_run")
+    st.commit_state(spark, f"{run_base}/state", "orders",
+                    [st.StateEntry("file", "o_orderdate", "timestamp_ntz", CUT, 1)])
+    run_batch = prepare_batch(spark, spec_from_dict(_full_spec(run_base, sf_dir)), recover=False).df
     cases = [
+        ("Flagship run (`ingest_full`), batch as the run executes it: pushed watermark, partial "
+         "max_by dedup, metadata literals", run_batch),
         ("Incremental scan: watermark pushed to Parquet", incremental_scan(spark, sf_dir)),
         ("Latest row per key (window): partial WindowGroupLimit before the exchange",
          dedup_latest(orders, ["o_custkey"], "o_orderdate", "o_orderkey")),
