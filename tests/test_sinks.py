@@ -522,3 +522,22 @@ def test_table_insert_only_upsert_appends(spark, base):
     assert write_target(spark, _df(spark, [(2, "b")]), t).extra["scope"] == "insert"
     assert write_target(spark, _df(spark, [(2, "b2")]), t).extra["scope"] == "static"
     assert _as_dict(spark.table(t.options["table"])) == {1: "a", 2: "b2"}
+
+
+def test_warehouse_upsert_orchestration(spark):
+    """Staging write then one MERGE and a DROP in the warehouse; the staging name carries the
+    batch id. Spark's no-op sink stands in for the connector (no database is started)."""
+    from tidewater.sinks.warehouse import warehouse_upsert
+
+    statements = []
+    target = TargetSpec("warehouse", {"table": "ORDERS", "format": "noop", "url": "jdbc:x"},
+                        write_mode="merge", merge_keys=["id"])
+    report = warehouse_upsert(spark, _df(spark, [(1, "a"), (2, "b")]), target, WriteContext(batch_id=42),
+                              runner=lambda sp, opts, sql: statements.append((opts.get("url"), sql)))
+    assert report.rows == 2 and report.extra["staging"] == "ORDERS_stage_42"
+    assert statements == [
+        ("jdbc:x", "MERGE INTO ORDERS t USING ORDERS_stage_42 s ON t.id = s.id "
+                   "WHEN MATCHED THEN UPDATE SET val = s.val "
+                   "WHEN NOT MATCHED THEN INSERT (id, val) VALUES (s.id, s.val)"),
+        ("jdbc:x", "DROP TABLE ORDERS_stage_42"),
+    ]
