@@ -541,3 +541,11 @@ def test_warehouse_upsert_orchestration(spark):
                    "WHEN NOT MATCHED THEN INSERT (id, val) VALUES (s.id, s.val)"),
         ("jdbc:x", "DROP TABLE ORDERS_stage_42"),
     ]
+
+
+def test_warehouse_append_and_overwrite_dispatch(spark):
+    df = _df(spark, [(1, "a"), (2, "b")])
+    for mode in ("append", "overwrite"):
+        t = TargetSpec("snowflake", {"table": "T", "format": "noop"}, write_mode=mode)
+        report = write_target(spark, df, t)
+        assert (report.type, report.mode, report.rows, report.location) == ("snowflake", mode, 2, "T")
