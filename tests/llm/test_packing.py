@@ -1,0 +1,116 @@
+"""Packing: whole-text ids against the tokenizer, places against their definition."""
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from tokenizers import Tokenizer
+
+from tidewater.llm import packing as p
+from tidewater.llm.word_ids import WordIds
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+ODD = [None, "", " \n", "Hello, World! don't you're x'S", "İstanbul ΣΊΣΥΦΟΣ straße ﬁ ½ 10th 3.14", "a\u00a0b\u2003c\u0085d",
+       "<|endoftext|> x<|startoftext|>y <|end", "e\u0301 =\u0338 q\u0301\u0323", "日本語 テスト。😀👍🏽 ok", "\x00\x1c a\x1fb",
+       "—. “quoted” it’s _x_ a_b 'tis", "wor.ds,with;marks:in--between a1b2 CamelCase ABC", "x" * 9000, "'s 't 're 'll",
+       "Ünïcödé ÀÉÎ ß ÿ Ÿ", "ªº ºx a.b", "tail... (paren) [br] {c} #tag @me $5 %x &y *z |w| ~~ `k` ^u"]
+
+
+def test_ids_equal_the_tokenizers(spark):
+    rows = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    texts = rows + ODD
+    t = Tokenizer.from_file(PATH)
+    words = WordIds(PATH)
+    for some in (texts, texts[::-1], ODD):
+        ids, bounds = words.encode(pa.array(some, pa.string()))
+        for i, text in enumerate(some):
+            assert ids[bounds[i]: bounds[i + 1]].tolist() == t.encode(text or "", add_special_tokens=False).ids, text
+
+
+def check(rows, lengths, capacity):
+    """rows: (length, sequence, offset)."""
+    assert sorted(r[0] for r in rows) == sorted(lengths)
+    by = defaultdict(list)
+    for length, s, offset in rows:
+        by[s].append((offset, length))
+    for own in by.values():
+        at = 0
+        for offset, length in sorted(own):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(by)
+
+
+def spread(plan):
+    for length, lo, hi, first, each, base in plan:
+        for k in range(hi - lo):
+            yield length, first + k // each, base + k % each * length
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_plan(seed):
+    r = random.Random(seed)
+    cap = r.choice([10, 50, 100])
+    lengths = [r.randint(1, cap) if r.random() < .6 else r.randint(1, max(1, cap // 3)) for _ in range(r.randint(0, 300))]
+    n = check(list(spread(p.plan(Counter(lengths), cap))), lengths, cap)
+    bins = []  # best fit decreasing, one piece at a time
+    for x in sorted(lengths, reverse=True):
+        fit = [b for b in bins if b >= x]
+        if fit:
+            bins.remove(min(fit))
+            bins.append(min(fit) - x)
+        else:
+            bins.append(cap - x)
+    assert -(-sum(lengths) // cap) <= n <= len(bins) + 1
+
+
+def test_reduction_keeps_the_optimum():
+    def fewest(lengths, cap):
+        best = [len(lengths)]
+
+        def go(i, bins):
+            if len(bins) >= best[0]:
+                return
+            if i == len(lengths):
+                best[0] = len(bins)
+                return
+            for k in range(len(bins)):
+                if bins[k] >= lengths[i] and bins[k] not in bins[:k]:
+                    bins[k] -= lengths[i]
+                    go(i + 1, bins)
+                    bins[k] += lengths[i]
+            go(i + 1, [*bins, cap - lengths[i]])
+        go(0, [])
+        return best[0]
+
+    for seed in range(120):
+        r = random.Random(seed)
+        cap = r.choice([12, 20, 30])
+        lengths = sorted((r.randint(1, cap) for _ in range(r.randint(0, 9))), reverse=True)
+        fixed, rest = p._reduce(Counter(lengths), cap)
+        left = sorted(rest.elements(), reverse=True)
+        assert sum(n for _, n in fixed) + fewest(left, cap) == fewest(lengths, cap), lengths
+
+
+def test_documents(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    rows = docs + list(enumerate(ODD, 9000)) + [(None, "x"), (9000, None)] + [(9100, "long word " * 5000)]
+    df = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id bigint, text string, length int")
+    got = p.pack_documents(df, PATH).collect()
+    t = Tokenizer.from_file(PATH)
+    want = []
+    for i, text in rows:
+        ids = np.array(t.encode(text or "", add_special_tokens=False).ids + [1], "<u4")
+        for k, at in enumerate(range(0, len(ids), 4096)):
+            want.append((i or -1, k, at, len(ids[at:at + 4096]), zlib.crc32(ids[at:at + 4096].tobytes())))
+    assert sorted((r.doc_id or -1, r.piece, r.start, r.length, r.ids_crc32) for r in got) == sorted(want)
+    n = check([(r.length, r.sequence_id, r.offset) for r in got], [w[3] for w in want], 4096)
+    assert n <= -(-sum(w[3] for w in want) // 4096) + 2
+
+
+def test_empty(spark):
+    assert p.pack_documents(spark.createDataFrame([], "doc_id bigint, text string"), PATH).count() == 0

@@ -1,0 +1,57 @@
+"""URL filters against a plain rule matcher, and the cascade against its key sets."""
+import re
+
+from pyspark.sql import functions as F
+
+from tidewater.llm import url_filters as u
+
+
+def plain(url, rules):
+    host = path = ""
+    if url is not None and "://" in url:
+        rest = url.split("://", 1)[1]
+        host = re.match(r"[^/?#]*", rest).group()
+        path = re.match(r"[^?#]*", rest[len(host):]).group() if rest[len(host):len(host) + 1] not in "?#" else ""
+        host = re.sub("[A-Z]", lambda m: m.group().lower(), host)
+    best = None
+    for rule in rules:
+        h, _, p = rule.partition("/")
+        if host and (host == h or host.endswith("." + h)) and path.startswith("/" + p):
+            best = rule if best is None or len(rule) > len(best) else best
+    return host, path, best, rules[best] if best else "allow"
+
+
+ODD = [None, "", "no scheme", "http://", "http:///p", "HTTP://A.NET", "http://a.net/", "http://net/x", "http://xnet/",
+       "http://a.Example.NET/en/1?x", "http://example.net/en", "http://example.net/en/", "x://example.com/de/?q",
+       "http://b.example.com/de/z#f", "http://q.org/fr/", "http://q.org?fr/", "http://q.org#/fr/", "http://É.net/ü",
+       "http://a..net/", "http://.net/", "http://net./", "http://a.net//en/", "http://u:p@a.net:80/", "a://b://c.net/"]
+
+
+def test_rules(spark):
+    pages = [(r.page_id, r.url) for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()]
+    rows = pages + list(enumerate(ODD, 9000)) + [(None, "http://a.net/"), (9001, "")]
+    df = spark.createDataFrame([(i, x, "h", "r") for i, x in rows], "page_id bigint, url string, host string, rule string")
+    key = lambda r: tuple("" if v is None else str(v) for v in r)
+    got = sorted(map(tuple, u.filter_urls(df, u.RULES).collect()), key=key)
+    assert got == sorted(((i, *plain(x, u.RULES)) for i, x in rows), key=key)
+
+
+def test_no_rules_and_empty_table(spark):
+    df = spark.createDataFrame([(1, "http://a.net/")], "page_id bigint, url string")
+    assert [tuple(r) for r in u.filter_urls(df, {}).collect()] == [(1, "a.net", "/", None, "allow")]
+    assert u.filter_urls(df.limit(0), u.RULES).count() == 0
+
+
+def test_cascade_is_exact_on_its_universe(spark):
+    universe = spark.range(4000).select(F.concat(F.lit("k"), "id").alias("key"))
+    listed = universe.filter(F.crc32("key") % 7 == 0)
+    levels = u.build_cascade(listed, universe)
+    assert len(levels) > 2
+    wrong = universe.filter(u.member(F.col("key"), levels) != (F.crc32("key") % 7 == 0))
+    assert wrong.count() == 0
+
+
+def test_native(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    plan = u.filter_urls(df, u.RULES)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Join" not in plan
