@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, packing, quality_rules, url_filters
+from . import exact_dedup, ngram_join, packing, quality_rules, url_filters
 from ._spark import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.filter_urls(table(spark, sf_dir, "pages"), url_filters.RULES)
 
@@ -35,6 +39,7 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_url_filters": op2_url_filters,
     "op3_quality_rules": op3_quality_rules,
     "op6_exact_dedup": op6_exact_dedup,
