@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import exact_dedup, ngram_join, packing, quality_rules
+from tidewater.llm import exact_dedup, ngram_join, packing, pii, quality_rules
 from tidewater.llm.queries import tokenizer_file
 from tidewater.session import scratch_path
 
@@ -28,12 +28,17 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return ngram_join.drop_near_copies(docs)
 
 
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data replaced by the names of its kinds."""
+    return pii.redact(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their places in sequences."""
     return packing.pack_documents(docs, tokenizer_file("word_bpe_49k.json"))
 
 
-STAGES = [("quality_rules", quality), ("exact_dedup", dedup), ("ngram_join", near_dedup),
+STAGES = [("quality_rules", quality), ("exact_dedup", dedup), ("ngram_join", near_dedup), ("pii", redact),
           ("packing", pack)]
 ORACLE_SQL = None
 

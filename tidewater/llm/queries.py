@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, ngram_join, packing, quality_rules, url_filters
+from . import exact_dedup, ngram_join, packing, pii, quality_rules, url_filters
 from ._spark import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,12 +38,17 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_spans(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_url_filters": op2_url_filters,
     "op3_quality_rules": op3_quality_rules,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op10_pii": op10_pii,
 }
 
 _HOST = "regexp_extract(url, '://([^/?#]*)', 1)"
