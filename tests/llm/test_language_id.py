@@ -1,0 +1,60 @@
+"""Language identification: n-grams, the filter, and held-out accuracy."""
+import re
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
+
+from tidewater.llm import language_id as g
+from tidewater.llm._spark import held_out
+from tidewater.llm.queries import op4_language_id
+
+
+def plain_grams(text):
+    out = []
+    for w in re.findall(rb"[A-Za-z\x80-\xff]+", (text or "").encode()):
+        w = re.sub(rb"[A-Z]", lambda m: m.group().lower(), w)
+        w = b" " + re.sub(rb"\xc3([\x80-\x96\x98-\x9e])", lambda m: b"\xc3" + bytes([m.group(1)[0] + 32]), w) + b" "
+        out += [int.from_bytes(w[i:i + 4], "big") for i in range(len(w) - 3)]
+    return out
+
+
+def test_grams():
+    texts = [None, "", "a", "of", "Été ÉÀ×x", "ab1cd ef", "x" * 50, " The  the.\nEnd", "é"]
+    codes, doc = g.gram_codes(pa.array(texts))
+    for i, t in enumerate(texts):
+        assert codes[doc == i].tolist() == plain_grams(t), t
+
+
+def test_filter_returns_all_languages():
+    rng = np.random.default_rng(0)
+    masks = np.zeros(1 << 12, np.uint8)
+    codes = rng.integers(0, 1 << 32, 300, dtype=np.uint64).astype(np.uint32)
+    want = rng.integers(1, 8, 300).astype(np.uint8)
+    for at in g._slots(codes, len(masks)):
+        np.bitwise_or.at(masks, at, want)
+    model = g.LanguageFilter(["a", "b", "c"], masks)
+    assert (model.popcounts(codes, np.zeros(300, int), 1)[0] >= [((want >> i) & 1).sum() * .97 for i in range(3)]).all()
+    other = rng.integers(0, 1 << 32, 20_000, dtype=np.uint64).astype(np.uint32)
+    assert (model.popcounts(other, np.zeros(20_000, int), 1)[0] < 200).all()  # corrected to about zero
+
+
+def test_held_out_accuracy(spark):
+    rows = op4_language_id(spark, "/root/testdata/sf0.01").collect()
+    docs = {r.doc_id: r for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    out = [r for r in rows if r.held_out]
+    assert len(rows) == len(docs) and all(0 <= r.score <= 1 for r in rows)
+    assert sum(r.lang_pred == docs[r.doc_id].lang for r in out) >= 0.97 * len(out)
+
+
+def test_odd_rows(spark):
+    df = spark.createDataFrame([(1, "the cat and the dog", "en", 1), (2, "le chat et le chien", "fr", 1), (3, "12 34", None, 1),
+                                (4, None, None, 1), (None, "zzz", None, 1), (5, "", "en", 1), (1, "the cat", "en", 1)],
+                               "doc_id bigint, text string, lang string, score int")
+    model = g.train(df)
+    got = [(r.doc_id, r.lang_pred) for r in g.identify(df, model).collect()]
+    assert got == [(1, "en"), (2, "fr"), (3, "und"), (4, "und"), (None, "en"), (5, "und"), (1, "en")]
+    assert g.train(df.filter("lang is null")) is None
+    assert {r.lang_pred for r in g.identify(df, None).collect()} == {"und"}
+    assert g.identify(df.limit(0), model).count() == 0
+    assert df.select(held_out(F.col("doc_id")).alias("h")).filter("h is null").count() == 0

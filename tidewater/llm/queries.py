@@ -4,9 +4,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, ngram_join, packing, pii, quality_rules, url_filters
-from ._spark import table
+from . import exact_dedup, language_id, ngram_join, packing, pii, quality_rules, toxicity, url_filters
+from ._spark import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +31,13 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.train(docs.filter(~held_out(F.col("doc_id"))))
+    return (language_id.identify(docs, model)
+            .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -38,6 +46,14 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id")))
+    index = toxicity.fit(docs, labels)
+    return (toxicity.score_documents(docs, index)
+            .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "evidence"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_spans(table(spark, sf_dir, "documents"))
 
@@ -46,8 +62,10 @@ QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_url_filters": op2_url_filters,
     "op3_quality_rules": op3_quality_rules,
+    "op4_language_id": op4_language_id,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op9_toxicity": op9_toxicity,
     "op10_pii": op10_pii,
 }
 
