@@ -117,12 +117,34 @@ def test_trie_links_every_pair(seed):
         sets.append(np.array(sorted(s or {1}), np.uint64))
     rule = j.Similarity(4, r.choice([60, 85]))
     lab, q_lab = np.arange(len(sets)), -1 - np.arange(len(sets))
-    got = {(i, int(q)) for i, hits in j.trie_links(sets, sets, rule, lab, q_lab, matrix_bytes=r.choice([100, 10 ** 6])) for q in hits}
+    got = {(i, int(q)) for i, hits in j.trie_links(sets, r.choice([sets, None]), rule, lab, q_lab, matrix_bytes=r.choice([100, 10 ** 6])) for q in hits if i != q}
     want = {(a, b) for a in range(len(sets)) for b in range(len(sets))
-            if rule.linked(len(np.intersect1d(sets[a], sets[b])), len(sets[a]), len(sets[b]))}
+            if a != b and rule.linked(len(np.intersect1d(sets[a], sets[b])), len(sets[a]), len(sets[b]))}
     assert got == want
 
 
+@pytest.mark.parametrize("seed", range(40))
+def test_linked_sets_share_a_segment_key(seed):
+    r = np.random.default_rng(seed)
+    rule = j.Similarity(4, int(r.choice([80, 85, 90])))
+    sets = []
+    for n in (1, 2, 3, 6, 7, 8, 9, 12, 20, 40, 90, 300):
+        base = r.integers(0, 1 << 63, n, dtype=np.uint64) * 2 + 1
+        sets.append(np.unique(base))
+        for _ in range(12):
+            edits = int(r.integers(0, n // 5 + 2))
+            kept = r.permutation(base)[: max(1, n - int(r.integers(0, edits + 1)))]
+            sets.append(np.unique(np.concatenate([kept, r.integers(0, 1 << 63, int(r.integers(0, edits + 1)), dtype=np.uint64)])))
+    value, bounds = np.concatenate(sets), np.cumsum([0] + [len(s) for s in sets])
+    key, owner = j.segment_keys(value, bounds, rule)
+    own = [set(key[owner == i].tolist()) for i in range(len(sets))]
+    for a in range(len(sets)):
+        for b in range(a):
+            both = len(np.intersect1d(sets[a], sets[b]))
+            if rule.linked(both, len(sets[a]), len(sets[b])) and both < max(len(sets[a]), len(sets[b])):
+                assert own[a] & own[b]
+
+
 def test_components(spark):
     r = random.Random(5)
     edges = [(r.randrange(300), r.randrange(300)) for _ in range(150)] + [(1000 + i, 1001 + i) for i in range(60)] + [(7, 7)]

@@ -6,13 +6,13 @@ nothing. Two sets are linked if intersection / union reaches the threshold, test
 integers.
 
 1. Equal sets become one node (copies are never paired).
-2. N-grams get a global order, rare ones first, from a counting sketch over all documents.
-   Linked sets share an n-gram of their prefixes in that order. Every task first folds its
-   own documents: an n-gram is sent once per slice, with the slice's other documents tied
-   to the one sent. Nodes tied over shared prefix n-grams form blocks; only nodes of one
-   block can be linked.
+2. All n-grams have one global order, that of their hashes. It is cut into segments, more of
+   them than two linked sets can have n-grams in which they differ, so linked sets agree in
+   a whole segment. Sets with an equal segment are tied. Every task first folds its own
+   documents: a segment is sent once per slice, with the slice's other sets tied to the one
+   sent. Nodes tied directly or over others form blocks; only nodes of one block can be linked.
 3. A block's sets are stored in a trie, common n-grams first, so that close sets share long
-   paths. All sets go down the trie together, the overlap of a shared path is counted once,
+   paths; sets with too few n-grams in common with any other stay out. All sets go down the trie together, the overlap of a shared path is counted once,
    and a set leaves a subtree when even its whole remaining length, or the subtree's, could
    not reach the overlap needed.
 4. A large block is dealt into chunks. Each chunk is joined in itself, then the chunks' group
@@ -30,7 +30,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,8 +38,8 @@ from ._text import LOWER, U64, mix, per_doc, span_hashes, text_bytes, word_spans
 from .components import components
 from .sketches import gather
 
-#: Slots of the counting sketch (two bytes each on the workers) and bits of the node filter.
-SKETCH_SLOTS = 1 << 22
+#: Bits of the filter that tells which nodes' sets are wanted; a larger share of false
+#: hits, in a corpus with more nodes than that, costs shuffled bytes only.
 FILTER_BITS = 1 << 25
 #: A chunk of a block holds about so many nodes, or n-grams.
 CHUNK_NODES = 1000
@@ -59,8 +58,16 @@ class Similarity:
         """Least overlap of linked sets of these sizes."""
         return -((-self.percent * (a + b)) // (100 + self.percent))
 
-    def prefix(self, n):
-        return n - -((-self.percent * n) // 100) + 1
+    def buckets(self, largest: int) -> np.ndarray:
+        """Least size of each size bucket; linked sets lie in one bucket or in neighbours."""
+        edges = [1]
+        while edges[-1] <= largest:
+            edges.append(max(edges[-1] + 1, 100 * (edges[-1] - 1) // self.percent + 1))
+        return np.array([*edges, max(edges[-1] + 1, 100 * (edges[-1] - 1) // self.percent + 1)])
+
+    def differ(self, largest):
+        """Most n-grams that are in one only of two linked sets up to this size."""
+        return 2 * largest * (100 - self.percent) // (100 + self.percent)
 
 
 # ------------------------------------------------------------------ sets of a batch
@@ -156,67 +163,101 @@ class Trie:
         self.max_rest = [int(lengths[lo[k]: hi[k]].max()) - run_to[k] for k in range(n)]
 
 
-def trie_links(sets: list[np.ndarray], queries: list[np.ndarray], rule: Similarity,
-               label: np.ndarray, query_label: np.ndarray, matrix_bytes: int = 16_000_000) -> Iterator[tuple[int, np.ndarray]]:
-    """(set, linked queries), without pairs whose labels are equal when their turn comes.
-
-    The caller joins the labels of what is yielded before it asks for more."""
-    every = np.concatenate([*sets, *queries])
-    values, inverse, counts = np.unique(every, return_inverse=True, return_counts=True)
-    by_count = np.argsort(-counts, kind="stable")  # common first; n-grams of one set last
-    n_shared = int((counts > 1).sum())
+def _reaching(sides: list[list[np.ndarray]], rule: Similarity) -> tuple[list[np.ndarray], list[list[np.ndarray]]]:
+    """(sets that can be linked, their ranks): a set needs its share of n-grams in common
+    with another set (one side: the sets themselves) or with the other side's sets. Ranks
+    count n-grams in common only, the most common first."""
+    keep = [np.arange(len(side)) for side in sides]
+    while True:
+        sizes = [np.array([len(side[i]) for i in k], np.int64) for side, k in zip(sides, keep, strict=True)]
+        if not all(len(k) for k in keep):
+            return keep, [[] for _ in sides]
+        every = np.concatenate([side[i] for side, k in zip(sides, keep, strict=True) for i in k])
+        values, inverse, counts = np.unique(every, return_inverse=True, return_counts=True)
+        if len(sides) == 1:
+            common = counts > 1
+        else:
+            own = np.bincount(inverse[: sizes[0].sum()], minlength=len(values))
+            common = (own > 0) & (own < counts)
+        split = np.cumsum([0, *np.concatenate(sizes)])
+        shared = np.concatenate([[0], np.cumsum(common[inverse])])
+        enough = 100 * np.diff(shared[split]) >= rule.percent * np.concatenate(sizes)
+        if enough.all():
+            break
+        cut = np.split(enough, np.cumsum([len(k) for k in keep])[:-1])
+        keep = [k[e] for k, e in zip(keep, cut, strict=True)]
+    order = np.argsort(np.where(common, -counts, 1), kind="stable")
     rank = np.empty(len(values), np.uint32)
-    rank[by_count] = np.arange(len(values), dtype=np.uint32)
-    split = np.cumsum([0] + [len(s) for s in sets] + [len(q) for q in queries])
+    rank[order] = np.arange(len(values), dtype=np.uint32)
+    n_common = int(common.sum())
     ranked = rank[inverse]
-    own = []
-    for i in range(len(sets) + len(queries)):
-        r = np.sort(ranked[split[i]: split[i + 1]])
-        own.append(r[: np.searchsorted(r, n_shared)])
-    sizes = np.array([len(s) for s in sets])
-    q_sizes = np.array([len(q) for q in queries])
-    trie = Trie(own[: len(sets)], sizes)
-    step = max(1, matrix_bytes // max(1, n_shared))
-    for start in range(0, len(queries), step):
-        some = own[len(sets) + start: len(sets) + start + step]
-        nq = len(some)
-        has = np.zeros((n_shared, nq), np.uint8)
+    out, at = [], 0
+    for k in keep:
+        own = []
+        for _ in k:
+            r = np.sort(ranked[split[at]: split[at + 1]])
+            own.append(r[: np.searchsorted(r, n_common)])
+            at += 1
+        out.append(own)
+    return keep, out
+
+
+def trie_links(sets: list[np.ndarray], queries: list[np.ndarray] | None, rule: Similarity, label: np.ndarray,
+               query_label: np.ndarray, matrix_bytes: int = 16_000_000) -> Iterator[tuple[int, np.ndarray]]:
+    """(set, linked queries), without pairs whose labels are equal when their turn comes.
+
+    No queries: the sets among themselves. The caller joins the labels of what is yielded
+    before it asks for more."""
+    keep, ranks = _reaching([sets] if queries is None else [sets, queries], rule)
+    if not all(len(k) for k in keep):
+        return
+    set_ids, query_ids, own, asked = keep[0], keep[-1], ranks[0], ranks[-1]
+    sizes = np.array([len(sets[i]) for i in set_ids])
+    q_sizes = np.array([len((sets if queries is None else queries)[i]) for i in query_ids])
+    n_common = 1 + max((int(r[-1]) for r in (*own, *asked) if len(r)), default=0)
+    trie = Trie(own, sizes)
+    in_order = set_ids[trie.order]
+    step = max(1, matrix_bytes // n_common)
+    for start in range(0, len(asked), step):
+        some, ids = asked[start: start + step], query_ids[start: start + step]
+        has = np.zeros((n_common, len(some)), np.uint8)
         for k, r in enumerate(some):
             has[r, k] = 1
-        flat = np.concatenate([r.astype(np.int64) + k * (n_shared + 1) for k, r in enumerate(some)])
+        flat = np.concatenate([r.astype(np.int64) + k * n_common for k, r in enumerate(some)])
         q_from = np.cumsum([0] + [len(r) for r in some])
-        size = q_sizes[start: start + nq]
-        stack = [(0, np.arange(nq), np.zeros(nq, np.int64))]
+        size = q_sizes[start: start + step]
+        stack = [(0, np.arange(len(some)), np.zeros(len(some), np.int64), q_from[1:] - q_from[:-1])]
         while stack:
-            node, active, overlap = stack.pop()
-            below = label[trie.order[trie.lo[node]: trie.hi[node]]]
-            if (below == below[0]).all():
-                apart = query_label[start + active] != below[0]
-                active, overlap = active[apart], overlap[apart]
+            node, active, overlap, rest = stack.pop()
+            below = label[in_order[trie.lo[node]: trie.hi[node]]]
             run = trie.runs[node]
+            a = size[active]
+            # in reach before the run is looked at: enough length left on both sides
+            stays = ((overlap + np.minimum(rest, len(run) + trie.max_rest[node]) >= rule.needed(a, trie.min_size[node]))
+                     & (100 * trie.max_size[node] >= rule.percent * a) & (rule.percent * trie.min_size[node] <= 100 * a))
+            if (below == below[0]).all():
+                stays &= query_label[ids[active]] != below[0]
+            active, overlap, rest = active[stays], overlap[stays], rest[stays]
             if len(run) and len(active):
                 overlap = overlap + has[run][:, active].sum(axis=0, dtype=np.int64)
-                seen = np.searchsorted(flat, active * (n_shared + 1) + int(run[-1]), "right") - q_from[active]
-                rest = np.minimum(q_from[active + 1] - q_from[active] - seen, trie.max_rest[node])
-                a = size[active]
-                stays = ((overlap + rest >= rule.needed(a, trie.min_size[node]))
-                         & (100 * trie.max_size[node] >= rule.percent * a)
-                         & (rule.percent * trie.min_size[node] <= 100 * a))
-                active, overlap = active[stays], overlap[stays]
+                rest = q_from[active + 1] - np.searchsorted(flat, active * n_common + int(run[-1]), "right")
+                stays = (overlap + np.minimum(rest, trie.max_rest[node])
+                         >= rule.needed(size[active], trie.min_size[node]))
+                active, overlap, rest = active[stays], overlap[stays], rest[stays]
             if not len(active):
                 continue
             for i in trie.ends[node]:
-                hit = active[rule.linked(overlap, size[active], int(sizes[i]))]
-                hit = hit[query_label[start + hit] != label[i]]
+                hit = ids[active[rule.linked(overlap, size[active], int(sizes[i]))]]
+                hit = hit[query_label[hit] != label[set_ids[i]]]
                 if len(hit):
-                    yield i, start + hit
-            stack += [(c, active, overlap) for c in trie.children[node]]
+                    yield int(set_ids[i]), hit
+            stack += [(c, active, overlap, rest) for c in trie.children[node]]
 
 
 def chunk_groups(sets: list[np.ndarray], rule: Similarity) -> np.ndarray:
     """For each set the first set of its group of linked ones."""
     label = np.arange(len(sets))
-    for i, linked in trie_links(sets, sets, rule, label, label):
+    for i, linked in trie_links(sets, None, rule, label, label):
         old = np.unique(np.append(label[linked], label[i]))
         label[np.isin(label, old)] = old[0]
     return label
@@ -248,81 +289,90 @@ def _digests(docs: DataFrame, rule: Similarity) -> DataFrame:
     return map_batches(docs, run, "doc_id bigint, n_shingles bigint, node bigint")
 
 
-def _frequency_sketch(docs: DataFrame, rule: Similarity, slots: int) -> np.ndarray:
-    def fill(values, batch):
-        grams, _ = gram_sets(batch.column(1), rule.words)
-        values += np.bincount((grams & U64(slots - 1)).astype(np.int64), minlength=slots).astype(values.dtype)
-
-    return gather(docs, slots, "uint32", fill, lambda a, b: a + b, "uint16",
-                  lambda v: np.minimum(65535, 2048 * np.log2(1.0 + v)).astype(np.uint16))
-
-
-def _ties(docs: DataFrame, rule: Similarity, sketch: np.ndarray) -> DataFrame:
-    """(a, b): nodes that share a prefix n-gram, as stars."""
-    slots = len(sketch)
-    shared = docs.sparkSession.sparkContext.broadcast(sketch)
-
+def segment_keys(value: np.ndarray, bounds: np.ndarray, rule: Similarity) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit keys, set of each). Two different sets that are linked have a key in common.
+
+    In the scheme of the larger set's bucket, linked sets differ in at most ``differ``
+    segments, so they agree in ``segments - differ`` ones. A key stands for a segment with
+    all its n-grams. Empty segments have none; a set with so many of them that the agreeing
+    ones may all be empty gets one key that all such sets share."""
+    sizes = np.diff(bounds)
+    keys, owners = [], []
+    if not len(value):
+        return np.zeros(0, U64), np.zeros(0, np.int64)
+    edges = rule.buckets(int(sizes.max()))
+    bucket = np.searchsorted(edges, sizes, "right") - 1
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    sums = np.concatenate([np.zeros(1, U64), np.cumsum(mix(value))])
+    for step in (0, 1):  # as the larger set, and as the smaller one
+        scheme = bucket + step
+        differ = rule.differ(edges[np.minimum(scheme + 1, len(edges) - 1)] - 1)
+        segments = ((differ + 4) * 21 + 19) // 20
+        used = (differ > 0) & (sizes > 0)  # else only equal sets are linked
+        segment = ((value >> U64(32)) * segments[of].astype(U64)) >> U64(32)  # ascending: values are sorted
+        head = np.ones(len(value), bool)
+        head[1:] = (segment[1:] != segment[:-1]) | (of[1:] != of[:-1])
+        at = np.flatnonzero(head)
+        total = sums[np.append(at[1:], len(value))] - sums[at]
+        where = mix((scheme[of[at]].astype(U64) << U64(32)) | segment[at])
+        keep = used[of[at]]
+        keys.append(mix(total ^ where)[keep])
+        owners.append(of[at][keep])
+        filled = np.bincount(of[at], minlength=len(sizes))
+        sparse = np.flatnonzero(used & (filled <= differ))
+        keys.append(mix(mix(scheme[sparse].astype(U64)) ^ U64(0x5BA25E)))
+        owners.append(sparse)
+    return np.concatenate(keys), np.concatenate(owners)
+
+
+def _stars(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct keys, their smallest node, distinct (node, smallest) ties of the others)."""
+    by = np.lexsort((node, key))
+    key, node = key[by], node[by]
+    head = np.ones(len(key), bool)
+    head[1:] = key[1:] != key[:-1]
+    centre = node[head][np.cumsum(head) - 1] if len(key) else node
+    apart = node != centre
+    ties = np.unique(np.stack([node[apart], centre[apart]], axis=1), axis=0)
+    return key[head], node[head], ties
+
+
+def _ties(docs: DataFrame, rule: Similarity) -> DataFrame:
+    """(a, b): nodes with an equal segment, as stars."""
     def local(batch):
         value, bounds = gram_sets(batch.column(1), rule.words)
         nodes, sizes = node_ids(value, bounds), np.diff(bounds)
-        first = _first_of_each(nodes, sizes, _has_id(batch))
-        of = np.repeat(np.arange(len(sizes)), sizes)
-        rare = (shared.value[(value & U64(slots - 1)).astype(np.int64)].astype(U64) << U64(48)) | (value >> U64(16))
-        order = np.lexsort((rare, of))
-        position = np.arange(len(value)) - bounds[:-1][of]
-        wanted = np.zeros(len(sizes), np.int64)
-        wanted[first] = rule.prefix(sizes[first])
-        taken = order[position < wanted[of]]  # of is sorted, so order keeps the documents' places
-        gram, node = value[taken], nodes[of[taken]]
-        by = np.lexsort((node, gram))
-        gram, node = gram[by], node[by]
-        head = np.ones(len(gram), bool)
-        head[1:] = gram[1:] != gram[:-1]
-        centre = node[np.flatnonzero(head)][np.cumsum(head) - 1] if len(gram) else node
-        ties = np.unique(np.stack([node[~head], centre[~head]], axis=1), axis=0) if (~head).any() else np.zeros((0, 2), np.int64)
-        kind = np.concatenate([np.zeros(int(head.sum()), bool), np.ones(len(ties), bool)])
+        first = np.zeros(len(sizes), bool)
+        first[_first_of_each(nodes, sizes, _has_id(batch))] = True
+        key, owner = segment_keys(value, bounds, rule)
+        key, owner = key[first[owner]], owner[first[owner]]
+        key, centre, ties = _stars(key, nodes[owner])
+        # a tie is sent as a key that its two nodes share
+        pair = mix(mix(ties[:, 0].view(U64)) + ties[:, 1].view(U64)) if len(ties) else key[:0]
         yield pa.RecordBatch.from_arrays([
-            pa.array(kind), pa.array(np.concatenate([gram[head].view(np.int64), ties[:, 0]])),
-            pa.array(np.concatenate([node[head], ties[:, 1]]))], names=["tie", "a", "b"])
+            pa.array(np.concatenate([key, pair, pair]).view(np.int64)),
+            pa.array(np.concatenate([centre, ties[:, 0], ties[:, 1]]))], names=["a", "b"])
 
-    def stars(batches):
-        """Sorted (n-gram, node) rows: every further node of an n-gram is tied to its first."""
-        gram = centre = None
+    def joined(batches):
+        """Sorted (key, node) rows: every further node of a key is tied to its first."""
+        key = centre = None
         for batch in batches:
-            a, b = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
+            a, b = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
             if not len(a):
                 continue
             head = np.ones(len(a), bool)
             head[1:] = a[1:] != a[:-1]
-            head[0] = a[0] != gram
+            head[0] = key is None or a[0] != key
             at = np.maximum.accumulate(np.where(head, np.arange(len(a)), -1))
             to = np.where(at >= 0, b[np.maximum(at, 0)], centre if centre is not None else 0)
-            gram, centre = a[-1], to[-1]
-            found = np.unique(np.stack([b[~head], to[~head]], axis=1), axis=0) if (~head).any() else np.zeros((0, 2), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
-
-    rows = map_batches(docs, local, "tie boolean, a bigint, b bigint")
-    # one shuffle for both: ties are rows whose star is already known
-    dealt = rows.repartition("a", "tie").sortWithinPartitions("tie", "a", "b")
-
-    def finish(batches):
-        def grams(found):
-            for batch in batches:
-                is_tie = batch.column(0)
-                ties = batch.filter(is_tie)
-                if ties.num_rows:
-                    found.append(ties.select(["a", "b"]))
-                rest = batch.filter(pc.invert(is_tie))
-                if rest.num_rows:
-                    yield rest.select(["a", "b"])
-        found: list = []
-        for out in stars(grams(found)):
-            yield out
-            while found:
-                yield found.pop()
-        yield from found
-
-    return dealt.mapInArrow(finish, "a bigint, b bigint")
+            key, centre = a[-1], to[-1]
+            apart = b != to
+            if apart.any():
+                ties = np.unique(np.stack([b[apart], to[apart]], axis=1), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(ties[:, 0]), pa.array(ties[:, 1])], names=["a", "b"])
+
+    rows = map_batches(docs, local, "a bigint, b bigint")
+    return rows.repartition("a").sortWithinPartitions("a", "b").mapInArrow(joined, "a bigint, b bigint")
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, rule: Similarity, bits: int) -> DataFrame:
@@ -427,11 +477,9 @@ def _cross_chunks(docs: DataFrame, apart: DataFrame, rule: Similarity, chunk_nod
     return dealt.mapInArrow(run, "a bigint, b bigint")
 
 
-def _linked_nodes(docs: DataFrame, classes: DataFrame, rule: Similarity, slots: int, bits: int, chunk_nodes: int,
-                  chunk_grams: int) -> DataFrame:
+def _linked_nodes(docs: DataFrame, classes: DataFrame, rule: Similarity, bits: int, chunk_nodes: int, chunk_grams: int) -> DataFrame:
     """(node, root) of every node of a block."""
-    ties = _ties(docs, rule, _frequency_sketch(docs, rule, slots))
-    blocks = components(ties).withColumnRenamed("component", "block")
+    blocks = components(_ties(docs, rule)).withColumnRenamed("component", "block")
     sized = checkpoint(_chunks(blocks.join(classes.select("node", "n_shingles").hint("merge"), "node"), chunk_nodes, chunk_grams))
     first = checkpoint(_join_chunks(_sets_of(docs, sized.select("node", "block", "chunks", "chunk"), rule, bits), rule))
     several = first.filter("chunks > 1")
@@ -456,14 +504,13 @@ def _linked_nodes(docs: DataFrame, classes: DataFrame, rule: Similarity, slots:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Similarity = Similarity(),
-                    sketch_slots: int = SKETCH_SLOTS, filter_bits: int = FILTER_BITS, chunk_nodes: int = CHUNK_NODES,
-                    chunk_grams: int = CHUNK_GRAMS) -> DataFrame:
+                    filter_bits: int = FILTER_BITS, chunk_nodes: int = CHUNK_NODES, chunk_grams: int = CHUNK_GRAMS) -> DataFrame:
     """doc_id, n_shingles, component_id of every row; the id is the smallest one reachable."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     each = checkpoint(_digests(rows, rule))
     classes = checkpoint(each.filter("node is not null").groupBy("node")
                          .agg(F.min("doc_id").alias("first_id"), F.max("n_shingles").alias("n_shingles")))
-    roots = checkpoint(_linked_nodes(rows, classes, rule, sketch_slots, filter_bits, chunk_nodes, chunk_grams))
+    roots = checkpoint(_linked_nodes(rows, classes, rule, filter_bits, chunk_nodes, chunk_grams))
     named = roots.join(classes.select("node", "first_id").hint("merge"), "node")
     lowest = named.groupBy("root").agg(F.min("first_id").alias("lowest"))
     linked = named.join(lowest.hint("merge"), "root").select("node", "lowest")
