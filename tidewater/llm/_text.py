@@ -66,13 +66,22 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
+class SpanHash:
+    """64-bit hashes of any byte spans of one buffer."""
+
+    def __init__(self, data: np.ndarray):
+        power, self.inverse = _powers(len(data) + 1)
+        self.sums = np.empty(len(data) + 1, U64)
+        self.sums[0] = 0
+        np.cumsum(BYTE_VALUES[data] * power[: len(data)], out=self.sums[1:])
+
+    def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return mix((self.sums[ends] - self.sums[starts]) * self.inverse[starts] + (ends - starts).astype(U64))
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each byte span."""
-    power, inverse = _powers(len(data) + 1)
-    sums = np.empty(len(data) + 1, U64)
-    sums[0] = 0
-    np.cumsum(BYTE_VALUES[data] * power[: len(data)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(U64))
+    return SpanHash(data)(starts, ends)
 
 
 def per_doc(doc: np.ndarray, n_docs: int) -> np.ndarray:

@@ -1,11 +1,12 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
 Labelled rows (a bounded sample, ``max_examples``, chosen by a hash of the id) name the
-terms that tell toxic texts apart: words and five-letter stems with a chi-squared value
+terms that tell toxic texts apart: words and stems with a chi-squared value
 over ``min_chi``, taken greedily while they cover toxic examples that lack better terms, so
 that the chance words of one much copied text don't enter. Document frequencies of these
 terms are counted over all documents. Examples become unit TF-IDF vectors; equal vectors
-are one entry with its counts. A block-max inverted index finds a text's exact nearest
+are one entry with its counts. All other words are one further term of the space (rounded
+to half powers of two), so that the same hits weigh more in a short text than a long one. A block-max inverted index finds a text's exact nearest
 entries: blocks of entries are visited by their upper bound and the search ends when no
 bound exceeds the k-th best cosine. Distance-weighted votes give a raw score, which an
 isotonic fit over two-fold scores of the examples calibrates; the nearest examples' ids
@@ -26,13 +27,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._spark import checkpoint, map_batches
-from ._text import LOWER, U64, mix, per_doc, span_hashes, text_bytes
+from ._text import LOWER, U64, SpanHash, mix, per_doc, text_bytes
 
 MAX_EXAMPLES = 20_000
 MIN_CHI = 30.0
-MIN_SHARE = 0.5     # of a term's examples are toxic at least
+MIN_SHARE = 0.3     # of a term's examples are toxic at least
 COVER = 4           # terms wanted in a toxic example
-STEM = 5
+STEMS = (4, 5, 6, 7)  # first letters of longer words
 NEIGHBOURS = 15
 BLOCK = 64
 
@@ -40,8 +41,9 @@ _WORD = np.zeros(256, bool)
 _WORD[65:91] = _WORD[97:123] = _WORD[128:] = True
 
 
-def text_terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(64-bit terms, document of each): every word, and its stem if it is longer."""
+def text_terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray, int]:
+    """(64-bit terms, document of each, number of words): every word, then the stems that
+    words go beyond."""
     data, offsets = text_bytes(column)
     data = LOWER[data]
     n = len(offsets) - 1
@@ -49,21 +51,21 @@ def text_terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     if not len(data):
-        return np.zeros(0, U64), np.zeros(0, np.int64)
+        return np.zeros(0, U64), np.zeros(0, np.int64), 0
     starts = np.flatnonzero(inside & (~np.concatenate([[False], inside[:-1]]) | edge[:-1]))
     ends = np.flatnonzero(inside & (~np.concatenate([inside[1:], [False]]) | edge[1:])) + 1
     doc = np.searchsorted(offsets, starts, "right") - 1
     lead = (data & 0xC0) != 0x80
     first = np.cumsum(lead) - 1  # number of the character a byte belongs to
     places = np.append(np.flatnonzero(lead), len(data))
-    stem_end = places[np.minimum(first[starts] + STEM, len(places) - 1)]
-    long = stem_end < ends
-    words = span_hashes(data, starts, ends)
-    stems = mix(span_hashes(data, starts[long], stem_end[long]) ^ U64(0xABCD))
-    # a word of exactly the stem's length is a stem too
-    exact = np.flatnonzero(~long & (stem_end == ends))
-    stems = np.concatenate([stems, mix(words[exact] ^ U64(0xABCD))])
-    return np.concatenate([words, stems]), np.concatenate([doc, doc[long], doc[exact]])
+    hashed = SpanHash(data)
+    terms, docs = [hashed(starts, ends)], [doc]
+    for k in STEMS:
+        stop = places[np.minimum(first[starts] + k, len(places) - 1)]
+        longer = np.flatnonzero(stop < ends)
+        terms.append(mix(hashed(starts[longer], stop[longer]) ^ U64(k)))
+        docs.append(doc[longer])
+    return np.concatenate(terms), np.concatenate(docs), len(starts)
 
 
 # ------------------------------------------------------------------ index and votes
@@ -73,7 +75,7 @@ class Index:
     """Block-max inverted index over unit vectors; entries carry n and n_toxic."""
 
     terms: np.ndarray            # sorted term hashes
-    idf: np.ndarray
+    idf: np.ndarray              # of the terms and, last, of all other words
     n: np.ndarray
     toxic: np.ndarray
     evidence: list[int | None]
@@ -85,7 +87,7 @@ class Index:
     @classmethod
     def build(cls, terms, idf, vectors: list[dict[int, float]], n, toxic, evidence, empty_rate) -> "Index":
         out = cls(terms, idf, np.asarray(n, float), np.asarray(toxic, float), evidence, empty_rate=empty_rate)
-        by: list[list[tuple[int, float]]] = [[] for _ in terms]
+        by: list[list[tuple[int, float]]] = [[] for _ in idf]
         for i, v in enumerate(vectors):
             for t, w in v.items():
                 by[t].append((i, w))
@@ -121,7 +123,7 @@ class Index:
 
     def raw(self, vector: dict[int, float]) -> tuple[float, list[int]]:
         """Distance-weighted share of toxic examples among the nearest; their ids."""
-        if not vector:
+        if len(vector) < 2:  # no term but the other words
             return self.empty_rate, []
         ids, cosines = self.nearest(vector)
         weight = self.n[ids] / (1.02 - np.minimum(cosines, 1))
@@ -131,26 +133,27 @@ class Index:
         return score, [self.evidence[i] for i in ids[:3] if self.evidence[i] is not None]
 
     def score(self, raw: float) -> float:
-        return float(np.interp(raw, *self.curve)) if self.curve else raw
+        # a small share of the raw score keeps the order within a pooled block
+        return 0.98 * float(np.interp(raw, *self.curve)) + 0.02 * raw if self.curve else raw
 
     def vector(self, counts: dict[int, int]) -> dict[int, float]:
-        v = {t: (1 + np.log(c)) * self.idf[t] for t, c in counts.items()}
+        v = {t: np.sqrt(c) * self.idf[t] for t, c in counts.items()}
         norm = np.sqrt(sum(w * w for w in v.values()))
         return {t: w / norm for t, w in sorted(v.items())} if norm else {}
 
 
 def isotonic(raw: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Knots of the pooled rates, in order of the raw score."""
-    blocks: list[list[float]] = []
+    """Knots (raw score, pooled rate) at both ends of every pooled block."""
+    blocks: list[list[float]] = []  # lowest and highest raw score, toxic ones, all
     for r, t, m in sorted(zip(raw, y, n, strict=True)):
-        blocks.append([r * m, t, m])
-        while len(blocks) > 1 and blocks[-2][1] * blocks[-1][2] >= blocks[-1][1] * blocks[-2][2]:
-            a = blocks.pop()
-            blocks[-1] = [p + q for p, q in zip(blocks[-1], a, strict=True)]
-    x = np.array([0.0, *[b[0] / b[2] for b in blocks], 1.0])
-    v = np.array([0.0, *[(b[1] + 0.5) / (b[2] + 1) if b[2] < 5 else b[1] / b[2] for b in blocks], 1.0])
-    keep = np.append(True, np.diff(x) > 0)
-    return x[keep], np.maximum.accumulate(np.clip(v, 0, 1))[keep]
+        blocks.append([r, r, t, m])
+        while len(blocks) > 1 and blocks[-2][2] * blocks[-1][3] >= blocks[-1][2] * blocks[-2][3]:
+            _, high, t2, m2 = blocks.pop()
+            blocks[-1] = [blocks[-1][0], high, blocks[-1][2] + t2, blocks[-1][3] + m2]
+    x = np.array([-1e-9, *[e for b in blocks for e in b[:2]], 1 + 1e-9])
+    v = np.array([0.0, *[b[2] / b[3] for b in blocks for _ in range(2)], 1.0])
+    x = x + np.arange(len(x)) * 1e-12  # ends of one-point blocks in order
+    return x, np.maximum.accumulate(v)
 
 
 def choose_terms(rows: list[tuple[int, bool, list[int]]], chi: dict[int, float], cover: int = COVER) -> np.ndarray:
@@ -161,12 +164,16 @@ def choose_terms(rows: list[tuple[int, bool, list[int]]], chi: dict[int, float],
             for t in terms:
                 at[t].append(i)
     have = [0] * len(rows)
-    out = []
+    out, sets = [], []
     for t in sorted(chi, key=lambda x: (-chi[x], x)):
         own = at[t]
         lacking = sum(have[i] < cover for i in own)
-        if lacking >= 3 and lacking >= 0.05 * len(own):
+        here = set(own)
+        # a stem of a chosen term, or a word of the same copies, tells nothing new
+        if lacking >= 3 and lacking >= 0.05 * len(own) and not any(
+                len(here & x) >= 0.9 * max(len(here), len(x)) for x in sets):
             out.append(t)
+            sets.append(here)
             for i in own:
                 have[i] += 1
     return np.sort(np.array(out, np.int64).view(U64))
@@ -175,10 +182,12 @@ def choose_terms(rows: list[tuple[int, bool, list[int]]], chi: dict[int, float],
 # ------------------------------------------------------------------ fitting on Spark
 
 def _selected(column: pa.Array, terms: np.ndarray) -> list[dict[int, int]]:
-    """Counts of the chosen terms in each text."""
+    """Counts of the chosen terms in each text; under the next number, all its words."""
     n = len(column)
-    found, doc = text_terms(column)
-    out: list[dict[int, int]] = [{} for _ in range(n)]
+    found, doc, n_words = text_terms(column)
+    size = np.bincount(doc[:n_words], minlength=n)
+    rounded = np.where(size > 0, np.round(2 ** (np.round(2 * np.log2(np.maximum(size, 1))) / 2)), 0).astype(int)
+    out: list[dict[int, int]] = [{len(terms): c} if c else {} for c in rounded.tolist()]
     if len(terms):
         at = np.minimum(np.searchsorted(terms, found), len(terms) - 1)
         hit = terms[at] == found
@@ -200,7 +209,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         known = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * max_examples / n_known))
 
     def terms_of(batch):
-        found, doc = text_terms(batch.column(2))
+        found, doc, _ = text_terms(batch.column(2))
         order = np.lexsort((found, doc))
         found, doc = found[order], doc[order]
         new = np.ones(len(found), bool)
@@ -216,7 +225,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     once = examples.groupBy(F.xxhash64("terms").alias("same")).agg(F.max("toxic").alias("toxic"), F.first("terms").alias("terms"))
     total = once.agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic")).first()
     n, toxic = total["n"], total["toxic"] or 0
-    empty = Index.build(np.zeros(0, U64), np.zeros(0), [], [], [], [], 0.0)
+    empty = Index.build(np.zeros(0, U64), np.ones(1), [], [], [], [], 0.0)
     if not 0 < toxic < n:
         empty.empty_rate = 1.0 if n and toxic == n else 0.0
         return empty
@@ -247,13 +256,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         counts = np.zeros(len(shared.value), np.int64)
         for one in _selected(batch.column(0), shared.value):
             for t in one:
-                counts[t] += 1
+                if t < len(counts):
+                    counts[t] += 1
         yield pa.RecordBatch.from_arrays([pa.array(np.append(np.flatnonzero(counts), -1).astype(np.int32)),
                                           pa.array(np.append(counts[counts > 0], batch.num_rows))], names=["term", "n"])
 
     df = {r["term"]: r["n"] for r in map_batches(rows.select("text"), frequencies, "term int, n bigint")
           .groupBy("term").agg(F.sum("n").alias("n")).collect()}
     idf = np.log((1 + df.get(-1, 0)) / (1 + np.array([df.get(i, 0) for i in range(len(terms))], float))) + 1
+    idf = np.append(idf, 1.0)  # every text has other words
 
     def example_vectors(batch):
         found = _selected(batch.column(2), shared.value)
@@ -265,9 +276,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     entries = (map_batches(chosen, example_vectors, "doc_id bigint, toxic int, vector array<int>").groupBy("vector")
                .agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic"), F.min("doc_id").alias("doc_id")).collect())
     entries.sort(key=lambda r: r["doc_id"])
-    bare = [r for r in entries if not r["vector"]]
-    full = [r for r in entries if r["vector"]]
-    empty_rate = bare[0]["toxic"] / bare[0]["n"] if bare else rate
+    bare = [r for r in entries if len(r["vector"]) < 4]
+    full = [r for r in entries if len(r["vector"]) >= 4]
+    empty_rate = sum(r["toxic"] for r in bare) / sum(r["n"] for r in bare) if bare else rate
     index = Index.build(terms, idf, [], [], [], [], empty_rate)
     vectors = [index.vector(dict(zip(r["vector"][::2], r["vector"][1::2], strict=True))) for r in full]
 
