@@ -18,6 +18,12 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def fenced(value: Column) -> Column:
+    """The same value, which the optimizer does not copy into filters and array functions,
+    where it would be evaluated once for each element."""
+    return F.when(F.monotonically_increasing_id() >= 0, value)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

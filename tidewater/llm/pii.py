@@ -28,6 +28,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ._spark import fenced
+
 #: Private-use characters: span mark and stand-ins. Those found in a text become "~" first;
 #: "~" belongs to no pattern.
 MARK, SEP, DOT = "\ue000", "\ue001", "\ue002"
@@ -101,10 +103,10 @@ def _with_spans(docs: DataFrame, text_col: str, kinds: tuple[str, ...]) -> DataF
     text = F.coalesce(F.col(text_col), F.lit(""))
     safe = F.when(F.rlike(text, F.lit(f"[{MARK}-{DOT}]")),
                   F.regexp_replace(text, F.lit(f"[{MARK}-{DOT}]"), F.lit("~"))).otherwise(text)
-    out = docs.withColumn("__text", safe)
+    out, spans = docs.withColumn("__text", fenced(safe)), {}
     for kind in kinds:
-        out = out.withColumn(f"__{kind}", F.filter(_spans(F.col("__text"), kind), _of(_valid, kind)))
-    return out
+        spans[f"__{kind}"] = fenced(F.filter(_spans(F.col("__text"), kind), _of(_valid, kind)))
+    return out.withColumns(spans)
 
 
 def _of(fn, *args):
@@ -272,7 +274,7 @@ def _all_spans(docs: DataFrame, text_col: str, model: Trees) -> DataFrame:
         if kind not in kinds:
             out = out.withColumn(f"__{kind}", F.filter(F.col("__email"), lambda s: F.lit(False)))
             continue
-        out = out.withColumn(f"__{kind}", F.filter(F.col(f"__{kind}"), _of(_chosen, model, kind)))
+        out = out.withColumn(f"__{kind}", fenced(F.filter(F.col(f"__{kind}"), _of(_chosen, model, kind))))
     return out
 
 
@@ -314,7 +316,7 @@ def redact(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_c
 
     joined = F.aggregate("__each", start, step,
                          lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    out = spans.withColumn("__each", each)
+    out = spans.withColumn("__each", fenced(each))
     clean = F.when(F.size("__each") > 0, joined).otherwise(text)
     columns = []
     for name in names:
@@ -325,4 +327,4 @@ def redact(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_c
                            .cast(docs.schema[name].dataType).alias(name))
         else:
             columns.append(F.col(f"`{name}`"))
-    return out.withColumn("__clean", clean).select(*columns)
+    return out.withColumn("__clean", fenced(clean)).select(*columns)

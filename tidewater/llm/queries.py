@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, ngram_join, packing, pii, quality_rules, toxicity, url_filters
+from . import chat_format, exact_dedup, language_id, ngram_join, packing, pii, quality_rules, toxicity, url_filters
 from ._spark import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,10 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.format_conversations(table(spark, sf_dir, "conversations"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id")))
@@ -65,6 +69,7 @@ QUERIES: dict[str, Query] = {
     "op4_language_id": op4_language_id,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_chat_format": op8_chat_format,
     "op9_toxicity": op9_toxicity,
     "op10_pii": op10_pii,
 }
