@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, exact_dedup, language_id, ngram_join, packing, pii, quality_rules, toxicity, url_filters
+from . import chat_format, exact_dedup, language_id, ngram_join, packing, pii, quality_rules, subword_sampling, toxicity, url_filters
 from ._spark import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,14 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"))
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two distinct segmentations of every conversation turn."""
+    turns = (table(spark, sf_dir, "conversations")
+             .select((F.col("conv_id") * 1_000_000 + F.col("turn")).alias("doc_id"), "text"))
+    return (subword_sampling.sample_segmentations(turns, tokenizer_file("piece_bpe_32k.model"), k=2)
+            .withColumnRenamed("doc_id", "turn_key"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -67,6 +75,7 @@ QUERIES: dict[str, Query] = {
     "op2_url_filters": op2_url_filters,
     "op3_quality_rules": op3_quality_rules,
     "op4_language_id": op4_language_id,
+    "op5_sentencepiece": op5_sentencepiece,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_chat_format": op8_chat_format,
