@@ -15,7 +15,9 @@ integers.
    paths; sets with too few n-grams in common with any other stay out. All sets go down the trie together, the overlap of a shared path is counted once,
    and a set leaves a subtree when even its whole remaining length, or the subtree's, could
    not reach the overlap needed.
-4. A large block is dealt into chunks. Each chunk is joined in itself, then the chunks' group
+4. In a block of several chunks, n-grams that only one of its sets has are counted; sets with
+   too many of them are linked with nothing and leave, and the others are tied anew, until
+   that changes nothing more. What stays large is dealt into chunks. Each chunk is joined in itself, then the chunks' group
    heads among each other; whatever is still apart afterwards is compared chunk by chunk, so
    no pair of a block goes unseen, and a group of near copies costs its members, not their pairs.
 
@@ -337,22 +339,20 @@ def _stars(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return key[head], node[head], ties
 
 
-def _ties(docs: DataFrame, rule: Similarity) -> DataFrame:
-    """(a, b): nodes with an equal segment, as stars."""
-    def local(batch):
-        value, bounds = gram_sets(batch.column(1), rule.words)
-        nodes, sizes = node_ids(value, bounds), np.diff(bounds)
-        first = np.zeros(len(sizes), bool)
-        first[_first_of_each(nodes, sizes, _has_id(batch))] = True
-        key, owner = segment_keys(value, bounds, rule)
-        key, owner = key[first[owner]], owner[first[owner]]
-        key, centre, ties = _stars(key, nodes[owner])
-        # a tie is sent as a key that its two nodes share
-        pair = mix(mix(ties[:, 0].view(U64)) + ties[:, 1].view(U64)) if len(ties) else key[:0]
-        yield pa.RecordBatch.from_arrays([
-            pa.array(np.concatenate([key, pair, pair]).view(np.int64)),
-            pa.array(np.concatenate([centre, ties[:, 0], ties[:, 1]]))], names=["a", "b"])
+def _tie_rows(value: np.ndarray, bounds: np.ndarray, nodes: np.ndarray, usable: np.ndarray, rule: Similarity) -> pa.RecordBatch:
+    """(key, node): each key of these sets once, with its smallest node."""
+    key, owner = segment_keys(value, bounds, rule)
+    key, owner = key[usable[owner]], owner[usable[owner]]
+    key, centre, ties = _stars(key, nodes[owner])
+    # the other nodes of a key: a tie is sent as a key that its two nodes share
+    pair = mix(mix(ties[:, 0].view(U64)) + ties[:, 1].view(U64)) if len(ties) else key[:0]
+    return pa.RecordBatch.from_arrays([
+        pa.array(np.concatenate([key, pair, pair]).view(np.int64)),
+        pa.array(np.concatenate([centre, ties[:, 0], ties[:, 1]]))], names=["a", "b"])
+
 
+def _joined_ties(rows: DataFrame) -> DataFrame:
+    """(a, b): nodes with a common key, as stars."""
     def joined(batches):
         """Sorted (key, node) rows: every further node of a key is tied to its first."""
         key = centre = None
@@ -371,10 +371,51 @@ def _ties(docs: DataFrame, rule: Similarity) -> DataFrame:
                 ties = np.unique(np.stack([b[apart], to[apart]], axis=1), axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array(ties[:, 0]), pa.array(ties[:, 1])], names=["a", "b"])
 
-    rows = map_batches(docs, local, "a bigint, b bigint")
     return rows.repartition("a").sortWithinPartitions("a", "b").mapInArrow(joined, "a bigint, b bigint")
 
 
+def _ties(docs: DataFrame, rule: Similarity) -> DataFrame:
+    def local(batch):
+        value, bounds = gram_sets(batch.column(1), rule.words)
+        nodes, sizes = node_ids(value, bounds), np.diff(bounds)
+        first = np.zeros(len(sizes), bool)
+        first[_first_of_each(nodes, sizes, _has_id(batch))] = True
+        yield _tie_rows(value, bounds, nodes, first, rule)
+
+    return _joined_ties(map_batches(docs, local, "a bigint, b bigint"))
+
+
+def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(values, bounds) of packed sets."""
+    parts = [np.frombuffer(x.as_buffer(), U64) for x in column]
+    return np.concatenate([np.zeros(0, U64), *parts]), np.cumsum([0] + [len(x) for x in parts])
+
+
+def _ties_of_sets(sets: DataFrame, rule: Similarity) -> DataFrame:
+    def local(batch):
+        value, bounds = _unpacked(batch.column(1))
+        yield _tie_rows(value, bounds, batch.column(0).to_numpy(), np.ones(batch.num_rows, bool), rule)
+
+    return _joined_ties(map_batches(sets.select("node", "grams"), local, "a bigint, b bigint"))
+
+
+def _reaching_in_block(sets: DataFrame, rule: Similarity) -> DataFrame:
+    """The sets (node, block, n_shingles, grams) with enough n-grams that another of their block has."""
+    def grams(batch):
+        value, bounds = _unpacked(batch.column(2))
+        sizes = np.diff(bounds)
+        block, node = (np.repeat(batch.column(i).to_numpy(), sizes) for i in (0, 1))
+        yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(value.view(np.int64)), pa.array(node)],
+                                         names=["block", "gram", "node"])
+
+    alone = (map_batches(sets.select("block", "node", "grams"), grams, "block bigint, gram bigint, node bigint")
+             .groupBy("block", "gram").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"))
+             .filter("n = 1").groupBy("node").agg(F.count(F.lit(1)).alias("alone")))
+    return (sets.join(alone.hint("merge"), "node", "left")
+            .filter(100 * (F.col("n_shingles") - F.coalesce("alone", F.lit(0))) >= rule.percent * F.col("n_shingles"))
+            .drop("alone"))
+
+
 def _sets_of(docs: DataFrame, wanted: DataFrame, rule: Similarity, bits: int) -> DataFrame:
     """``wanted`` (node, ...) with each node's sorted n-grams as ``grams`` binary."""
     def fill(values, batch):
@@ -428,13 +469,12 @@ def _join_chunks(sets: DataFrame, rule: Similarity) -> DataFrame:
     return dealt.mapInArrow(run, "node bigint, block bigint, chunks int, head bigint")
 
 
-def _cross_chunks(docs: DataFrame, apart: DataFrame, rule: Similarity, chunk_nodes: int, chunk_grams: int,
-                  bits: int) -> DataFrame:
+def _cross_chunks(sets: DataFrame, rule: Similarity, chunk_nodes: int, chunk_grams: int) -> DataFrame:
     """(a, b) heads linked across chunks, of blocks that still have several heads.
 
-    ``apart``: (node, block, head, n_shingles). All nodes outside a block's largest group are
-    compared with all nodes of the block."""
-    by_head = apart.groupBy("block", "head").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("grams"))
+    ``sets``: (node, block, head, n_shingles, grams). All nodes outside a block's largest
+    group are compared with all nodes of the block."""
+    by_head = sets.groupBy("block", "head").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("grams"))
     shape = by_head.groupBy("block").agg(
         F.max_by("head", F.struct("n", "head")).alias("largest"), F.sum("n").alias("n"), F.sum("grams").alias("grams"),
         F.max(F.struct("n", "head"))["n"].alias("n_largest"),
@@ -442,13 +482,12 @@ def _cross_chunks(docs: DataFrame, apart: DataFrame, rule: Similarity, chunk_nod
     pieces = lambda n, g: F.greatest(F.lit(1), F.ceil(n / chunk_nodes), F.ceil(g / chunk_grams)).cast("int")
     shape = shape.select("block", "largest", pieces(F.col("n"), F.col("grams")).alias("cols"),
                          pieces(F.col("n") - F.col("n_largest"), F.col("grams") - F.col("grams_largest")).alias("rows"))
-    placed = apart.join(shape.hint("merge"), "block")
-    at = F.xxhash64("node")
-    one = lambda n: F.pmod(at, F.col(n)).cast("int")
-    all_of = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
-    build = placed.select("node", "block", "head", F.lit(False).alias("probe"), one("cols").alias("col"), F.explode(all_of("rows")).alias("row"))
+    placed = sets.join(shape.hint("merge"), "block")
+    one = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    all_of = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    build = placed.select("block", one("cols").alias("col"), all_of("rows").alias("row"), "node", F.lit(False).alias("probe"), "head", "grams")
     probe = (placed.filter("head != largest")
-             .select("node", "block", "head", F.lit(True).alias("probe"), F.explode(all_of("cols")).alias("col"), one("rows").alias("row")))
+             .select("block", all_of("cols").alias("col"), one("rows").alias("row"), "node", F.lit(True).alias("probe"), "head", "grams"))
 
     def run(batches):
         for rows in _groups(batches, 3):
@@ -457,9 +496,8 @@ def _cross_chunks(docs: DataFrame, apart: DataFrame, rule: Similarity, chunk_nod
                 sides[probe_side][node] = (head, np.frombuffer(packed, U64))
             if not sides[True] or not sides[False]:
                 continue
-            heads = np.array([h for h, _ in sides[False].values()])
-            q_heads = np.array([h for h, _ in sides[True].values()])
-            label, q_label = heads.copy(), q_heads.copy()
+            label = np.array([h for h, _ in sides[False].values()])
+            q_label = np.array([h for h, _ in sides[True].values()])
             found = []
             for i, hits in trie_links([g for _, g in sides[False].values()], [g for _, g in sides[True].values()],
                                       rule, label, q_label):
@@ -471,36 +509,56 @@ def _cross_chunks(docs: DataFrame, apart: DataFrame, rule: Similarity, chunk_nod
                 yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()),
                                                   pa.array([f[1] for f in found], pa.int64())], names=["a", "b"])
 
-    sets = _sets_of(docs, build.union(probe), rule, bits)
-    dealt = (sets.select("block", "col", "row", "node", "probe", "head", "grams").repartition("block", "col", "row")
-             .sortWithinPartitions("block", "col", "row"))
+    dealt = build.union(probe).repartition("block", "col", "row").sortWithinPartitions("block", "col", "row")
     return dealt.mapInArrow(run, "a bigint, b bigint")
 
 
-def _linked_nodes(docs: DataFrame, classes: DataFrame, rule: Similarity, bits: int, chunk_nodes: int, chunk_grams: int) -> DataFrame:
-    """(node, root) of every node of a block."""
-    blocks = components(_ties(docs, rule)).withColumnRenamed("component", "block")
-    sized = checkpoint(_chunks(blocks.join(classes.select("node", "n_shingles").hint("merge"), "node"), chunk_nodes, chunk_grams))
-    first = checkpoint(_join_chunks(_sets_of(docs, sized.select("node", "block", "chunks", "chunk"), rule, bits), rule))
+SETS = ("node", "block", "n_shingles", "grams")
+
+
+def _large_blocks(sets: DataFrame, rule: Similarity, chunk_nodes: int, chunk_grams: int, rounds: int = 3) -> DataFrame:
+    """(node, root) of linked nodes among blocks of several chunks; ``sets`` has SETS."""
+    left = sets.count()
+    for _ in range(rounds):  # each round is exact; a further one would only save comparisons
+        stay = checkpoint(_reaching_in_block(sets, rule))
+        before, left = left, stay.count()
+        if not left:
+            return sets.select("node", F.col("node").alias("root")).limit(0)
+        blocks = components(_ties_of_sets(stay, rule)).withColumnRenamed("component", "block")
+        sets = checkpoint(stay.drop("block").join(blocks.hint("merge"), "node").select(*SETS))
+        if left > 0.9 * before:
+            break
+    first = checkpoint(_join_chunks(_chunks(sets, chunk_nodes, chunk_grams), rule))
+    # the chunks' group heads among each other
     several = first.filter("chunks > 1")
+    done = first.filter("chunks = 1").select("node", F.col("head").alias("root"))
     if several.isEmpty():
-        return first.select("node", F.col("head").alias("root"))
-    # the chunks' group heads among each other
-    heads = several.select(F.col("head").alias("node"), "block").distinct().join(
-        classes.select("node", "n_shingles").hint("merge"), "node")
-    second = checkpoint(_join_chunks(_sets_of(docs, _chunks(heads, chunk_nodes, chunk_grams), rule, bits), rule))
+        return done
+    heads = sets.join(several.select(F.col("head").alias("node")).distinct().hint("merge"), "node", "left_semi")
+    second = checkpoint(_join_chunks(_chunks(heads, chunk_nodes, chunk_grams), rule))
     merged = several.join(second.select(F.col("node").alias("head"), F.col("head").alias("root")).hint("merge"), "head")
     merged = checkpoint(merged.select("node", "block", F.col("root").alias("head")))
     open_blocks = (merged.groupBy("block").agg(F.min("head").alias("lo"), F.max("head").alias("hi"))
                    .filter("lo != hi").select("block"))
-    apart = checkpoint(merged.join(open_blocks.hint("merge"), "block", "left_semi")
-                       .join(classes.select("node", "n_shingles").hint("merge"), "node"))
-    single = first.filter("chunks = 1").select("node", F.col("head").alias("root"))
+    apart = merged.join(open_blocks.hint("merge"), "block", "left_semi")
     if apart.isEmpty():
-        return single.union(merged.select("node", F.col("head").alias("root")))
-    across = components(_cross_chunks(docs, apart, rule, chunk_nodes, chunk_grams, bits))
+        return done.union(merged.select("node", F.col("head").alias("root")))
+    apart = sets.join(apart.select("node", "head").hint("merge"), "node").select("node", "block", "head", "n_shingles", "grams")
+    across = components(_cross_chunks(checkpoint(apart), rule, chunk_nodes, chunk_grams))
     joined = merged.join(across.select(F.col("node").alias("head"), "component").hint("merge"), "head", "left")
-    return single.union(joined.select("node", F.coalesce("component", "head").alias("root")))
+    return done.union(joined.select("node", F.coalesce("component", "head").alias("root")))
+
+
+def _linked_nodes(docs: DataFrame, classes: DataFrame, rule: Similarity, bits: int, chunk_nodes: int, chunk_grams: int) -> DataFrame:
+    """(node, root) of nodes in blocks; a node that is not listed is linked with nothing."""
+    blocks = components(_ties(docs, rule)).withColumnRenamed("component", "block")
+    sized = checkpoint(_chunks(blocks.join(classes.select("node", "n_shingles").hint("merge"), "node"), chunk_nodes, chunk_grams))
+    sets = checkpoint(_sets_of(docs, sized, rule, bits).select(*SETS, "chunks", "chunk").dropDuplicates(["node"]))
+    small = _join_chunks(sets.filter("chunks = 1"), rule).select("node", F.col("head").alias("root"))
+    large = sets.filter("chunks > 1").select(*SETS)
+    if large.isEmpty():
+        return small
+    return small.union(_large_blocks(large, rule, chunk_nodes, chunk_grams))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Similarity = Similarity(),
