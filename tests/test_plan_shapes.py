@@ -94,4 +94,3 @@ def test_probe_and_touched_partitions_report_matches(spark):
     fresh = touched_partitions(inserts, ["region"], existing=target, keys=["id"])
     assert fresh.any_match is False and fresh.folder_values == {("eu",)}
     assert touched_partitions(inserts, ["region"]).any_match is None
-    assert touched_partitions(updates, ["region"], limit=0) is None

@@ -5,7 +5,7 @@ import pytest
 from tidewater import fs
 from tidewater.errors import DuplicateMergeKeyError, UnknownConnectorError, UnsupportedWriteModeError
 from tidewater.session import unique_name
-from tidewater.sinks import WriteContext, merge_statement, register_data_target, write_target
+from tidewater.sinks import WriteContext, merge_statement, register_target, write_target
 from tidewater.sinks.files import recover_file_target
 from tidewater.spec import TargetSpec
 
@@ -28,20 +28,6 @@ def _table(spark, base, **kw):
     return TargetSpec("table", {"table": unique_name("t"), "path": f"{base}/t", **kw.pop("options", {})}, **kw)
 
 
-def test_append(spark, base):
-    t = _file(base)
-    write_target(spark, _df(spark, [(1, "a")]), t)
-    write_target(spark, _df(spark, [(2, "b")]), t)
-    assert spark.read.parquet(f"{base}/t").count() == 2
-
-
-def test_overwrite(spark, base):
-    t = _file(base, write_mode="overwrite")
-    write_target(spark, _df(spark, [(1, "a")]), t)
-    write_target(spark, _df(spark, [(2, "b")]), t)
-    assert _as_dict(spark.read.parquet(f"{base}/t")) == {2: "b"}
-
-
 def test_partitioned_layout(spark, base):
     write_target(spark, _df(spark, [(1, "us"), (2, "eu")], "id bigint, region string"),
                  _file(base, partition_columns=["region"]))
@@ -49,16 +35,6 @@ def test_partitioned_layout(spark, base):
     assert names == ["region=eu", "region=us"]
 
 
-@pytest.mark.parametrize("kind", ["file", "table"])
-def test_upsert(spark, base, kind):
-    t = _file(base, write_mode="merge", merge_keys=["id"]) if kind == "file" else \
-        _table(spark, base, write_mode="upsert", merge_keys=["id"])
-    write_target(spark, _df(spark, [(1, "a"), (2, "b")]), t)  # absent target: created
-    write_target(spark, _df(spark, [(2, "b-updated"), (3, "c")]), t)
-    out = spark.read.parquet(f"{base}/t") if kind == "file" else spark.table(t.options["table"])
-    assert _as_dict(out) == {1: "a", 2: "b-updated", 3: "c"}
-
-
 @pytest.mark.parametrize("kind", ["file", "table"])
 def test_upsert_twice_is_once(spark, base, kind):
     t = _file(base, write_mode="merge", merge_keys=["id"]) if kind == "file" else \
@@ -198,22 +174,6 @@ def test_merge_statement():
     assert "UPDATE" not in keys_only and keys_only.endswith("INSERT (id) VALUES (s.id)")
 
 
-def test_custom_target(spark, base):
-    from tidewater.sinks.custom import JsonLinesTarget
-
-    register_data_target(spark, JsonLinesTarget)
-    t = TargetSpec("jsonlines", {"path": f"{base}/j"})
-    write_target(spark, _df(spark, [(1, "a"), (2, "b")]).repartition(2), t)
-    write_target(spark, _df(spark, [(3, "c")]), t)
-    assert _as_dict(spark.read.schema(SCHEMA).json(f"{base}/j")) == {1: "a", 2: "b", 3: "c"}
-    t.write_mode = "overwrite"
-    write_target(spark, _df(spark, [(4, "d")]), t)
-    assert _as_dict(spark.read.schema(SCHEMA).json(f"{base}/j")) == {4: "d"}
-    assert fs.exists(spark, f"{base}/j/_SUCCESS")
-    lines = [json.loads(r[0]) for r in spark.read.text(f"{base}/j").collect()]
-    assert lines == [{"id": 4, "val": "d"}]
-
-
 @pytest.mark.parametrize("commit", ["rename", "copy"])
 def test_upsert_commit_modes(spark, base, commit):
     t = _file(base, write_mode="merge", merge_keys=["id"], options={"commit": commit})
@@ -549,3 +509,75 @@ def test_warehouse_append_and_overwrite_dispatch(spark):
         t = TargetSpec("snowflake", {"table": "T", "format": "noop"}, write_mode=mode)
         report = write_target(spark, df, t)
         assert (report.type, report.mode, report.rows, report.location) == ("snowflake", mode, 2, "T")
+
+
+def _regions(spark):
+    return spark.read.parquet("/root/testdata/sf0.001/nation.parquet").select("n_nationkey", "n_name", "n_regionkey")
+
+
+def test_append_then_overwrite_of_a_table_slice(spark, base):
+    nations = _regions(spark)
+    for part in (nations.filter("n_regionkey < 2"), nations.filter("n_regionkey >= 2")):
+        write_target(spark, part, _file(base))
+    assert spark.read.parquet(f"{base}/t").exceptAll(nations).count() == 0
+    write_target(spark, nations.limit(3), _file(base, write_mode="overwrite"))
+    assert spark.read.parquet(f"{base}/t").count() == 3
+
+
+@pytest.mark.parametrize("kind", ["file", "table"])
+def test_upsert_replaces_and_adds(spark, base, kind):
+    nations = _regions(spark)
+    t = (_file if kind == "file" else lambda b, **k: _table(spark, b, **k))(base, write_mode="upsert", merge_keys=["n_nationkey"])
+    write_target(spark, nations.filter("n_nationkey <= 15"), t)
+    renamed = nations.filter("n_nationkey >= 10").selectExpr("n_nationkey", "lower(n_name) n_name", "n_regionkey")
+    write_target(spark, renamed, t)
+    out = spark.read.parquet(f"{base}/t") if kind == "file" else spark.table(t.options["table"])
+    want = nations.filter("n_nationkey < 10").union(renamed)
+    assert out.count() == want.count() and out.exceptAll(want).count() == 0
+
+
+def test_registered_target(spark, base):
+    from tidewater.sinks.logfmt import append_logfmt, overwrite_logfmt
+    from tidewater.sources import read_source, register_source
+    from tidewater.sources.logfmt import read_logfmt
+    from tidewater.spec import FieldSpec, SourceSpec
+
+    register_target("logfmt", append=append_logfmt, overwrite=overwrite_logfmt)
+    register_source("logfmt", read_logfmt)
+    odd = _df(spark, [(1, "a b=c&d", "x y"), (2, None, "x y"), (3, "", "é")], "id bigint, val string, part string")
+    t = TargetSpec("logfmt", {"path": f"{base}/j"}, partition_columns=["part"])
+    write_target(spark, odd, t)
+    src = SourceSpec("logfmt", {"path": f"{base}/j"}, schema=[FieldSpec("id", "bigint"), FieldSpec("val", "string"), FieldSpec("part", "string")])
+    assert read_source(spark, src).exceptAll(odd).count() == 0 and read_source(spark, src).count() == 3
+    t.write_mode = "overwrite"
+    write_target(spark, odd.limit(1), t)
+    assert read_source(spark, src).count() == 1
+
+
+def test_merge_into_an_empty_folder(spark, base):
+    fs.mkdirs(spark, f"{base}/t")
+    t = _file(base, write_mode="merge", merge_keys=["id"])
+    write_target(spark, _df(spark, [(1, "a")]), t)
+    assert _as_dict(spark.read.parquet(f"{base}/t")) == {1: "a"}
+
+
+def test_first_merge_of_an_empty_batch_creates_the_target(spark, base):
+    t = _file(base, write_mode="merge", merge_keys=["id"])
+    write_target(spark, _df(spark, []), t, WriteContext(batch_rows=0))
+    assert spark.read.parquet(f"{base}/t").columns == ["id", "val"]
+
+
+def test_idempotent_append_is_refused_where_it_is_not_kept(spark, base):
+    with pytest.raises(UnsupportedWriteModeError):
+        write_target(spark, _df(spark, [(1, "a")]), TargetSpec("delta", {"path": f"{base}/d"}, idempotent=True))
+
+
+def test_thousands_of_touched_partitions(spark):
+    from tidewater.operators.upsert import touched_partitions
+
+    rows = spark.range(9000).selectExpr("id", "cast(id % 75 as string) a", "cast(id % 40 as int) b")
+    touched = touched_partitions(rows, ["a", "b"])
+    assert len(touched.rows) == 600
+    many = touched_partitions(rows.selectExpr("id", "cast(id as string) a", "cast(id % 3 as int) b"), ["a", "b"])
+    assert len(many.rows) == 9000
+    assert many.restrict(rows.selectExpr("cast(id as string) a", "cast((id + id % 2) % 3 as int) b")).count() < 9000

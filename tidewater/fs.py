@@ -24,6 +24,17 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return exists(spark, path.rstrip("/") + "/_SUCCESS")
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly in a folder; none if it does not exist."""
+    fs, hpath = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(hpath)) if fs.exists(hpath) else []
+
+
+def has_data(spark: SparkSession, path: str) -> bool:
+    """A folder with anything but hidden entries and markers in it."""
+    return any(not n.startswith(("_", ".")) or "=" in n for n in list_names(spark, path))
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, hpath = _fs(spark, path)
     if fs.exists(hpath):

@@ -13,9 +13,28 @@ INGESTED_AT = "_ingested_at"
 DATASET_NAME = "_dataset_name"
 
 
+def resolve(df: DataFrame, name: str) -> str | None:
+    """The frame's own spelling of a column, found as the session compares names
+    (``spark.sql.caseSensitive``); None if there is none."""
+    if name in df.columns:
+        return name
+    if df.sparkSession.conf.get("spark.sql.caseSensitive", "false").lower() == "true":
+        return None
+    return next((c for c in df.columns if c.lower() == name.lower()), None)
+
+
+def resolve_all(df: DataFrame, names: list[str], what: str) -> list[str]:
+    """``resolve`` for columns that must be there."""
+    found = [resolve(df, n) for n in names]
+    missing = [n for n, f in zip(names, found, strict=True) if f is None]
+    if missing:
+        raise SpecError(f"{what}: {missing}")
+    return found
+
+
 def rename_columns(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     """Rename all at once (``{a: b, b: a}`` swaps); names not in ``df`` are ignored."""
-    present = {old: new for old, new in mapping.items() if old in df.columns}
+    present = {found: new for old, new in mapping.items() if (found := resolve(df, old))}
     out_names = [present.get(c, c) for c in df.columns]
     dupes = {n for n in out_names if out_names.count(n) > 1}
     if dupes:
@@ -27,9 +46,8 @@ def cast_columns(df: DataFrame, casts: dict[str, str], on_error: str = "null") -
     """Cast in place, keeping column order. ``on_error="null"`` turns values that do not
     convert into NULL (``try_cast``); ``"fail"`` raises, as ANSI ``cast`` does. Casting a
     column that does not exist is an error."""
-    missing = [c for c in casts if c not in df.columns]
-    if missing:
-        raise SpecError(f"cannot cast missing columns: {missing}")
+    names = resolve_all(df, list(casts), "cannot cast missing columns")
+    casts = dict(zip(names, casts.values(), strict=True))
     if on_error not in ("null", "fail"):
         raise SpecError("on_error must be 'null' or 'fail'")
     return df.withColumns({

@@ -15,11 +15,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..errors import SpecError
+from .columns import resolve_all
 
 
 def dedup_any(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keep one row per key (which one is not specified)."""
-    return df.dropDuplicates(list(keys))
+    return df.dropDuplicates(resolve_all(df, list(keys), "dedup columns not in frame"))
 
 
 def _as_list(value) -> list[str]:
@@ -38,9 +39,10 @@ def dedup_latest(df: DataFrame, keys: list[str], order_by, tie_breakers=None,
     order = _as_list(order_by) + _as_list(tie_breakers)
     if not order:
         return dedup_any(df, keys)
-    missing = [c for c in keys + order if c not in df.columns]
-    if missing:
-        raise SpecError(f"dedup columns not in frame: {missing}")
+    n_keys = len(keys)
+    names = resolve_all(df, keys + order, "dedup columns not in frame")
+    keys, order = names[:n_keys], names[n_keys:]
+
     def col(c: str):
         return F.col(f"`{c}`")
 

@@ -19,15 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ByteType, DataType, DateType, DecimalType, IntegerType, ShortType,
                                TimestampNTZType, TimestampType, LongType, DoubleType, FloatType,
-                               BooleanType)
+                               BooleanType, StructField, StructType)
 
 from ..errors import DuplicateMergeKeyError, SpecError
 
-# Default broadcast ceiling for the batch key side of an upsert (bytes),
-# the assumed width of a variable-length key value, and the most partitions an upsert
-# names in a static partition filter before it rewrites the whole target instead.
+# Default broadcast ceiling for the batch key side of an upsert (bytes) and
+# the assumed width of a variable-length key value.
 DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
-MAX_SCOPED_PARTITIONS = 10_000
 # Fixed value: folder name Spark gives a NULL (or empty string) partition value.
 DEFAULT_PARTITION_NAME = "__HIVE_DEFAULT_PARTITION__"
 VARIABLE_KEY_BYTES = 64
@@ -151,48 +149,55 @@ def any_key_matches(existing: DataFrame, batch: DataFrame, keys: list[str], null
 
 @dataclass
 class Touched:
-    """Partitions an upsert rewrites: a filter for the target scan, the values as they
-    appear in partition folder names (``cast(value as string)``), and — when the target's
-    keys were probed — whether any batch key is already in the target."""
-    condition: object
+    """Partitions an upsert rewrites: their values, the same as they appear in partition
+    folder names (``cast(value as string)``), and — when the target's keys were probed —
+    whether any batch key is already in the target."""
+    columns: list[str]
+    schema: StructType
+    rows: list[tuple]
     folder_values: set
     any_match: bool | None = None
 
-
-def touched_partitions(batch: DataFrame, partition_columns: list[str],
-                       limit: int = MAX_SCOPED_PARTITIONS, existing: DataFrame | None = None,
+    def restrict(self, existing: DataFrame) -> DataFrame:
+        """Target rows in these partitions. One ``IN`` list per column prunes the scan's
+        folders at planning time; with several columns the exact combinations are then
+        met by a join with the partition values (metadata, one row per partition)."""
+        if not self.rows:
+            return existing.filter(F.lit(False))
+        for i, c in enumerate(self.columns):
+            values = {r[i] for r in self.rows}
+            present = sorted(v for v in values if v is not None)
+            cond = F.col(f"`{c}`").isin(present) if present else F.lit(False)
+            existing = existing.filter(cond | F.col(f"`{c}`").isNull() if None in values else cond)
+        if len(self.columns) == 1:
+            return existing
+        wanted = existing.sparkSession.createDataFrame(
+            self.rows, StructType([StructField(f"__p{i}", f.dataType) for i, f in enumerate(self.schema.fields)]))
+        same = [existing[f"`{c}`"].eqNullSafe(wanted[f"__p{i}"]) for i, c in enumerate(self.columns)]
+        return existing.join(wanted, reduce(lambda a, b: a & b, same), "left_semi")
+
+
+def touched_partitions(batch: DataFrame, partition_columns: list[str], existing: DataFrame | None = None,
                        keys: list[str] | None = None, null_safe: bool = False,
-                       broadcast_keys: bool = False) -> Touched | None:
-    """The partitions an upsert must rewrite, or None when there are more than ``limit``.
+                       broadcast_keys: bool = False) -> Touched:
+    """The partitions an upsert must rewrite.
 
     With the partition columns inside the merge key these are the batch's own partitions.
     Otherwise a key may sit in (or move from) any partition, so ``existing`` and ``keys``
     are given and the partitions holding a matched key are added: a semi join of the
     target's key columns — a column-pruned scan, partition values come from folder
-    names — against the batch keys. At most ``limit + 1`` distinct values reach the
-    driver; the filter is a literal ``IN`` list, so the scan prunes partitions at planning
-    time."""
+    names — against the batch keys. One row per partition reaches the driver, which lists
+    and renames partition folders anyway."""
     probed = existing is not None and bool(keys)
     wanted = batch.select(*partition_columns).withColumn("__matched", F.lit(False))
     if probed:
         matched = matched_partitions(existing, batch, keys, partition_columns, null_safe, broadcast_keys)
         wanted = wanted.unionByName(matched.withColumn("__matched", F.lit(True)))
     text = [F.col(f"`{c}`").cast("string").alias(f"__s{i}") for i, c in enumerate(partition_columns)]
-    found = wanted.distinct().select(*partition_columns, "__matched", *text).limit(2 * limit + 2).collect()
+    found = (wanted.groupBy(*[F.col(f"`{c}`") for c in partition_columns]).agg(F.max("__matched").alias("__matched"))
+             .select(*partition_columns, "__matched", *text).collect())
     any_match = any(r["__matched"] for r in found) if probed else None
-    rows = list({tuple(r[c] for c in partition_columns): r for r in found}.values())
-    if len(rows) > limit:
-        return None
     folders = {tuple(DEFAULT_PARTITION_NAME if r[f"__s{i}"] in (None, "") else r[f"__s{i}"]
-                     for i in range(len(partition_columns))) for r in rows}
-    if not rows:
-        return Touched(F.lit(False), folders, any_match)
-    if len(partition_columns) == 1:
-        c = partition_columns[0]
-        present = [r[c] for r in rows if r[c] is not None]
-        cond = F.col(f"`{c}`").isin(present) if present else F.lit(False)
-        cond = cond | F.col(f"`{c}`").isNull() if len(present) < len(rows) else cond
-        return Touched(cond, folders, any_match)
-    terms = [reduce(lambda a, b: a & b, [F.col(f"`{c}`").eqNullSafe(F.lit(r[c])) for c in partition_columns])
-             for r in rows]
-    return Touched(reduce(lambda a, b: a | b, terms), folders, any_match)
+                     for i in range(len(partition_columns))) for r in found}
+    return Touched(list(partition_columns), batch.select(*partition_columns).schema,
+                   [tuple(r[c] for c in partition_columns) for r in found], folders, any_match)

@@ -18,6 +18,7 @@ import datetime as _dt
 import logging
 import time
 import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -42,6 +43,8 @@ log = logging.getLogger("tidewater.run")
 WM = "__wm"
 # Sources whose second read may return other rows (live database, topic).
 UNREPRODUCIBLE_SOURCES = ("jdbc", "kafka")
+# Transforms that leave every remaining value and the row count as they are.
+KEEPS_KEYS = ("add_metadata", "drop")
 
 # Metric names.
 METRIC_ROWS = "ingestion.row_count"
@@ -76,38 +79,42 @@ def select_targets(spec: DatasetSpec, targets: list[str] | None) -> list[TargetS
 
 
 def _keys_unique(spec: DatasetSpec, target: TargetSpec) -> bool:
-    """The batch is already unique on the merge keys when its last dedup keys on a subset
-    of them and no rename follows."""
-    last = None
-    for i, t in enumerate(spec.transforms):
+    """The batch is known to be unique on the merge keys when a dedup on a subset of them is
+    followed only by transforms that neither change a value nor add a row."""
+    for t in reversed(spec.transforms):
         if t.type == "deduplicate":
-            last = i
-    if last is None:
-        return False
-    if any(t.type == "rename" for t in spec.transforms[last + 1:]):
-        return False
-    return set(spec.transforms[last].params.get("keys", [])) <= set(target.merge_keys)
+            return set(t.params.get("keys", [])) <= set(target.merge_keys)
+        if t.type not in KEEPS_KEYS:
+            return False
+    return False
+
+
+def replay_safe(target: TargetSpec) -> bool:
+    """Writing the batch again replaces it: merges, overwrites and appends keyed by batch."""
+    return target.is_merge or target.write_mode == "overwrite" or target.idempotent
+
+
+def _waits(retry: RetrySpec) -> Iterator[float]:
+    """Seconds before each further attempt."""
+    return (min(retry.initial_delay_seconds * retry.backoff_multiplier ** i, retry.max_delay_seconds)
+            for i in range(max(1, retry.max_attempts) - 1))
 
 
 def write_with_retry(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: WriteContext,
                      retry: RetrySpec) -> WriteReport:
-    """Retry a failed write with exponential backoff — only when replaying it cannot
-    duplicate rows (merge, overwrite, ``_batch_id`` append). Errors that would recur
-    (spec, analysis, duplicate keys) are raised at once. Task-level retries are Spark's."""
-    replay_safe = target.is_merge or target.write_mode == "overwrite" or target.idempotent
-    attempts = max(1, retry.max_attempts) if replay_safe else 1
-    delay = retry.initial_delay_seconds
-    for attempt in range(1, attempts + 1):
+    """A failed write is tried again only if it is replay safe and the error is one that
+    may pass (spec, analysis and duplicate-key errors recur). Task retries are Spark's."""
+    waits = _waits(retry) if replay_safe(target) else iter(())
+    while True:
         try:
             return write_target(spark, df, target, ctx)
         except (SpecError, DuplicateMergeKeyError, AnalysisException):
             raise
         except Exception:
-            if attempt == attempts:
+            wait = next(waits, None)
+            if wait is None:
                 raise
-            time.sleep(min(delay, retry.max_delay_seconds))
-            delay *= retry.backoff_multiplier
-    raise AssertionError("unreachable")
+            time.sleep(wait)
 
 
 def _bound(marks: list[tuple[str, str]]):
@@ -191,6 +198,13 @@ def run(spark: SparkSession, spec: DatasetSpec, *, targets: list[str] | None = N
     run_time = run_time or _dt.datetime.now(_dt.timezone.utc)
     run_id = run_id or uuid.uuid4().hex
     b = prepare_batch(spark, spec, targets=targets, transforms=transforms, run_time=run_time)
+    if len({b.marks.get(t.id) for t in b.selected}) > 1 and (is_wide(spec.transforms) or transforms):
+        # a dedup over the rows of the furthest-behind target may keep a row that another
+        # target already has and drop the one it lacks: each distinct mark is a run of its own
+        parts = [run(spark, spec, targets=[t.id for t in b.selected if b.marks.get(t.id) == mark],
+                     transforms=transforms, run_time=run_time, run_id=run_id)
+                 for mark in dict.fromkeys(b.marks.get(t.id) for t in b.selected)]
+        return _joined(parts)
     return process_batch(
         spark, spec, b.df, b.selected, run_id=run_id, run_time=run_time,
         # persist when a shuffle would otherwise rerun, or when several targets would
@@ -202,6 +216,15 @@ def run(spark: SparkSession, spec: DatasetSpec, *, targets: list[str] | None = N
         state_path=b.state_path, extra_transforms=bool(transforms))
 
 
+def _joined(parts: list[RunResult]) -> RunResult:
+    """One result for the runs of several marks: the largest batch, everything written."""
+    largest = max(parts, key=lambda r: r.row_count)
+    return RunResult(largest.run_id, largest.dataset_name, largest.row_count, largest.quality,
+                     [t for r in parts for t in r.targets_written], [w for r in parts for w in r.reports],
+                     largest.watermark, all(r.skipped for r in parts),
+                     next((r.quarantine_path for r in parts if r.quarantine_path), None))
+
+
 def process_batch(spark: SparkSession, spec: DatasetSpec, df: DataFrame, selected: list[TargetSpec], *,
                   run_id: str, run_time: _dt.datetime, persist: bool,
                   states: dict[str, st.StateEntry] | None = None,
@@ -279,7 +302,8 @@ def process_batch(spark: SparkSession, spec: DatasetSpec, df: DataFrame, selecte
             tdf = load
             if t.id in marks and has_wm and not shared_bound:
                 v, ty = marks[t.id]
-                tdf = tdf.filter(F.col(WM) > typed.parse(v, ty))
+                mark = typed.parse(v, ty)
+                tdf = tdf.filter(F.col(WM) >= mark if spec.source.watermark_overlap else F.col(WM) > mark)
             tdf = tdf.drop(WM)
             bid = batch_id if batch_id is not None else (prev.batch_id + 1 if prev else 1)
             # code transforms run after the spec's, so they may undo its dedup
@@ -299,8 +323,6 @@ def process_batch(spark: SparkSession, spec: DatasetSpec, df: DataFrame, selecte
                                result.reason or None, value, started, _dt.datetime.now(_dt.timezone.utc)))
         st.append_metrics(spark, audit_path, metrics)
         st.append_audit(spark, audit_path, audit_rows)
-        if audit_rows and st.due_for_compaction(audit_rows[0][3]):
-            st.compact_audit(spark, audit_path, spec.dataset_name)
         log.info("run completed", extra={"dataset": spec.dataset_name, "run_id": run_id, "rows": rows,
                                          "targets": out.targets_written, "watermark": new_wm})
         return out

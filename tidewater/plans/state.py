@@ -7,14 +7,19 @@ back to the same value in any session time zone. Each target has its own row str
 a target that did not load a batch keeps its own watermark. The latest row per
 ``(dataset, target)`` by ``batch_id`` wins.
 
-The state table is partitioned by dataset, so a run reads only its own dataset's folder,
-and every ``COMPACT_EVERY`` batches that folder is rewritten to its latest row per
-target (through a stage folder), so it does not grow one small file per run forever.
+Every commit writes a folder of its own, ``dataset=<name>/commit=<id>``, straight from its own
+job: runs of other datasets, or of the same one, share no temporary folder, so any number of
+them may commit at once. Readers take one dataset's folders only. Every ``COMPACT_EVERY``
+batches a dataset's latest state rows are written as one more commit and the commits they
+came from are removed afterwards; a crash in between leaves rows twice, which "latest wins"
+reads alike. Audit and metric rows are history and never rewritten.
 """
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from dataclasses import dataclass
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,8 +27,8 @@ from pyspark.sql.types import (BooleanType, DoubleType, LongType, StringType, St
                                TimestampType)
 
 from .. import fs
+from ..errors import SpecError
 from ..functions import literal_frame
-from ..session import work_dir
 
 # Fixed value: batches between compactions of a dataset's state folder.
 COMPACT_EVERY = 100
@@ -76,23 +81,51 @@ class StateEntry:
         return self.value, self.type
 
 
+def _durable_root(spark: SparkSession, what: str) -> str:
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        raise SpecError(f"{what} is not set and spark.checkpoint.dir names no shared folder; "
+                        f"state kept elsewhere would be forgotten with the session")
+    return root.rstrip("/")
+
+
 def default_state_path(spark: SparkSession) -> str:
-    return f"{work_dir(spark)}/tidewater_state"
+    return f"{_durable_root(spark, 'state_path')}/tidewater_state"
 
 
 def default_audit_path(spark: SparkSession) -> str:
-    return f"{work_dir(spark)}/tidewater_audit"
+    return f"{_durable_root(spark, 'audit_path')}/tidewater_audit"
 
 
-def state_frame(spark: SparkSession, path: str) -> DataFrame:
-    if not fs.exists(spark, path):
-        return literal_frame(spark, [], STATE_SCHEMA)
-    return spark.read.schema(STATE_SCHEMA).parquet(path)
+def _dataset_dir(path: str, dataset: str) -> str:
+    return f"{path}/dataset={quote(dataset, safe='')}"
+
+
+def _append(spark: SparkSession, path: str, dataset: str, rows: DataFrame) -> str:
+    """One commit: a folder no other job writes to. Returns its name."""
+    name = f"commit={uuid.uuid4().hex}"
+    rows.coalesce(1).write.mode("errorifexists").parquet(f"{_dataset_dir(path, dataset)}/{name}")
+    return name
+
+
+def _log_frame(spark: SparkSession, path: str, schema: StructType, dataset: str | None = None) -> DataFrame:
+    """Rows of all complete commits (of one dataset)."""
+    if dataset is not None:
+        folders = [_dataset_dir(path, dataset)] if fs.exists(spark, _dataset_dir(path, dataset)) else []
+    else:
+        folders = [f"{path}/{name}" for name in fs.list_names(spark, path) if name.startswith("dataset=")]
+    commits = [f"{folder}/{name}" for folder in folders for name in fs.list_names(spark, folder)
+               if name.startswith("commit=") and fs.is_complete(spark, f"{folder}/{name}")]
+    return spark.read.schema(schema).parquet(*commits) if commits else literal_frame(spark, [], schema)
+
+
+def state_frame(spark: SparkSession, path: str, dataset: str | None = None) -> DataFrame:
+    return _log_frame(spark, path, STATE_SCHEMA, dataset)
 
 
 def latest_state(spark: SparkSession, path: str, dataset: str) -> DataFrame:
     """Latest state row per target of a dataset."""
-    rows = state_frame(spark, path).filter(F.col("dataset") == dataset)
+    rows = state_frame(spark, path, dataset)
     best = F.max_by(F.struct("column", "type", "value", "batch_id", "updated_at"),
                     F.struct("batch_id", "updated_at")).alias("s")
     return rows.groupBy("dataset", "target").agg(best).select("dataset", "target", "s.*")
@@ -114,56 +147,40 @@ def commit_state(spark: SparkSession, path: str, dataset: str, entries: list[Sta
         return
     when = now or _dt.datetime.now(_dt.timezone.utc)
     rows = [(dataset, e.target, e.column, e.type, e.value, int(e.batch_id), when) for e in entries]
-    (literal_frame(spark, rows, STATE_SCHEMA).coalesce(1).write.mode("append")
-     .partitionBy("dataset").parquet(path))
+    _append(spark, path, dataset, literal_frame(spark, rows, STATE_SCHEMA))
     if any(e.batch_id % COMPACT_EVERY == 0 for e in entries):
         compact_state(spark, path, dataset)
 
 
-def due_for_compaction(batch_id: int) -> bool:
-    return batch_id % COMPACT_EVERY == 0
-
-
-def _rewrite_dataset(spark: SparkSession, path: str, dataset: str, rows: DataFrame, schema: StructType) -> None:
-    """Replace one dataset's folder of a log table by ``rows`` (one file), via a stage."""
-    stage = f"{path}__compact_{dataset}"
-    fs.delete(spark, stage)
-    rows.select(*schema.fieldNames()).coalesce(1).write.mode("overwrite").parquet(stage)
-    (spark.read.schema(schema).parquet(stage).coalesce(1).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("dataset").parquet(path))
-    fs.delete(spark, stage)
-
-
 def compact_state(spark: SparkSession, path: str, dataset: str) -> None:
-    """Rewrite one dataset's state folder to its latest row per target."""
-    _rewrite_dataset(spark, path, dataset, latest_state(spark, path, dataset), STATE_SCHEMA)
+    """Write the latest row per target as one commit, then remove the commits it replaces."""
+    folder = _dataset_dir(path, dataset)
+    before = [n for n in fs.list_names(spark, folder) if n.startswith("commit=") and fs.is_complete(spark, f"{folder}/{n}")]
+    rows = spark.read.schema(STATE_SCHEMA).parquet(*[f"{folder}/{n}" for n in before])
+    best = F.max_by(F.struct("column", "type", "value", "batch_id", "updated_at"),
+                    F.struct("batch_id", "updated_at")).alias("s")
+    latest = rows.groupBy("dataset", "target").agg(best).select("dataset", "target", "s.*")
+    _append(spark, path, dataset, latest.select(*STATE_SCHEMA.fieldNames()))
+    for name in before:
+        fs.delete(spark, f"{folder}/{name}")
 
 
-def compact_audit(spark: SparkSession, path: str, dataset: str) -> None:
-    """Merge one dataset's run and metric rows, one small file per run, into one file each
-    (history is kept whole)."""
-    for sub, schema in (("runs", AUDIT_SCHEMA), ("metrics", METRIC_SCHEMA)):
-        folder = f"{path}/{sub}"
-        if fs.exists(spark, folder):
-            rows = spark.read.schema(schema).parquet(folder).filter(F.col("dataset") == dataset)
-            _rewrite_dataset(spark, folder, dataset, rows, schema)
+def _append_rows(spark: SparkSession, path: str, rows: list[tuple], schema: StructType) -> None:
+    for dataset in sorted({r[1] for r in rows}):
+        _append(spark, path, dataset, literal_frame(spark, [r for r in rows if r[1] == dataset], schema))
 
 
 def append_audit(spark: SparkSession, path: str, rows: list[tuple]) -> None:
-    if rows:
-        (literal_frame(spark, rows, AUDIT_SCHEMA).coalesce(1).write.mode("append")
-         .partitionBy("dataset").parquet(f"{path}/runs"))
+    _append_rows(spark, f"{path}/runs", rows, AUDIT_SCHEMA)
 
 
 def append_metrics(spark: SparkSession, path: str, rows: list[tuple]) -> None:
-    if rows:
-        (literal_frame(spark, rows, METRIC_SCHEMA).coalesce(1).write.mode("append")
-         .partitionBy("dataset").parquet(f"{path}/metrics"))
+    _append_rows(spark, f"{path}/metrics", rows, METRIC_SCHEMA)
 
 
 def audit_frame(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(AUDIT_SCHEMA).parquet(f"{path}/runs")
+    return _log_frame(spark, f"{path}/runs", AUDIT_SCHEMA)
 
 
 def metrics_frame(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(METRIC_SCHEMA).parquet(f"{path}/metrics")
+    return _log_frame(spark, f"{path}/metrics", METRIC_SCHEMA)

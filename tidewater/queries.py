@@ -20,13 +20,13 @@ from .functions import typed
 from .operators import (add_metadata, apply_chain, cast_columns, check_quality, compile_chain,
                         dedup_any, dedup_latest, drop_columns, rename_columns, result_frame)
 from .operators.quality import WM_MAX, run_profile
-from .plans import run
+from .plans import run, run_many
 from .plans import state as st
 from .session import scratch_path, unique_name
-from .sinks import BATCH_ID, WriteContext, register_data_target, repair_partitions, write_target
-from .sinks.custom import JsonLinesTarget
-from .sources import decode_json_value, read_incremental, read_source, register_data_source
-from .sources.arrow_files import ArrowFilesSource
+from .sinks import BATCH_ID, WriteContext, register_target, repair_partitions, write_target
+from .sinks.logfmt import append_logfmt, overwrite_logfmt
+from .sources import decode_json_value, read_incremental, read_source, register_source
+from .sources.logfmt import read_logfmt
 from .spec import FieldSpec, QualitySpec, SourceSpec, TargetSpec, TransformSpec, spec_from_dict
 
 # Scenario constants shared by the Spark queries and their oracles.
@@ -37,6 +37,7 @@ HIGH = "2-HIGH"
 ORDERS_DDL = ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
               "o_orderdate timestamp_ntz, o_orderpriority string")
 EVENTS_DDL = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+ORDERS_FIELDS = [FieldSpec(*f.split(" ")) for f in ORDERS_DDL.split(", ")]
 ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -176,8 +177,18 @@ def next_watermark(spark, d):
 
 
 def scan_custom_source(spark, d):
-    register_data_source(spark, ArrowFilesSource)
-    return read_source(spark, SourceSpec("arrowfiles", {"path": f"{d}/orders.parquet"}))
+    """A user-defined source over a partitioned folder in a format of the user's own."""
+    path = _write_logfmt(spark, d, "scan_custom")
+    register_source("logfmt", read_logfmt)
+    return read_source(spark, SourceSpec("logfmt", {"path": path}, schema=ORDERS_FIELDS))
+
+
+def _write_logfmt(spark, d, name: str, mode: str = "append", path: str | None = None) -> str:
+    register_target("logfmt", append=append_logfmt, overwrite=overwrite_logfmt)
+    path = path or scratch_path(spark, name)
+    write_target(spark, _table(spark, d, "orders"),
+                 TargetSpec("logfmt", {"path": path}, write_mode=mode, partition_columns=["o_orderstatus"]))
+    return path
 
 
 def decode_json_value_q(spark, d):
@@ -504,10 +515,90 @@ def fan_out(spark, d):
 
 
 def sink_custom_target(spark, d):
-    path = scratch_path(spark, "sink_custom")
-    register_data_target(spark, JsonLinesTarget)
-    write_target(spark, _table(spark, d, "orders"), TargetSpec("jsonlines", {"path": path}))
-    return spark.read.schema(ORDERS_DDL).json(path)
+    """A user-defined target: written, then overwritten, through its plain functions."""
+    path = _write_logfmt(spark, d, "sink_custom")
+    _write_logfmt(spark, d, "sink_custom", "overwrite", path)
+    lines = spark.read.text(path)
+    pair = F.str_to_map("value", F.lit(" "), F.lit("="))
+    return lines.select(pair["o_orderkey"].cast("bigint").alias("o_orderkey"), "o_orderstatus",
+                        F.url_decode(pair["o_orderpriority"]).alias("o_orderpriority"))
+
+
+def append_idempotent_moved_partition(spark, d):
+    """A replayed batch whose rows now lie in other partitions replaces the whole batch."""
+    path = scratch_path(spark, "append_moved")
+    orders = _table(spark, d, "orders")
+    t = _file_target(path, idempotent=True, partition_columns=["load_day"])
+    for day in ("a", "b"):
+        write_target(spark, orders.withColumn("load_day", F.lit(day)), t, WriteContext(batch_id=1))
+    return spark.read.schema(f"{ORDERS_DDL}, {BATCH_ID} int, load_day string").parquet(path).select("o_orderkey", "load_day")
+
+
+def upsert_two_level_partitions(spark, d):
+    """Partitions by day and status: thousands of touched combinations."""
+    path = scratch_path(spark, "upsert_two_level")
+    orders = _table(spark, d, "orders").withColumn("day", F.date_format("o_orderdate", "yyyy-MM"))
+    t = _file_target(path, write_mode="merge", merge_keys=["o_orderkey", "day", "o_orderstatus"],
+                     partition_columns=["day", "o_orderstatus"])
+    write_target(spark, _earlier(orders), t, WriteContext())
+    write_target(spark, _revised(orders), t, WriteContext())
+    return spark.read.parquet(path).select("o_orderkey", "o_totalprice")
+
+
+def upsert_insert_only_fewer_columns(spark, d):
+    """New keys without one of the target's columns: the column stays, null for them."""
+    path = scratch_path(spark, "upsert_fewer")
+    orders = _table(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    t = _file_target(path, write_mode="merge", merge_keys=["o_orderkey"])
+    write_target(spark, _earlier(orders), t, WriteContext())
+    write_target(spark, _later(orders).drop("o_totalprice"), t, WriteContext())
+    return spark.read.parquet(path).select("o_orderkey", "o_totalprice")
+
+
+def rename_columns_case(spark, d):
+    """Names are found as the session compares them."""
+    return rename_columns(_table(spark, d, "orders").select("o_orderkey", "o_custkey"), {"O_ORDERKEY": "k", "O_CustKey": "c"})
+
+
+def dedup_latest_case(spark, d):
+    out = dedup_latest(_table(spark, d, "orders"), ["O_CUSTKEY"], "O_OrderDate", "O_ORDERKEY")
+    return out.select("o_custkey", "o_orderkey")
+
+
+def _shared_spec(spark, d, base, name, **over):
+    _land(_table(spark, d, "orders"), f"{base}/landing", "ignore")
+    return spec_from_dict({
+        "dataset_name": name, "source": {"type": "parquet", "options": {"path": f"{base}/landing"}, "watermark_column": "o_orderkey"},
+        "targets": [{"type": "file", "options": {"path": f"{base}/{name}"}, "write_mode": "append"}],
+        "state_path": f"{base}/state", "audit_path": f"{base}/audit", **over})
+
+
+def run_many_shared_state(spark, d):
+    """Datasets side by side on one state folder: each has its mark and its audit row."""
+    base = scratch_path(spark, "run_many_shared")
+    specs = [_shared_spec(spark, d, base, f"ds{i:02d}") for i in range(12)]
+    for r in run_many(spark, specs, parallelism=4):
+        if isinstance(r, BaseException):
+            raise r
+    marks = st.state_frame(spark, f"{base}/state").select("dataset", F.col("value").cast("bigint").alias("mark"))
+    audits = st.audit_frame(spark, f"{base}/audit").groupBy("dataset").agg(F.count(F.lit(1)).alias("audits"))
+    return marks.join(audits, "dataset")
+
+
+def incremental_diverging_marks(spark, d):
+    """Two targets with different marks and a dedup: each ends up as if it had run alone."""
+    base = scratch_path(spark, "diverging")
+    orders = _table(spark, d, "orders")
+    targets = [{"type": "file", "name": t, "options": {"path": f"{base}/{t}"}, "write_mode": "merge", "merge_keys": ["o_custkey"]}
+               for t in ("one", "two")]
+    spec = _shared_spec(spark, d, base, "diverging", targets=targets, transforms=[
+        {"type": "deduplicate", "keys": ["o_custkey"], "order_by": "o_totalprice", "tie_breakers": ["o_orderkey"]}])
+    thirds = orders.approxQuantile("o_orderkey", [1 / 3, 2 / 3], 0.0)
+    for cut, only in ((thirds[0], None), (thirds[1], ["one"]), (float("inf"), None)):
+        _land(orders.filter(F.col("o_orderkey") <= cut), f"{base}/landing")
+        run(spark, spec, targets=only)
+    return (spark.read.parquet(f"{base}/two").select("o_custkey", "o_orderkey", F.lit("two").alias("target"))
+            .union(spark.read.parquet(f"{base}/one").select("o_custkey", "o_orderkey", F.lit("one").alias("target"))))
 
 
 def append_idempotent(spark, d):
@@ -701,6 +792,13 @@ QUERIES: dict[str, Query] = {
     "fan_out": fan_out,
     "sink_custom_target": sink_custom_target,
     "append_idempotent": append_idempotent,
+    "append_idempotent_moved_partition": append_idempotent_moved_partition,
+    "upsert_two_level_partitions": upsert_two_level_partitions,
+    "upsert_insert_only_fewer_columns": upsert_insert_only_fewer_columns,
+    "rename_columns_case": rename_columns_case,
+    "dedup_latest_case": dedup_latest_case,
+    "run_many_shared_state": run_many_shared_state,
+    "incremental_diverging_marks": incremental_diverging_marks,
     "upsert_file": upsert_file,
     "upsert_file_partitioned": upsert_file_partitioned,
     "upsert_file_moving_partitions": upsert_file_moving_partitions,
@@ -739,6 +837,27 @@ ORACLE: dict[str, str] = {
         "SELECT event_id, ts, CAST(json_extract(props, '$.k') AS BIGINT) AS k, "
         "json_extract(props, '$.k') IS NULL AS _undecodable FROM events"),
     "incremental_overlap_scan": f"SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '{CUT}'",
+    "append_idempotent_moved_partition": "SELECT o_orderkey, 'b' AS load_day FROM orders",
+    "upsert_two_level_partitions": f"""
+SELECT o_orderkey, CASE WHEN o_orderdate >= TIMESTAMP '{REVISED_FROM}' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice
+FROM orders WHERE o_orderdate <= TIMESTAMP '{CUT}' OR o_orderdate >= TIMESTAMP '{REVISED_FROM}'""",
+    "upsert_insert_only_fewer_columns":
+        f"SELECT o_orderkey, CASE WHEN o_orderdate <= TIMESTAMP '{CUT}' THEN o_totalprice END AS o_totalprice FROM orders",
+    "rename_columns_case": "SELECT o_orderkey AS k, o_custkey AS c FROM orders",
+    "dedup_latest_case": f"SELECT o_custkey, o_orderkey FROM orders {_LATEST}",
+    "run_many_shared_state": """
+SELECT 'ds' || lpad(CAST(i AS VARCHAR), 2, '0') AS dataset, (SELECT max(o_orderkey) FROM orders) AS mark,
+       CAST(1 AS BIGINT) AS audits FROM range(12) t(i)""",
+    "incremental_diverging_marks": """
+WITH cuts AS (SELECT quantile_disc(o_orderkey, 1/3) AS a, quantile_disc(o_orderkey, 2/3) AS b FROM orders),
+runs(target, run, lo, hi) AS (
+  SELECT 'one', 1, -1, a FROM cuts UNION ALL SELECT 'one', 2, a, b FROM cuts UNION ALL SELECT 'one', 3, b, 9e18 FROM cuts
+  UNION ALL SELECT 'two', 1, -1, a FROM cuts UNION ALL SELECT 'two', 2, a, 9e18 FROM cuts),
+picked AS (
+  SELECT target, run, o_custkey, o_orderkey FROM runs JOIN orders ON o_orderkey > lo AND o_orderkey <= hi
+  QUALIFY row_number() OVER (PARTITION BY target, run, o_custkey ORDER BY o_totalprice DESC, o_orderkey DESC) = 1)
+SELECT o_custkey, o_orderkey, target FROM picked
+QUALIFY row_number() OVER (PARTITION BY target, o_custkey ORDER BY run DESC) = 1""",
     "rename_columns": ("SELECT o_orderkey AS o_custkey, o_custkey AS o_orderkey, o_orderstatus, o_totalprice, "
                        "o_orderdate, o_orderpriority FROM orders"),
     "cast_columns": ("SELECT o_orderkey, TRY_CAST(split_part(o_orderpriority, '-', 1) AS INTEGER) AS prio, "
@@ -799,7 +918,7 @@ ORACLE: dict[str, str] = {
         "FROM orders"),
     "overwrite_evolving_schema": "SELECT o_orderkey, o_orderstatus FROM orders",
     "fan_out": _BOTH_TARGETS,
-    "sink_custom_target": "SELECT * FROM orders",
+    "sink_custom_target": "SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders",
     "append_idempotent": (
         f"SELECT o_orderkey, CAST(CASE WHEN o_orderdate > TIMESTAMP '{CUT}' THEN 2 ELSE 1 END AS INTEGER) "
         "AS _batch_id FROM orders"),

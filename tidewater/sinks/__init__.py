@@ -5,9 +5,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .. import fs
 from ..errors import UnknownConnectorError, UnsupportedWriteModeError
 from ..spec import TARGET_ALIASES, TargetSpec
-from .common import BATCH_ID, WriteContext, WriteReport, observed, observed_metrics
+from .common import BATCH_ID, WriteContext, WriteReport
 from .delta import delta_append, delta_overwrite, delta_upsert
 from .files import file_append, file_overwrite, file_upsert, read_file_target, recover_file_target
 from .tables import recover_table_target, repair_partitions, table_append, table_overwrite, table_upsert
@@ -23,6 +24,9 @@ _REGISTRY: dict[str, dict[str, WriteFn]] = {
     "jdbc": {"append": warehouse_append, "overwrite": warehouse_overwrite, "merge": warehouse_upsert},
 }
 
+# Target types whose append replaces a batch that is written again.
+KEYED_APPENDS = ("file", "table")
+
 _RECOVERY = {"file": recover_file_target, "table": recover_table_target}
 
 
@@ -33,27 +37,6 @@ def register_target(kind: str, append: WriteFn | None = None, overwrite: WriteFn
                                (("append", append), ("overwrite", overwrite), ("merge", merge)) if fn}
 
 
-def register_data_target(spark: SparkSession, cls) -> str:
-    """Register a Python Data Source writer and expose it as an append/overwrite target."""
-    from ..sources import ship_by_value
-
-    ship_by_value(cls)
-    spark.dataSource.register(cls)
-    fmt = cls.name()
-
-    def _writer(mode: str) -> WriteFn:
-        def _write(sp, df, target, ctx):
-            out, obs = observed(df, False)
-            opts = {k: str(v) for k, v in target.options.items()}
-            out.write.format(fmt).mode(mode).options(**opts).save()
-            return WriteReport(target.id, target.type, mode, observed_metrics(obs)["rows"],
-                               str(target.options.get("path", fmt)))
-        return _write
-
-    register_target(fmt, append=_writer("append"), overwrite=_writer("overwrite"))
-    return fmt
-
-
 def write_target(spark: SparkSession, df: DataFrame, target: TargetSpec,
                  ctx: WriteContext | None = None) -> WriteReport:
     """Dispatch on target type and write mode (``upsert`` is ``merge``)."""
@@ -66,7 +49,9 @@ def write_target(spark: SparkSession, df: DataFrame, target: TargetSpec,
     if fn is None:
         raise UnsupportedWriteModeError(f"Unsupported write mode: {target.write_mode} for {target.type}")
     ctx = ctx or WriteContext()
-    if mode == "merge" and ctx.batch_rows == 0:
+    if target.idempotent and mode == "append" and TARGET_ALIASES.get(kind, kind) not in KEYED_APPENDS:
+        raise UnsupportedWriteModeError(f"idempotent append is not supported for {target.type}")
+    if mode == "merge" and ctx.batch_rows == 0 and _exists(spark, target):
         # merging nothing changes nothing: do not rewrite the target
         return WriteReport(target.id, target.type, "merge", 0, str(target.options.get("path")
                                                                      or target.options.get("table", "")),
@@ -74,6 +59,14 @@ def write_target(spark: SparkSession, df: DataFrame, target: TargetSpec,
     return fn(spark, df, target, ctx)
 
 
+def _exists(spark: SparkSession, target: TargetSpec) -> bool:
+    """Whether the target is there already; a first merge creates it, rows or not."""
+    if target.options.get("path"):
+        return fs.exists(spark, str(target.options["path"]))
+    table = target.options.get("table")
+    return not table or spark.catalog.tableExists(str(table))
+
+
 def recover_target(spark: SparkSession, target: TargetSpec) -> bool:
     kind = target.type.lower()
     fn = _RECOVERY.get(TARGET_ALIASES.get(kind, kind))
@@ -81,6 +74,6 @@ def recover_target(spark: SparkSession, target: TargetSpec) -> bool:
 
 
 __all__ = [
-    "BATCH_ID", "WriteContext", "WriteReport", "write_target", "register_target", "register_data_target",
+    "BATCH_ID", "WriteContext", "WriteReport", "write_target", "register_target",
     "recover_target", "read_file_target", "repair_partitions", "merge_statement",
 ]

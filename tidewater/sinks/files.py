@@ -98,9 +98,9 @@ def file_append(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wri
     pcols = list(target.partition_columns)
     with_hash = bool(target.options.get("manifest_path"))
     if target.idempotent:
-        # Replaying a batch replaces its own partition instead of adding a second copy.
-        df = df.withColumn(BATCH_ID, F.lit(int(ctx.batch_id)).cast("int"))
-        metrics = _save(df, target, path, "overwrite", [BATCH_ID] + pcols, dynamic=True, with_hash=with_hash)
+        # A batch owns its folder: a replay replaces all of it, whatever partitions it now has.
+        own = f"{path}/{BATCH_ID}={int(ctx.batch_id)}"
+        metrics = _save(df, target, own, "overwrite", pcols, with_hash=with_hash)
     else:
         metrics = _save(df, target, path, "append", pcols, with_hash=with_hash)
     return _report(spark, target, "append", path, metrics, ctx)
@@ -274,7 +274,7 @@ def file_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wri
     if target.duplicate_keys == "error" and not ctx.keys_unique:
         assert_unique_keys(df, keys, target.null_safe_keys)
     # absent, or partitioned with no partition yet (an empty batch was written): nothing to merge with
-    if not fs.exists(spark, path) or (pcols and not fs.partition_dirs(spark, path, len(pcols))):
+    if not fs.has_data(spark, path) or (pcols and not fs.partition_dirs(spark, path, len(pcols))):
         metrics = _save(df, target, path, "overwrite", pcols,
                         with_hash=bool(target.options.get("manifest_path")))
         return _report(spark, target, "merge", path, metrics, ctx, scope="create")
@@ -306,8 +306,7 @@ def file_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wri
                 keys_side = spark.read.format(fmt).schema(first).load(path)
                 touched = touched_partitions(df, pcols, existing=keys_side, keys=keys,
                                              null_safe=target.null_safe_keys, broadcast_keys=broadcast)
-            if touched is not None:
-                wanted = [w for w, rel in zip(wanted, rels) if _folder_values(rel) in touched.folder_values]
+            wanted = [w for w, rel in zip(wanted, rels) if _folder_values(rel) in touched.folder_values]
         matched = touched.any_match if touched is not None else None
         plain = (spark.read.format(fmt).schema(first).option("basePath", path).load(wanted) if wanted
                  else literal_frame(spark, [], first))
@@ -317,7 +316,10 @@ def file_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wri
         if not matched:
             # no batch key is in the target (an insert-only batch): append, rewrite nothing.
             # A replay after a crash finds its own rows and takes the merge path instead.
-            metrics = _save(df, target, path, "append", pcols, with_hash=with_hash)
+            # Columns the batch lacks are written as nulls: a file without them would hide them.
+            lacking = [f for f in plain.schema.fields if f.name not in df.columns]
+            filled = df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in lacking})
+            metrics = _save(filled, target, path, "append", pcols, with_hash=with_hash)
             return _report(spark, target, "merge", path, metrics, ctx, scope="insert", broadcast=broadcast)
     # the rows to rewrite, under the merged schema of their files (a column present in only
     # some files survives); the files are rewritten anyway, so reading all footers costs little
@@ -326,8 +328,6 @@ def file_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wri
     else:
         existing = _read_partitions(spark, target, path, df, wanted)
     scope = "static" if touched is None else "dynamic"
-    if touched is not None:
-        existing = existing.filter(touched.condition)  # static partition pruning at planning
     combined = merge_plan(existing, df, keys, null_safe=target.null_safe_keys, broadcast_keys=broadcast,
                           distinct_keys=target.duplicate_keys == "allow")
     stage = _stage_path(path, scope)

@@ -250,10 +250,8 @@ def table_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wr
     # Partition-scoped only with the partition columns inside the merge key: then no key
     # can leave a partition, so no partition is emptied by the upsert.
     if pcols and set(pcols) <= set(keys) and set(df.columns) <= set(existing.columns):
-        touched = touched_partitions(df, pcols)
-        if touched is not None:
-            existing = existing.filter(touched.condition)
-            dynamic = True
+        existing = touched_partitions(df, pcols).restrict(existing)
+        dynamic = True
     if (target.options.get("insert_probe", True) and set(df.columns) <= set(existing.columns)
             and not any_key_matches(existing, df, keys, target.null_safe_keys, broadcast)):
         # insert-only batch: append by name, rewrite nothing (a replay takes the merge path)

@@ -32,35 +32,6 @@ def register_source(kind: str, fn: SourceFn) -> None:
     _REGISTRY[kind.lower()] = fn
 
 
-def ship_by_value(cls) -> None:
-    """Pickle the class's module by value, so Python workers need not import this package."""
-    import sys
-
-    from pyspark import cloudpickle
-
-    cloudpickle.register_pickle_by_value(sys.modules[cls.__module__])
-
-
-def register_data_source(spark: SparkSession, cls) -> str:
-    """Register a Python Data Source class and expose it as a source type of its name."""
-    ship_by_value(cls)
-    spark.dataSource.register(cls)
-    # let Python sources that implement pushFilters receive them (off by default)
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    fmt = cls.name()
-
-    def _read(sp: SparkSession, s: SourceSpec) -> DataFrame:
-        options = {k: str(v) for k, v in s.options.items()}
-        reader = sp.read.format(fmt)
-        schema = s.struct_type()
-        if schema is not None and s.apply_schema:
-            reader = reader.schema(schema)
-        return reader.options(**options).load()
-
-    register_source(fmt, _read)
-    return fmt
-
-
 def read_source(spark: SparkSession, source: SourceSpec) -> DataFrame:
     """A lazy DataFrame over the source (type aliases such as ``s3_parquet`` accepted)."""
     kind = source.type.lower()
@@ -88,6 +59,6 @@ def read_incremental(spark: SparkSession, source: SourceSpec,
 
 
 __all__ = [
-    "read_source", "read_incremental", "register_source", "register_data_source",
+    "read_source", "read_incremental", "register_source",
     "decode_json_value", "read_files", "read_jdbc", "read_table", "read_kafka", "read_delta",
 ]

@@ -28,13 +28,17 @@ def stream_frame(spark: SparkSession, spec: DatasetSpec) -> DataFrame:
     src = spec.source
     if src.type == "kafka":
         # offsets live in the stream checkpoint; needs the Kafka connector on the classpath
-        from ..sources.messages import decode_json_value
+        from ..sources.messages import UNDECODABLE, decode_json_value
 
         options = dict(src.options)
         schema = options.pop("value_schema", None)
         keep = options.pop("keep_columns", None)
+        flag = options.pop("flag_undecodable", None)
         raw = spark.readStream.format("kafka").options(**{k: str(v) for k, v in options.items()}).load()
-        return decode_json_value(raw, schema, "value", keep=list(keep or [])) if schema else raw
+        if not schema:
+            return raw
+        return decode_json_value(raw, schema, "value", keep=list(keep or []),
+                                 flag_column=UNDECODABLE if str(flag).lower() == "true" else None)
     if src.type not in STREAM_FORMATS:
         raise SpecError(f"streaming runs read file sources {STREAM_FORMATS}, not {src.type!r}")
     options = {k: str(v) for k, v in src.options.items()}
@@ -64,7 +68,7 @@ def run_available_now(spark: SparkSession, spec: DatasetSpec, *, checkpoint: str
         df = apply_chain(batch_df, fns)
         results.append(process_batch(
             batch_df.sparkSession, spec, df, selected, run_id=uuid.uuid4().hex, run_time=run_time,
-            persist=is_wide(spec.transforms), batch_id=int(batch_id) + 1))
+            persist=is_wide(spec.transforms) or len(selected) > 1, batch_id=int(batch_id) + 1))
 
     query = (stream_frame(spark, spec).writeStream
              .foreachBatch(_batch)
