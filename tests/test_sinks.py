@@ -496,13 +496,27 @@ def test_warehouse_upsert_orchestration(spark):
                               runner=lambda sp, opts, sql: statements.append((opts.get("url"), sql)))
     assert report.rows == 2 and report.extra["staging"] == "ORDERS_stage_42"
     assert statements == [
-        ("jdbc:x", "MERGE INTO ORDERS t USING ORDERS_stage_42 s ON t.id = s.id "
-                   "WHEN MATCHED THEN UPDATE SET val = s.val "
-                   "WHEN NOT MATCHED THEN INSERT (id, val) VALUES (s.id, s.val)"),
+        ("jdbc:x", 'MERGE INTO ORDERS t USING ORDERS_stage_42 s ON t."id" = s."id" '
+                   'WHEN MATCHED THEN UPDATE SET "val" = s."val" '
+                   'WHEN NOT MATCHED THEN INSERT ("id", "val") VALUES (s."id", s."val")'),
         ("jdbc:x", "DROP TABLE ORDERS_stage_42"),
     ]
 
 
+def test_warehouse_runner_quoting_and_named_stage(spark):
+    from tidewater.sinks import warehouse as w
+    from tidewater.spec import SNOWFLAKE_FORMAT
+
+    assert w.statement_runner(TargetSpec("warehouse", {"format": SNOWFLAKE_FORMAT})) is w.connector_statement_runner
+    assert w.statement_runner(TargetSpec("jdbc", {"url": "jdbc:x"})) is w.jdbc_statement_runner
+    quotes = {u: w.identifier_quote(TargetSpec("jdbc", {"url": u}))("a") for u in ("jdbc:postgresql:x", "jdbc:mysql:x", "jdbc:sqlserver:x")}
+    assert list(quotes.values()) == ['"a"', "`a`", "[a]"]
+    seen = []
+    target = TargetSpec("warehouse", {"table": "T", "format": "noop", "staging_table": "MINE"}, write_mode="merge", merge_keys=["id"])
+    w.warehouse_upsert(spark, _df(spark, [(1, "a")]), target, WriteContext(), runner=lambda sp, o, sql: seen.append(sql))
+    assert len(seen) == 1 and "USING MINE s" in seen[0]
+
+
 def test_warehouse_append_and_overwrite_dispatch(spark):
     df = _df(spark, [(1, "a"), (2, "b")])
     for mode in ("append", "overwrite"):

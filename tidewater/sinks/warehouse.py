@@ -3,8 +3,9 @@
 Append and overwrite are Spark's parallel JDBC (or warehouse connector) writes. An
 upsert writes the batch in parallel to a staging table whose name carries the batch id
 (runs never share one), then issues a single ``MERGE`` in the warehouse, so the merge
-itself runs where the data lives. The statement runner is pluggable; the default opens
-one JDBC connection from the driver for that one statement.
+itself runs where the data lives. Statements run through the format's own runner: one JDBC
+connection opened by the driver, or the connector's statement utility. Column names are
+quoted, with the format's quote sign, as Spark's writer quotes them when it creates a table.
 """
 from __future__ import annotations
 
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..errors import MissingOptionError
 from ..secrets import resolve_options
-from ..spec import TargetSpec
+from ..spec import SNOWFLAKE_FORMAT, TargetSpec
 from .common import WriteContext, WriteReport, observed, observed_metrics
 
 # Spec options that are ours, not connector options.
@@ -39,14 +40,16 @@ def _format(target: TargetSpec) -> str:
     return str(target.options.get("format", "jdbc"))
 
 
-def merge_statement(table: str, staging: str, columns: list[str], keys: list[str]) -> str:
+def merge_statement(table: str, staging: str, columns: list[str], keys: list[str],
+                    quote: Callable[[str], str] = str) -> str:
     """``MERGE`` of a staging table into ``table``: matched rows update their non-key
     columns, the others are inserted. With only key columns there is nothing to update,
     so the ``WHEN MATCHED`` clause is left out instead of emitting an empty ``SET``."""
-    on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
-    updates = ", ".join(f"{c} = s.{c}" for c in columns if c not in keys)
-    cols = ", ".join(columns)
-    vals = ", ".join(f"s.{c}" for c in columns)
+    q = {c: quote(c) for c in (*columns, *keys)}
+    on = " AND ".join(f"t.{q[k]} = s.{q[k]}" for k in keys)
+    updates = ", ".join(f"{q[c]} = s.{q[c]}" for c in columns if c not in keys)
+    cols = ", ".join(q[c] for c in columns)
+    vals = ", ".join(f"s.{q[c]}" for c in columns)
     parts = [f"MERGE INTO {table} t USING {staging} s ON {on}"]
     if updates:
         parts.append(f"WHEN MATCHED THEN UPDATE SET {updates}")
@@ -74,6 +77,38 @@ def jdbc_statement_runner(spark: SparkSession, options: dict, sql: str) -> None:
         conn.close()
 
 
+def connector_statement_runner(spark: SparkSession, options: dict, sql: str) -> None:
+    """Run one statement through the warehouse connector's utility class in the driver JVM."""
+    utility = spark.sparkContext._jvm
+    for name in CONNECTOR_UTILITY.split("."):
+        utility = getattr(utility, name)
+    utility.runQuery(options, sql)  # takes a java.util.Map
+
+
+# The connector format, its statement utility, and what runs statements.
+CONNECTOR_UTILITY = f"{SNOWFLAKE_FORMAT}.Utils"
+RUNNERS: dict[str, StatementRunner] = {SNOWFLAKE_FORMAT: connector_statement_runner}
+
+
+def statement_runner(target: TargetSpec) -> StatementRunner:
+    """The runner of the target's format; plain JDBC unless the format has its own."""
+    return RUNNERS.get(_format(target), jdbc_statement_runner)
+
+
+def identifier_quote(target: TargetSpec) -> Callable[[str], str]:
+    """Quotes as the format's writer does: backticks for MySQL-like urls, brackets for SQL
+    Server, double quotes otherwise. The connector folds names to upper case unquoted and
+    takes them as they are when it creates a table, so nothing is quoted for it."""
+    if _format(target) == SNOWFLAKE_FORMAT:
+        return str
+    url = str(target.options.get("url", "")).lower()
+    if url.startswith(("jdbc:mysql", "jdbc:mariadb", "jdbc:databricks")):
+        return lambda c: "`" + c.replace("`", "``") + "`"
+    if url.startswith("jdbc:sqlserver"):
+        return lambda c: "[" + c.replace("]", "]]") + "]"
+    return lambda c: '"' + c.replace('"', '""') + '"'
+
+
 def _save(df: DataFrame, target: TargetSpec, table: str, mode: str, extra: dict | None = None) -> dict:
     df, obs = observed(df, False)
     writer = df.write.format(_format(target)).options(**connection_options(target)).option("dbtable", table)
@@ -98,11 +133,14 @@ def warehouse_overwrite(spark: SparkSession, df: DataFrame, target: TargetSpec,
 
 
 def warehouse_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: WriteContext,
-                     runner: StatementRunner = jdbc_statement_runner) -> WriteReport:
-    table = _table(target)
-    staging = str(target.options.get("staging_table") or f"{table}_stage_{int(ctx.batch_id)}")
+                     runner: StatementRunner | None = None) -> WriteReport:
+    """Stage, ``MERGE``, and drop the stage if its name is ours; a stage the user named stays."""
+    table, named = _table(target), target.options.get("staging_table")
+    run = runner or statement_runner(target)
+    staging = str(named or f"{table}_stage_{int(ctx.batch_id)}")
     metrics = _save(df, target, staging, "overwrite")
     opts = connection_options(target)
-    runner(spark, opts, merge_statement(table, staging, df.columns, list(target.merge_keys)))
-    runner(spark, opts, f"DROP TABLE {staging}")
+    run(spark, opts, merge_statement(table, staging, df.columns, list(target.merge_keys), identifier_quote(target)))
+    if not named:
+        run(spark, opts, f"DROP TABLE {staging}")
     return WriteReport(target.id, target.type, "merge", metrics["rows"], table, extra={"staging": staging})
