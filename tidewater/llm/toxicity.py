@@ -106,20 +106,23 @@ class Index:
         for t, w in vector.items():
             blocks, highest = self.bounds[t]
             upper[blocks] += w * highest
-        found_ids, found = np.zeros(0, np.int64), np.zeros(0)
-        for block in np.argsort(-upper, kind="stable"):
-            if upper[block] <= 0 or (len(found) == k and upper[block] < found[-1]):
-                break
-            scores = np.zeros(BLOCK)
-            for t, w in vector.items():
-                entries, weights = self.postings[t]
-                a, b = np.searchsorted(entries, (block * BLOCK, (block + 1) * BLOCK))
-                scores[entries[a:b] - block * BLOCK] += w * weights[a:b]
-            hit = np.flatnonzero(scores > 0)
-            found_ids, found = np.append(found_ids, hit + block * BLOCK), np.append(found, scores[hit])
-            best = np.lexsort((found_ids, -found))[:k]
-            found_ids, found = found_ids[best], found[best]
-        return found_ids, found
+        # a few best blocks give a k-th best cosine; blocks bounded below it are skipped
+        first = np.zeros(n_blocks, bool)
+        first[np.argsort(-upper, kind="stable")[:4]] = True
+        scores = self._scores(vector, first)
+        known = np.partition(scores, -k)[-k] if len(scores) > k else 0.0
+        scores = self._scores(vector, (upper >= known * (1 - 1e-12)) & (upper > 0))
+        hit = np.flatnonzero(scores > 0)
+        best = hit[np.lexsort((hit, -scores[hit]))[:k]]
+        return best, scores[best]
+
+    def _scores(self, vector: dict[int, float], blocks: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(blocks) * BLOCK)
+        for t, w in vector.items():
+            entries, weights = self.postings[t]
+            inside = blocks[entries // BLOCK]
+            out[entries[inside]] += w * weights[inside]
+        return out
 
     def raw(self, vector: dict[int, float]) -> tuple[float, list[int]]:
         """Distance-weighted share of toxic examples among the nearest; their ids."""
