@@ -54,8 +54,10 @@ def test_held_out(spark):
 
 
 def test_odd_rows(spark):
-    rows = ([(i, f"plain words number{i % 7} here", "x") for i in range(60)]
-            + [(100 + i, f"you are an idiot and scum v{i % 5}", "x") for i in range(40)])
+    # equal texts count once as evidence, so every example has a word of its own
+    own = lambda i: "".join(chr(97 + int(d)) for d in f"{i:04d}")
+    rows = ([(i, f"plain words q{own(i)} here", "x") for i in range(60)]
+            + [(100 + i, f"you are an idiot and scum q{own(100 + i)}", "x") for i in range(40)])
     odd = [(500, None, "x"), (501, "", "x"), (None, "idiot", "x"), (100, "you are an idiot", "x")]
     df = spark.createDataFrame(rows + odd, "doc_id bigint, text string, toxic string")
     labels = spark.createDataFrame([(i, int(i >= 100)) for i, _, _ in rows] + [(3, 0), (None, 1), (77777, 1), (5, None)],
