@@ -15,20 +15,24 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
     """(node, component) of every node with an edge; a component's id is its smallest node."""
     u, v = F.greatest(F.col(a), F.col(b)), F.least(F.col(a), F.col(b))
     stars = checkpoint(edges.filter(F.col(a) != F.col(b)).select(u.alias("u"), v.alias("v")).distinct())
-    before = None
     for _ in range(max_rounds):
-        mark = stars.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
-        if mark == before:
+        if _settled(stars):
             roots = stars.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
             return stars.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
-        before = mark
         both = stars.union(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
         large = (both.join(low.hint("merge"), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .distinct())
-        large = checkpoint(large)
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(low.hint("merge"), "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(low.select("u", F.col("m").alias("v"))).distinct())
         stars = checkpoint(small)
     raise RuntimeError(f"components did not settle within {max_rounds} rounds")
+
+
+def _settled(stars: DataFrame) -> bool:
+    """Every node has one edge down, and what it leads to has none."""
+    roles = (stars.select(F.col("u").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up"))
+             .union(stars.select(F.col("v").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("up"))))
+    both = roles.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return both.filter("down > 1 or (down > 0 and up > 0)").isEmpty()

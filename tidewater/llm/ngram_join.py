@@ -399,18 +399,40 @@ def _ties_of_sets(sets: DataFrame, rule: Similarity) -> DataFrame:
     return _joined_ties(map_batches(sets.select("node", "grams"), local, "a bigint, b bigint"))
 
 
-def _reaching_in_block(sets: DataFrame, rule: Similarity) -> DataFrame:
-    """The sets (node, block, n_shingles, grams) with enough n-grams that another of their block has."""
-    def grams(batch):
+def _reaching_in_block(sets: DataFrame, rule: Similarity, part_grams: int) -> DataFrame:
+    """The sets (node, block, n_shingles, grams) with enough n-grams that another of their block has.
+
+    A block's n-grams are dealt by value into parts of about ``part_grams``, packed: one row
+    for each batch, block and part."""
+    def dealt(batch):
         value, bounds = _unpacked(batch.column(2))
         sizes = np.diff(bounds)
-        block, node = (np.repeat(batch.column(i).to_numpy(), sizes) for i in (0, 1))
-        yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(value.view(np.int64)), pa.array(node)],
-                                         names=["block", "gram", "node"])
-
-    alone = (map_batches(sets.select("block", "node", "grams"), grams, "block bigint, gram bigint, node bigint")
-             .groupBy("block", "gram").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"))
-             .filter("n = 1").groupBy("node").agg(F.count(F.lit(1)).alias("alone")))
+        block, node, parts = (np.repeat(batch.column(i).to_numpy(), sizes) for i in (0, 1, 3))
+        part = (mix(value) % parts.astype(U64)).astype(np.int64)
+        order = np.lexsort((part, block))
+        head = np.ones(len(order), bool)
+        head[1:] = (block[order][1:] != block[order][:-1]) | (part[order][1:] != part[order][:-1])
+        cuts = np.append(np.flatnonzero(head), len(order))
+        value, node = value[order], node[order]
+        rows = [(value[i:j].tobytes(), node[i:j].tobytes()) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+        at = order[cuts[:-1]]
+        yield pa.RecordBatch.from_arrays([
+            pa.array(block[at]), pa.array(part[at]), pa.array([r[0] for r in rows], pa.binary()),
+            pa.array([r[1] for r in rows], pa.binary())], names=["block", "part", "values", "nodes"])
+
+    def count(batches):
+        for rows in _groups(batches, 2):
+            value = np.concatenate([np.frombuffer(r[2], U64) for r in rows])
+            node = np.concatenate([np.frombuffer(r[3], np.int64) for r in rows])
+            _, first, times = np.unique(value, return_index=True, return_counts=True)
+            nodes, alone = np.unique(node[first[times == 1]], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(alone.astype(np.int64))], names=["node", "alone"])
+
+    parts = sets.groupBy("block").agg(F.ceil(F.sum("n_shingles") / part_grams).cast("bigint").alias("parts"))
+    packed = map_batches(sets.select("block", "node", "grams").join(parts, "block").select("block", "node", "grams", "parts"),
+                         dealt, "block bigint, part bigint, values binary, nodes binary")
+    alone = (packed.repartition("block", "part").sortWithinPartitions("block", "part")
+             .mapInArrow(count, "node bigint, alone bigint").groupBy("node").agg(F.sum("alone").alias("alone")))
     return (sets.join(alone.hint("merge"), "node", "left")
             .filter(100 * (F.col("n_shingles") - F.coalesce("alone", F.lit(0))) >= rule.percent * F.col("n_shingles"))
             .drop("alone"))
@@ -520,7 +542,7 @@ def _large_blocks(sets: DataFrame, rule: Similarity, chunk_nodes: int, chunk_gra
     """(node, root) of linked nodes among blocks of several chunks; ``sets`` has SETS."""
     left = sets.count()
     for _ in range(rounds):  # each round is exact; a further one would only save comparisons
-        stay = checkpoint(_reaching_in_block(sets, rule))
+        stay = checkpoint(_reaching_in_block(sets, rule, chunk_grams))
         before, left = left, stay.count()
         if not left:
             return sets.select("node", F.col("node").alias("root")).limit(0)
