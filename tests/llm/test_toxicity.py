@@ -71,3 +71,44 @@ def test_odd_rows(spark):
     assert {r.score for r in t.score_documents(df, none).collect()} == {0.0}
     assert t.score_documents(df.limit(0), index).count() == 0
     assert t.fit(df.limit(0), labels).empty_rate == 0.0
+
+
+def test_texts_without_telling_words_are_searched_by_all_their_words(spark):
+    r = random.Random(5)
+    word = lambda: "".join(r.choice("bcdfgklmnprst") for _ in range(6))
+    alone = [[word() for _ in range(30)] for _ in range(300)]  # nothing here tells the toxic ones apart
+    toxic = {i: int(i % 10 == 0) for i in range(300)}
+    near = [w[:25] + [word() for _ in range(5)] for w in alone]
+    rows = [(i, " ".join(w)) for i, w in enumerate(alone)] + [(1000 + i, " ".join(w)) for i, w in enumerate(near)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    index = t.fit(df, spark.createDataFrame(list(toxic.items()), "doc_id bigint, toxic int"))
+    assert len(index.terms) == len({w for x in alone for w in x})
+    got = {x.doc_id: x for x in t.score_documents(df, index).collect()}
+    assert all(got[1000 + i].evidence[0] == i for i in toxic)
+    assert min(got[1000 + i].score for i in toxic if toxic[i]) > max(got[1000 + i].score for i in toxic if not toxic[i])
+
+
+def test_vectors_hold_every_word_of_the_examples(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    index = t.fit(docs, labels)
+    texts = {x.doc_id: x.text for x in docs.collect()}
+    marked = {x.doc_id for x in labels.filter("toxic is not null").collect()} & set(texts)
+    counts = {i: _plain_words(texts[i]) for i in texts}
+    words = {w for i in marked for w in counts[i]}
+    assert set(np.unique(t.text_terms(pa.array(sorted(words)))[0][:len(words)])) == set(index.terms[:index.n_words])
+    number = {w: int(np.searchsorted(index.terms[:index.n_words], t.text_terms(pa.array([w]))[0][0])) for w in words}
+    first, place, count = t._counts(pa.array(list(texts.values())), index.terms, index.n_words)
+    for k, i in enumerate(texts):
+        own = dict(zip(place[first[k]: first[k + 1]].tolist(), count[first[k]: first[k + 1]].tolist(), strict=True))
+        plain = {number[w]: n for w, n in counts[i].items() if w in words}
+        other = sum(n for w, n in counts[i].items() if w not in words)
+        assert {p: n for p, n in own.items() if p < index.n_words} == plain
+        assert own.get(len(index.terms), 0) == other
+
+
+def _plain_words(text):
+    import re
+    from collections import Counter
+    lowered = "".join(c.lower() if c.isascii() else c for c in text or "")
+    return Counter(re.findall(r"[a-z\u0080-\U0010ffff]+", lowered))

@@ -1,32 +1,34 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
-Labelled rows (a bounded sample, ``max_examples``, chosen by a hash of the id) name the
-terms that tell toxic texts apart: words and stems with a chi-squared value
-over ``min_chi``, taken greedily while they cover toxic examples that lack better terms, so
-that the chance words of one much copied text don't enter. Document frequencies of these
-terms are counted over all documents. Examples become unit TF-IDF vectors; equal vectors
-are one entry with its counts. All other words are one further term of the space (rounded
-to half powers of two), so that the same hits weigh more in a short text than a long one. A block-max inverted index finds a text's exact nearest
-entries: blocks of entries are visited by their upper bound and the search ends when no
-bound exceeds the k-th best cosine. Distance-weighted votes give a raw score, which an
-isotonic fit over two-fold scores of the examples calibrates; the nearest examples' ids
-are the evidence.
-
-Defined results: null or empty text has no terms and gets the score of such examples (0
-where there are no labels); ties in cosine go to the lower entry number; repeated rows are
-scored each, a label given twice counts as toxic if either says so; further columns are
-ignored.
+Labelled rows (a bounded sample, ``max_examples``, chosen by a hash of the id) span the
+space: all their words are its terms, and some stems of longer words. Document frequencies
+of these terms are counted over all documents. Terms that tell toxic texts apart (words and
+stems with a chi-squared value over ``min_chi``, taken greedily while they cover toxic
+examples that lack better terms, so that the chance words of one much copied text don't
+enter) weigh more by the root of that value; stems are terms only if they do. Words of a
+text that no example has count in its norm only. Examples become unit vectors; equal
+vectors are one entry with its counts. A text's nearest entries are exact: terms of few
+entries are summed over their postings, those of many by a matrix product in single
+precision, and entries that come near the k-th best sum are summed again in double.
+Distance-weighted votes give a raw score, which an isotonic fit over two-fold scores of the
+examples calibrates; the nearest examples' ids are the evidence.
+
+Defined results: null or empty text has no terms and gets the score of such examples (the
+share of toxic ones if there are none, 0 where there are no labels); ties in cosine go to
+the lower entry number; repeated rows are scored each, a label given twice counts as toxic
+if either says so; further columns are ignored.
 """
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import hashlib
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._spark import checkpoint, map_batches
+from ._spark import checkpoint, cut, map_batches
 from ._text import LOWER, U64, SpanHash, mix, per_doc, text_bytes
 
 MAX_EXAMPLES = 20_000
@@ -35,7 +37,8 @@ MIN_SHARE = 0.3     # of a term's examples are toxic at least
 COVER = 4           # terms wanted in a toxic example
 STEMS = (4, 5, 6, 7)  # first letters of longer words
 NEIGHBOURS = 15
-BLOCK = 64
+COMMON = 0.06       # a term of more than this share of the entries goes to the matrix
+ROUNDING = 1e-5     # more than single precision loses in a cosine
 
 _WORD = np.zeros(256, bool)
 _WORD[65:91] = _WORD[97:123] = _WORD[128:] = True
@@ -72,69 +75,117 @@ def text_terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray, int]:
 
 @dataclass
 class Index:
-    """Block-max inverted index over unit vectors; entries carry n and n_toxic."""
+    """Inverted index over unit vectors; entries carry n and n_toxic."""
 
-    terms: np.ndarray            # sorted term hashes
-    idf: np.ndarray              # of the terms and, last, of all other words
+    terms: np.ndarray            # hashes: sorted words, then sorted stems
+    idf: np.ndarray              # weights of the terms and, last, of words that are none
     n: np.ndarray
     toxic: np.ndarray
     evidence: list[int | None]
-    postings: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)   # by term: entries, weights
-    bounds: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)     # by term: blocks, highest weights
+    n_words: int = 0             # of the terms
+    first: np.ndarray | None = None      # by term: its first posting; with the end
+    entries: np.ndarray | None = None
+    weights: np.ndarray | None = None
+    column: np.ndarray | None = None     # by term: its column in the matrix or -1
+    begin: np.ndarray | None = None      # by entry: its first weight in the matrix; with the end
+    columns: np.ndarray | None = None
+    values: np.ndarray | None = None
+    norm: np.ndarray | None = None       # by entry, if its weights are roots of counts times ``idf``
     empty_rate: float = 0.0
     curve: tuple[np.ndarray, np.ndarray] | None = None
 
     @classmethod
-    def build(cls, terms, idf, vectors: list[dict[int, float]], n, toxic, evidence, empty_rate) -> "Index":
-        out = cls(terms, idf, np.asarray(n, float), np.asarray(toxic, float), evidence, empty_rate=empty_rate)
-        by: list[list[tuple[int, float]]] = [[] for _ in idf]
-        for i, v in enumerate(vectors):
-            for t, w in v.items():
-                by[t].append((i, w))
-        for own in by:
-            entries, weights = np.array([x[0] for x in own], np.int64), np.array([x[1] for x in own])
-            blocks = entries // BLOCK
-            heads = np.unique(blocks, return_index=True)[1]
-            out.postings.append((entries, weights))
-            out.bounds.append((blocks[heads], np.maximum.reduceat(weights, heads) if len(own) else weights))
+    def build(cls, terms, idf, vectors: list[dict[int, float]], n, toxic, evidence, empty_rate, n_words=0) -> "Index":
+        sizes = [len(v) for v in vectors]
+        return cls.pack(terms, idf, np.repeat(np.arange(len(vectors)), sizes),
+                        np.array([t for v in vectors for t in v], np.int64),
+                        np.array([w for v in vectors for w in v.values()], float), n, toxic, evidence, empty_rate, n_words)
+
+    @classmethod
+    def pack(cls, terms, idf, entry, term, weight, n, toxic, evidence, empty_rate, n_words, norm=None) -> "Index":
+        """From (entry, term, weight) arrays."""
+        out = cls(terms, idf, np.asarray(n, float), np.asarray(toxic, float), evidence, n_words, norm=norm, empty_rate=empty_rate)
+        n_in = np.bincount(term, minlength=len(idf))
+        many = np.flatnonzero(n_in > max(COMMON * len(out.n), NEIGHBOURS))
+        out.column = np.full(len(idf), -1, np.int32)
+        out.column[many] = np.arange(len(many))
+        wide = np.flatnonzero(out.column[term] >= 0)
+        wide = wide[np.argsort(entry[wide], kind="stable")]
+        out.begin = np.searchsorted(entry[wide], np.arange(len(out.n) + 1))
+        out.columns, out.values = _small(out.column[term[wide]]), weight[wide]
+        rest = np.flatnonzero(out.column[term] < 0)
+        rest = rest[np.lexsort((entry[rest], term[rest]))]
+        out.entries, out.weights = _small(entry[rest]), weight[rest]
+        out.first = np.searchsorted(term[rest], np.arange(len(idf) + 1)).astype(np.int32)
         return out
 
+    def _parts(self):
+        """The weights' names, with the entry and the term of each."""
+        yield "weights", self.entries, np.repeat(np.arange(len(self.idf)), np.diff(self.first))
+        yield "values", np.repeat(np.arange(len(self.n)), np.diff(self.begin)), np.flatnonzero(self.column >= 0)[self.columns]
+
+    def __getstate__(self):
+        state = {k: v for k, v in self.__dict__.items() if k != "_matrix"}
+        if self.norm is not None:  # counts are a fraction of the weights' bytes
+            for name, entry, term in self._parts():
+                state[name] = _small(np.rint((state[name] * self.norm[entry] / self.idf[term]) ** 2).astype(np.int64))
+        return state
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        if self.norm is not None:
+            for name, entry, term in self._parts():
+                setattr(self, name, np.sqrt(state[name].astype(float)) * self.idf[term] / self.norm[entry])
+
+    @property
+    def matrix(self) -> np.ndarray:
+        """(term of many entries, entry), in single precision; made where it is used."""
+        if "_matrix" not in self.__dict__:
+            self._matrix = np.zeros((int(self.column.max(initial=-1)) + 1, len(self.n)), np.float32)
+            self._matrix[self.columns, np.repeat(np.arange(len(self.n)), np.diff(self.begin))] = self.values
+        return self._matrix
+
+    def search(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int = NEIGHBOURS) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each vector (terms, weights) the k entries with the highest cosine above
+        zero, exactly, and their cosines."""
+        wide = np.zeros((len(vectors), len(self.matrix)))
+        for q, (terms, weights) in zip(wide, vectors, strict=True):
+            column = self.column[terms]
+            q[column[column >= 0]] = weights[column >= 0]
+        rough = wide.astype(np.float32) @ self.matrix
+        return [self._best(terms, weights, q, r, k) for (terms, weights), q, r in zip(vectors, wide, rough, strict=True)]
+
+    def _best(self, terms, weights, wide, rough, k):
+        at, sizes = _spans(self.first[terms], self.first[terms + 1])
+        scores = np.bincount(self.entries[at], self.weights[at] * np.repeat(weights, sizes), minlength=len(self.n))
+        near = scores + rough
+        known = np.partition(near, -k)[-k] if len(near) > k else 0.0
+        some = np.flatnonzero(near >= known - ROUNDING)
+        at, sizes = _spans(self.begin[some], self.begin[some + 1])
+        exact = scores[some] + np.bincount(np.repeat(np.arange(len(some)), sizes), self.values[at] * wide[self.columns[at]],
+                                           minlength=len(some))
+        hit = exact > 0
+        some, exact = some[hit], exact[hit]
+        best = np.lexsort((some, -exact))[:k]
+        return some[best], exact[best]
+
     def nearest(self, vector: dict[int, float], k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
-        """The k entries with the highest cosine above zero, exactly, and their cosines."""
-        n_blocks = len(self.n) // BLOCK + 1
-        upper = np.zeros(n_blocks)
-        for t, w in vector.items():
-            blocks, highest = self.bounds[t]
-            upper[blocks] += w * highest
-        # a few best blocks give a k-th best cosine; blocks bounded below it are skipped
-        first = np.zeros(n_blocks, bool)
-        first[np.argsort(-upper, kind="stable")[:4]] = True
-        scores = self._scores(vector, first)
-        known = np.partition(scores, -k)[-k] if len(scores) > k else 0.0
-        scores = self._scores(vector, (upper >= known * (1 - 1e-12)) & (upper > 0))
-        hit = np.flatnonzero(scores > 0)
-        best = hit[np.lexsort((hit, -scores[hit]))[:k]]
-        return best, scores[best]
-
-    def _scores(self, vector: dict[int, float], blocks: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(blocks) * BLOCK)
-        for t, w in vector.items():
-            entries, weights = self.postings[t]
-            inside = blocks[entries // BLOCK]
-            out[entries[inside]] += w * weights[inside]
+        return self.search([(np.array(list(vector), np.int64), np.array(list(vector.values()), float))], k)[0]
+
+    def raw(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[float, list[int]]]:
+        """For each: distance-weighted share of toxic examples among the nearest; their ids."""
+        out: list[tuple[float, list[int]]] = [(self.empty_rate, [])] * len(vectors)
+        full = [i for i, (terms, _) in enumerate(vectors) if len(terms)]
+        for start in range(0, len(full), 64):
+            some = full[start: start + 64]
+            for i, (ids, cosines) in zip(some, self.search([vectors[i] for i in some]), strict=True):
+                weight = self.n[ids] / (1.02 - np.minimum(cosines, 1))
+                rate = self.toxic[ids] / self.n[ids]
+                # the rate of examples without words votes like one neighbour at cosine 0
+                score = (float(weight @ rate) + self.empty_rate / 1.02) / (float(weight.sum()) + 1 / 1.02)
+                out[i] = score, [self.evidence[j] for j in ids[:3] if self.evidence[j] is not None]
         return out
 
-    def raw(self, vector: dict[int, float]) -> tuple[float, list[int]]:
-        """Distance-weighted share of toxic examples among the nearest; their ids."""
-        if len(vector) < 2:  # no term but the other words
-            return self.empty_rate, []
-        ids, cosines = self.nearest(vector)
-        weight = self.n[ids] / (1.02 - np.minimum(cosines, 1))
-        rate = self.toxic[ids] / self.n[ids]
-        # the rate of examples without terms votes like one neighbour at cosine 0
-        score = (float(weight @ rate) + self.empty_rate / 1.02) / (float(weight.sum()) + 1 / 1.02)
-        return score, [self.evidence[i] for i in ids[:3] if self.evidence[i] is not None]
-
     def score(self, raw: float) -> float:
         # a small share of the raw score keeps the order within a pooled block
         return 0.98 * float(np.interp(raw, *self.curve)) + 0.02 * raw if self.curve else raw
@@ -145,6 +196,18 @@ class Index:
         return {t: w / norm for t, w in sorted(v.items())} if norm else {}
 
 
+def _small(x: np.ndarray) -> np.ndarray:
+    """The same numbers, none below zero, in the smallest type."""
+    return x.astype(np.min_scalar_type(int(x.max(initial=0))))
+
+
+def _spans(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All places of these ranges one behind the other, and the sizes of the ranges."""
+    sizes = end - begin
+    stop = np.cumsum(sizes)
+    return np.arange(stop[-1] if len(stop) else 0) + np.repeat(begin - stop + sizes, sizes), sizes
+
+
 def isotonic(raw: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Knots (raw score, pooled rate) at both ends of every pooled block."""
     blocks: list[list[float]] = []  # lowest and highest raw score, toxic ones, all
@@ -184,20 +247,37 @@ def choose_terms(rows: list[tuple[int, bool, list[int]]], chi: dict[int, float],
 
 # ------------------------------------------------------------------ fitting on Spark
 
-def _selected(column: pa.Array, terms: np.ndarray) -> list[dict[int, int]]:
-    """Counts of the chosen terms in each text; under the next number, all its words."""
-    n = len(column)
+def _sorted_terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Each text's distinct words, then its distinct stems: (hash, document, is a stem, count)."""
     found, doc, n_words = text_terms(column)
-    size = np.bincount(doc[:n_words], minlength=n)
-    rounded = np.where(size > 0, np.round(2 ** (np.round(2 * np.log2(np.maximum(size, 1))) / 2)), 0).astype(int)
-    out: list[dict[int, int]] = [{len(terms): c} if c else {} for c in rounded.tolist()]
-    if len(terms):
-        at = np.minimum(np.searchsorted(terms, found), len(terms) - 1)
-        hit = terms[at] == found
-        keys, counts = np.unique(doc[hit] * len(terms) + at[hit], return_counts=True)
-        for key, c in zip(keys.tolist(), counts.tolist(), strict=True):
-            out[key // len(terms)][key % len(terms)] = c
-    return out
+    stem = np.arange(len(found)) >= n_words
+    order = np.lexsort((found, stem, doc))
+    found, doc, stem = found[order], doc[order], stem[order]
+    new = np.ones(len(found), bool)
+    new[1:] = (found[1:] != found[:-1]) | (doc[1:] != doc[:-1]) | (stem[1:] != stem[:-1])
+    at = np.flatnonzero(new)
+    return found[at], doc[at], stem[at], np.diff(np.append(at, len(found)))
+
+
+def _places(found: np.ndarray, terms: np.ndarray, low: int, high: int) -> np.ndarray:
+    """The number of each hash among terms[low:high], -1 if it is none."""
+    if low == high:
+        return np.full(len(found), -1)
+    at = np.minimum(np.searchsorted(terms[low:high], found), high - low - 1) + low
+    return np.where(terms[at] == found, at, -1)
+
+
+def _counts(column: pa.Array, terms: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The first entry of each text, with the end; its terms and their counts. The number
+    behind the last term stands for all words that are none."""
+    found, doc, here = text_terms(column)
+    words = _places(found[:here], terms, 0, n_words)
+    place = np.concatenate([np.where(words < 0, len(terms), words), _places(found[here:], terms, n_words, len(terms))])
+    inside = place >= 0
+    key = np.sort(doc[inside] * (len(terms) + 1) + place[inside])
+    at = np.flatnonzero(np.append(True, key[1:] != key[:-1])[:len(key)])
+    doc, place = np.divmod(key[at], len(terms) + 1)
+    return per_doc(doc, len(column)), place, np.diff(np.append(at, len(key)))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
@@ -212,14 +292,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         known = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * max_examples / n_known))
 
     def terms_of(batch):
-        found, doc, _ = text_terms(batch.column(2))
-        order = np.lexsort((found, doc))
-        found, doc = found[order], doc[order]
-        new = np.ones(len(found), bool)
-        new[1:] = (found[1:] != found[:-1]) | (doc[1:] != doc[:-1])
-        found, doc = found[new].view(np.int64), doc[new]
-        first = per_doc(doc, batch.num_rows)
-        lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(found))
+        found, doc, _, _ = _sorted_terms(batch.column(2))
+        lists = pa.ListArray.from_arrays(pa.array(per_doc(doc, batch.num_rows), pa.int32()), pa.array(found.view(np.int64)))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], names=["doc_id", "toxic", "terms"])
 
     # at most about max_examples rows of two numbers: bounded, so sent to every task
@@ -251,50 +325,98 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     small = examples.mapInArrow(only_told, "doc_id bigint, toxic int, terms array<bigint>")
     rows_seen = [(r["doc_id"], bool(r["toxic"]), r["terms"]) for r in small.filter("toxic = 1").collect()]
-    terms = choose_terms(rows_seen, values)
-
+    telling = choose_terms(rows_seen, values)
+
+    telling_list = spark.sparkContext.broadcast(telling)
+
+    def words_of(batch):  # and telling stems
+        found, doc, stem, count = _sorted_terms(batch.column(2))
+        stays = ~stem | np.isin(found, telling_list.value)
+        first = pa.array(per_doc(doc[stays], batch.num_rows), pa.int32())
+        kept = (found.view(np.int64)[stays], stem[stays], count[stays].astype(np.int32))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1),
+                                          *(pa.ListArray.from_arrays(first, pa.array(x)) for x in kept)],
+                                         names=["doc_id", "toxic", "terms", "stems", "counts"])
+
+    # the sample is bounded, so its words are too
+    sample = map_batches(chosen, words_of, "doc_id bigint, toxic int, terms array<bigint>, stems array<boolean>, "
+                                           "counts array<int>").toArrow()
+    ids, is_toxic = sample["doc_id"].to_numpy(), sample["toxic"].to_numpy()
+    size = np.concatenate([np.diff(x.offsets.to_numpy()) for x in sample["terms"].chunks])
+    order = np.argsort(ids, kind="stable")
+    start = np.cumsum(size) - size
+    at, _ = _spans(start[order], (start + size)[order])
+    ids, is_toxic, size = ids[order], is_toxic[order], size[order]
+    found, stem, count = (np.concatenate([x.flatten().to_numpy(zero_copy_only=False) for x in sample[c].chunks])[at]
+                          for c in ("terms", "stems", "counts"))
+    del sample, at
+    found = found.view(U64)
+    words = np.unique(found[~stem])
+    n_words = len(words)
+    terms = np.concatenate([words, np.setdiff1d(telling, words)])
     shared = spark.sparkContext.broadcast(terms)
 
-    def frequencies(batch):
-        counts = np.zeros(len(shared.value), np.int64)
-        for one in _selected(batch.column(0), shared.value):
-            for t in one:
-                if t < len(counts):
-                    counts[t] += 1
+    def frequencies(batches):
+        counts, n = np.zeros(len(shared.value), np.int64), 0
+        for batch in (part for whole in batches for part in cut(whole)):
+            _, place, _ = _counts(batch.column(0), shared.value, n_words)
+            counts += np.bincount(place, minlength=len(counts) + 1)[:-1]
+            n += batch.num_rows
         yield pa.RecordBatch.from_arrays([pa.array(np.append(np.flatnonzero(counts), -1).astype(np.int32)),
-                                          pa.array(np.append(counts[counts > 0], batch.num_rows))], names=["term", "n"])
-
-    df = {r["term"]: r["n"] for r in map_batches(rows.select("text"), frequencies, "term int, n bigint")
-          .groupBy("term").agg(F.sum("n").alias("n")).collect()}
-    idf = np.log((1 + df.get(-1, 0)) / (1 + np.array([df.get(i, 0) for i in range(len(terms))], float))) + 1
-    idf = np.append(idf, 1.0)  # every text has other words
-
-    def example_vectors(batch):
-        found = _selected(batch.column(2), shared.value)
-        yield pa.RecordBatch.from_arrays([
-            batch.column(0), batch.column(1),
-            pa.array([[x for t, c in sorted(v.items()) for x in (t, c)] for v in found], pa.list_(pa.int32()))],
-            names=["doc_id", "toxic", "vector"])
-
-    entries = (map_batches(chosen, example_vectors, "doc_id bigint, toxic int, vector array<int>").groupBy("vector")
-               .agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic"), F.min("doc_id").alias("doc_id")).collect())
-    entries.sort(key=lambda r: r["doc_id"])
-    bare = [r for r in entries if len(r["vector"]) < 4]
-    full = [r for r in entries if len(r["vector"]) >= 4]
-    empty_rate = sum(r["toxic"] for r in bare) / sum(r["n"] for r in bare) if bare else rate
-    index = Index.build(terms, idf, [], [], [], [], empty_rate)
-    vectors = [index.vector(dict(zip(r["vector"][::2], r["vector"][1::2], strict=True))) for r in full]
-
-    def part(of):
-        some = [(v, r) for i, (v, r) in enumerate(zip(vectors, full, strict=True)) if i % 2 == of or of < 0]
-        return Index.build(terms, idf, [v for v, _ in some], [r["n"] for _, r in some], [r["toxic"] for _, r in some],
-                           [r["doc_id"] for _, r in some], empty_rate)
-
-    halves = [part(1), part(0)]
-    raw = np.array([halves[i % 2].raw(v)[0] for i, v in enumerate(vectors)] + [empty_rate] * len(bare))
-    counted = full + bare
-    out = part(-1)
-    out.curve = isotonic(raw, np.array([r["toxic"] for r in counted], float), np.array([r["n"] for r in counted], float))
+                                          pa.array(np.append(counts[counts > 0], n))], names=["term", "n"])
+
+    df = (rows.select("text").mapInArrow(frequencies, "term int, n bigint")
+          .groupBy("term").agg(F.sum("n").alias("n")).toArrow())
+    at, times = df["term"].to_numpy(), df["n"].to_numpy()
+    frequency = np.zeros(len(terms))
+    frequency[at[at >= 0]] = times[at >= 0]
+    # a word that no example has weighs like one of a single document
+    idf = np.log((1 + times[at < 0].sum()) / (1 + np.append(frequency, 1))) + 1
+    for i in np.flatnonzero(np.isin(terms, telling)):
+        idf[i] *= 1 + np.sqrt(values[int(terms[i].view(np.int64))])
+
+    place = _places(found, terms, 0, n_words).astype(np.int32)
+    place[stem] = _places(found[stem], terms, n_words, len(terms))
+    del found, stem, words
+    doc = np.repeat(np.arange(len(size), dtype=np.int32), size)
+    first = per_doc(doc, len(size))
+    # equal vectors are one entry; examples without words none
+    numbers: dict[tuple[bytes, bytes], int] = {}
+    entry = np.full(len(size), -1)
+    for i in range(len(size)):
+        own = slice(first[i], first[i + 1])
+        if own.stop > own.start:
+            entry[i] = numbers.setdefault((place[own].tobytes(), count[own].tobytes()), len(numbers))
+    full, heads = np.unique(entry[entry >= 0], return_index=True)
+    heads = np.flatnonzero(entry >= 0)[heads]
+    n_of = np.bincount(entry[entry >= 0], minlength=len(full))
+    toxic_of = np.bincount(entry[entry >= 0], is_toxic[entry >= 0], minlength=len(full))
+    ids = ids[heads]
+    bare_n, bare_toxic = int((entry < 0).sum()), int(is_toxic[entry < 0].sum())
+    empty_rate = bare_toxic / bare_n if bare_n else rate
+    once_each = np.isin(doc, heads)
+    owner, term = entry[doc[once_each]].astype(np.int32), place[once_each]
+    weight = np.sqrt(count[once_each]) * idf[term]
+    del doc, place, count, once_each
+    norm = np.sqrt(np.bincount(owner, weight ** 2, minlength=len(full)))
+    weight /= norm[owner]
+
+    def part(some):
+        number = np.cumsum(some) - 1
+        here = some[owner]
+        return Index.pack(terms, idf, number[owner[here]], term[here], weight[here], n_of[some], toxic_of[some],
+                          ids[some].tolist(), empty_rate, n_words, norm[some])
+
+    even = np.arange(len(full)) % 2 == 0
+    of = np.searchsorted(owner, np.arange(len(full) + 1))
+    vectors = [(term[of[i]: of[i + 1]], weight[of[i]: of[i + 1]]) for i in range(len(full))]
+    raw = np.zeros(len(full))
+    for own in (even, ~even):
+        raw[own] = [x[0] for x in part(~own).raw([vectors[i] for i in np.flatnonzero(own)])]
+    out = part(np.ones(len(full), bool))
+    extra = [bare_n] if bare_n else []
+    out.curve = isotonic(np.append(raw, [empty_rate] * len(extra)), np.append(toxic_of, [bare_toxic] * len(extra)),
+                         np.append(n_of, extra).astype(float))
     return out
 
 
@@ -306,16 +428,18 @@ def score_documents(docs: DataFrame, index: Index, id_col: str = "doc_id", text_
     def run(batch):
         known = shared.value
         cache = _CACHE.setdefault(id(known), {})
-        scores, evidence = [], []
-        for counts in _selected(batch.column(1), known.terms):
-            key = tuple(sorted(counts.items()))
-            if key not in cache:
-                if len(cache) > 100_000:
-                    cache.clear()
-                raw, ids = known.raw(known.vector(counts))
-                cache[key] = (known.score(raw), ids)
-            scores.append(cache[key][0])
-            evidence.append(cache[key][1])
+        if len(cache) > 100_000:
+            cache.clear()
+        first, terms, counts = _counts(batch.column(1), known.terms, known.n_words)
+        weights = np.sqrt(counts) * known.idf[terms]
+        doc = np.repeat(np.arange(batch.num_rows), np.diff(first))
+        weights /= np.sqrt(np.bincount(doc, weights ** 2, minlength=batch.num_rows))[doc]
+        spans = [slice(a, b) for a, b in zip(first[:-1], first[1:], strict=True)]
+        keys = [hashlib.sha256(terms[x].tobytes() + counts[x].tobytes()).digest() for x in spans]
+        new = {key: x for key, x in zip(keys, spans, strict=True) if key not in cache}
+        for key, (raw, ids) in zip(new, known.raw([(terms[x], weights[x]) for x in new.values()]), strict=True):
+            cache[key] = known.score(raw), ids
+        scores, evidence = [cache[key][0] for key in keys], [cache[key][1] for key in keys]
         yield pa.RecordBatch.from_arrays([
             batch.column(0), pa.array(scores, pa.float64()), pa.array([int(s >= threshold) for s in scores], pa.int32()),
             pa.array(evidence, pa.list_(pa.int64()))], names=["doc_id", "score", "predicted", "evidence"])
