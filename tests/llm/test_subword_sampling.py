@@ -94,3 +94,13 @@ def test_on_spark(spark):
     one = [(r.sample, r.ids) for r in rows if r.doc_id == 4]
     assert one[: len(one) // 2] == one[len(one) // 2:]
     assert s.sample_segmentations(df.limit(0), PATH).count() == 0
+
+
+def test_query_takes_every_document_and_turn(spark):
+    from tidewater.llm.queries import op5_sentencepiece
+    sf = "/root/testdata/sf0.001"
+    got = op5_sentencepiece(spark, sf).filter("sample = 0").select("input", "doc_id", "round_trip").collect()
+    docs = [("documents", r.doc_id) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    turns = [("conversations", r.conv_id * 1_000_000 + r.turn) for r in spark.read.parquet(f"{sf}/conversations.parquet").collect()]
+    assert sorted((r.input, r.doc_id) for r in got) == sorted(docs + turns)
+    assert all(r.round_trip for r in got)

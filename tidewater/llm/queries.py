@@ -39,11 +39,13 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two distinct segmentations of every conversation turn."""
-    turns = (table(spark, sf_dir, "conversations")
-             .select((F.col("conv_id") * 1_000_000 + F.col("turn")).alias("doc_id"), "text"))
-    return (subword_sampling.sample_segmentations(turns, tokenizer_file("piece_bpe_32k.model"), k=2)
-            .withColumnRenamed("doc_id", "turn_key"))
+    """Two distinct segmentations of every document and of every conversation turn."""
+    texts = {"documents": table(spark, sf_dir, "documents").select("doc_id", "text"),
+             "conversations": (table(spark, sf_dir, "conversations")
+                               .select((F.col("conv_id") * 1_000_000 + F.col("turn")).alias("doc_id"), "text"))}
+    parts = [subword_sampling.sample_segmentations(rows, tokenizer_file("piece_bpe_32k.model"), k=2)
+             .withColumn("input", F.lit(name)) for name, rows in texts.items()]
+    return parts[0].unionByName(parts[1])
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
