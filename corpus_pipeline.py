@@ -24,8 +24,8 @@ def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by the n-gram Jaccard join."""
-    return ngram_join.drop_near_copies(docs)
+    """One document of each group linked by the Jaccard join of five-word shingles at 0.8."""
+    return ngram_join.drop_near_copies(docs, rule=ngram_join.Similarity(words=5, percent=80))
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
