@@ -82,3 +82,16 @@ def test_clean_share_of_the_given_table(spark):
     rows = q.judge_documents(docs).agg(F.avg(F.col("kept").cast("int")).alias("kept"),
                                        F.avg(F.col("base_failed").cast("int")).alias("base")).first()
     assert rows.kept > 0.75 * (1 - rows.base)
+
+
+def test_a_phrase_fails_short_lines_and_lines_full_of_phrases_only(spark):
+    body = " ".join(f"word{i} other{i * 7}." for i in range(1500))
+    short = body[:2000]
+    footer = " ".join(["Privacy Policy", "Terms of Use", "All rights reserved.", "one two three four"] * 3)
+    rows = [(1, f"{body} You can read more in chapter two, or log in."),  # one long line that mentions some
+            (2, f"{short}\nthe blog in question"), (3, f"{short}\na catalog indeed"), (4, f"{short}\nto spread moreover"),
+            (5, f"{short}\nplease (Log in)!"), (6, f"{short}\n{footer}")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: (r.n_failed_lines, r.kept) for r in q.judge_documents(df).collect()}
+    assert got == {1: (0, True), 2: (0, True), 3: (0, True), 4: (0, True), 5: (1, True), 6: (1, True)}
+    assert {r.doc_id: r.text for r in q.clean_documents(df).collect()}[1] == rows[0][1]

@@ -38,6 +38,8 @@ class LineRules:
     min_shouting: int = 8       # ... among so many words at least
     nav_separators: float = 0.3  # navigation: share of words that are bare separators
     min_nav: int = 6            # ... among so many words at least
+    phrase_words: float = 0.2   # boilerplate: share of words that belong to phrases
+    max_phrase_line: int = 20   # ... or one phrase in a line of so many words at most
     max_lost: float = 0.4       # a document that loses more of its word characters is rejected
     phrases: tuple[str, ...] = field(default=BOILERPLATE)
 
@@ -47,6 +49,9 @@ _IS_SYMBOL[list(SYMBOLS)] = True
 _IS_SEPARATOR = np.zeros(256, bool)
 _IS_SEPARATOR[list(b"|>/-*")] = True
 
+_IN_WORD = np.zeros(256, bool)
+_IN_WORD[48:58] = _IN_WORD[65:91] = _IN_WORD[97:123] = _IN_WORD[128:] = True
+
 
 def _sums(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     total = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
@@ -111,14 +116,17 @@ def analyse(column: pa.Array, rules: LineRules = LineRules()) -> dict[str, np.nd
     punctuation = (_sums(symbolic, w0, w1) > rules.symbol_words * share) | (
         (cased_words >= rules.min_shouting) & (_sums(loud, w0, w1) > rules.shouting_words * cased_words))
     navigation = (line_words >= rules.min_nav) & (_sums(bare, w0, w1) > rules.nav_separators * share)
-    boilerplate = np.zeros(len(line_start), bool)
+    in_phrase = np.zeros(len(starts), bool)
     lowered = LOWER[data].tobytes()
     for phrase in rules.phrases:
         text, at = phrase.encode(), -1
         while (at := lowered.find(text, at + 1)) >= 0:
             line = np.searchsorted(line_start, at, "right") - 1
-            if at + len(text) <= line_end[line]:
-                boilerplate[line] = True
+            if (at + len(text) <= line_end[line] and (at == line_start[line] or not _IN_WORD[data[at - 1]])
+                    and (at + len(text) == line_end[line] or not _IN_WORD[data[at + len(text)]])):
+                in_phrase[np.searchsorted(starts, at, "right") - 1: np.searchsorted(starts, at + len(text))] = True
+    phrase_words = _sums(in_phrase, w0, w1)
+    boilerplate = (phrase_words > 0) & ((line_words <= rules.max_phrase_line) | (phrase_words > rules.phrase_words * share))
     duplicate = np.zeros(len(line_start), bool)
     duplicate[lines[dup]] = True
     failed = (line_words > 0) & (punctuation | navigation | boilerplate | duplicate)
