@@ -68,3 +68,26 @@ def test_table_compares_content():
     assert [t.entry(hashlib.sha256(b"%d" % i).digest(), b"%d" % i) for i in range(100)] == [[i] for i in range(100)]
     with pytest.raises(ValueError):
         t.entry(hashlib.sha256(b"1").digest(), b"other")
+
+
+def test_rows_of_one_id_that_differ_in_white_space(spark):
+    df = spark.createDataFrame([(1, "a b", ""), (1, "a  b", ""), (1, "a\t b", "")], SCHEMA).coalesce(1)
+    got = x.exact_groups(df).collect()
+    assert len(got) == 3 and sum(r.kept for r in got) == 1 and {r.keep_id for r in got} == {1}
+    assert [len(r.text) for r in x.drop_copies(df).collect()] == [4]
+
+
+def test_rows_that_come_from_a_shuffle_lose_no_group(spark):
+    from pyspark.sql import functions as F
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "300k")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    try:
+        df = (spark.range(2000).repartition(3).groupBy(F.col("id").alias("doc_id"))
+              .agg(F.concat(F.lit("t "), F.first(F.col("id") % 1500).cast("string")).alias("text"),
+                   F.first(F.expr("array_join(transform(sequence(1, 60), i -> md5(cast(id * i as string))), '')")).alias("kept")))
+        assert sorted(r.doc_id for r in x.drop_copies(df).collect()) == list(range(1500))
+        assert sorted(r.doc_id for r in x.exact_groups(df).collect() if r.kept) == list(range(1500))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.parallelismFirst")

@@ -4,7 +4,8 @@ Map side, each task folds its rows into one record per distinct content, so a gr
 copies sends at most one record per task. The records are dealt by content hash; each
 bucket is read as a stream and, while it is too large for its table, split again by
 further hash bits into spill files. A bucket that fits goes into an open-addressing table
-whose probes compare the complete content. Winners come back to the rows by SHA-256.
+whose probes compare the complete content. Winners come back to the rows by SHA-256, length
+and id, never by where a row was read: two scans of one table may split it differently.
 
 Spill files belong to one task, live in a folder removed with it, and are written anew
 when the task is retried; nothing else reads them.
@@ -22,10 +23,9 @@ import pickle
 import tempfile
 
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, IntegerType, LongType, StringType, StructType
+from pyspark.sql.types import LongType, StringType, StructType
 
 from ._spark import cut
 
@@ -36,8 +36,6 @@ TABLE_BYTES = 48_000_000
 FANOUT = 16
 NO_ID = 1 << 62
 
-_WORST = (1, 0, 0)
-
 
 class ContentTable:
     """Open addressing with linear probing; a hit needs equal complete content."""
@@ -83,7 +81,7 @@ def _content(text: str | None) -> bytes:
 
 
 def _fold(value: list, count: int, rank: tuple) -> None:
-    """value: [count, best rank]; the rank is (-length, id, task)."""
+    """value: [count, best rank]; the rank is (-length, id)."""
     if value:
         value[0] += count
         value[1] = min(value[1], rank)
@@ -91,18 +89,17 @@ def _fold(value: list, count: int, rank: tuple) -> None:
         value += [count, rank]
 
 
-_RECORD = "digest binary, content binary, n bigint, n_chars bigint, id bigint, task int"
+_RECORD = "digest binary, content binary, n bigint, n_chars bigint, id bigint"
 
 
 def _map_side(batches):
     """(id, text) rows to one record per distinct content and table filling."""
-    task = TaskContext.get().partitionId()
     table = ContentTable()
     for batch in batches:
         for part in cut(batch):
             for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                 content = _content(text)
-                rank = (-len(text or ""), NO_ID if key is None else key, task)
+                rank = (-len(text or ""), NO_ID if key is None else key)
                 _fold(table.entry(hashlib.sha256(content).digest(), content), 1, rank)
             if table.bytes > TABLE_BYTES // 2 or len(table.values) > 200_000:
                 yield from _records(table)
@@ -119,8 +116,8 @@ def _records(table: ContentTable, step: int = 2_000_000):
                 yield pa.RecordBatch.from_arrays([
                     pa.array(table.digests[start:i], pa.binary()), pa.array(table.contents[start:i], pa.binary()),
                     pa.array([x[0] for x in v], pa.int64()), pa.array([-x[1][0] for x in v], pa.int64()),
-                    pa.array([x[1][1] for x in v], pa.int64()), pa.array([x[1][2] for x in v], pa.int32())],
-                    names=["digest", "content", "n", "n_chars", "id", "task"])
+                    pa.array([x[1][1] for x in v], pa.int64())],
+                    names=["digest", "content", "n", "n_chars", "id"])
             start, size = i, 0
         if i < len(table.values):
             size += len(table.contents[i]) + 64
@@ -168,43 +165,33 @@ def _spilled(path: str):
                 return
 
 
-def _bucket_side(limit: int, names: tuple = ("text_sha256", "keep_id", "group_size", "keep_chars", "keep_task")):
+def _bucket_side(limit: int, names: tuple = ("text_sha256", "keep_id", "group_size", "keep_chars")):
     def run(batches):
         def records():
             for batch in batches:
                 for part in cut(batch):
-                    for d, c, n, chars, key, task in zip(*(col.to_pylist() for col in part.columns), strict=True):
-                        yield d, c, n, (-chars, key, task)
+                    for d, c, n, chars, key in zip(*(col.to_pylist() for col in part.columns), strict=True):
+                        yield d, c, n, (-chars, key)
         for table in _resolve(records(), 0, limit):
             v = table.values
             for i in range(0, len(v), 20_000):
                 some = v[i: i + 20_000]
                 yield pa.RecordBatch.from_arrays([
                     pa.array([d.hex() for d in table.digests[i: i + 20_000]]),
-                    pa.array([None if x[1][1] == NO_ID else x[1][1] for x in some], pa.int64()),
-                    pa.array([x[0] for x in some], pa.int64()), pa.array([-x[1][0] for x in some], pa.int64()),
-                    pa.array([x[1][2] for x in some], pa.int32())],
+                    pa.array([x[1][1] for x in some], pa.int64()),
+                    pa.array([x[0] for x in some], pa.int64()), pa.array([-x[1][0] for x in some], pa.int64())],
                     names=list(names))
     return run
 
 
 def _digests(batches):
-    """(id, text) rows to (id, digest, length, task, whether an equal row came before)."""
-    task = TaskContext.get().partitionId()
-    seen: set = set()
+    """(id, text) rows to (id, digest, length)."""
     for batch in batches:
         for part in cut(batch):
-            keys, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
-            hexes = [hashlib.sha256(_content(t)).hexdigest() for t in texts]
-            again = []
-            for key, h in zip(keys, hexes, strict=True):
-                mark = hash((key, h))
-                again.append(mark in seen)
-                seen.add(mark)
+            texts = part.column(1).to_pylist()
             yield pa.RecordBatch.from_arrays([
-                part.column(0), pa.array(hexes), pa.array([len(t or "") for t in texts], pa.int64()),
-                pa.array([task] * len(keys), pa.int32()), pa.array(again)],
-                names=["doc_id", "text_sha256", "chars", "task", "again"])
+                part.column(0), pa.array([hashlib.sha256(_content(t)).hexdigest() for t in texts], pa.string()),
+                pa.array([len(t or "") for t in texts], pa.int64())], names=["doc_id", "text_sha256", "chars"])
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -214,47 +201,37 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # dealt by content: no key of a record is shared by more than one record per map task
     dealt = rows.mapInArrow(_map_side, _RECORD).repartition("digest")
     winners = dealt.mapInArrow(
-        _bucket_side(table_bytes),
-        "text_sha256 string, keep_id bigint, group_size bigint, keep_chars bigint, keep_task int")
-    each = rows.mapInArrow(_digests, "doc_id bigint, text_sha256 string, chars bigint, task int, again boolean")
-    kept = (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("chars") == F.col("keep_chars"))
-            & (F.col("task") == F.col("keep_task")) & ~F.col("again"))
+        _bucket_side(table_bytes), "text_sha256 string, keep_id bigint, group_size bigint, keep_chars bigint")
+    # rows repeated under one id are alike in all that is returned: counted, then one of them stays
+    each = (rows.mapInArrow(_digests, "doc_id bigint, text_sha256 string, chars bigint")
+            .groupBy("doc_id", "text_sha256", "chars").agg(F.count(F.lit(1)).alias("__times")))
+    stays = (F.coalesce("doc_id", F.lit(NO_ID)) == F.col("keep_id")) & (F.col("chars") == F.col("keep_chars"))
     return (each.join(winners.hint("merge"), "text_sha256")
-            .select("doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256"))
+            .select("*", F.explode(F.sequence(F.lit(1), F.col("__times"))).alias("__time"))
+            .select("doc_id", F.when(F.col("keep_id") != NO_ID, F.col("keep_id")).alias("keep_id"), "group_size",
+                    (stays & (F.col("__time") == 1)).alias("kept"), "text_sha256"))
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 table_bytes: int = TABLE_BYTES) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     names = docs.columns
-    extra = ["__sha", "__chars", "__task", "__again"]
+    won = ["__sha", "__id", "__chars"]
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     winners = (rows.mapInArrow(_map_side, _RECORD).repartition("digest").mapInArrow(
-        _bucket_side(table_bytes, ("__won_sha", "__won_id", "group_size", "__won_chars", "__won_task")),
-        "__won_sha string, __won_id bigint, group_size bigint, __won_chars bigint, __won_task int")
-        .drop("group_size"))
+        _bucket_side(table_bytes, ("__sha", "__id", "group_size", "__chars")),
+        "__sha string, __id bigint, group_size bigint, __chars bigint").drop("group_size"))
 
     def digests(batches):
-        task = TaskContext.get().partitionId()
-        seen: set = set()
         for batch in (part for whole in batches for part in cut(whole)):
-            keys = batch.column(names.index(id_col)).to_pylist()
             texts = batch.column(names.index(text_col)).to_pylist()
-            hexes = [hashlib.sha256(_content(t)).hexdigest() for t in texts]
-            again = []
-            for key, h in zip(keys, hexes, strict=True):
-                mark = hash((key, h))
-                again.append(mark in seen)
-                seen.add(mark)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(hexes), pa.array([len(t or "") for t in texts], pa.int64()),
-                 pa.array([task] * len(keys), pa.int32()), pa.array(again)], names=[*names, *extra])
-
-    schema = StructType([*docs.schema.fields])
-    for name, kind in zip(extra, (StringType(), LongType(), IntegerType(), BooleanType()), strict=True):
-        schema = schema.add(name, kind)
-    each = docs.mapInArrow(digests, schema)
-    stays = ((F.col("__sha") == F.col("__won_sha")) & F.col(id_col).cast("bigint").eqNullSafe(F.col("__won_id"))
-             & (F.col("__chars") == F.col("__won_chars")) & (F.col("__task") == F.col("__won_task")))
-    return each.filter(~F.col("__again")).join(winners.hint("merge"), stays, "left_semi").select(*names)
+                [*batch.columns, pa.array([hashlib.sha256(_content(t)).hexdigest() for t in texts], pa.string()),
+                 pa.array([len(t or "") for t in texts], pa.int64())], names=[*names, "__sha", "__chars"])
+
+    schema = StructType([*docs.schema.fields]).add("__sha", StringType()).add("__chars", LongType())
+    each = (docs.mapInArrow(digests, schema)
+            .withColumn("__id", F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID))))
+    # only rows repeated under the winner's id are left to choose from
+    return each.join(winners.hint("merge"), won, "left_semi").dropDuplicates(won).select(*names)
