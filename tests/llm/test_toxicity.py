@@ -112,3 +112,11 @@ def _plain_words(text):
     from collections import Counter
     lowered = "".join(c.lower() if c.isascii() else c for c in text or "")
     return Counter(re.findall(r"[a-z\u0080-\U0010ffff]+", lowered))
+
+
+def test_each_index_keeps_its_own_results():
+    import pickle
+    one, other = (t.Index.build(np.zeros(0, np.uint64), np.ones(1), [], [], [], [], 0.0) for _ in range(2))
+    one.cache["key"] = 1
+    assert one.cache == {"key": 1} and other.cache == {} and pickle.loads(pickle.dumps(one)).cache == {}
+    assert not hasattr(t, "_CACHE")

@@ -125,7 +125,7 @@ class Index:
         yield "values", np.repeat(np.arange(len(self.n)), np.diff(self.begin)), np.flatnonzero(self.column >= 0)[self.columns]
 
     def __getstate__(self):
-        state = {k: v for k, v in self.__dict__.items() if k != "_matrix"}
+        state = {k: v for k, v in self.__dict__.items() if k not in ("_matrix", "_cache")}
         if self.norm is not None:  # counts are a fraction of the weights' bytes
             for name, entry, term in self._parts():
                 state[name] = _small(np.rint((state[name] * self.norm[entry] / self.idf[term]) ** 2).astype(np.int64))
@@ -145,6 +145,11 @@ class Index:
             self._matrix[self.columns, np.repeat(np.arange(len(self.n)), np.diff(self.begin))] = self.values
         return self._matrix
 
+    @property
+    def cache(self) -> dict:
+        """Results by text vector, kept where they are used."""
+        return self.__dict__.setdefault("_cache", {})
+
     def search(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int = NEIGHBOURS) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each vector (terms, weights) the k entries with the highest cosine above
         zero, exactly, and their cosines."""
@@ -427,7 +432,7 @@ def score_documents(docs: DataFrame, index: Index, id_col: str = "doc_id", text_
 
     def run(batch):
         known = shared.value
-        cache = _CACHE.setdefault(id(known), {})
+        cache = known.cache
         if len(cache) > 100_000:
             cache.clear()
         first, terms, counts = _counts(batch.column(1), known.terms, known.n_words)
@@ -447,5 +452,3 @@ def score_documents(docs: DataFrame, index: Index, id_col: str = "doc_id", text_
     return map_batches(docs.select(F.col(id_col).cast("bigint"), F.col(text_col)), run,
                        "doc_id bigint, score double, predicted int, evidence array<bigint>")
 
-
-_CACHE: dict[int, dict] = {}
