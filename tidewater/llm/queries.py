@@ -6,7 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, exact_dedup, language_id, ngram_join, packing, pii, quality_rules, subword_sampling, toxicity, url_filters
+from . import (chat_format, exact_dedup, language_id, ngram_join, online_packing, packing, pii, quality_rules,
+               subword_sampling, toxicity, url_filters)
 from ._spark import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +73,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_spans(table(spark, sf_dir, "documents"))
 
 
+def op11_online_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return online_packing.pack_online(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_url_filters": op2_url_filters,
@@ -83,6 +88,7 @@ QUERIES: dict[str, Query] = {
     "op8_chat_format": op8_chat_format,
     "op9_toxicity": op9_toxicity,
     "op10_pii": op10_pii,
+    "op11_online_packing": op11_online_packing,
 }
 
 _HOST = "regexp_extract(url, '://([^/?#]*)', 1)"
