@@ -19,9 +19,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ByteType, DataType, DateType, DecimalType, IntegerType, ShortType,
                                TimestampNTZType, TimestampType, LongType, DoubleType, FloatType,
-                               BooleanType, StructField, StructType)
+                               BooleanType, MapType, StructField, StructType)
 
 from ..errors import DuplicateMergeKeyError, SpecError
+from ..functions import row_hash
 
 # Default broadcast ceiling for the batch key side of an upsert (bytes) and
 # the assumed width of a variable-length key value.
@@ -84,14 +85,16 @@ def should_broadcast(batch: DataFrame, keys: list[str], batch_rows: int | None,
 
 def merge_plan(existing: DataFrame, batch: DataFrame, keys: list[str], *,
                null_safe: bool = False, broadcast_keys: bool = False,
-               distinct_keys: bool = False) -> DataFrame:
-    """``distinct_keys`` collapses repeated batch keys (map-side) before the join, so a key
+               distinct_keys: bool = False, key_rows: DataFrame | None = None) -> DataFrame:
+    """``key_rows``: rows with the keys of the batch, where those are cheaper to compute.
+    ``distinct_keys`` collapses repeated batch keys (map-side) before the join, so a key
     repeated throughout a batch that allows duplicates cannot skew the join's build
     side; the aggregate's hash partitioning is reused by the sort-merge join."""
     missing = [k for k in keys if k not in existing.columns or k not in batch.columns]
     if missing:
         raise SpecError(f"merge keys missing from target or batch: {missing}")
-    right = batch.select(*[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)])
+    right = (batch if key_rows is None else key_rows).select(
+        *[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)])
     if distinct_keys:
         right = right.distinct()
     if broadcast_keys:
@@ -119,6 +122,44 @@ def assert_unique_keys(batch: DataFrame, keys: list[str], null_safe: bool = Fals
             f"or set duplicate_keys: allow")
 
 
+def _top_version(rows: DataFrame, keys: list[str], version: list[str], null_safe: bool) -> DataFrame:
+    """The row of each key with the greatest version; rows with a null key stay, each its own,
+    unless nulls compare equal. Equal versions are told apart by the row's content, so the result
+    does not depend on the order in which rows arrive."""
+    names = rows.columns
+    maps = {f.name for f in rows.schema.fields if isinstance(f.dataType, MapType)}
+    order = F.struct(*[F.col(f"`{v}`") for v in version], row_hash(names, maps))
+    payload = F.struct(*[F.col(f"`{c}`") for c in names])
+    null_key = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in keys])
+    keyed = rows if null_safe else rows.filter(~null_key)
+    best = (keyed.groupBy(*[F.col(f"`{k}`").alias(f"__g{i}") for i, k in enumerate(keys)])
+            .agg(F.max_by(payload, order).alias("__best")).select("__best.*"))
+    return best if null_safe else best.unionByName(rows.filter(null_key))
+
+
+def newest_rows(batch: DataFrame, keys: list[str], version: list[str], null_safe: bool = False,
+                existing: DataFrame | None = None, broadcast_keys: bool = False) -> DataFrame:
+    """The batch's newest row per key by the version columns (nulls oldest); with ``existing``,
+    a target row of that key that is newer takes its place, so a late old row cannot overwrite a
+    newer one. Target rows are met by a semi join on the batch's keys; both sides are combined
+    map-side before they are shuffled."""
+    missing = [v for v in version if v not in batch.columns]
+    if missing:
+        raise SpecError(f"version columns missing from batch: {missing}")
+    if existing is None:
+        return _top_version(batch, keys, version, null_safe)
+    right = batch.select(*[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)])
+    if broadcast_keys:
+        right = F.broadcast(right)
+    conds = [existing[f"`{k}`"].eqNullSafe(right[f"__k{i}"]) if null_safe
+             else existing[f"`{k}`"] == right[f"__k{i}"] for i, k in enumerate(keys)]
+    held = existing.join(right, reduce(lambda a, b: a & b, conds), "left_semi")
+    # a batch without a column of the target writes nulls there: both sides get the same columns,
+    # in the target's order, so that equal rows have equal hashes
+    both = held.unionByName(batch, allowMissingColumns=True)
+    return _top_version(both, keys, version, null_safe)
+
+
 def matched_partitions(existing: DataFrame, batch: DataFrame, keys: list[str], partition_columns: list[str],
                        null_safe: bool = False, broadcast_keys: bool = False) -> DataFrame:
     """Partition values of target rows whose key is in the batch (a semi join that reads

@@ -10,7 +10,8 @@ from ..errors import UnknownConnectorError, UnsupportedWriteModeError
 from ..spec import TARGET_ALIASES, TargetSpec
 from .common import BATCH_ID, WriteContext, WriteReport
 from .delta import delta_append, delta_overwrite, delta_upsert
-from .files import file_append, file_overwrite, file_upsert, read_file_target, recover_file_target
+from .files import (compact_marks, file_append, file_overwrite, file_upsert, read_file_target,
+                    recover_file_target)
 from .tables import recover_table_target, repair_partitions, table_append, table_overwrite, table_upsert
 from .warehouse import merge_statement, warehouse_append, warehouse_overwrite, warehouse_upsert
 
@@ -75,5 +76,5 @@ def recover_target(spark: SparkSession, target: TargetSpec) -> bool:
 
 __all__ = [
     "BATCH_ID", "WriteContext", "WriteReport", "write_target", "register_target",
-    "recover_target", "read_file_target", "repair_partitions", "merge_statement",
+    "recover_target", "read_file_target", "compact_marks", "repair_partitions", "merge_statement",
 ]

@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StructField, StructType
 
+from ..errors import SpecError
 from ..functions import content_hash
 from ..operators.upsert import DEFAULT_BROADCAST_LIMIT
+from ..spec import TargetSpec
 
 BATCH_ID = "_batch_id"
 # File systems whose directory rename is atomic.
@@ -90,3 +92,17 @@ def with_typed_partitions(read_schema: StructType, batch_schema: StructType,
         else:
             fields.append(f)
     return StructType(fields)
+
+
+def version_columns(target: TargetSpec) -> list[str]:
+    given = target.options.get("version_column")
+    return [given] if isinstance(given, str) else list(given or [])
+
+
+def rewrite_scope(target: TargetSpec) -> str:
+    scope = str(target.options.get("rewrite", "partitions"))
+    if scope not in ("partitions", "files", "marks"):
+        raise SpecError("rewrite must be 'partitions', 'files' or 'marks'")
+    if scope == "marks" and target.options.get("format", "parquet") != "parquet":
+        raise SpecError("rewrite: marks needs Parquet, whose scans know row positions")
+    return scope

@@ -17,6 +17,10 @@ columns are part of the merge key, only the partitions the batch touches are rea
 rewritten (dynamic partition overwrite from the stage); otherwise the partitions holding
 a matched key are found first by a semi join on the target's key columns, so an upsert
 into a date-partitioned, id-keyed target still rewrites only the partitions it touches.
+
+``rewrite: files`` narrows that to the files holding a matched key, ``rewrite: marks`` to the
+positions of the matched rows (see ``rewrite``). ``version_column`` (one or a list) guards an upsert:
+the newest row of a key by those columns stays, whether the batch or the target has it.
 """
 from __future__ import annotations
 
@@ -32,10 +36,11 @@ from .. import fs
 from ..functions import literal_frame
 from ..errors import MissingOptionError
 from ..operators.upsert import (Touched, any_key_matches, assert_unique_keys, is_variable_width,
-                                merge_plan, should_broadcast, touched_partitions)
+                                merge_plan, newest_rows, should_broadcast, touched_partitions)
 from ..spec import TargetSpec
+from . import rewrite
 from .common import (BATCH_ID, WriteContext, WriteReport, commit_mode, observed, observed_metrics,
-                     rebalance, with_typed_partitions)
+                     rebalance, rewrite_scope, version_columns, with_typed_partitions)
 
 STAGE_SCOPES = ("dynamic", "static")
 MANIFEST_SCHEMA = StructType([
@@ -88,7 +93,8 @@ def _report(spark, target, mode, path, metrics, ctx, **extra) -> WriteReport:
     manifest = target.options.get("manifest_path")
     if manifest:
         # a column-free count: answered from Parquet footers, no data pages read
-        total = spark.read.format(_format(target)).load(path).count()
+        total = (read_file_target(spark, target) if rewrite_scope(target) == "marks"
+                 else spark.read.format(_format(target)).load(path)).count()
         write_manifest(spark, str(manifest), path, metrics, mode, ctx.batch_id, total)
     return WriteReport(target.id, target.type, mode, metrics["rows"], path, metrics.get("checksum"), extra)
 
@@ -131,6 +137,7 @@ def file_overwrite(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx:
     else:
         metrics = _apply_stage(spark, target, path, "static", df.schema)
         _clear_stage(spark, stage)
+    fs.delete(spark, rewrite.marks_path(path))  # they name files that are gone
     return _report(spark, target, "overwrite", path, metrics, ctx, scope="table", commit=commit)
 
 
@@ -210,7 +217,7 @@ def _commit_partitions(spark: SparkSession, target: TargetSpec, path: str, stage
 def recover_file_target(spark: SparkSession, target: TargetSpec) -> bool:
     """Finish or discard an upsert interrupted after/before its stage was complete."""
     path = _path(target)
-    recovered = False
+    recovered = rewrite.recover(spark, path)
     old = f"{path}__old"
     dynamic_stage = _stage_path(path, "dynamic")
     if fs.exists(spark, old) and not fs.exists(spark, dynamic_stage + ".plan.json"):
@@ -266,12 +273,26 @@ def _read_partitions(spark: SparkSession, target: TargetSpec, path: str, batch:
 
 
 def file_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: WriteContext) -> WriteReport:
+    version = version_columns(target)
+    if not version:
+        return _file_upsert(spark, df, target, ctx, [])
+    # read by every step of the upsert
+    newest = newest_rows(df, list(target.merge_keys), version, target.null_safe_keys).persist()
+    try:
+        return _file_upsert(spark, newest, target, ctx, version)
+    finally:
+        newest.unpersist()
+
+
+def _file_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: WriteContext,
+                 version: list[str]) -> WriteReport:
     path = _path(target)
     keys = list(target.merge_keys)
     pcols = list(target.partition_columns)
     fmt = _format(target)
+    scoped = rewrite_scope(target)
     recover_file_target(spark, target)
-    if target.duplicate_keys == "error" and not ctx.keys_unique:
+    if target.duplicate_keys == "error" and not ctx.keys_unique and not version:
         assert_unique_keys(df, keys, target.null_safe_keys)
     # absent, or partitioned with no partition yet (an empty batch was written): nothing to merge with
     if not fs.has_data(spark, path) or (pcols and not fs.partition_dirs(spark, path, len(pcols))):
@@ -288,6 +309,14 @@ def file_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wri
         plain = spark.read.format(fmt).load(path)  # one listing, one footer's schema
         adds_columns = bool(set(df.columns) - set(plain.columns))
         matched = None
+    elif scoped != "partitions":
+        # files are found by their keys: no partition list is needed
+        rels = fs.partition_dirs(spark, path, len(pcols))
+        first = _partitioned_schema(spark, target, path, df, rels[:1])
+        adds_columns = bool(set(df.columns) - set(first.fieldNames()))
+        plain = spark.read.format(fmt).schema(first).load(path)
+        wanted = [f"{path}/{rel}" for rel in rels]
+        matched = None
     else:
         rels = fs.partition_dirs(spark, path, len(pcols))  # folders only, no file listing
         first = _partitioned_schema(spark, target, path, df, rels[:1])
@@ -310,6 +339,10 @@ def file_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wri
         matched = touched.any_match if touched is not None else None
         plain = (spark.read.format(fmt).schema(first).option("basePath", path).load(wanted) if wanted
                  else literal_frame(spark, [], first))
+    if scoped == "marks":
+        return _upsert_by_marks(spark, df, target, ctx, path, plain, broadcast, version)
+    if scoped == "files" and not adds_columns:
+        return _upsert_by_files(spark, df, target, ctx, path, plain, broadcast, version)
     if probe and not adds_columns:
         if matched is None:  # key columns only; stops at the first match
             matched = any_key_matches(plain, df, keys, target.null_safe_keys, broadcast)
@@ -328,8 +361,7 @@ def file_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wri
     else:
         existing = _read_partitions(spark, target, path, df, wanted)
     scope = "static" if touched is None else "dynamic"
-    combined = merge_plan(existing, df, keys, null_safe=target.null_safe_keys, broadcast_keys=broadcast,
-                          distinct_keys=target.duplicate_keys == "allow")
+    combined = _merged(existing, df, target, broadcast, version)
     stage = _stage_path(path, scope)
     _clear_stage(spark, stage)
     fs.write_text(spark, stage + ".schema.json", combined.schema.json())
@@ -349,7 +381,81 @@ def file_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wri
     return _report(spark, target, "merge", path, metrics, ctx, **extra)
 
 
+def _merged(existing: DataFrame, df: DataFrame, target: TargetSpec, broadcast: bool, version: list[str]) -> DataFrame:
+    """Target rows without the batch's keys, and the batch (or, by version, what is newer)."""
+    keys, null_safe = list(target.merge_keys), target.null_safe_keys
+    winners = newest_rows(df, keys, version, null_safe, existing, broadcast) if version else df
+    return merge_plan(existing, winners, keys, null_safe=null_safe, broadcast_keys=broadcast,
+                      distinct_keys=target.duplicate_keys == "allow", key_rows=df)
+
+
+def _filled(df: DataFrame, schema: StructType) -> DataFrame:
+    """The columns of the target that a frame lacks, as nulls: a file without them would hide them."""
+    return df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in schema.fields if f.name not in df.columns})
+
+
+def _upsert_by_files(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: WriteContext, path: str,
+                     plain: DataFrame, broadcast: bool, version: list[str]) -> WriteReport:
+    """Rewrite the files that hold a matched key; none: the batch is appended."""
+    keys, pcols = list(target.merge_keys), list(target.partition_columns)
+    with_hash = bool(target.options.get("manifest_path"))
+    files = rewrite.touched_files(spark, path, plain, df, keys, target.null_safe_keys, broadcast)
+    if not files:
+        metrics = _save(_filled(df, plain.schema), target, path, "append", pcols, with_hash=with_hash)
+        return _report(spark, target, "merge", path, metrics, ctx, scope="insert", broadcast=broadcast)
+    reader = spark.read.format(_format(target)).option("basePath", path).option("mergeSchema", "true")
+    existing = reader.load([f"{path}/{f}" for f in files])
+    if pcols:
+        existing = (spark.read.format(_format(target)).option("basePath", path)
+                    .schema(with_typed_partitions(existing.schema, df.schema, pcols)).load([f"{path}/{f}" for f in files]))
+    combined = _filled(_merged(existing, df, target, broadcast, version), plain.schema)
+    metrics = _save(combined, target, f"{rewrite.stage_path(path)}/data", "overwrite", pcols, with_hash=with_hash)
+    rewrite.apply_plan(spark, path, rewrite.write_plan(spark, path, files))
+    return _report(spark, target, "merge", path, metrics, ctx, scope="files", broadcast=broadcast, replaced=len(files))
+
+
+def _upsert_by_marks(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: WriteContext, path: str,
+                     plain: DataFrame, broadcast: bool, version: list[str]) -> WriteReport:
+    """Mark the matched rows as gone and add the batch as new files."""
+    keys, pcols, null_safe = list(target.merge_keys), list(target.partition_columns), target.null_safe_keys
+    stage = rewrite.stage_path(path)
+    if version:
+        live = rewrite.without_marked(spark, path, rewrite.in_key_range(plain, df, keys, null_safe),
+                                      rewrite.mark_commits(spark, path)).drop(rewrite.FILE, rewrite.ROW)
+        added = newest_rows(df, keys, version, null_safe, live, broadcast)
+    else:
+        added = df
+    metrics = _save(_filled(added, plain.schema), target, f"{stage}/data", "overwrite", pcols,
+                    with_hash=bool(target.options.get("manifest_path")))
+    gone = rewrite.matched_positions(spark, path, plain, df, keys, null_safe, broadcast)
+    gone, obs = observed(gone, False)
+    gone.write.mode("overwrite").parquet(f"{stage}/marks")
+    rewrite.apply_plan(spark, path, rewrite.write_plan(spark, path, [], marks=True))
+    return _report(spark, target, "merge", path, metrics, ctx, scope="marks", broadcast=broadcast,
+                   marked=observed_metrics(obs)["rows"])
+
+
+def compact_marks(spark: SparkSession, target: TargetSpec) -> int:
+    """Rewrite the files that hold marked rows without them, and drop the marks. Returns how
+    many files were rewritten; the others are not read."""
+    path, pcols = _path(target), list(target.partition_columns)
+    recover_file_target(spark, target)
+    commits = rewrite.mark_commits(spark, path)
+    named = {r[rewrite.FILE] for r in rewrite.marks_frame(spark, path, commits).select(rewrite.FILE).distinct().collect()}
+    files = sorted(f for f in named if fs.exists(spark, f"{path}/{f}"))
+    if files:
+        held = (spark.read.option("basePath", path).option("mergeSchema", "true").parquet(*[f"{path}/{f}" for f in files]))
+        columns = [F.col(f"`{c}`") for c in held.columns]
+        live = rewrite.without_marked(spark, path, held, commits).select(*columns)
+        _save(live, target, f"{rewrite.stage_path(path)}/data", "overwrite", pcols)
+    if commits:
+        rewrite.apply_plan(spark, path, rewrite.write_plan(spark, path, files, drop_marks=commits))
+    return len(files)
+
+
 def read_file_target(spark: SparkSession, target: TargetSpec, schema: StructType | None = None) -> DataFrame:
+    if rewrite_scope(target) == "marks":
+        return rewrite.read_live(spark, _path(target), schema)
     reader = spark.read.format(_format(target))
     if schema is not None:
         reader = reader.schema(schema)

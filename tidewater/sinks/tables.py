@@ -23,7 +23,9 @@ join reads the target without shuffling it; only the batch keys are shuffled.
 
 An external table partitioned by columns outside the merge key is upserted through its
 folder like a file target (only partitions holding a matched key or receiving batch rows
-are rewritten, emptied ones removed) and the catalog's partitions are then re-synced.
+are rewritten, emptied ones removed) and the catalog's partitions are then re-synced. With
+``rewrite: files`` any external table that is not bucketed is upserted through its folder, file by
+file. ``version_column`` guards an upsert as it does for file targets.
 """
 from __future__ import annotations
 
@@ -31,12 +33,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fs
-from ..errors import MissingOptionError
+from ..errors import MissingOptionError, SpecError
 from ..operators.upsert import (any_key_matches, assert_unique_keys, is_variable_width, merge_plan,
-                                should_broadcast, touched_partitions)
+                                newest_rows, should_broadcast, touched_partitions)
 from ..spec import TargetSpec
-from .common import BATCH_ID, WriteContext, WriteReport, commit_mode, observed, observed_metrics, rebalance
-
+from .common import (BATCH_ID, WriteContext, WriteReport, commit_mode, observed, observed_metrics, rebalance,
+                     rewrite_scope, version_columns)
 
 
 def _table(target: TargetSpec) -> str:
@@ -215,25 +217,41 @@ def recover_table_target(spark: SparkSession, target: TargetSpec) -> bool:
 
 
 def table_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: WriteContext) -> WriteReport:
+    version = version_columns(target)
+    if not version:
+        return _table_upsert(spark, df, target, ctx, [])
+    newest = newest_rows(df, list(target.merge_keys), version, target.null_safe_keys).persist()
+    try:
+        return _table_upsert(spark, newest, target, ctx, version)
+    finally:
+        newest.unpersist()
+
+
+def _table_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: WriteContext,
+                  version: list[str]) -> WriteReport:
     table = _table(target)
+    scoped = rewrite_scope(target)
+    if scoped == "marks":
+        raise SpecError("rewrite: marks is for file targets; readers of a table would not leave marked rows out")
     keys = list(target.merge_keys)
     pcols = list(target.partition_columns)
     recover_table_target(spark, target)
-    if target.duplicate_keys == "error" and not ctx.keys_unique:
+    if target.duplicate_keys == "error" and not ctx.keys_unique and not version:
         assert_unique_keys(df, keys, target.null_safe_keys)
     if not spark.catalog.tableExists(table):
         metrics = _create(df, target, table, "overwrite", _location(target), pcols)
         return WriteReport(target.id, target.type, "merge", metrics["rows"], table, extra={"scope": "create"})
     existing = spark.table(table)
     buckets = int(target.options.get("bucket_count", 0) or 0)
-    if (pcols and not set(pcols) <= set(keys) and _location(target) and not buckets
-            and set(df.columns) <= set(existing.columns)):
+    by_folder = scoped == "files" or (pcols and not set(pcols) <= set(keys))
+    if by_folder and _location(target) and not buckets and set(df.columns) <= set(existing.columns):
         # Keys may move between partitions: upsert the table's folder partition by
-        # partition like a file target (emptied partitions removed), then sync the catalog.
+        # partition (or file by file) like a file target, then sync the catalog.
         from .files import file_upsert
 
         folder = TargetSpec("file", {"path": _location(target), "format": target.options.get("format", "parquet"),
-                                     "commit": target.options.get("commit", "auto")},
+                                     "commit": target.options.get("commit", "auto"), "rewrite": scoped,
+                                     "version_column": version},
                             write_mode="merge", merge_keys=keys, partition_columns=pcols,
                             duplicate_keys=target.duplicate_keys, null_safe_keys=target.null_safe_keys)
         ordered = df.select(*[F.col(f"`{c}`") for c in existing.columns if c in df.columns])
@@ -241,7 +259,8 @@ def table_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wr
             batch_id=ctx.batch_id, batch_rows=ctx.batch_rows, column_bytes=ctx.column_bytes,
             keys_unique=True, broadcast_limit=ctx.broadcast_limit, run_time=ctx.run_time))  # checked above
         spark.sql(f"REFRESH TABLE {table}")
-        repair_partitions(spark, table, sync=True)
+        if pcols:
+            repair_partitions(spark, table, sync=True)
         return WriteReport(target.id, target.type, "merge", report.rows, table, extra=report.extra)
     dynamic = False
     var_keys = [k for k in keys if is_variable_width(df, k)]
@@ -259,8 +278,9 @@ def table_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wr
         _maybe_repair(spark, target)
         return WriteReport(target.id, target.type, "merge", metrics["rows"], table,
                            extra={"scope": "insert", "broadcast": broadcast})
-    combined = merge_plan(existing, df, keys, null_safe=target.null_safe_keys, broadcast_keys=broadcast,
-                          distinct_keys=target.duplicate_keys == "allow")
+    winners = newest_rows(df, keys, version, target.null_safe_keys, existing, broadcast) if version else df
+    combined = merge_plan(existing, winners, keys, null_safe=target.null_safe_keys, broadcast_keys=broadcast,
+                          distinct_keys=target.duplicate_keys == "allow", key_rows=df)
     stage = _stage_name(table, dynamic)
     spark.sql(f"DROP TABLE IF EXISTS {stage}")
     stage_loc = _location(target, _stage_suffix(dynamic))
