@@ -20,21 +20,24 @@ import time
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import DataQualityError, DuplicateMergeKeyError, SpecError
 from ..functions import typed
 from ..operators.chain import TransformFn, apply_chain, compile_chain, is_wide
 from ..operators.quality import BAD_ROWS, ROWS, WM_MAX, QualityResult, bytes_alias, evaluate, run_profile
-from ..operators.quarantine import REASON, annotate_rows, good_rows, quarantine_batch, quarantine_rows
+from ..operators.quarantine import (REASON, annotate_rows, good_rows, quarantine_batch, quarantine_rows,
+                                    quarantine_unparsed)
 from ..operators.upsert import is_variable_width
 from ..sinks import WriteContext, WriteReport, recover_target, write_target
 from ..session import work_dir
 from ..sources import read_source
+from ..sources.parsing import RAW, UNPARSED, split_unparsed, wants_quarantine
 from ..spec import DatasetSpec, RetrySpec, TargetSpec
 from . import state as st
 
@@ -50,6 +53,7 @@ KEEPS_KEYS = ("add_metadata", "drop")
 METRIC_ROWS = "ingestion.row_count"
 METRIC_VIOLATIONS = "ingestion.dq_violations"
 METRIC_QUARANTINED = "ingestion.quarantined_rows"
+METRIC_UNPARSED = "ingestion.unparsed_records"
 
 
 @dataclass
@@ -117,17 +121,20 @@ def write_with_retry(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx
             time.sleep(wait)
 
 
-def _bound(marks: list[tuple[str, str]]):
-    parsed = [typed.parse(v, t) for v, t in marks]
-    return parsed[0] if len(parsed) == 1 else F.least(*parsed)
+def _past_any(first: Column, tie: Column | None, marks: list[tuple[str, str]], inclusive: bool) -> Column:
+    """Is a row past the least of the marks?"""
+    if tie is None and len({t for _, t in marks}) == 1 and not marks[0][1].startswith("struct<"):
+        parsed = [typed.parse(v, t) for v, t in marks]
+        bound = parsed[0] if len(parsed) == 1 else F.least(*parsed)
+        return first >= bound if inclusive else first > bound
+    return reduce(lambda a, b: a | b, [typed.past(first, tie, m, inclusive) for m in dict.fromkeys(marks)])
 
 
 def _advanced(spark: SparkSession, new: str, new_type: str, olds: dict[str, tuple[str, str]]) -> dict[str, bool]:
     """For each target, is the batch maximum past its stored mark? (constants only)"""
     if not olds:
         return {}
-    exprs = [(typed.parse(new, new_type) > typed.parse(v, t)).alias(f"t{i}")
-             for i, (v, t) in enumerate(olds.values())]
+    exprs = [typed.newer((new, new_type), old).alias(f"t{i}") for i, old in enumerate(olds.values())]
     row = spark.range(1).select(*exprs).first()
     return {k: bool(row[f"t{i}"]) for i, k in enumerate(olds)}
 
@@ -148,6 +155,7 @@ class PreparedBatch:
     wm_type: str | None
     extract_obs: Observation | None
     state_path: str
+    unparsed: DataFrame | None = None
 
 
 def prepare_batch(spark: SparkSession, spec: DatasetSpec, *, targets: list[str] | None = None,
@@ -163,23 +171,30 @@ def prepare_batch(spark: SparkSession, spec: DatasetSpec, *, targets: list[str]
             recover_target(spark, t)
     states = st.read_state(spark, state_path, spec.dataset_name, [t.id for t in selected])
 
-    wm_col = spec.source.watermark_column
+    wm_col, tie_col = spec.source.watermark_column, spec.source.watermark_tie_column
     marks = {t.id: states[t.id].watermark for t in selected
              if t.id in states and states[t.id].watermark is not None}
-    df = read_source(spark, spec.source)
+    df, unparsed = read_source(spark, spec.source), None
+    if wants_quarantine(spec.source):
+        df, unparsed = split_unparsed(df)
     if wm_col and marks and len(marks) == len(selected):
         # The least mark over the targets; rows each target already has are cut below.
-        bound = _bound(list(marks.values()))
-        df = df.filter(df[wm_col] >= bound if spec.source.watermark_overlap else df[wm_col] > bound)
-    wm_type = df.schema[wm_col].dataType.simpleString() if wm_col else None
+        def past(rows: DataFrame) -> Column:
+            return _past_any(rows[wm_col], rows[tie_col] if tie_col else None, list(marks.values()),
+                             spec.source.watermark_overlap)
+
+        df = df.filter(past(df))
+        if unparsed is not None:  # a failed record without a mark is taken each time it is read
+            unparsed = unparsed.filter(F.coalesce(past(unparsed), unparsed[wm_col].isNull()))
     if wm_col:
-        df = df.withColumn(WM, F.col(f"`{wm_col}`"))
+        df = df.withColumn(WM, typed.mark_value(wm_col, tie_col))
+    wm_type = df.schema[WM].dataType.simpleString() if wm_col else None
     extract_obs = None
     if wm_col and transforms:
         extract_obs = Observation()
         df = df.observe(extract_obs, typed.render(F.max(F.col(WM)), df.schema[WM].dataType).alias("wm"))
     fns = compile_chain(spec.transforms, spec.dataset_name, run_time) + list(transforms or [])
-    return PreparedBatch(apply_chain(df, fns), selected, states, marks, wm_type, extract_obs, state_path)
+    return PreparedBatch(apply_chain(df, fns), selected, states, marks, wm_type, extract_obs, state_path, unparsed)
 
 
 def run(spark: SparkSession, spec: DatasetSpec, *, targets: list[str] | None = None,
@@ -213,7 +228,7 @@ def run(spark: SparkSession, spec: DatasetSpec, *, targets: list[str] | None = N
         persist=(is_wide(spec.transforms) or bool(transforms) or len(b.selected) > 1
                  or storage_for(spec) == "checkpoint"),
         states=b.states, marks=b.marks, wm_type=b.wm_type, extract_obs=b.extract_obs,
-        state_path=b.state_path, extra_transforms=bool(transforms))
+        state_path=b.state_path, extra_transforms=bool(transforms), unparsed=b.unparsed)
 
 
 def _joined(parts: list[RunResult]) -> RunResult:
@@ -230,7 +245,8 @@ def process_batch(spark: SparkSession, spec: DatasetSpec, df: DataFrame, selecte
                   states: dict[str, st.StateEntry] | None = None,
                   marks: dict[str, tuple[str, str]] | None = None, wm_type: str | None = None,
                   extract_obs: Observation | None = None, state_path: str | None = None,
-                  batch_id: int | None = None, extra_transforms: bool = False) -> RunResult:
+                  batch_id: int | None = None, extra_transforms: bool = False,
+                  unparsed: DataFrame | None = None) -> RunResult:
     """Profile, gate, quarantine, write and commit one transformed batch. Shared by the
     batch run and the streaming ``foreachBatch``."""
     states = states or {}
@@ -267,6 +283,10 @@ def process_batch(spark: SparkSession, spec: DatasetSpec, df: DataFrame, selecte
         metrics = [(run_id, spec.dataset_name, METRIC_ROWS, float(rows), started)]
         out = RunResult(run_id, spec.dataset_name, rows, result, watermark=new_wm)
 
+        if unparsed is not None:
+            where, failed = quarantine_unparsed(unparsed, q.path, spec.dataset_name, RAW, UNPARSED)
+            metrics.append((run_id, spec.dataset_name, METRIC_UNPARSED, float(failed), started))
+            out.quarantine_path = where if failed else None
         if rows == 0 and dq.skip_if_empty:
             out.skipped = True
             st.append_metrics(spark, audit_path, metrics)
@@ -301,9 +321,9 @@ def process_batch(spark: SparkSession, spec: DatasetSpec, df: DataFrame, selecte
             prev = states.get(t.id)
             tdf = load
             if t.id in marks and has_wm and not shared_bound:
-                v, ty = marks[t.id]
-                mark = typed.parse(v, ty)
-                tdf = tdf.filter(F.col(WM) >= mark if spec.source.watermark_overlap else F.col(WM) > mark)
+                compound = spec.source.watermark_tie_column is not None
+                first, tie = (F.col(WM)[typed.MARK], F.col(WM)[typed.TIE]) if compound else (F.col(WM), None)
+                tdf = tdf.filter(typed.past(first, tie, marks[t.id], spec.source.watermark_overlap))
             tdf = tdf.drop(WM)
             bid = batch_id if batch_id is not None else (prev.batch_id + 1 if prev else 1)
             # code transforms run after the spec's, so they may undo its dedup

@@ -23,10 +23,12 @@ from .operators.quality import WM_MAX, run_profile
 from .plans import run, run_many
 from .plans import state as st
 from .session import scratch_path, unique_name
-from .sinks import BATCH_ID, WriteContext, register_target, repair_partitions, write_target
+from .sinks import (BATCH_ID, WriteContext, compact_marks, read_file_target, register_target, repair_partitions,
+                    write_target)
 from .sinks.logfmt import append_logfmt, overwrite_logfmt
 from .sources import decode_json_value, read_incremental, read_source, register_source
 from .sources.logfmt import read_logfmt
+from .sources.parsing import RAW, UNPARSED
 from .spec import FieldSpec, QualitySpec, SourceSpec, TargetSpec, TransformSpec, spec_from_dict
 
 # Scenario constants shared by the Spark queries and their oracles.
@@ -331,6 +333,55 @@ def quarantine_rows_q(spark, d):
     return good.unionByName(bad)
 
 
+def _misfits(orders: DataFrame) -> DataFrame:
+    """Orders as text, with a customer key or a price that is no number for two priorities."""
+    return orders.select(*[F.col(c).cast("string").alias(c) for c in ORDER_COLS]).withColumns({
+        "o_custkey": F.when(F.col("o_orderpriority") == URGENT, F.concat(F.lit("c-"), "o_custkey")).otherwise(F.col("o_custkey")),
+        "o_totalprice": F.when(F.col("o_orderpriority") == HIGH, F.lit("n/a")).otherwise(F.col("o_totalprice"))})
+
+
+def _misfit_messages(orders: DataFrame) -> DataFrame:
+    """The same as JSON payloads, whose numbers are numbers otherwise."""
+    value = F.to_json(F.struct(*ORDER_COLS))
+    for priority, pattern, text in ((URGENT, r'"o_custkey":([0-9]+)', '"o_custkey":"c-$1"'),
+                                    (HIGH, r'"o_totalprice":[0-9.E]+', '"o_totalprice":"n/a"')):
+        value = F.when(F.col("o_orderpriority") == priority, F.regexp_replace(value, pattern, text)).otherwise(value)
+    return orders.select(value.alias("value"))
+
+
+def quarantine_unparsed(spark, d):
+    """Records with a field that does not parse leave a CSV and a JSON load with that field's name
+    and their raw text; the others arrive."""
+    base = scratch_path(spark, "quarantine_unparsed")
+    orders = _table(spark, d, "orders")
+    _misfits(orders).write.option("header", "true").csv(f"{base}/csv/landing")
+    _misfit_messages(orders).write.text(f"{base}/json/landing")
+    out = []
+    for kind in ("csv", "json"):
+        spec = spec_from_dict({
+            "dataset_name": "orders", "source": {"type": kind, "options": {"path": f"{base}/{kind}/landing"},
+                                                 "schema": _orders_schema(), "on_parse_error": "quarantine"},
+            "targets": [{"type": "file", "options": {"path": f"{base}/{kind}/target"}, "write_mode": "append"}],
+            "quarantine": {"path": f"{base}/{kind}/dlq"}, "state_path": f"{base}/{kind}/state",
+            "audit_path": f"{base}/{kind}/audit"})
+        run(spark, spec)
+        good = spark.read.schema(ORDERS_DDL).parquet(f"{base}/{kind}/target").select(
+            "o_orderkey", "o_custkey", "o_totalprice", F.lit("").alias("failed"), F.lit(False).alias("raw_kept"))
+        bad = spark.read.parquet(f"{base}/{kind}/dlq/orders_unparsed").select(
+            "o_orderkey", "o_custkey", "o_totalprice", F.array_join("_dlq_fields", ",").alias("failed"),
+            F.col("_dlq_raw").contains(F.col("o_orderkey").cast("string")).alias("raw_kept"))
+        out.append(good.unionByName(bad).withColumn("kind", F.lit(kind)))
+    return out[0].unionByName(out[1])
+
+
+def decode_json_value_failures(spark, d):
+    """Message payloads with one field of several that does not fit: named, flagged, text kept."""
+    out = decode_json_value(_misfit_messages(_table(spark, d, "orders")), ORDERS_DDL, flag_column="undecodable",
+                            failures=True)
+    return out.select("o_orderkey", "o_custkey", "o_totalprice", "undecodable", F.array_join(UNPARSED, ",").alias("failed"),
+                      F.col(RAW).isNotNull().alias("raw_kept"))
+
+
 def run_metrics(spark, d):
     base = scratch_path(spark, "run_metrics")
     res = run(spark, spec_from_dict(_gate_spec(base, f"{d}/orders.parquet")), transforms=[_inject_nulls])
@@ -573,6 +624,24 @@ def _shared_spec(spark, d, base, name, **over):
         "state_path": f"{base}/state", "audit_path": f"{base}/audit", **over})
 
 
+def incremental_compound_mark(spark, d):
+    """The first load ends in the middle of a day; the day's later orders have the same mark and are
+    read by the second, once."""
+    base = scratch_path(spark, "compound")
+    orders = _table(spark, d, "orders")
+    day = _earlier(orders).agg(F.max("o_orderdate").alias("day"))
+    middle = (orders.join(F.broadcast(day), orders["o_orderdate"] == day["day"])
+              .agg(F.first("day"), F.percentile_approx("o_orderkey", 0.5)).first())
+    spec = _shared_spec(spark, d, base, "compound", source={
+        "type": "parquet", "options": {"path": f"{base}/landing"}, "watermark_column": "o_orderdate",
+        "watermark_tie_column": "o_orderkey"})
+    seen = (F.col("o_orderdate") < F.lit(middle[0])) | ((F.col("o_orderdate") == F.lit(middle[0])) & (F.col("o_orderkey") <= middle[1]))
+    for part in (orders.filter(seen), orders):
+        _land(part, f"{base}/landing")
+        run(spark, spec)
+    return spark.read.schema(ORDERS_DDL).parquet(f"{base}/compound")
+
+
 def run_many_shared_state(spark, d):
     """Datasets side by side on one state folder: each has its mark and its audit row."""
     base = scratch_path(spark, "run_many_shared")
@@ -648,6 +717,65 @@ def upsert_file_moving_partitions(spark, d):
     return spark.read.schema(ORDERS_DDL).parquet(path)
 
 
+def _in_date_files(orders: DataFrame, t: TargetSpec) -> None:
+    """Land orders as files of consecutive dates."""
+    orders.repartitionByRange(16, "o_orderdate").write.parquet(t.options["path"])
+
+
+def upsert_touched_files(spark, d):
+    """Only the files that hold a revised order are rewritten."""
+    orders = _table(spark, d, "orders")
+    t = _file_target(scratch_path(spark, "upsert_files"), write_mode="merge", merge_keys=["o_orderkey"])
+    t.options["rewrite"] = "files"
+    _in_date_files(_earlier(orders), t)
+    report = write_target(spark, _revised(orders), t)
+    assert report.extra["scope"] == "files" and report.extra["replaced"] < 8
+    return spark.read.schema(ORDERS_DDL).parquet(t.options["path"])
+
+
+def _marked(spark, d):
+    orders = _table(spark, d, "orders")
+    t = _file_target(scratch_path(spark, "upsert_marks"), write_mode="merge", merge_keys=["o_orderkey"])
+    t.options["rewrite"] = "marks"
+    _in_date_files(_earlier(orders), t)
+    urgent = F.col("o_orderpriority") == URGENT
+    write_target(spark, orders.filter(urgent).withColumn("o_totalprice", F.lit(0.0)), t)  # overwritten next
+    report = write_target(spark, _revised(orders), t)
+    assert report.extra["scope"] == "marks" and report.extra["marked"] > 0
+    return t
+
+
+def upsert_marks(spark, d):
+    """Merge on read: matched rows are marked by position, the batches are added as files."""
+    return read_file_target(spark, _marked(spark, d))
+
+
+def upsert_marks_compacted(spark, d):
+    """The same after the files with marks were rewritten: any reader sees the result."""
+    t = _marked(spark, d)
+    compact_marks(spark, t)
+    return spark.read.schema(ORDERS_DDL).parquet(t.options["path"])
+
+
+def upsert_out_of_order(spark, d):
+    """Versions of an order arrive in the wrong order, twice, and with the same key in one batch:
+    the newest by version stays, in file and table targets."""
+    orders = _table(spark, d, "orders")
+    versions = {k: orders.withColumn("o_totalprice", F.col("o_totalprice") * k).withColumn("version", F.lit(k))
+                for k in (1, 2, 3)}
+    batches = [versions[2].filter(_ts(REVISED_FROM) <= F.col("o_orderdate")), versions[1].unionByName(
+        versions[3].filter(F.col("o_orderpriority") == URGENT)), versions[2].filter(F.col("o_orderstatus") == "F")]
+    outs = []
+    for name, t in (("files", _file_target(scratch_path(spark, "versioned"), write_mode="merge", merge_keys=["o_orderkey"])),
+                    ("table", _table_target(spark, "versioned", write_mode="merge", merge_keys=["o_orderkey"]))):
+        t.options |= {"version_column": "version", **({"rewrite": "files"} if name == "files" else {})}
+        for batch in [*batches, batches[0]]:
+            write_target(spark, batch, t)
+        rows = spark.read.parquet(t.options["path"]) if name == "files" else spark.table(t.options["table"])
+        outs.append(rows.select("o_orderkey", "o_totalprice", "version", F.lit(name).alias("target")))
+    return outs[0].unionByName(outs[1])
+
+
 def upsert_table(spark, d):
     orders = _table(spark, d, "orders")
     t = _table_target(spark, "upsert_table", write_mode="upsert", merge_keys=["o_orderkey"])
@@ -775,6 +903,8 @@ QUERIES: dict[str, Query] = {
     "dq_gate_continue": dq_gate_continue,
     "quarantine_batch": quarantine_batch_q,
     "quarantine_rows": quarantine_rows_q,
+    "quarantine_unparsed": quarantine_unparsed,
+    "decode_json_value_failures": decode_json_value_failures,
     "run_metrics": run_metrics,
     "state_lookup": state_lookup,
     "state_advance": state_advance,
@@ -799,10 +929,15 @@ QUERIES: dict[str, Query] = {
     "dedup_latest_case": dedup_latest_case,
     "run_many_shared_state": run_many_shared_state,
     "incremental_diverging_marks": incremental_diverging_marks,
+    "incremental_compound_mark": incremental_compound_mark,
     "upsert_file": upsert_file,
     "upsert_file_partitioned": upsert_file_partitioned,
     "upsert_file_moving_partitions": upsert_file_moving_partitions,
     "upsert_table": upsert_table,
+    "upsert_touched_files": upsert_touched_files,
+    "upsert_marks": upsert_marks,
+    "upsert_marks_compacted": upsert_marks_compacted,
+    "upsert_out_of_order": upsert_out_of_order,
     "stream_available_now_upsert": stream_available_now_upsert,
     "ingest_full": ingest_full,
     "ingest_single_target": ingest_single_target,
@@ -818,9 +953,20 @@ _REVISED_PRICE = (f"CASE WHEN o_orderdate >= TIMESTAMP '{REVISED_FROM}' THEN o_t
                   f"ELSE o_totalprice END AS o_totalprice")
 _UPSERTED = (f"SELECT o_orderkey, o_custkey, o_orderstatus, {_REVISED_PRICE}, o_orderdate, o_orderpriority "
              f"FROM orders")
+_MARKED = (f"SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderdate >= TIMESTAMP '{REVISED_FROM}' "
+           f"THEN o_totalprice * 2 WHEN o_orderpriority = '{URGENT}' THEN 0.0 ELSE o_totalprice END AS o_totalprice, "
+           "o_orderdate, o_orderpriority FROM orders")
 _BOTH_TARGETS = "SELECT 'file' AS target, * FROM orders UNION ALL SELECT 'table' AS target, * FROM orders"
 
+_MISFITS = (f"SELECT o_orderkey, CASE WHEN o_orderpriority <> '{URGENT}' THEN o_custkey END AS o_custkey, "
+            f"CASE WHEN o_orderpriority <> '{HIGH}' THEN o_totalprice END AS o_totalprice, "
+            f"CASE o_orderpriority WHEN '{URGENT}' THEN 'o_custkey' WHEN '{HIGH}' THEN 'o_totalprice' ELSE '' END AS failed, "
+            f"o_orderpriority IN ('{URGENT}', '{HIGH}') AS raw_kept")
+
 ORACLE: dict[str, str] = {
+    "incremental_compound_mark": "SELECT * FROM orders",
+    "quarantine_unparsed": f"{_MISFITS}, kind FROM orders CROSS JOIN (VALUES ('csv'), ('json')) k(kind)",
+    "decode_json_value_failures": f"{_MISFITS}, o_orderpriority IN ('{URGENT}', '{HIGH}') AS undecodable FROM orders",
     "scan_parquet": "SELECT * FROM orders",
     "scan_csv": "SELECT * FROM orders",
     "scan_json": "SELECT * FROM orders",
@@ -933,6 +1079,14 @@ QUALIFY row_number() OVER (PARTITION BY target, o_custkey ORDER BY run DESC) = 1
         f"o_orderdate, CASE WHEN o_orderpriority = '{URGENT}' AND o_orderdate >= TIMESTAMP '{REVISED_FROM}' "
         f"THEN '{HIGH}' ELSE o_orderpriority END AS o_orderpriority FROM orders"),
     "upsert_table": _UPSERTED,
+    "upsert_touched_files": _UPSERTED,
+    "upsert_marks": _MARKED,
+    "upsert_marks_compacted": _MARKED,
+    "upsert_out_of_order": (
+        "WITH v AS (SELECT o_orderkey, o_totalprice, CASE WHEN o_orderpriority = '" + URGENT + "' THEN 3 "
+        f"WHEN o_orderstatus = 'F' OR o_orderdate >= TIMESTAMP '{REVISED_FROM}' THEN 2 ELSE 1 END AS version FROM orders) "
+        "SELECT o_orderkey, o_totalprice * version AS o_totalprice, version, target "
+        "FROM v CROSS JOIN (VALUES ('files'), ('table')) t(target)"),
     "stream_available_now_upsert": _UPSERTED,
     "ingest_full": f"SELECT * FROM orders WHERE o_orderdate > TIMESTAMP '{CUT}' {_LATEST}",
     "ingest_single_target": _BOTH_TARGETS,

@@ -53,8 +53,8 @@ def read_incremental(spark: SparkSession, source: SourceSpec,
     df = read_source(spark, source)
     column = source.watermark_column
     if column and watermark is not None:
-        text, type_ddl = watermark
-        df = df.filter(typed.after(df[column], text, type_ddl, inclusive=source.watermark_overlap))
+        tie = df[source.watermark_tie_column] if source.watermark_tie_column else None
+        df = df.filter(typed.past(df[column], tie, watermark, inclusive=source.watermark_overlap))
     return df
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..errors import MissingOptionError
 from ..spec import SourceSpec
+from .parsing import declared, flag_unparsed, permissive, wants_quarantine, with_raw
 
 # Reader defaults that apply unless the spec overrides them.
 CSV_DEFAULTS = {"header": "true", "inferSchema": "true"}
@@ -18,6 +19,12 @@ def read_files(spark: SparkSession, source: SourceSpec, fmt: str) -> DataFrame:
     reader = spark.read.format(fmt)
     if fmt == "csv":
         options.setdefault("header", CSV_DEFAULTS["header"])
+    if fmt in ("csv", "json") and wants_quarantine(source):
+        struct = declared(source)
+        options.pop("inferSchema", None)
+        return flag_unparsed(reader.schema(with_raw(struct)).options(**permissive(options)).load(path), struct, options, fmt)
+    if fmt in ("csv", "json") and source.on_parse_error == "fail":
+        options["mode"] = "FAILFAST"
     schema = source.struct_type()
     # A declared schema beats inference for text formats: no inference job, no drift
     # (CSV inference would turn bigint into int and dates into zoned timestamps).

@@ -55,10 +55,16 @@ class SourceSpec:
     options: dict[str, Any] = field(default_factory=dict)
     schema: list[FieldSpec] = field(default_factory=list)
     watermark_column: str | None = None
+    # Orders rows that share a watermark: the mark is the pair, so rows that arrive later with the
+    # last watermark and a greater tie are read, once.
+    watermark_tie_column: str | None = None
     # ``>=`` instead of ``>`` on the watermark; only safe when every target merges.
     watermark_overlap: bool = False
     # Pass the declared schema to file readers (no inference job, no type drift).
     apply_schema: bool = True
+    # csv, json and message records that do not parse: "null" (their fields), "fail" (the run),
+    # or "quarantine" (the record, with its raw text).
+    on_parse_error: str = "null"
 
     def struct_type(self) -> StructType | None:
         if not self.schema:
@@ -175,8 +181,17 @@ def validate(spec: DatasetSpec) -> None:
         if t.id in seen:
             raise SpecError(f"target id {t.id!r} used twice; give targets distinct names")
         seen.add(t.id)
+    if spec.source.watermark_tie_column and not spec.source.watermark_column:
+        raise SpecError("watermark_tie_column orders rows within a watermark_column; give that too")
     if spec.source.watermark_overlap and not all(t.is_merge for t in spec.targets):
         raise SpecError("watermark_overlap re-reads rows at the watermark; every target must merge")
+    if spec.source.on_parse_error not in ("null", "fail", "quarantine"):
+        raise SpecError("on_parse_error must be 'null', 'fail' or 'quarantine'")
+    if spec.source.on_parse_error == "quarantine":
+        if spec.quarantine is None:
+            raise SpecError("on_parse_error: quarantine needs a quarantine path")
+        if spec.source.type not in ("csv", "json", "kafka"):
+            raise SpecError(f"a {spec.source.type!r} source has no records that fail to parse")
     if spec.data_quality.schema_level not in ("presence", "type"):
         raise SpecError("schema_level must be 'presence' or 'type'")
     if spec.batch_storage not in ("auto", "cache", "checkpoint"):
@@ -198,8 +213,10 @@ def _source(raw: dict[str, Any]) -> SourceSpec:
         options=dict(raw.get("options") or {}),
         schema=_fields(raw.get("schema", raw.get("schema_fields"))),
         watermark_column=raw.get("watermark_column"),
+        watermark_tie_column=raw.get("watermark_tie_column"),
         watermark_overlap=bool(raw.get("watermark_overlap", False)),
         apply_schema=bool(raw.get("apply_schema", True)),
+        on_parse_error=str(raw.get("on_parse_error", "null")),
     )
 
 

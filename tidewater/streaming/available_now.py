@@ -18,6 +18,7 @@ from ..errors import SpecError
 from ..operators.chain import apply_chain, compile_chain, is_wide
 from ..plans.ingest import RunResult, process_batch, select_targets
 from ..session import work_dir
+from ..sources.parsing import declared, flag_unparsed, permissive, split_unparsed, wants_quarantine, with_raw
 from ..spec import DatasetSpec
 
 # File source types the stream can read (besides Kafka).
@@ -38,7 +39,8 @@ def stream_frame(spark: SparkSession, spec: DatasetSpec) -> DataFrame:
         if not schema:
             return raw
         return decode_json_value(raw, schema, "value", keep=list(keep or []),
-                                 flag_column=UNDECODABLE if str(flag).lower() == "true" else None)
+                                 flag_column=UNDECODABLE if str(flag).lower() == "true" else None,
+                                 failures=wants_quarantine(src))
     if src.type not in STREAM_FORMATS:
         raise SpecError(f"streaming runs read file sources {STREAM_FORMATS}, not {src.type!r}")
     options = {k: str(v) for k, v in src.options.items()}
@@ -52,6 +54,11 @@ def stream_frame(spark: SparkSession, spec: DatasetSpec) -> DataFrame:
         schema = spark.read.parquet(path).schema  # footer of the files already there
     if src.type == "csv":
         options.setdefault("header", "true")
+    if wants_quarantine(src):
+        stream = spark.readStream.format(src.type).schema(with_raw(declared(src))).options(**permissive(options)).load(path)
+        return flag_unparsed(stream, declared(src), options, src.type)
+    if src.on_parse_error == "fail" and src.type != "parquet":
+        options["mode"] = "FAILFAST"
     return spark.readStream.format(src.type).schema(schema).options(**options).load(path)
 
 
@@ -65,10 +72,11 @@ def run_available_now(spark: SparkSession, spec: DatasetSpec, *, checkpoint: str
     results: list[RunResult] = []
 
     def _batch(batch_df: DataFrame, batch_id: int) -> None:
-        df = apply_chain(batch_df, fns)
+        good, unparsed = split_unparsed(batch_df) if wants_quarantine(spec.source) else (batch_df, None)
+        df = apply_chain(good, fns)
         results.append(process_batch(
             batch_df.sparkSession, spec, df, selected, run_id=uuid.uuid4().hex, run_time=run_time,
-            persist=is_wide(spec.transforms) or len(selected) > 1, batch_id=int(batch_id) + 1))
+            persist=is_wide(spec.transforms) or len(selected) > 1, batch_id=int(batch_id) + 1, unparsed=unparsed))
 
     query = (stream_frame(spark, spec).writeStream
              .foreachBatch(_batch)
