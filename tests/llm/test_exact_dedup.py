@@ -91,3 +91,22 @@ def test_rows_that_come_from_a_shuffle_lose_no_group(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.parallelismFirst")
+
+
+def test_ids_of_all_sizes(spark):
+    """No id stands for a missing one."""
+    top = 1 << 62
+    rows = [(None, "a"), (top + 5, "a"), (top + 9, "a "), (top, "alone"), (None, "b"), (-7, "b"), ((1 << 63) - 1, "c"),
+            (-(1 << 63), "c"), (None, "d"), (None, "d")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = {(r.text_sha256, r.doc_id): (r.keep_id, r.group_size, r.kept) for r in x.exact_groups(df).collect()}
+
+    def of(content, doc_id):
+        return got[hashlib.sha256(content.encode()).hexdigest(), doc_id]
+    assert of("a", top + 9) == (top + 9, 3, True) and of("a", None) == (top + 9, 3, False)
+    assert of("alone", top) == (top, 1, True)
+    assert of("b", -7) == (-7, 2, True) and of("b", None) == (-7, 2, False)
+    assert of("c", -(1 << 63)) == (-(1 << 63), 2, True)
+    kept = sorted(((r.doc_id is None, r.doc_id or 0), r.text) for r in x.drop_copies(df).collect())
+    assert kept == [((False, -(1 << 63)), "c"), ((False, -7), "b"), ((False, top), "alone"), ((False, top + 9), "a "),
+                    ((True, 0), "d")]

@@ -34,7 +34,6 @@ SPACES = b" \t\n\x0b\x0c\r"
 #: Content bytes one table may hold before its bucket is split again.
 TABLE_BYTES = 48_000_000
 FANOUT = 16
-NO_ID = 1 << 62
 
 
 class ContentTable:
@@ -80,8 +79,17 @@ def _content(text: str | None) -> bytes:
     return (text or "").encode("utf-8").translate(None, SPACES)
 
 
+def _rank(chars: int, key: int | None) -> tuple[int, bool, int]:
+    """The least rank stays: longest first, then ids, then no id."""
+    return -chars, key is None, key or 0
+
+
+def _id(rank: tuple[int, bool, int]) -> int | None:
+    return None if rank[1] else rank[2]
+
+
 def _fold(value: list, count: int, rank: tuple) -> None:
-    """value: [count, best rank]; the rank is (-length, id)."""
+    """value: [count, best rank]."""
     if value:
         value[0] += count
         value[1] = min(value[1], rank)
@@ -99,8 +107,7 @@ def _map_side(batches):
         for part in cut(batch):
             for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                 content = _content(text)
-                rank = (-len(text or ""), NO_ID if key is None else key)
-                _fold(table.entry(hashlib.sha256(content).digest(), content), 1, rank)
+                _fold(table.entry(hashlib.sha256(content).digest(), content), 1, _rank(len(text or ""), key))
             if table.bytes > TABLE_BYTES // 2 or len(table.values) > 200_000:
                 yield from _records(table)
                 table = ContentTable()
@@ -116,7 +123,7 @@ def _records(table: ContentTable, step: int = 2_000_000):
                 yield pa.RecordBatch.from_arrays([
                     pa.array(table.digests[start:i], pa.binary()), pa.array(table.contents[start:i], pa.binary()),
                     pa.array([x[0] for x in v], pa.int64()), pa.array([-x[1][0] for x in v], pa.int64()),
-                    pa.array([x[1][1] for x in v], pa.int64())],
+                    pa.array([_id(x[1]) for x in v], pa.int64())],
                     names=["digest", "content", "n", "n_chars", "id"])
             start, size = i, 0
         if i < len(table.values):
@@ -171,14 +178,14 @@ def _bucket_side(limit: int, names: tuple = ("text_sha256", "keep_id", "group_si
             for batch in batches:
                 for part in cut(batch):
                     for d, c, n, chars, key in zip(*(col.to_pylist() for col in part.columns), strict=True):
-                        yield d, c, n, (-chars, key)
+                        yield d, c, n, _rank(chars, key)
         for table in _resolve(records(), 0, limit):
             v = table.values
             for i in range(0, len(v), 20_000):
                 some = v[i: i + 20_000]
                 yield pa.RecordBatch.from_arrays([
                     pa.array([d.hex() for d in table.digests[i: i + 20_000]]),
-                    pa.array([x[1][1] for x in some], pa.int64()),
+                    pa.array([_id(x[1]) for x in some], pa.int64()),
                     pa.array([x[0] for x in some], pa.int64()), pa.array([-x[1][0] for x in some], pa.int64())],
                     names=list(names))
     return run
@@ -205,10 +212,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # rows repeated under one id are alike in all that is returned: counted, then one of them stays
     each = (rows.mapInArrow(_digests, "doc_id bigint, text_sha256 string, chars bigint")
             .groupBy("doc_id", "text_sha256", "chars").agg(F.count(F.lit(1)).alias("__times")))
-    stays = (F.coalesce("doc_id", F.lit(NO_ID)) == F.col("keep_id")) & (F.col("chars") == F.col("keep_chars"))
+    stays = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("chars") == F.col("keep_chars"))
     return (each.join(winners.hint("merge"), "text_sha256")
             .select("*", F.explode(F.sequence(F.lit(1), F.col("__times"))).alias("__time"))
-            .select("doc_id", F.when(F.col("keep_id") != NO_ID, F.col("keep_id")).alias("keep_id"), "group_size",
+            .select("doc_id", "keep_id", "group_size",
                     (stays & (F.col("__time") == 1)).alias("kept"), "text_sha256"))
 
 
@@ -231,7 +238,7 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  pa.array([len(t or "") for t in texts], pa.int64())], names=[*names, "__sha", "__chars"])
 
     schema = StructType([*docs.schema.fields]).add("__sha", StringType()).add("__chars", LongType())
-    each = (docs.mapInArrow(digests, schema)
-            .withColumn("__id", F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID))))
+    each = docs.mapInArrow(digests, schema).withColumn("__id", F.col(id_col).cast("bigint"))
+    same = (each["__sha"] == winners["__sha"]) & (each["__chars"] == winners["__chars"]) & each["__id"].eqNullSafe(winners["__id"])
     # only rows repeated under the winner's id are left to choose from
-    return each.join(winners.hint("merge"), won, "left_semi").dropDuplicates(won).select(*names)
+    return each.join(winners.hint("merge"), same, "left_semi").dropDuplicates(won).select(*names)
