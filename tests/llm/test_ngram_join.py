@@ -74,7 +74,7 @@ def family_rows(seed, families=12, members=25):
 def test_families(spark, seed, nodes, cap):
     rows = family_rows(seed)
     df = spark.createDataFrame([(i, t, 0) for i, t in rows], SCHEMA).repartition(6)
-    got = j.near_duplicates(df, chunk_nodes=nodes, chunk_grams=cap)
+    got = j.near_duplicates(df, chunk_nodes=nodes, chunk_grams=cap, part_grams=5 * cap // 300)
     assert sorted(map(tuple, got.collect())) == plain(rows)
 
 
@@ -152,3 +152,42 @@ def test_components(spark):
     got = components(spark.createDataFrame(edges, "a bigint, b bigint"))
     assert sorted(map(tuple, got.collect())) == sorted(want.items())
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_linked_sets_stay_hopeful(seed):
+    """Counted in batches and parts, a linked set has as many common n-grams as it needs."""
+    r = np.random.default_rng(seed)
+    rule = j.Similarity(4, int(r.choice([80, 85, 90])))
+    sets = []
+    for n in (1, 3, 7, 20, 90, 300):
+        base = r.integers(0, 1 << 63, n, dtype=np.uint64) * 2 + 1
+        for _ in range(5):
+            drop = int(r.integers(0, n // 5 + 1))
+            new = r.integers(0, 1 << 63, int(r.integers(0, n // 8 + 1)), dtype=np.uint64)
+            sets.append(np.unique(np.concatenate([r.permutation(base)[: n - drop], new])))
+        sets.append(np.unique(r.integers(0, 1 << 63, n, dtype=np.uint64) * 2 + 1))  # like no other
+    sets = list({s.tobytes(): s for s in sets}.values())
+    nodes = r.integers(-(1 << 62), 1 << 62, len(sets))
+    parts, rows = int(r.integers(1, 9)), []
+    deal = np.array_split(r.permutation(len(sets)), 3)
+    for own in [*deal, deal[0]]:  # one batch's sets are copies of another's
+        value = np.concatenate([sets[i] for i in own])
+        owner = np.repeat(own, [len(sets[i]) for i in own])
+        use = value < rule.sampled()
+        rows += zip(*(c.to_pylist() for c in j._packed_grams(value[use], owner[use], nodes, parts).columns))
+    common = defaultdict(int)
+    for part in {x[0] for x in rows}:
+        for node, times in zip(*j._common_in_part([x for x in rows if x[0] == part])):
+            common[int(node)] += int(times)
+    alone = 0
+    for a, s in enumerate(sets):
+        has = common[int(nodes[a].view(np.uint64) >> np.uint64(j._SHORT))]
+        others = np.concatenate([x for b, x in enumerate(sets) if b != a])
+        sampled = s[s < rule.sampled()]
+        assert has >= int(np.isin(sampled, others).sum())
+        hopeful = has >= len(sampled) - rule.missing(len(s))
+        alone += not hopeful
+        if any(rule.linked(len(np.intersect1d(s, x)), len(s), len(x)) for b, x in enumerate(sets) if b != a):
+            assert hopeful
+    assert alone

@@ -6,9 +6,14 @@ nothing. Two sets are linked if intersection / union reaches the threshold, test
 integers.
 
 1. Equal sets become one node (copies are never paired).
-2. All n-grams have one global order, that of their hashes. It is cut into segments, more of
-   them than two linked sets can have n-grams in which they differ, so linked sets agree in
-   a whole segment. Sets with an equal segment are tied. Every task first folds its own
+2. All n-grams have one global order, that of their hashes. Of a linked set, a share of at most
+   one less the threshold is missing in the other. So of the n-grams below a place in the order,
+   all but that many must be in some other set; a set with too few of those is linked with nothing
+   and takes no further part. Each task sends an n-gram once, in a few bytes, and counts those
+   that several of its own sets have by itself.
+   The order of what remains is cut into segments, more of them than two linked sets can have
+   n-grams in which they differ, so linked sets agree in a whole segment. Sets with an equal
+   segment are tied. Every task first folds its own
    documents: a segment is sent once per slice, with the slice's other sets tied to the one
    sent. Nodes tied directly or over others form blocks; only nodes of one block can be linked.
 3. A block's sets are stored in a trie, common n-grams first, so that close sets share long
@@ -40,9 +45,11 @@ from ._text import LOWER, U64, mix, per_doc, span_hashes, text_bytes, word_spans
 from .components import components
 from .sketches import gather
 
-#: Bits of the filter that tells which nodes' sets are wanted; a larger share of false
-#: hits, in a corpus with more nodes than that, costs shuffled bytes only.
-FILTER_BITS = 1 << 25
+#: Most bits of the filter that tells which nodes' sets are wanted (16 for each node below that);
+#: a larger share of false hits, in a corpus with more nodes, costs shuffled bytes only.
+FILTER_BITS = 1 << 27
+#: N-grams that one part of the count of common ones holds, about.
+PART_GRAMS = 1_000_000
 #: A chunk of a block holds about so many nodes, or n-grams.
 CHUNK_NODES = 1000
 CHUNK_GRAMS = 300_000
@@ -67,6 +74,15 @@ class Similarity:
             edges.append(max(edges[-1] + 1, 100 * (edges[-1] - 1) // self.percent + 1))
         return np.array([*edges, max(edges[-1] + 1, 100 * (edges[-1] - 1) // self.percent + 1)])
 
+    def missing(self, size):
+        """Most n-grams of a set of this size that a linked one lacks."""
+        return size * (100 - self.percent) // 100
+
+    def sampled(self) -> np.uint64:
+        """N-grams below this hash are counted: more than can be missing, by about as much again as
+        tells most unlinked sets."""
+        return U64(min((1 << 64) - 1, (1 << 64) * 16 * (100 - self.percent) // 1000))
+
     def differ(self, largest):
         """Most n-grams that are in one only of two linked sets up to this size."""
         return 2 * largest * (100 - self.percent) // (100 + self.percent)
@@ -286,9 +302,93 @@ def _digests(docs: DataFrame, rule: Similarity) -> DataFrame:
         value, bounds = gram_sets(batch.column(1), rule.words)
         sizes = np.diff(bounds)
         nodes = pa.array(node_ids(value, bounds), mask=(sizes == 0) | ~_has_id(batch))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes.astype(np.int64)), nodes],
-                                         names=["doc_id", "n_shingles", "node"])
-    return map_batches(docs, run, "doc_id bigint, n_shingles bigint, node bigint")
+        below = np.concatenate([[0], np.cumsum(value < rule.sampled())])[bounds]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes.astype(np.int64)), nodes, pa.array(np.diff(below))],
+                                         names=["doc_id", "n_shingles", "node", "sampled"])
+    return map_batches(docs, run, "doc_id bigint, n_shingles bigint, node bigint, sampled bigint")
+
+
+#: Bits of a node's id that are left out where its n-grams are counted. Nodes equal in the others
+#: are counted together, which can only let more sets pass.
+_SHORT = 25
+
+
+def _packed_grams(value: np.ndarray, owner: np.ndarray, nodes: np.ndarray, parts: int) -> pa.RecordBatch:
+    """(part, keys, nodes, counted): a batch's n-grams, each once with one of its nodes, by part; and
+    in a row of a negative part each node with how many of its n-grams other sets of the batch have."""
+    order = np.argsort(value, kind="stable")
+    value, owner = value[order], owner[order]
+    head = np.ones(len(value), bool)
+    head[1:] = value[1:] != value[:-1]
+    at = np.flatnonzero(head)
+    several = np.diff(np.append(at, len(value))) > 1
+    sure = owner[np.repeat(several, np.diff(np.append(at, len(value))))]
+    short = nodes.view(U64) >> U64(_SHORT)
+    h = mix(value[at] ^ U64(0x2545F4914F6CDD1D))
+    part = ((h >> U64(32)) % U64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    part, key, of, counted = part[order], h[order].astype(np.uint32), short[owner[at]][order], several[order]
+    cuts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else at
+    ends = np.append(cuts[1:], len(part)) if len(part) else cuts
+    packed = (of << U64(1)) | counted.astype(U64)
+    low, high = packed.astype(np.uint32), (packed >> U64(32)).astype(np.uint8)
+    rows = [(int(part[i]), key[i:j].tobytes(), low[i:j].tobytes(), high[i:j].tobytes())
+            for i, j in zip(cuts.tolist(), ends.tolist(), strict=True)]
+    if len(sure):
+        own, times = np.unique(short[sure], return_counts=True)
+        rows.append((-1 - int(own[0] % U64(parts)), own.tobytes(), times.astype(np.int64).tobytes(), b""))
+    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()),
+                                       *[pa.array([r[k] for r in rows], pa.binary()) for k in (1, 2, 3)]],
+                                      names=["part", "keys", "low", "high"])
+
+
+def _common_in_part(rows: list) -> tuple[np.ndarray, np.ndarray]:
+    """(short node, n-grams of it that another set has), not counting those its batch has counted."""
+    if rows[0][0] < 0:
+        own = np.concatenate([np.frombuffer(r[1], U64) for r in rows])
+        times = np.concatenate([np.frombuffer(r[2], np.int64) for r in rows])
+        nodes, at = np.unique(own, return_inverse=True)
+        return nodes, np.bincount(at, times, len(nodes)).astype(np.int64)
+    key = np.concatenate([np.frombuffer(r[1], np.uint32) for r in rows])
+    packed = (np.concatenate([np.frombuffer(r[2], np.uint32) for r in rows]).astype(U64)
+              | np.concatenate([np.frombuffer(r[3], np.uint8) for r in rows]).astype(U64) << U64(32))
+    order = np.lexsort((packed, key))
+    key, packed = key[order], packed[order]
+    node, counted = packed >> U64(1), (packed & U64(1)).astype(bool)
+    head = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    size = np.diff(np.append(head, len(key)))
+    common = (node[head] != node[head + size - 1]) | np.logical_or.reduceat(counted, head)
+    again = np.concatenate([[False], (key[1:] == key[:-1]) & (node[1:] == node[:-1])])
+    return np.unique(node[np.repeat(common, size) & ~counted & ~again], return_counts=True)
+
+
+def _hopeful(docs: DataFrame, classes: DataFrame, rule: Similarity, part_grams: int) -> DataFrame:
+    """The nodes (node, n_shingles) with enough n-grams that other sets have to be linked at all."""
+    total = classes.agg(F.sum("sampled")).first()[0] or 0
+    parts = max(1, -(-total // part_grams))
+
+    def dealt(batch):
+        value, bounds = gram_sets(batch.column(1), rule.words)
+        nodes, sizes = node_ids(value, bounds), np.diff(bounds)
+        first = np.zeros(len(sizes), bool)
+        first[_first_of_each(nodes, sizes, _has_id(batch))] = True
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        use = first[owner] & (value < rule.sampled())
+        yield _packed_grams(value[use], owner[use], nodes, parts)
+
+    def count(batches):
+        for rows in _groups(batches, 1):
+            nodes, times = _common_in_part(rows)
+            yield pa.RecordBatch.from_arrays([pa.array(nodes.astype(np.int64)), pa.array(times.astype(np.int64))],
+                                             names=["short", "common"])
+
+    common = (map_batches(docs, dealt, "part bigint, keys binary, low binary, high binary")
+              .repartition("part").sortWithinPartitions("part").mapInArrow(count, "short bigint, common bigint")
+              .groupBy("short").agg(F.sum("common").alias("common")))
+    needs = F.col("sampled") - F.floor(F.col("n_shingles") * (100 - rule.percent) / 100)
+    asked = classes.select("node", "n_shingles", needs.alias("needs"), F.shiftrightunsigned("node", _SHORT).alias("short"))
+    return (asked.join(common.hint("merge"), "short", "left").filter(F.coalesce("common", F.lit(0)) >= F.col("needs"))
+            .select("node", "n_shingles"))
 
 
 def segment_keys(value: np.ndarray, bounds: np.ndarray, rule: Similarity) -> tuple[np.ndarray, np.ndarray]:
@@ -374,13 +474,34 @@ def _joined_ties(rows: DataFrame) -> DataFrame:
     return rows.repartition("a").sortWithinPartitions("a", "b").mapInArrow(joined, "a bigint, b bigint")
 
 
-def _ties(docs: DataFrame, rule: Similarity) -> DataFrame:
+class NodeFilter:
+    """A Bloom filter of one bit a node, sent to every task."""
+
+    def __init__(self, nodes: DataFrame, most_bits: int):
+        bits = min(most_bits, 1 << max(16, int(16 * nodes.count()).bit_length()))
+
+        def fill(values, batch):
+            h = mix(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(U64))
+            at = (h & U64(bits - 1)).astype(np.int64)
+            np.bitwise_or.at(values, at >> 3, (1 << (at & 7)).astype(np.uint8))
+
+        found = gather(nodes.select("node").distinct(), bits // 8, "uint8", fill, np.bitwise_or)
+        self.bits, self.sent = bits, nodes.sparkSession.sparkContext.broadcast(found)
+
+    def __call__(self, nodes: np.ndarray) -> np.ndarray:
+        at = (mix(nodes.view(U64)) & U64(self.bits - 1)).astype(np.int64)
+        return (self.sent.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
+def _ties(docs: DataFrame, rule: Similarity, wanted: NodeFilter) -> DataFrame:
     def local(batch):
         value, bounds = gram_sets(batch.column(1), rule.words)
         nodes, sizes = node_ids(value, bounds), np.diff(bounds)
-        first = np.zeros(len(sizes), bool)
-        first[_first_of_each(nodes, sizes, _has_id(batch))] = True
-        yield _tie_rows(value, bounds, nodes, first, rule)
+        first = _first_of_each(nodes, sizes, _has_id(batch))
+        first = first[wanted(nodes[first])]
+        part = [value[bounds[i]: bounds[i + 1]] for i in first]
+        if part:
+            yield _tie_rows(np.concatenate(part), np.cumsum([0, *map(len, part)]), nodes[first], np.ones(len(part), bool), rule)
 
     return _joined_ties(map_batches(docs, local, "a bigint, b bigint"))
 
@@ -440,20 +561,13 @@ def _reaching_in_block(sets: DataFrame, rule: Similarity, part_grams: int) -> Da
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, rule: Similarity, bits: int) -> DataFrame:
     """``wanted`` (node, ...) with each node's sorted n-grams as ``grams`` binary."""
-    def fill(values, batch):
-        h = mix(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(U64))
-        at = (h & U64(bits - 1)).astype(np.int64)
-        np.bitwise_or.at(values, at >> 3, (1 << (at & 7)).astype(np.uint8))
-
-    found = gather(wanted.select("node").distinct(), bits // 8, "uint8", fill, np.bitwise_or)
-    shared = docs.sparkSession.sparkContext.broadcast(found)
+    named = NodeFilter(wanted, bits)
 
     def run(batch):
         value, bounds = gram_sets(batch.column(1), rule.words)
         nodes, sizes = node_ids(value, bounds), np.diff(bounds)
         first = _first_of_each(nodes, sizes, _has_id(batch))
-        at = (mix(nodes[first].view(U64)) & U64(bits - 1)).astype(np.int64)
-        first = first[(shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1]
+        first = first[named(nodes[first])]
         yield pa.RecordBatch.from_arrays(
             [pa.array(nodes[first]), pa.array([value[bounds[i]: bounds[i + 1]].tobytes() for i in first], pa.binary())],
             names=["node", "grams"])
@@ -466,7 +580,10 @@ def _chunks(nodes: DataFrame, chunk_nodes: int, chunk_grams: int) -> DataFrame:
     """Adds chunks (how many its block has) and chunk to rows (node, block, n_shingles)."""
     sizes = nodes.groupBy("block").agg(
         F.greatest(F.ceil(F.count(F.lit(1)) / chunk_nodes), F.ceil(F.sum("n_shingles") / chunk_grams)).cast("int").alias("chunks"))
-    return (nodes.join(sizes.hint("merge"), "block")
+    # a row per block of several chunks: few, and a block of very many nodes is not dealt by its key
+    # while they are under the session's measured limit for broadcasts
+    return (nodes.join(sizes.filter("chunks > 1"), "block", "left")
+            .withColumn("chunks", F.coalesce("chunks", F.lit(1)))
             .withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")))
 
 
@@ -504,7 +621,7 @@ def _cross_chunks(sets: DataFrame, rule: Similarity, chunk_nodes: int, chunk_gra
     pieces = lambda n, g: F.greatest(F.lit(1), F.ceil(n / chunk_nodes), F.ceil(g / chunk_grams)).cast("int")
     shape = shape.select("block", "largest", pieces(F.col("n"), F.col("grams")).alias("cols"),
                          pieces(F.col("n") - F.col("n_largest"), F.col("grams") - F.col("grams_largest")).alias("rows"))
-    placed = sets.join(shape.hint("merge"), "block")
+    placed = sets.join(shape, "block")
     one = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     all_of = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     build = placed.select("block", one("cols").alias("col"), all_of("rows").alias("row"), "node", F.lit(False).alias("probe"), "head", "grams")
@@ -571,9 +688,11 @@ def _large_blocks(sets: DataFrame, rule: Similarity, chunk_nodes: int, chunk_gra
     return done.union(joined.select("node", F.coalesce("component", "head").alias("root")))
 
 
-def _linked_nodes(docs: DataFrame, classes: DataFrame, rule: Similarity, bits: int, chunk_nodes: int, chunk_grams: int) -> DataFrame:
+def _linked_nodes(docs: DataFrame, classes: DataFrame, rule: Similarity, bits: int, chunk_nodes: int, chunk_grams: int,
+                  part_grams: int) -> DataFrame:
     """(node, root) of nodes in blocks; a node that is not listed is linked with nothing."""
-    blocks = components(_ties(docs, rule)).withColumnRenamed("component", "block")
+    hopeful = checkpoint(_hopeful(docs, classes, rule, part_grams))
+    blocks = components(_ties(docs, rule, NodeFilter(hopeful, bits))).withColumnRenamed("component", "block")
     sized = checkpoint(_chunks(blocks.join(classes.select("node", "n_shingles").hint("merge"), "node"), chunk_nodes, chunk_grams))
     sets = checkpoint(_sets_of(docs, sized, rule, bits).select(*SETS, "chunks", "chunk").dropDuplicates(["node"]))
     small = _join_chunks(sets.filter("chunks = 1"), rule).select("node", F.col("head").alias("root"))
@@ -584,13 +703,15 @@ def _linked_nodes(docs: DataFrame, classes: DataFrame, rule: Similarity, bits: i
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Similarity = Similarity(),
-                    filter_bits: int = FILTER_BITS, chunk_nodes: int = CHUNK_NODES, chunk_grams: int = CHUNK_GRAMS) -> DataFrame:
+                    filter_bits: int = FILTER_BITS, chunk_nodes: int = CHUNK_NODES, chunk_grams: int = CHUNK_GRAMS,
+                    part_grams: int = PART_GRAMS) -> DataFrame:
     """doc_id, n_shingles, component_id of every row; the id is the smallest one reachable."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     each = checkpoint(_digests(rows, rule))
     classes = checkpoint(each.filter("node is not null").groupBy("node")
-                         .agg(F.min("doc_id").alias("first_id"), F.max("n_shingles").alias("n_shingles")))
-    roots = checkpoint(_linked_nodes(rows, classes, rule, filter_bits, chunk_nodes, chunk_grams))
+                         .agg(F.min("doc_id").alias("first_id"), F.max("n_shingles").alias("n_shingles"),
+                              F.max("sampled").alias("sampled")))
+    roots = checkpoint(_linked_nodes(rows, classes, rule, filter_bits, chunk_nodes, chunk_grams, part_grams))
     named = roots.join(classes.select("node", "first_id").hint("merge"), "node")
     lowest = named.groupBy("root").agg(F.min("first_id").alias("lowest"))
     linked = named.join(lowest.hint("merge"), "root").select("node", "lowest")
