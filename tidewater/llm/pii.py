@@ -102,15 +102,31 @@ def _spans(text: Column, kind: str) -> Column:
     split = F.split(F.regexp_replace(ready, F.lit(pattern), F.lit(f"{MARK}$0{MARK}")), MARK, -1)
     empty = F.array().cast("array<struct<start:int,stop:int,body:string,before:string,after:string>>")
 
+    def span(start, body, before, behind):
+        return F.struct(start.alias("start"), (start + F.length(body)).alias("stop"), body.alias("body"),
+                        F.right(before, F.lit(32)).alias("before"), F.left(behind, F.lit(1)).alias("after"))
+
+    def many(pieces):
+        return _let(_running(F.transform(pieces, lambda p: F.length(p))), lambda at: F.transform(
+            F.sequence(F.lit(1), F.size(pieces) - 2, F.lit(2)),
+            lambda i: span(F.get(at, i), F.get(pieces, i), F.get(pieces, i - 1), F.get(pieces, i + 1))))
+
+    def few(pieces):
+        """One pass that copies the list for each match, which short lists bear."""
+        start = F.struct(F.lit(0).alias("at"), empty.alias("out"))
+
+        def step(acc, i):
+            begin = acc["at"] + F.length(F.get(pieces, i - 1))
+            one = span(begin, F.get(pieces, i), F.get(pieces, i - 1), F.get(pieces, i + 1))
+            return F.struct((begin + F.length(F.get(pieces, i))).alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+
+        return F.aggregate(F.sequence(F.lit(1), F.size(pieces) - 2, F.lit(2)), start, step, lambda acc: acc["out"])
+
     def found(pieces):
         """Odd pieces are matches."""
-        return _let(_running(F.transform(pieces, lambda p: F.length(p))), lambda at: F.transform(
-            F.sequence(F.lit(1), F.size(pieces) - 2, F.lit(2)), lambda i: F.struct(
-                F.get(at, i).alias("start"), (F.get(at, i) + F.length(F.get(pieces, i))).alias("stop"),
-                F.get(pieces, i).alias("body"), F.right(F.get(pieces, i - 1), F.lit(32)).alias("before"),
-                F.left(F.get(pieces, i + 1), F.lit(1)).alias("after"))))
+        return F.when(F.size(pieces) < 3, empty).when(F.size(pieces) < 100, few(pieces)).otherwise(many(pieces))
 
-    return F.when(there, _let(split, lambda pieces: F.when(F.size(pieces) > 1, found(pieces)).otherwise(empty))).otherwise(empty)
+    return F.when(there, _let(split, found)).otherwise(empty)
 
 
 def _digits(body: Column) -> Column:
@@ -163,7 +179,7 @@ def _meets(kind: str, s: Column) -> Column:
 
     few = F.exists(spans, lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"]))
     many = _let(search(), lambda n: (n > 0) & (F.get(spans, n - 1)["stop"] > s["start"]))
-    return F.when(F.size(spans) <= 8, few).otherwise(F.coalesce(many, F.lit(False)))
+    return F.when(F.size(spans) <= 16, few).otherwise(F.coalesce(many, F.lit(False)))
 
 
 def _overlaps(s: Column) -> Column:
