@@ -104,3 +104,40 @@ def test_query_takes_every_document_and_turn(spark):
     turns = [("conversations", r.conv_id * 1_000_000 + r.turn) for r in spark.read.parquet(f"{sf}/conversations.parquet").collect()]
     assert sorted((r.input, r.doc_id) for r in got) == sorted(docs + turns)
     assert all(r.round_trip for r in got)
+
+
+def test_long_words_draw_anew_at_every_place(vocabulary):
+    """A word of some 10,000 pieces: equal stretches of it are not cut alike, and its pieces are as
+    frequent as in many short words."""
+    out = s.sample_texts(["internationalisation" * 4000], [5], vocabulary, 1)[0][0][0]
+    assert len(out) > 10_000
+    lengths = [len(vocabulary.bytes[i]) for i in out]
+    halves = [Counter(lengths[: len(lengths) // 2]), Counter(lengths[len(lengths) // 2:])]
+    for n in set(lengths):
+        a, b = (h[n] / sum(h.values()) for h in halves)
+        assert abs(a - b) < 6 * math.sqrt(max(a, b) / sum(halves[0].values())) + 1e-3
+    ends = np.cumsum(lengths) - len(s.MARK)
+    cuts = Counter()
+    for k in range(4000):  # where each repeat of the stretch is cut
+        own = ends[np.searchsorted(ends, 20 * k): np.searchsorted(ends, 20 * k + 20)] - 20 * k
+        cuts[tuple(own.tolist())] += 1
+    assert len(cuts) > 10
+    assert out[:2000].tolist() != out[4096:6096].tolist()
+
+
+def test_kept_lattices_change_nothing(vocabulary, monkeypatch):
+    texts = [f"word{i % 7} other{i} thing, {i}" for i in range(200)]
+    a = s.sample_texts(texts, list(range(200)), vocabulary, 3)
+    monkeypatch.setattr(s, "KEPT_STATES", 0)  # afresh each time
+    b = [s.sample_texts([t], [i], vocabulary, 3)[0] for i, t in enumerate(texts)]
+    for x, y in zip(a, b, strict=True):
+        assert [(r[0].tolist(), r[1:]) for r in x] == [(r[0].tolist(), r[1:]) for r in y]
+
+
+def test_turns_with_large_ids(spark):
+    rows = [(1 << 62, 5, "one text"), (1 << 62, 6, "one text"), (None, 1, "x")]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, text string")
+    from pyspark.sql import functions as F
+    got = s.sample_segmentations(df, PATH, id_col="turn", key=F.xxhash64("conv_id", "turn")).collect()
+    own = {r.doc_id: r.perturbed for r in got if r.sample == 0}
+    assert len(own) == 3 and own[5] != own[6]

@@ -40,12 +40,14 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two distinct segmentations of every document and of every conversation turn."""
-    texts = {"documents": table(spark, sf_dir, "documents").select("doc_id", "text"),
-             "conversations": (table(spark, sf_dir, "conversations")
-                               .select((F.col("conv_id") * 1_000_000 + F.col("turn")).alias("doc_id"), "text"))}
-    parts = [subword_sampling.sample_segmentations(rows, tokenizer_file("piece_bpe_32k.model"), k=2)
-             .withColumn("input", F.lit(name)) for name, rows in texts.items()]
+    """Two distinct segmentations of every document and of every conversation turn. Rows of the two
+    tables draw apart, and turns by the hash of their conversation and turn, whatever their ids."""
+    number = F.expr("try_add(try_multiply(conv_id, 1000000), turn)").alias("doc_id")
+    texts = {"documents": (table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"]),
+             "conversations": (table(spark, sf_dir, "conversations").select(number, "conv_id", "turn", "text"), ["conv_id", "turn"])}
+    parts = [subword_sampling.sample_segmentations(rows, tokenizer_file("piece_bpe_32k.model"), k=2,
+                                                   key=F.xxhash64(F.lit(name), *ids))
+             .withColumn("input", F.lit(name)) for name, (rows, ids) in texts.items()]
     return parts[0].unionByName(parts[1])
 
 

@@ -3,7 +3,7 @@
 A text is its bytes with every space written as the piece mark and one mark in front. Its
 lattice has the vocabulary's pieces as edges between character starts; characters without a
 piece fall back to byte pieces. Pieces never reach from a word into the next one, so equal
-words share one small lattice per batch. A piece weighs ``1 / (rank + 1) ** exponent`` by its
+words share one small lattice, kept by the worker. A piece weighs ``1 / (rank + 1) ** exponent`` by its
 place in the vocabulary (a Zipf prior; nothing is trained).
 
 Gumbel top-k without replacement: the whole lattice's perturbed log-probability is drawn
@@ -13,8 +13,9 @@ value can be drawn below the path's own. The next sample is the best such part:
 (A*) search whose bounds are exact, so samples are distinct and come in falling order. The
 value of the first one not taken gives each sample its inclusion probability.
 
-All random numbers are hashes of (seed, row key, sample, place): a row's samples don't depend
-on its batch or on retries. Per-row work only, no shuffle.
+All random numbers are hashes of (seed, row key, purpose, sample, word, place in the word): none is
+drawn twice, however long a word is, and a row's samples don't depend on its batch or on
+retries. Per-row work only, no shuffle.
 
 Defined results: null text is empty and gives one segmentation without pieces; a text with
 fewer than k segmentations gives all of them, the score of which is then 1; repeated rows
@@ -26,7 +27,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._spark import map_batches
@@ -65,6 +66,8 @@ class Vocabulary:
         self.weight[self.byte_id] = -exponent * np.log(len(self.bytes))
         self.lengths = sorted({len(self.bytes[i]) for i in usable})
         self.by_length = {}
+        #: One bit of hash tells most places that no piece of a length begins there.
+        self.sieve = {n: np.zeros(1 << 16, bool) for n in self.lengths}
         for n in self.lengths:
             ids = np.array([i for i in usable if len(self.bytes[i]) == n])
             data = np.frombuffer(b"".join(self.bytes[i] for i in ids), np.uint8)
@@ -72,6 +75,45 @@ class Vocabulary:
             hashes = SpanHash(data)(at, at + n)
             order = np.argsort(hashes)
             self.by_length[n] = hashes[order], ids[order]
+            self.sieve[n][hashes & U64(0xFFFF)] = True
+        sizes = np.array([len(b) for b in self.bytes])
+        self.spelling = np.frombuffer(b"".join(self.bytes) or b"\0", np.uint8), np.cumsum([0, *sizes])[:-1], sizes
+
+    def pieces_at(self, data: np.ndarray, begins: np.ndarray, room: np.ndarray, char: np.ndarray):
+        """(source, length, piece) of every piece that spells bytes from a place on, up to a character's start."""
+        hashed = SpanHash(data)
+        source, lengths, piece = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for length in self.lengths:
+            fits = room >= length
+            if not fits.all():  # longer pieces fit nowhere else either
+                begins, room = begins[fits], room[fits]
+            if not len(begins):
+                break
+            at = begins[char[begins + length]]
+            found = hashed(at, at + length)
+            maybe = self.sieve[length][found & U64(0xFFFF)]
+            at, found = at[maybe], found[maybe]
+            hashes, ids = self.by_length[length]
+            k = np.minimum(np.searchsorted(hashes, found), len(hashes) - 1)
+            hit = hashes[k] == found
+            source.append(at[hit])
+            lengths.append(np.full(int(hit.sum()), length))
+            piece.append(ids[k[hit]])
+        return np.concatenate(source), np.concatenate(lengths), np.concatenate(piece)
+
+    def spelled(self, ids: np.ndarray) -> bytes:
+        """The bytes of pieces in a row."""
+        pool, begin, size = self.spelling
+        total = np.concatenate([[0], np.cumsum(size[ids])])
+        return pool[np.repeat(begin[ids] - total[:-1], size[ids]) + np.arange(total[-1])].tobytes()
+
+    def lattices(self) -> "Lattices":
+        """The worker's lattices, begun afresh when they have grown too large."""
+        if self._lattices is None or self._lattices.states[0].n > KEPT_STATES:
+            self._lattices = Lattices(self)
+        return self._lattices
+
+    _lattices: "Lattices | None" = None
 
     @classmethod
     def load(cls, path: str, exponent: float) -> "Vocabulary":
@@ -84,134 +126,199 @@ class Vocabulary:
         return raw[len(MARK):].replace(MARK, b" ").replace(OWN_MARK, MARK).decode("utf-8", "replace")
 
 
-class Lattice:
-    """Edges of all distinct words of a batch; a state is a byte place within a word."""
+class Grown:
+    """An array that is added to at its end."""
+
+    def __init__(self, dtype):
+        self.held, self.n = np.zeros(1 << 12, dtype), 0
+
+    def add(self, values: np.ndarray) -> None:
+        while self.n + len(values) > len(self.held):
+            self.held = np.concatenate([self.held, np.zeros_like(self.held)])
+        self.held[self.n: self.n + len(values)] = values
+        self.n += len(values)
+
+
+#: States of the lattices a worker keeps; beyond it the memory starts afresh, which costs time only.
+KEPT_STATES = 4_000_000
+
+
+class Lattices:
+    """The lattices of all words met so far; a state is a byte place within a word. A state's edges
+    lie together, ``summed`` adds up their probabilities from the first on."""
+
+    def __init__(self, vocabulary: "Vocabulary"):
+        self.vocabulary, self.known = vocabulary, {}
+        self.words = [Grown(np.int64), Grown(np.int64)]                       # start, end
+        self.states = [Grown(np.int64), Grown(np.int32)]                      # first edge, number of edges
+        self.edges = [Grown(np.int32), Grown(np.int32), Grown(np.int32), Grown(np.float64), Grown(np.float64)]
+
+    def numbers(self, keys: np.ndarray, spell) -> np.ndarray:
+        """Word numbers of 64-bit word hashes; ``spell(i)`` gives the bytes of the i-th."""
+        out = np.fromiter((self.known.get(k, -1) for k in keys.tolist()), np.int64, len(keys))
+        new = np.flatnonzero(out < 0)
+        if len(new):
+            out[new] = self.words[0].n + np.arange(len(new))
+            self.known.update(zip(keys[new].tolist(), out[new].tolist(), strict=True))
+            self._add([spell(i) for i in new.tolist()])
+        self.start, self.end = (g.held for g in self.words)
+        self.first, self.count = (g.held for g in self.states)
+        self.source, self.target, self.piece, self.log_p, self.summed = (g.held for g in self.edges)
+        return out
 
-    def __init__(self, words: list[bytes], vocabulary: Vocabulary):
+    def p(self, edges: np.ndarray) -> np.ndarray:
+        return np.exp(self.log_p[edges])
+
+    def _add(self, words: list[bytes]) -> None:
+        vocabulary = self.vocabulary
         sizes = np.array([len(w) + 1 for w in words])  # one place behind the last byte
-        self.start = np.cumsum([0, *sizes])[:-1]
-        self.end = self.start + sizes - 1
+        start = np.cumsum([0, *sizes])[:-1]
+        end = start + sizes - 1
         data = np.frombuffer(b"".join(w + b"\0" for w in words), np.uint8)
         n = len(data)
         char = ((data & 0xC0) != 0x80)
         last = np.zeros(n, bool)
-        last[self.end] = True
-        room = np.repeat(self.end, sizes) - np.arange(n)  # bytes left in the word
-        hashed = SpanHash(data)
-        source, target, piece = [], [], []
+        last[end] = True
+        room = np.repeat(end, sizes) - np.arange(n)  # bytes left in the word
         begins = np.flatnonzero(char & ~last)
         next_char = np.append(np.flatnonzero(char), n)
-        for length in vocabulary.lengths:
-            at = begins[room[begins] >= length]
-            at = at[char[at + length]]
-            hashes, ids = vocabulary.by_length[length]
-            found = hashed(at, at + length)
-            k = np.minimum(np.searchsorted(hashes, found), len(hashes) - 1)
-            hit = hashes[k] == found
-            source.append(at[hit])
-            target.append(at[hit] + length)
-            piece.append(ids[k[hit]])
+        source, length, piece = vocabulary.pieces_at(data, begins, room[begins], char)
+        target = source + length
         # a character without a piece of its own: its bytes, one edge each
         stop = next_char[np.searchsorted(next_char, begins, "right")]
         whole = np.zeros(n, bool)
-        src, tgt = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (source, target))
-        order = np.searchsorted(begins, src)
-        whole[src[tgt == stop[order]]] = True
-        bare = begins[~whole[begins]]
-        places = np.concatenate([np.arange(a, b) for a, b in zip(bare, stop[~whole[begins]], strict=True)] or [np.zeros(0, np.int64)])
-        src = np.concatenate([src, places])
-        tgt = np.concatenate([tgt, places + 1])
-        ids = np.concatenate([*piece, vocabulary.byte_id[data[places]]]) if len(src) else np.zeros(0, np.int64)
-        order = np.lexsort((tgt, src))
-        self.source, self.target, self.piece = src[order], tgt[order], ids[order]
-        self.first = np.searchsorted(self.source, np.arange(n + 1))
-        self.beta = np.full(n, -np.inf)
-        self.beta[self.end] = 0.0
-        weight = vocabulary.weight[self.piece]
-        far = room[self.source]
-        by = np.argsort(far, kind="stable")
+        at = np.searchsorted(begins, source)
+        whole[source[target == stop[at]]] = True
+        bare = ~whole[begins]
+        places = np.concatenate([np.arange(a, b) for a, b in zip(begins[bare], stop[bare], strict=True)] or [np.zeros(0, np.int64)])
+        source = np.concatenate([source, places])
+        target = np.concatenate([target, places + 1])
+        piece = np.concatenate([piece, vocabulary.byte_id[data[places]]])
+        order = np.argsort(source, kind="stable")
+        source, target, piece = source[order], target[order], piece[order]
+        first = np.searchsorted(source, np.arange(n + 1))
+        beta = np.full(n, -np.inf)
+        beta[end] = 0.0
+        weight = vocabulary.weight[piece]
+        far = room[source]
+        small = far.astype(np.uint16) if len(far) and far.max() < 1 << 16 else far  # sorted by digits
+        by = np.argsort(small, kind="stable")
         cuts = np.searchsorted(far[by], np.arange(1, (int(far.max()) if len(far) else 0) + 2))
         for d in range(len(cuts) - 1):
             e = by[cuts[d]: cuts[d + 1]]
             if len(e):
-                value = weight[e] + self.beta[self.target[e]]
-                heads = np.flatnonzero(np.append(True, self.source[e][1:] != self.source[e][:-1]))
-                self.beta[self.source[e[heads]]] = np.logaddexp.reduceat(value, heads)
+                value = weight[e] + beta[target[e]]
+                heads = np.flatnonzero(np.append(True, source[e][1:] != source[e][:-1]))
+                beta[source[e[heads]]] = np.logaddexp.reduceat(value, heads)
         with np.errstate(invalid="ignore"):
-            self.log_p = weight + self.beta[self.target] - self.beta[self.source]
-        self.p = np.exp(np.where(np.isfinite(self.log_p), self.log_p, -np.inf))
-        total = np.concatenate([[0.0], np.cumsum(self.p)])
-        self.before = total[:-1]                    # mass of all earlier edges
-        self.base = total[self.first[:-1]]          # ... up to a state's first edge
+            log_p = weight + beta[target] - beta[source]
+        log_p[~np.isfinite(log_p)] = -np.inf
+        p = np.exp(log_p)
+        # sums within each state, added one edge at a time, so they don't depend on other words
+        summed, lane, count = p.copy(), np.arange(len(p)) - first[source], np.diff(first)
+        for k in range(1, int(count.max(initial=0))):
+            e = np.flatnonzero(lane == k)
+            summed[e] += summed[e - 1]
+        n_states, n_edges = self.states[0].n, self.edges[0].n
+        for grown, values in zip((*self.words, *self.states, *self.edges),
+                                 (start + n_states, end + n_states, first[:-1] + n_edges, count, source + n_states,
+                                  target + n_states, piece, log_p, summed), strict=True):
+            grown.add(values)
 
     def choose(self, state: np.ndarray, u: np.ndarray) -> np.ndarray:
-        """An edge out of each state, by its probability."""
-        lo, hi = self.first[state], self.first[state + 1]
-        e = np.searchsorted(self.before, self.base[state] + u * self.p_total(lo, hi), "right") - 1
-        return np.clip(e, lo, hi - 1)
+        """An edge out of each state, by its probability: the first whose sum passes the draw."""
+        first, count = self.first[state], self.count[state]
+        wanted = u * self.summed[first + count - 1]
+        passed = np.zeros(len(state), np.int64)
+        step = 1 << max(int(count.max(initial=1)) - 1, 1).bit_length()
+        while step:
+            at = passed + step
+            more = at < count
+            more[more] = self.summed[first[more] + at[more] - 1] <= wanted[more]
+            passed[more] = at[more]
+            step >>= 1
+        return first + passed
 
-    def p_total(self, lo, hi):
-        total = np.append(self.before, self.before[-1] + self.p[-1] if len(self.p) else 0.0)
-        return total[hi] - total[lo]
 
+#: What a random number is for.
+ROOT, WALK, PARTS, BRANCH = range(1, 5)
 
-def _uniform(key: np.ndarray, sample: int, place: np.ndarray) -> np.ndarray:
-    h = mix(key ^ mix(place.astype(U64) * U64(64) + U64(sample)))
+
+def _drawn(h: np.ndarray) -> np.ndarray:
     return ((h >> U64(11)).astype(float) + 0.5) * 2.0 ** -53
 
 
-def _walk(lattice: Lattice, state: np.ndarray, word: np.ndarray, key: np.ndarray, place: np.ndarray, sample: int):
+def _lane(key: np.ndarray, purpose: int, sample: int, place: np.ndarray) -> np.ndarray:
+    """What the draws of one row, purpose, sample and place begin from."""
+    return mix(mix(key ^ mix(np.array([(sample << 3) | purpose], np.int64).view(U64))) + place.astype(U64))
+
+
+def _uniform(key: np.ndarray, purpose: int, sample: int, place: np.ndarray) -> np.ndarray:
+    return _drawn(mix(_lane(key, purpose, sample, place)))
+
+
+def _walk(lattice: Lattices, state: np.ndarray, word: np.ndarray, key: np.ndarray, place: np.ndarray, sample: int):
     """Samples each word from its state to its end: (item of each edge, edges), in order."""
-    items, edges, alive, step = [], [], np.arange(len(state)), 0
-    state = state.copy()
+    steps, alive = [], np.arange(len(state))
+    state, begin, end = state.copy(), lattice.start[word], lattice.end[word]
+    lane, count = _lane(key, WALK, sample, place), np.zeros(len(state), np.int64)
     while True:
-        alive = alive[state[alive] < lattice.end[word[alive]]]
+        alive = alive[state[alive] < end[alive]]
         if not len(alive):
             break
-        e = lattice.choose(state[alive], _uniform(key[alive], sample, place[alive] * 4096 + step % 4096))
-        items.append(alive)
-        edges.append(e)
+        at = state[alive]
+        e = lattice.choose(at, _drawn(mix(lane[alive] + (at - begin[alive]).astype(U64))))
+        steps.append((alive, e))
+        count[alive] += 1
         state[alive] = lattice.target[e]
-        step += 1
-    if not items:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    item, edge = np.concatenate(items), np.concatenate(edges)
-    order = np.argsort(item, kind="stable")
-    return item[order], edge[order]
+    first = np.cumsum(count) - count
+    edge = np.zeros(int(count.sum()), np.int64)
+    for k, (some, e) in enumerate(steps):
+        edge[first[some] + k] = e
+    return np.repeat(np.arange(len(count)), count), edge
 
 
-def _below(mass: np.ndarray, bound: float, u: np.ndarray) -> np.ndarray:
-    """Gumbel values with these log masses, given that they are below a bound."""
+def _below(mass: np.ndarray, bound: np.ndarray, u: np.ndarray) -> np.ndarray:
+    """Gumbel values with these log masses, given that they are below their bounds."""
     with np.errstate(divide="ignore", over="ignore"):
         return mass - np.log(np.exp(np.minimum(mass - bound, 700)) - np.log(u))
 
 
+def marked(text: str | None) -> bytes:
+    """The text's bytes with a space in front, its own marks by their stand-in; spaces are marks."""
+    return b" " + text.encode().replace(MARK, OWN_MARK) if text else b""
+
+
+def word_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where words begin: at every text and at a space behind another character."""
+    cut = data == 32
+    cut[1:] &= data[:-1] != 32
+    cut[offsets[:-1][np.diff(offsets) > 0]] = True
+    return np.flatnonzero(cut)
+
+
 def split_words(text: bytes) -> list[bytes]:
-    """The marked text cut before every mark that stands behind another character."""
-    raw = MARK + text.replace(MARK, OWN_MARK).replace(b" ", MARK) if text else b""
-    out, at = [], 0
-    while at < len(raw):
-        k = at
-        while raw.startswith(MARK, k):
-            k += len(MARK)
-        stop = raw.find(MARK, k)
-        stop = len(raw) if stop < 0 else stop
-        out.append(raw[at:stop])
-        at = stop
-    return out
+    """The words of one text, with marks."""
+    raw = marked(text.decode("utf-8", "replace"))
+    data = np.frombuffer(raw, np.uint8)
+    starts = word_starts(data, np.array([0, len(raw)])).tolist()
+    return [raw[a:b].replace(b" ", MARK) for a, b in zip(starts, [*starts[1:], len(raw)], strict=True)]
 
 
 def sample_texts(texts: list[str | None], keys: list[int | None], vocabulary: Vocabulary, k: int, seed: int = 0):
     """For each text up to k tuples (ids, log-probability, perturbed value, inclusion)."""
-    number: dict[bytes, int] = {}
-    words, first = [], [0]
-    for t in texts:
-        words += [number.setdefault(w, len(number)) for w in split_words((t or "").encode())]
-        first.append(len(words))
-    if not number:
+    raws = [marked(t) for t in texts]
+    raw = b"".join(raws)
+    if not raw:
         return [[(np.zeros(0, np.int64), 0.0, 0.0, 1.0)] for _ in texts]
-    lattice = Lattice(list(number), vocabulary)
-    word = np.array(words, np.int64)
+    data = np.frombuffer(raw, np.uint8)
+    offsets = np.cumsum([0, *map(len, raws)])
+    starts = word_starts(data, offsets)
+    ends = np.append(starts[1:], len(data))
+    names, at, inverse = np.unique(SpanHash(data)(starts, ends), return_index=True, return_inverse=True)
+    lattice = vocabulary.lattices()
+    word = lattice.numbers(names, lambda i: raw[starts[at[i]]: ends[at[i]]].replace(b" ", MARK))[inverse]
+    first = np.searchsorted(starts, offsets).tolist()
     n = len(texts)
     row_key = mix(np.array([key or 0 for key in keys], np.int64).view(U64) ^ mix(np.full(n, seed, np.int64).view(U64)))
     size = np.diff(first)
@@ -223,31 +330,42 @@ def sample_texts(texts: list[str | None], keys: list[int | None], vocabulary: Vo
     paths = [[] for _ in range(n)]
     opened: list[list] = [[] for _ in range(n)]
     taken: list[dict] = [{} for _ in range(n)]
-    root = -np.log(-np.log(_uniform(row_key, 63, np.zeros(n, np.int64))))
-
-    def open_parts(i: int, sample: int, begin: int) -> None:
-        """Draws the best value of every part that leaves the newest path from a step on."""
-        edges, _, value = paths[i][-1]
+    root = -np.log(-np.log(_uniform(row_key, ROOT, 0, np.zeros(n, np.int64))))
+
+    def open_parts(newest: list[tuple[int, int]], sample: int) -> None:
+        """Draws the best value of every part that leaves the newest path of a text from a step on."""
+        if not newest:
+            return
+        texts_of = np.array([i for i, _ in newest])
+        own = [paths[i][-1] for i in texts_of]
+        sizes = np.array([len(x[0]) for x in own])
+        begin = np.cumsum(sizes) - sizes
+        edges, of = np.concatenate([x[0] for x in own]), np.repeat(np.arange(len(own)), sizes)
         log_p = lattice.log_p[edges]
-        prefix = np.concatenate([[0.0], np.cumsum(log_p)])
-        other = 1 - lattice.p[edges]
-        if begin >= 0 and (used := taken[i].get(_node(i, begin))) is not None:
-            other[begin] = 1 - lattice.p[list(used)].sum()
-        at = np.arange(max(begin, 0), len(edges))
-        single = lattice.first[lattice.source[edges[at]] + 1] - lattice.first[lattice.source[edges[at]]]
-        at = at[(single > 1) & (other[at] > 1e-12)]
-        if len(at):
-            g = _below(prefix[at] + np.log(other[at]), value, _uniform(np.full(len(at), row_key[i]), sample + 32, at))
-            best = np.argsort(-g)[:k]  # no more than k parts of a path can be wanted
-            opened[i] += [(float(g[b]), len(paths[i]) - 1, int(at[b])) for b in best]
+        prefix = np.cumsum(log_p) - log_p
+        prefix -= prefix[begin[of]]
+        other = 1 - np.exp(log_p)
+        step = np.arange(len(edges)) - begin[of]
+        for b, (i, at) in enumerate(newest):
+            if at >= 0 and (used := taken[i].get(_node(i, at))) is not None:
+                other[begin[b] + at] = 1 - lattice.p(np.array(sorted(used))).sum()
+        since = np.array([max(at, 0) for _, at in newest])
+        at = np.flatnonzero((step >= since[of]) & (lattice.count[lattice.source[edges]] > 1) & (other > 1e-12))
+        of, step = of[at], step[at]
+        g = _below(prefix[at] + np.log(other[at]), np.array([x[2] for x in own])[of],
+                   _uniform(row_key[texts_of[of]], PARTS, sample, step))
+        order = np.lexsort((-g, of))
+        first_of = np.searchsorted(of[order], np.arange(len(own) + 1))
+        for b, i in enumerate(texts_of.tolist()):
+            best = order[first_of[b]: min(first_of[b] + k, first_of[b + 1])]  # no more than k parts of a path can be wanted
+            opened[i] += [(float(g[x]), len(paths[i]) - 1, int(step[x])) for x in best]
 
     def _node(i: int, step: int):
         return (paths[i][-1][0][:step].tobytes(), step)
 
     for i in range(n):
         paths[i].append((edge[cut[i]: cut[i + 1]], place[item[cut[i]: cut[i + 1]]], float(root[i])))
-        if k > 0 and size[i]:
-            open_parts(i, 0, -1)
+    open_parts([(i, -1) for i in range(n) if k > 0 and size[i]], 0)
     for sample in range(1, k):
         branch = []
         for i in range(n):
@@ -259,9 +377,9 @@ def sample_texts(texts: list[str | None], keys: list[int | None], vocabulary: Vo
             node = (edges[:step].tobytes(), step)
             used = taken[i].setdefault(node, {int(edges[step])})
             state = int(lattice.source[edges[step]])
-            out = [e for e in range(lattice.first[state], lattice.first[state + 1]) if e not in used]
-            p = np.cumsum(lattice.p[out])
-            u = float(_uniform(row_key[i: i + 1], sample, np.array([1 << 40]))[0])
+            out = [e for e in range(lattice.first[state], lattice.first[state] + lattice.count[state]) if e not in used]
+            p = np.cumsum(lattice.p(np.array(out)))
+            u = float(_uniform(row_key[i: i + 1], BRANCH, sample, np.zeros(1, np.int64))[0])
             e = out[min(int(np.searchsorted(p, u * p[-1], "right")), len(out) - 1)]
             used.add(e)
             branch.append((i, path, step, e, value))
@@ -287,7 +405,7 @@ def sample_texts(texts: list[str | None], keys: list[int | None], vocabulary: Vo
             own = slice(cut[b], cut[b + 1])
             paths[i].append((np.concatenate([edges[:step], [e], edge[own]]),
                              np.concatenate([at_place[: step + 1], their_place[item[own]]]), value))
-            open_parts(i, sample, step)
+        open_parts([(i, step) for i, _, step, _, _ in branch], sample)
     out = []
     for i in range(n):
         limit = max((x[0] for x in opened[i]), default=None)
@@ -301,26 +419,32 @@ def sample_texts(texts: list[str | None], keys: list[int | None], vocabulary: Vo
 
 
 def sample_segmentations(docs: DataFrame, model_path: str, k: int = 2, exponent: float = 1.0, seed: int = 0,
-                         id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True) -> DataFrame:
+                         id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True,
+                         key: Column | None = None) -> DataFrame:
     """doc_id, sample, n_pieces, log_prob, perturbed, inclusion, ids_crc32, round_trip and,
-    if wanted, ids."""
+    if wanted, ids. ``key``: what seeds a row, where that is not its id."""
     def run(batch):
         vocabulary = Vocabulary.load(model_path, exponent)
         texts = batch.column(1).to_pylist()
         rows = []
-        for i, (text, samples) in enumerate(zip(texts, sample_texts(texts, batch.column(0).to_pylist(), vocabulary, k, seed), strict=True)):
+        for i, (text, samples) in enumerate(zip(texts, sample_texts(texts, batch.column(2).to_pylist(), vocabulary, k, seed), strict=True)):
+            want = marked(text).replace(b" ", MARK)
             for r, (ids, log_p, value, inclusion) in enumerate(samples):
                 rows.append((i, r, len(ids), log_p, value, inclusion, zlib.crc32(ids.astype("<u4").tobytes()),
-                             vocabulary.decode(ids.tolist()) == (text or ""), ids))
+                             vocabulary.spelled(ids) == want, ids))
         cols = list(zip(*rows, strict=True)) if rows else [[]] * 9
         arrays = [batch.column(0).take(pa.array(cols[0], pa.int64())), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int64()),
                   pa.array(cols[3], pa.float64()), pa.array(cols[4], pa.float64()), pa.array(cols[5], pa.float64()),
                   pa.array(cols[6], pa.int64()), pa.array(cols[7], pa.bool_())]
         if keep_ids:
-            arrays.append(pa.array([x.astype(np.int32) for x in cols[8]], pa.list_(pa.int32())))
+            flat = np.concatenate([np.zeros(0, np.int32), *cols[8]]).astype(np.int32)
+            bounds = np.cumsum([0, *cols[2]]).astype(np.int32)
+            arrays.append(pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat)))
         yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     schema = ("doc_id bigint, sample int, n_pieces bigint, log_prob double, perturbed double, inclusion double, "
               "ids_crc32 bigint, round_trip boolean" + (", ids array<int>" if keep_ids else ""))
     names = [c.strip().split(" ")[0] for c in schema.split(",")]
-    return map_batches(docs.select(F.col(id_col).cast("bigint"), F.col(text_col)), run, schema)
+    own = F.col(id_col).cast("bigint")
+    rows = docs.select(own.alias("id"), F.col(text_col).cast("string").alias("text"), (own if key is None else key).alias("key"))
+    return map_batches(rows, run, schema)
