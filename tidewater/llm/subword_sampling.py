@@ -342,8 +342,9 @@ def sample_texts(texts: list[str | None], keys: list[int | None], vocabulary: Vo
         begin = np.cumsum(sizes) - sizes
         edges, of = np.concatenate([x[0] for x in own]), np.repeat(np.arange(len(own)), sizes)
         log_p = lattice.log_p[edges]
-        prefix = np.cumsum(log_p) - log_p
-        prefix -= prefix[begin[of]]
+        prefix = -log_p  # added up text by text: sums over others would round differently
+        for b, size_of in zip(begin.tolist(), sizes.tolist(), strict=True):
+            prefix[b: b + size_of] += np.cumsum(log_p[b: b + size_of])
         other = 1 - np.exp(log_p)
         step = np.arange(len(edges)) - begin[of]
         for b, (i, at) in enumerate(newest):
