@@ -1,38 +1,82 @@
 """Connected components by alternating large and small stars.
 
-Every round keeps one row per edge and pre-aggregates each node's smallest neighbour, so a
-node with very many edges is a skewed join key at worst, which adaptive execution splits.
+Either star is one shuffle: a node's edges meet in one task, sorted, so the first one tells its
+smallest neighbour and the others follow as a stream; a node with very many edges costs rows, not
+memory. Rounds end when the edges stay as they are, which each task says in one row of counts.
 """
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._spark import checkpoint
+from ._text import U64, mix
+
+Pairs = tuple[np.ndarray, np.ndarray]
+
+
+def _large(u: np.ndarray, v: np.ndarray, first: np.ndarray, head: np.ndarray) -> Pairs:
+    """Larger neighbours are tied to the smallest of a node and its neighbours."""
+    up = v > u
+    return v[up], np.minimum(u, first)[up]
+
+
+def _small(u: np.ndarray, v: np.ndarray, first: np.ndarray, head: np.ndarray) -> Pairs:
+    """A node and its smaller neighbours are tied to the smallest of them."""
+    rest = v != first
+    return np.concatenate([u[head], v[rest]]), np.concatenate([first[head], first[rest]])
+
+
+def _star(edges: DataFrame, fn: Callable[..., Pairs]) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = least = None
+        for batch in batches:
+            u, v = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            if not len(u):
+                continue
+            new = np.ones(len(u), bool)  # rows are sorted: a repeated edge follows its first
+            new[1:] = (u[1:] != u[:-1]) | (v[1:] != v[:-1])
+            new[0] = last != (u[0], v[0])
+            head = np.ones(len(u), bool)
+            head[1:] = u[1:] != u[:-1]
+            head[0] = last is None or last[0] != u[0]
+            at = np.maximum.accumulate(np.where(head, np.arange(len(u)), -1))
+            first = np.where(at >= 0, v[np.maximum(at, 0)], 0 if least is None else least)
+            last, least = (u[-1], v[-1]), first[-1]
+            a, b = fn(u[new], v[new], first[new], head[new])
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["u", "v"])
+
+    return edges.repartition("u").sortWithinPartitions("u", "v").mapInArrow(run, "u bigint, v bigint")
+
+
+def _stamp(edges: DataFrame) -> tuple[int, int]:
+    """How many edges there are, and the sum of their hashes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, total = 0, 0
+        for batch in batches:
+            u, v = (c.to_numpy(zero_copy_only=False).astype(np.int64).view(U64) for c in batch.columns)
+            n += len(u)
+            total = (total + int(mix(mix(u) + v).sum(dtype=U64))) & ((1 << 63) - 1)
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([total], pa.int64())], names=["n", "total"])
+
+    rows = edges.mapInArrow(run, "n bigint, total bigint").collect()
+    return sum(r["n"] for r in rows), sum(r["total"] for r in rows) & ((1 << 63) - 1)
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """(node, component) of every node with an edge; a component's id is its smallest node."""
     u, v = F.greatest(F.col(a), F.col(b)), F.least(F.col(a), F.col(b))
-    stars = checkpoint(edges.filter(F.col(a) != F.col(b)).select(u.alias("u"), v.alias("v")).distinct())
+    stars, before = checkpoint(edges.filter(F.col(a) != F.col(b)).select(u.alias("u"), v.alias("v"))), None
     for _ in range(max_rounds):
-        if _settled(stars):
+        now = _stamp(stars)
+        if now == before:
             roots = stars.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
             return stars.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
         both = stars.union(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-        large = (both.join(low.hint("merge"), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .distinct())
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(low.hint("merge"), "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .union(low.select("u", F.col("m").alias("v"))).distinct())
-        stars = checkpoint(small)
+        stars, before = checkpoint(_star(_star(both, _large), _small)), now
     raise RuntimeError(f"components did not settle within {max_rounds} rounds")
-
-
-def _settled(stars: DataFrame) -> bool:
-    """Every node has one edge down, and what it leads to has none."""
-    roles = (stars.select(F.col("u").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up"))
-             .union(stars.select(F.col("v").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("up"))))
-    both = roles.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
-    return both.filter("down > 1 or (down > 0 and up > 0)").isEmpty()

@@ -377,14 +377,29 @@ def _hopeful(docs: DataFrame, classes: DataFrame, rule: Similarity, part_grams:
         yield _packed_grams(value[use], owner[use], nodes, parts)
 
     def count(batches):
+        """(to, shorts, times): a part's counts, packed by where each node's are added up."""
         for rows in _groups(batches, 1):
             nodes, times = _common_in_part(rows)
+            if not len(nodes):
+                continue
+            to = (mix(nodes) % U64(parts)).astype(np.int64)
+            order = np.argsort(to, kind="stable")
+            cuts = np.flatnonzero(np.concatenate([[True], np.diff(to[order]) != 0]))
+            own = [order[i:j] for i, j in zip(cuts, [*cuts[1:], len(to)], strict=True)]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([int(to[k[0]]) for k in own], pa.int64()), pa.array([nodes[k].tobytes() for k in own], pa.binary()),
+                pa.array([times[k].astype(np.int32).tobytes() for k in own], pa.binary())], names=["to", "shorts", "times"])
+
+    def add_up(batches):
+        for rows in _groups(batches, 1):
+            nodes, at = np.unique(np.concatenate([np.frombuffer(r[1], U64) for r in rows]), return_inverse=True)
+            times = np.bincount(at, np.concatenate([np.frombuffer(r[2], np.int32) for r in rows]), len(nodes))
             yield pa.RecordBatch.from_arrays([pa.array(nodes.astype(np.int64)), pa.array(times.astype(np.int64))],
                                              names=["short", "common"])
 
     common = (map_batches(docs, dealt, "part bigint, keys binary, low binary, high binary")
-              .repartition("part").sortWithinPartitions("part").mapInArrow(count, "short bigint, common bigint")
-              .groupBy("short").agg(F.sum("common").alias("common")))
+              .repartition("part").sortWithinPartitions("part").mapInArrow(count, "to bigint, shorts binary, times binary")
+              .repartition("to").sortWithinPartitions("to").mapInArrow(add_up, "short bigint, common bigint"))
     needs = F.col("sampled") - F.floor(F.col("n_shingles") * (100 - rule.percent) / 100)
     asked = classes.select("node", "n_shingles", needs.alias("needs"), F.shiftrightunsigned("node", _SHORT).alias("short"))
     return (asked.join(common.hint("merge"), "short", "left").filter(F.coalesce("common", F.lit(0)) >= F.col("needs"))
