@@ -99,6 +99,22 @@ def main() -> None:
         fresh_target(True))
     rows["upsert_file_full"] = rows["upsert_file_touched_partitions"] = n_orders
 
+    # files of consecutive dates, as incremental loads leave them: the batch's orders lie in few
+    def dated_target(scope: str):
+        def _setup():
+            t = TargetSpec("file", {"path": scratch_path(spark, "bench_files"), "rewrite": scope}, write_mode="merge",
+                           merge_keys=["o_orderkey"])
+            orders.repartitionByRange(32, "o_orderdate").write.parquet(t.options["path"])
+            return t
+        return _setup
+
+    last = orders.filter(F.col("o_orderdate") >= F.lit(CUT).cast("timestamp_ntz")).withColumn("o_totalprice", F.lit(0.0))
+    n_last = last.count()
+    for scope in ("partitions", "files", "marks"):
+        name = f"upsert_dated_{'all' if scope == 'partitions' else scope}"
+        secs[name] = _timed(lambda t: write_target(spark, last, t, WriteContext(batch_rows=n_last)), dated_target(scope))
+        rows[name] = n_orders
+
     jobs = {}
 
     def full_run(base):

@@ -209,3 +209,21 @@ def test_version_keeps_rows_with_null_keys(spark, base):
     write_target(spark, spark.createDataFrame([(None, "a", 1), (None, "b", 2), (1, "c", 1)], VERSIONED), t)
     write_target(spark, spark.createDataFrame([(None, "d", 1), (1, "old", 0)], VERSIONED), t)
     assert sorted(r["val"] for r in spark.read.parquet(t.options["path"]).collect()) == ["a", "b", "c", "d"]
+
+
+@pytest.mark.parametrize("scope", ["partitions", "files"])
+def test_catalog_learns_the_touched_partitions(spark, base, scope):
+    """What is registered after each upsert equals a full repair of the table."""
+    t = TargetSpec("table", {"table": unique_name("t"), "path": f"{base}/t", "rewrite": scope}, write_mode="merge",
+                   merge_keys=["id"], partition_columns=["val"])
+    table = t.options["table"]
+
+    def known():
+        return {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+
+    for rows in ([(1, "a"), (2, "b/c"), (3, "it's"), (4, None)], [(2, "a"), (5, "new \\ one")], [(9, "only=new")], [(4, "a"), (3, "x")]):
+        write_target(spark, spark.createDataFrame(rows, SCHEMA), t)
+        now = known()
+        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+        assert now == known()
+    assert {r["id"]: r["val"] for r in spark.table(table).collect()} == {1: "a", 2: "a", 3: "x", 4: "a", 5: "new \\ one", 9: "only=new"}

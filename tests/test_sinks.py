@@ -595,3 +595,32 @@ def test_thousands_of_touched_partitions(spark):
     many = touched_partitions(rows.selectExpr("id", "cast(id as string) a", "cast(id % 3 as int) b"), ["a", "b"])
     assert len(many.rows) == 9000
     assert many.restrict(rows.selectExpr("cast(id as string) a", "cast((id + id % 2) % 3 as int) b")).count() < 9000
+
+
+def test_warehouse_stage_goes_when_the_merge_fails(spark):
+    from tidewater.sinks.warehouse import warehouse_upsert
+
+    statements = []
+
+    def failing(sp, opts, sql):
+        statements.append(sql.split(" ")[0])
+        if sql.startswith("MERGE"):
+            raise RuntimeError("lock timeout")
+
+    for named, want in ((None, ["MERGE", "DROP"]), ("MY_STAGE", ["MERGE"])):
+        statements.clear()
+        options = {"table": "ORDERS", "format": "noop", "url": "jdbc:x", **({"staging_table": named} if named else {})}
+        with pytest.raises(RuntimeError, match="lock timeout"):
+            warehouse_upsert(spark, _df(spark, [(1, "a")]), TargetSpec("warehouse", options, write_mode="merge", merge_keys=["id"]),
+                             WriteContext(batch_id=1), runner=failing)
+        assert statements == want
+
+
+def test_delta_merge_counts(spark):
+    from tidewater.sinks.delta import merge_counts
+
+    schema = "version long, operation string, operationMetrics map<string,string>"
+    one = spark.createDataFrame([(7, "MERGE", {"numTargetRowsUpdated": "3", "numTargetRowsInserted": "4", "numTargetRowsCopied": "90"})], schema)
+    assert merge_counts(one) == {"rows": 7, "updated": 3, "inserted": 4, "copied": 90}
+    assert merge_counts(spark.createDataFrame([(8, "WRITE", {})], schema))["rows"] == 0
+    assert merge_counts(one.limit(0))["rows"] == 0

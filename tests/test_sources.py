@@ -4,6 +4,7 @@ import pytest
 
 from tidewater.errors import MissingOptionError, UnknownConnectorError
 from tidewater.functions import typed
+from tidewater.session import unique_name
 from tidewater.sources import (decode_json_value, read_incremental, read_source, register_source)
 from tidewater.sources.jdbc import jdbc_options
 from tidewater.spec import FieldSpec, SourceSpec
@@ -124,3 +125,13 @@ def test_file_formats_round_trip(spark, base, kind):
     df = read_source(spark, SourceSpec(kind, {"path": base}, schema=fields))
     assert df.dtypes == parts.dtypes and df.exceptAll(parts).count() == 0 and df.count() == parts.count()
     assert set(read_source(spark, SourceSpec(kind, {"path": base})).columns) == set(parts.columns)
+
+
+def test_partition_filter_is_checked_against_the_partitions(spark, base, caplog):
+    t = unique_name("parts")
+    spark.range(10).selectExpr("id", "id % 3 AS part").write.partitionBy("part").option("path", f"{base}/p").saveAsTable(t)
+    with caplog.at_level("WARNING", logger="tidewater.sources"):
+        assert read_source(spark, SourceSpec("table", {"table": t, "partition_filter": "part = 1"})).count() == 3
+        assert not caplog.records
+        assert read_source(spark, SourceSpec("table", {"table": t, "partition_filter": "part = 1 AND id > 4"})).count() == 1
+        assert "partitions it keeps" in caplog.text

@@ -22,6 +22,10 @@ class DuplicateMergeKeyError(RuntimeError):
     """A merge batch holds more than one row for some merge key."""
 
 
+class TargetBusyError(RuntimeError):
+    """Another run holds the target longer than this one is willing to wait."""
+
+
 class DataQualityError(RuntimeError):
     """The quality gate failed and the spec asks the run to stop."""
 

@@ -5,6 +5,7 @@ unlike Python's ``os``/``shutil`` which only see the driver's local disk.
 """
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -66,6 +67,33 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
+def create_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a file unless it is there; of several callers one succeeds. HDFS and the local file
+    system decide that in one step; a store does where its connector creates conditionally."""
+    jvm = spark.sparkContext._jvm
+    fs, hpath = _fs(spark, path)
+    fs.mkdirs(hpath.getParent())
+    if scheme(spark, path) == "file":  # Hadoop's local file system looks first and creates then
+        nio = jvm.java.nio.file
+        bare = hpath.toUri().getPath()
+        if not jvm.java.io.File(bare).createNewFile():
+            return False
+        nio.Files.write(jvm.java.io.File(bare).toPath(), bytearray(text.encode("utf-8")),
+                        spark.sparkContext._gateway.new_array(nio.OpenOption, 0))
+        return True
+    try:
+        out = fs.create(hpath, False)
+    except Py4JJavaError as failed:
+        if "AlreadyExists" in failed.java_exception.getClass().getName():
+            return False
+        raise
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    return True
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     fs, hpath = _fs(spark, path)
     stream = fs.open(hpath)

@@ -40,6 +40,7 @@ from ..sources import read_source
 from ..sources.parsing import RAW, UNPARSED, split_unparsed, wants_quarantine
 from ..spec import DatasetSpec, RetrySpec, TargetSpec
 from . import state as st
+from .locks import target_locks
 
 log = logging.getLogger("tidewater.run")
 
@@ -208,16 +209,23 @@ def run(spark: SparkSession, spec: DatasetSpec, *, targets: list[str] | None = N
     functions applied after the spec's own. ``run_time`` fixes ``_ingested_at``.
 
     Raises ``DataQualityError`` when the gate fails and the spec says so (after the batch
-    quarantine, if configured); no target is written and no state advances then.
+    quarantine, if configured); no target is written and no state advances then. A run that
+    finds one of its targets held by another run waits for it (see ``locks``).
     """
     run_time = run_time or _dt.datetime.now(_dt.timezone.utc)
     run_id = run_id or uuid.uuid4().hex
+    names = [t.id for t in select_targets(spec, targets)]
+    with target_locks(spark, spec.state_path or st.default_state_path(spark), spec.dataset_name, names, run_id):
+        return _run(spark, spec, names, transforms, run_time, run_id)
+
+
+def _run(spark: SparkSession, spec: DatasetSpec, targets: list[str], transforms: list[TransformFn] | None,
+         run_time: _dt.datetime, run_id: str) -> RunResult:
     b = prepare_batch(spark, spec, targets=targets, transforms=transforms, run_time=run_time)
     if len({b.marks.get(t.id) for t in b.selected}) > 1 and (is_wide(spec.transforms) or transforms):
         # a dedup over the rows of the furthest-behind target may keep a row that another
         # target already has and drop the one it lacks: each distinct mark is a run of its own
-        parts = [run(spark, spec, targets=[t.id for t in b.selected if b.marks.get(t.id) == mark],
-                     transforms=transforms, run_time=run_time, run_id=run_id)
+        parts = [_run(spark, spec, [t.id for t in b.selected if b.marks.get(t.id) == mark], transforms, run_time, run_id)
                  for mark in dict.fromkeys(b.marks.get(t.id) for t in b.selected)]
         return _joined(parts)
     return process_batch(
@@ -343,6 +351,8 @@ def process_batch(spark: SparkSession, spec: DatasetSpec, df: DataFrame, selecte
                                result.reason or None, value, started, _dt.datetime.now(_dt.timezone.utc)))
         st.append_metrics(spark, audit_path, metrics)
         st.append_audit(spark, audit_path, audit_rows)
+        if any((r[3] or 0) % st.COMPACT_EVERY == 0 for r in audit_rows):
+            st.compact_history(spark, audit_path, spec.dataset_name)
         log.info("run completed", extra={"dataset": spec.dataset_name, "run_id": run_id, "rows": rows,
                                          "targets": out.targets_written, "watermark": new_wm})
         return out

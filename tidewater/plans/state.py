@@ -17,6 +17,7 @@ reads alike. Audit and metric rows are history and never rewritten.
 from __future__ import annotations
 
 import datetime as _dt
+import re
 import uuid
 from dataclasses import dataclass
 from urllib.parse import quote
@@ -30,8 +31,11 @@ from .. import fs
 from ..errors import SpecError
 from ..functions import literal_frame
 
-# Fixed value: batches between compactions of a dataset's state folder.
+# Fixed value: batches between compactions of a dataset's state and history.
 COMPACT_EVERY = 100
+# Mark of a commit that stands for others; how often a read is tried.
+TOGETHER = "t-"
+READS = 5
 
 STATE_SCHEMA = StructType([
     StructField("dataset", StringType(), False),
@@ -101,22 +105,19 @@ def _dataset_dir(path: str, dataset: str) -> str:
     return f"{path}/dataset={quote(dataset, safe='')}"
 
 
-def _append(spark: SparkSession, path: str, dataset: str, rows: DataFrame) -> str:
-    """One commit: a folder no other job writes to. Returns its name."""
-    name = f"commit={uuid.uuid4().hex}"
+def _append(spark: SparkSession, path: str, dataset: str, rows: DataFrame, kind: str = "") -> str:
+    """One commit: a folder no other job writes to, with one file. Returns its name."""
+    name = f"commit={kind}{uuid.uuid4().hex}"
     rows.coalesce(1).write.mode("errorifexists").parquet(f"{_dataset_dir(path, dataset)}/{name}")
     return name
 
 
 def _log_frame(spark: SparkSession, path: str, schema: StructType, dataset: str | None = None) -> DataFrame:
-    """Rows of all complete commits (of one dataset)."""
-    if dataset is not None:
-        folders = [_dataset_dir(path, dataset)] if fs.exists(spark, _dataset_dir(path, dataset)) else []
-    else:
-        folders = [f"{path}/{name}" for name in fs.list_names(spark, path) if name.startswith("dataset=")]
-    commits = [f"{folder}/{name}" for folder in folders for name in fs.list_names(spark, folder)
-               if name.startswith("commit=") and fs.is_complete(spark, f"{folder}/{name}")]
-    return spark.read.schema(schema).parquet(*commits) if commits else literal_frame(spark, [], schema)
+    """Rows of all commits (of one dataset)."""
+    folder = path if dataset is None else _dataset_dir(path, dataset)
+    if not fs.has_data(spark, folder):
+        return literal_frame(spark, [], schema)
+    return spark.read.schema(schema).parquet(folder).select(*schema.fieldNames())
 
 
 def state_frame(spark: SparkSession, path: str, dataset: str | None = None) -> DataFrame:
@@ -135,7 +136,14 @@ def read_state(spark: SparkSession, path: str, dataset: str, targets: list[str])
     """Latest entry of each named target (bounded: one row per target)."""
     if not fs.exists(spark, path):
         return {}
-    rows = latest_state(spark, path, dataset).filter(F.col("target").isin(targets)).collect()
+    for left in reversed(range(READS)):
+        try:
+            rows = latest_state(spark, path, dataset).filter(F.col("target").isin(targets)).collect()
+            break
+        except Exception as failed:  # a commit went between its listing and its read
+            if not left or not re.search("FILE_NOT_EXIST|FileNotFound|PATH_NOT_FOUND", str(failed)):
+                raise
+            spark.catalog.refreshByPath(_dataset_dir(path, dataset))
     return {r["target"]: StateEntry(r["target"], r["column"], r["type"], r["value"], int(r["batch_id"]))
             for r in rows}
 
@@ -152,17 +160,35 @@ def commit_state(spark: SparkSession, path: str, dataset: str, entries: list[Sta
         compact_state(spark, path, dataset)
 
 
-def compact_state(spark: SparkSession, path: str, dataset: str) -> None:
-    """Write the latest row per target as one commit, then remove the commits it replaces."""
+def _compact(spark: SparkSession, path: str, dataset: str, schema: StructType, latest: bool) -> bool:
+    """One commit in place of those since the last time, which are removed when it is there."""
     folder = _dataset_dir(path, dataset)
-    before = [n for n in fs.list_names(spark, folder) if n.startswith("commit=") and fs.is_complete(spark, f"{folder}/{n}")]
-    rows = spark.read.schema(STATE_SCHEMA).parquet(*[f"{folder}/{n}" for n in before])
-    best = F.max_by(F.struct("column", "type", "value", "batch_id", "updated_at"),
-                    F.struct("batch_id", "updated_at")).alias("s")
-    latest = rows.groupBy("dataset", "target").agg(best).select("dataset", "target", "s.*")
-    _append(spark, path, dataset, latest.select(*STATE_SCHEMA.fieldNames()))
-    for name in before:
+    # history that was put together stays as it is; the latest state takes its forerunner in
+    single = [n for n in fs.list_names(spark, folder)
+              if n.startswith("commit=") and (latest or not n.startswith(f"commit={TOGETHER}"))]
+    if len(single) < 2:
+        return False
+    rows = spark.read.schema(schema).parquet(*[f"{folder}/{n}" for n in single])
+    if latest:
+        best = F.max_by(F.struct("column", "type", "value", "batch_id", "updated_at"),
+                        F.struct("batch_id", "updated_at")).alias("s")
+        rows = rows.groupBy("dataset", "target").agg(best).select("dataset", "target", "s.*")
+    _append(spark, path, dataset, rows.select(*schema.fieldNames()).distinct(), TOGETHER)
+    for name in single:
         fs.delete(spark, f"{folder}/{name}")
+    return True
+
+
+def compact_state(spark: SparkSession, path: str, dataset: str) -> None:
+    """Write the latest row per target as one commit in place of those it came from."""
+    _compact(spark, path, dataset, STATE_SCHEMA, latest=True)
+
+
+def compact_history(spark: SparkSession, path: str, dataset: str) -> None:
+    """Put a dataset's audit and metric rows since the last time together, each in one file."""
+    for part, schema in (("runs", AUDIT_SCHEMA), ("metrics", METRIC_SCHEMA)):
+        if fs.exists(spark, _dataset_dir(f"{path}/{part}", dataset)):
+            _compact(spark, f"{path}/{part}", dataset, schema, latest=False)
 
 
 def _append_rows(spark: SparkSession, path: str, rows: list[tuple], schema: StructType) -> None:
@@ -179,8 +205,8 @@ def append_metrics(spark: SparkSession, path: str, rows: list[tuple]) -> None:
 
 
 def audit_frame(spark: SparkSession, path: str) -> DataFrame:
-    return _log_frame(spark, f"{path}/runs", AUDIT_SCHEMA)
+    return _log_frame(spark, f"{path}/runs", AUDIT_SCHEMA).distinct()
 
 
 def metrics_frame(spark: SparkSession, path: str) -> DataFrame:
-    return _log_frame(spark, f"{path}/metrics", METRIC_SCHEMA)
+    return _log_frame(spark, f"{path}/metrics", METRIC_SCHEMA).distinct()

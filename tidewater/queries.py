@@ -566,13 +566,10 @@ def fan_out(spark, d):
 
 
 def sink_custom_target(spark, d):
-    """A user-defined target: written, then overwritten, through its plain functions."""
+    """A user-defined target: written, then overwritten, and read back whole."""
     path = _write_logfmt(spark, d, "sink_custom")
     _write_logfmt(spark, d, "sink_custom", "overwrite", path)
-    lines = spark.read.text(path)
-    pair = F.str_to_map("value", F.lit(" "), F.lit("="))
-    return lines.select(pair["o_orderkey"].cast("bigint").alias("o_orderkey"), "o_orderstatus",
-                        F.url_decode(pair["o_orderpriority"]).alias("o_orderpriority"))
+    return read_logfmt(spark, SourceSpec("logfmt", {"path": path}, schema=ORDERS_FIELDS))
 
 
 def append_idempotent_moved_partition(spark, d):
@@ -806,6 +803,45 @@ def stream_available_now_upsert(spark, d):
     return spark.read.schema(ORDERS_DDL).parquet(f"{base}/target")
 
 
+def stream_dedup_across_batches(spark, d):
+    """The latest order of each customer over a stream of three micro-batches in which the newest
+    orders come first, and each customer's first-seen row appended once: as over one batch."""
+    from .streaming import run_available_now
+
+    base = scratch_path(spark, "stream_dedup")
+    orders = _table(spark, d, "orders")
+    for part in (orders.filter(F.col("o_orderdate") > _ts(CUT)), _earlier(orders),
+                 orders.filter(F.col("o_orderpriority") == URGENT)):
+        _land(part.coalesce(1), f"{base}/landing", "append")
+    out = []
+    for name, dedup, target in (
+            ("latest", {"order_by": "o_orderdate", "tie_breakers": ["o_orderkey"]}, {"write_mode": "merge", "merge_keys": ["o_custkey"]}),
+            ("once", {}, {"write_mode": "append", "idempotent": True})):
+        spec = spec_from_dict({
+            "dataset_name": name,
+            "source": {"type": "parquet", "options": {"path": f"{base}/landing", "maxFilesPerTrigger": "1"}, "schema": _orders_schema()},
+            "transforms": [{"type": "deduplicate", "keys": ["o_custkey"], "across_batches": True, **dedup}],
+            "targets": [{"type": "file", "options": {"path": f"{base}/{name}"}, **target}], "audit_path": f"{base}/audit"})
+        assert len(run_available_now(spark, spec, checkpoint=f"{base}/checkpoint_{name}")) == 3
+        rows = spark.read.schema(ORDERS_DDL).option("recursiveFileLookup", "true").parquet(f"{base}/{name}")
+        key = F.col("o_orderkey") if name == "latest" else F.lit(None).cast("bigint")
+        out.append(rows.select("o_custkey", key.alias("o_orderkey"), F.lit(name).alias("kind")))
+    return out[0].unionByName(out[1])
+
+
+def table_registers_touched_partitions(spark, d):
+    """A table whose orders move between partitions: the catalog knows the partitions there are."""
+    orders = _table(spark, d, "orders")
+    t = _table_target(spark, "touched_parts", write_mode="merge", merge_keys=["o_orderkey"], partition_columns=["o_orderpriority"])
+    write_target(spark, orders, t)
+    urgent = F.col("o_orderpriority") == URGENT
+    write_target(spark, orders.filter(urgent).withColumn("o_orderpriority", F.lit("0-MOVED")), t)
+    table = t.options["table"]
+    counts = spark.table(table).groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("orders"))
+    known = spark.sql(f"SHOW PARTITIONS {table}").select(F.split_part("partition", F.lit("="), F.lit(2)).alias("o_orderpriority"))
+    return known.join(counts, "o_orderpriority", "full")
+
+
 # --------------------------------------------------------------------------- runs
 
 def _full_spec(base: str, d: str) -> dict:
@@ -939,6 +975,8 @@ QUERIES: dict[str, Query] = {
     "upsert_marks_compacted": upsert_marks_compacted,
     "upsert_out_of_order": upsert_out_of_order,
     "stream_available_now_upsert": stream_available_now_upsert,
+    "stream_dedup_across_batches": stream_dedup_across_batches,
+    "table_registers_touched_partitions": table_registers_touched_partitions,
     "ingest_full": ingest_full,
     "ingest_single_target": ingest_single_target,
     "ingest_lineitem_latest": ingest_lineitem_latest,
@@ -1064,7 +1102,7 @@ QUALIFY row_number() OVER (PARTITION BY target, o_custkey ORDER BY run DESC) = 1
         "FROM orders"),
     "overwrite_evolving_schema": "SELECT o_orderkey, o_orderstatus FROM orders",
     "fan_out": _BOTH_TARGETS,
-    "sink_custom_target": "SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders",
+    "sink_custom_target": "SELECT * FROM orders",
     "append_idempotent": (
         f"SELECT o_orderkey, CAST(CASE WHEN o_orderdate > TIMESTAMP '{CUT}' THEN 2 ELSE 1 END AS INTEGER) "
         "AS _batch_id FROM orders"),
@@ -1088,6 +1126,13 @@ QUALIFY row_number() OVER (PARTITION BY target, o_custkey ORDER BY run DESC) = 1
         "SELECT o_orderkey, o_totalprice * version AS o_totalprice, version, target "
         "FROM v CROSS JOIN (VALUES ('files'), ('table')) t(target)"),
     "stream_available_now_upsert": _UPSERTED,
+    "stream_dedup_across_batches": (
+        "SELECT o_custkey, o_orderkey, 'latest' AS kind FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey "
+        "ORDER BY o_orderdate DESC, o_orderkey DESC) = 1 "
+        "UNION ALL SELECT DISTINCT o_custkey, CAST(NULL AS BIGINT), 'once' FROM orders"),
+    "table_registers_touched_partitions": (
+        f"SELECT CASE WHEN o_orderpriority = '{URGENT}' THEN '0-MOVED' ELSE o_orderpriority END AS o_orderpriority, "
+        "count(*) AS orders FROM orders GROUP BY 1"),
     "ingest_full": f"SELECT * FROM orders WHERE o_orderdate > TIMESTAMP '{CUT}' {_LATEST}",
     "ingest_single_target": _BOTH_TARGETS,
     "ingest_lineitem_latest": ("SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, "

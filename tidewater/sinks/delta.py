@@ -10,52 +10,43 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..errors import SpecError
+from .. import fs
+from ..places import Place, place_of
 from ..spec import TargetSpec
 from .common import WriteContext, WriteReport, observed, observed_metrics
 
 
-def _where(target: TargetSpec) -> tuple[str | None, str | None]:
-    path, table = target.options.get("path"), target.options.get("table")
-    if bool(path) == bool(table):
-        raise SpecError("Delta target takes exactly one of 'path' or 'table'")
-    return (str(path) if path else None), (str(table) if table else None)
-
-
-def _identifier(target: TargetSpec) -> str:
-    path, table = _where(target)
-    return table if table else f"delta.`{path}`"
+def _place(target: TargetSpec) -> Place:
+    return place_of(target.options, "Delta target", names_win=False)
 
 
 def _write(df: DataFrame, target: TargetSpec, mode: str) -> dict:
-    path, table = _where(target)
+    at = _place(target)
     df, obs = observed(df, False)
     writer = df.write.format("delta").mode(mode)
     if target.options.get("schema_evolution", True):
         writer = writer.option("overwriteSchema" if mode == "overwrite" else "mergeSchema", "true")
     if target.partition_columns:
         writer = writer.partitionBy(*target.partition_columns)
-    writer.saveAsTable(table) if table else writer.save(path)
+    writer.saveAsTable(at.table) if at.table else writer.save(at.path)
     return observed_metrics(obs)
 
 
 def _exists(spark: SparkSession, target: TargetSpec) -> bool:
-    path, table = _where(target)
-    if table:
-        return spark.catalog.tableExists(table)
-    from .. import fs
-
-    return fs.exists(spark, f"{path.rstrip('/')}/_delta_log")
+    at = _place(target)
+    if at.table:
+        return spark.catalog.tableExists(at.table)
+    return fs.exists(spark, f"{at.path.rstrip('/')}/_delta_log")
 
 
 def delta_append(spark, df, target, ctx: WriteContext) -> WriteReport:
     m = _write(df, target, "append")
-    return WriteReport(target.id, target.type, "append", m["rows"], _identifier(target))
+    return WriteReport(target.id, target.type, "append", m["rows"], _place(target).identifier)
 
 
 def delta_overwrite(spark, df, target, ctx: WriteContext) -> WriteReport:
     m = _write(df, target, "overwrite")
-    return WriteReport(target.id, target.type, "overwrite", m["rows"], _identifier(target))
+    return WriteReport(target.id, target.type, "overwrite", m["rows"], _place(target).identifier)
 
 
 def merge_into_sql(identifier: str, source_view: str, keys: list[str]) -> str:
@@ -64,15 +55,26 @@ def merge_into_sql(identifier: str, source_view: str, keys: list[str]) -> str:
             "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *")
 
 
+def merge_counts(history: DataFrame) -> dict[str, int]:
+    """Rows a merge wrote, from the newest entry of a table's history: ``rows`` as the other upserts
+    count them (changed and new ones), and each kind."""
+    entry = history.select("operation", "operationMetrics").first()
+    metrics = (entry["operationMetrics"] or {}) if entry and entry["operation"] == "MERGE" else {}
+    counts = {short: int(metrics.get(name) or 0) for short, name in
+              (("updated", "numTargetRowsUpdated"), ("inserted", "numTargetRowsInserted"), ("copied", "numTargetRowsCopied"))}
+    return {"rows": counts["updated"] + counts["inserted"], **counts}
+
+
 def delta_upsert(spark, df, target, ctx: WriteContext) -> WriteReport:
     if not _exists(spark, target):
         m = _write(df, target, "overwrite")
-        return WriteReport(target.id, target.type, "merge", m["rows"], _identifier(target))
-    ident = _identifier(target)
+        return WriteReport(target.id, target.type, "merge", m["rows"], _place(target).identifier)
+    ident = _place(target).identifier
     view = f"tidewater_merge_{uuid.uuid4().hex[:12]}"
     df.createOrReplaceTempView(view)
     try:
         spark.sql(merge_into_sql(ident, view, list(target.merge_keys)))
     finally:
         spark.catalog.dropTempView(view)
-    return WriteReport(target.id, target.type, "merge", -1, ident)
+    counts = merge_counts(spark.sql(f"DESCRIBE HISTORY {ident} LIMIT 1"))
+    return WriteReport(target.id, target.type, "merge", counts.pop("rows"), ident, extra=counts)

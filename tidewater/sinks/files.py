@@ -43,6 +43,8 @@ from .common import (BATCH_ID, WriteContext, WriteReport, commit_mode, observed,
                      rebalance, rewrite_scope, version_columns, with_typed_partitions)
 
 STAGE_SCOPES = ("dynamic", "static")
+#: In a report: the values of the partitions a write put rows into, and of those it emptied.
+PARTITIONS = "partitions"
 MANIFEST_SCHEMA = StructType([
     StructField("path", StringType()), StructField("row_count", LongType()),
     StructField("written_at", StringType()), StructField("checksum", StringType()),
@@ -353,7 +355,8 @@ def _file_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wr
             lacking = [f for f in plain.schema.fields if f.name not in df.columns]
             filled = df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in lacking})
             metrics = _save(filled, target, path, "append", pcols, with_hash=with_hash)
-            return _report(spark, target, "merge", path, metrics, ctx, scope="insert", broadcast=broadcast)
+            known = {} if touched is None else {PARTITIONS: (sorted(touched.folder_values), [])}
+            return _report(spark, target, "merge", path, metrics, ctx, scope="insert", broadcast=broadcast, **known)
     # the rows to rewrite, under the merged schema of their files (a column present in only
     # some files survives); the files are rewritten anyway, so reading all footers costs little
     if not pcols:
@@ -373,6 +376,7 @@ def _file_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wr
         fs.write_text(spark, stage + ".plan.json", json.dumps(plan))  # the stage is now committed
         metrics = _commit_partitions(spark, target, path, stage, plan, commit, combined.schema) or metrics
         extra.update(replaced=len(plan["replace"]), removed=len(plan["remove"]))
+        extra[PARTITIONS] = tuple([_folder_values(rel) for rel in plan[k]] for k in ("replace", "remove"))
     elif commit == "rename":
         _swap_in(spark, path, stage)
     else:
@@ -410,8 +414,14 @@ def _upsert_by_files(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx
                     .schema(with_typed_partitions(existing.schema, df.schema, pcols)).load([f"{path}/{f}" for f in files]))
     combined = _filled(_merged(existing, df, target, broadcast, version), plain.schema)
     metrics = _save(combined, target, f"{rewrite.stage_path(path)}/data", "overwrite", pcols, with_hash=with_hash)
-    rewrite.apply_plan(spark, path, rewrite.write_plan(spark, path, files))
-    return _report(spark, target, "merge", path, metrics, ctx, scope="files", broadcast=broadcast, replaced=len(files))
+    plan = rewrite.write_plan(spark, path, files)
+    rewrite.apply_plan(spark, path, plan)
+    extra = {}
+    if pcols:
+        folders = [sorted({rel.rpartition("/")[0] for rel in rels}) for rels in ([dst for _, dst in plan["add"]], files)]
+        gone = [rel for rel in folders[1] if not fs.exists(spark, f"{path}/{rel}")]
+        extra[PARTITIONS] = ([_folder_values(rel) for rel in folders[0]], [_folder_values(rel) for rel in gone])
+    return _report(spark, target, "merge", path, metrics, ctx, scope="files", broadcast=broadcast, replaced=len(files), **extra)
 
 
 def _upsert_by_marks(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: WriteContext, path: str,

@@ -23,7 +23,7 @@ join reads the target without shuffling it; only the batch keys are shuffled.
 
 An external table partitioned by columns outside the merge key is upserted through its
 folder like a file target (only partitions holding a matched key or receiving batch rows
-are rewritten, emptied ones removed) and the catalog's partitions are then re-synced. With
+are rewritten, emptied ones removed) and those partitions are then registered or dropped in the catalog. With
 ``rewrite: files`` any external table that is not bucketed is upserted through its folder, file by
 file. ``version_column`` guards an upsert as it does for file targets.
 """
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from .. import fs
 from ..errors import MissingOptionError, SpecError
-from ..operators.upsert import (any_key_matches, assert_unique_keys, is_variable_width, merge_plan,
+from ..operators.upsert import (DEFAULT_PARTITION_NAME, any_key_matches, assert_unique_keys, is_variable_width, merge_plan,
                                 newest_rows, should_broadcast, touched_partitions)
 from ..spec import TargetSpec
 from .common import (BATCH_ID, WriteContext, WriteReport, commit_mode, observed, observed_metrics, rebalance,
@@ -85,6 +85,20 @@ def repair_partitions(spark: SparkSession, table: str, sync: bool = False) -> No
     spark.sql(f"MSCK REPAIR TABLE {table}{' SYNC PARTITIONS' if sync else ''}")
 
 
+def register_partitions(spark: SparkSession, table: str, columns: list[str], add: list[tuple], drop: list[tuple],
+                        batch: int = 200) -> None:
+    """Tell the catalog of a write's own partitions; folders it did not touch are not listed. Values
+    are those of folder names; an external table's dropped partitions keep their (empty) place."""
+    def spec(values: tuple) -> str:
+        shown = ["null" if v == DEFAULT_PARTITION_NAME else "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+                 for v in values]
+        return "PARTITION (" + ", ".join(f"`{c}` = {v}" for c, v in zip(columns, shown, strict=True)) + ")"
+
+    for rows, words, comma in ((add, "ADD IF NOT EXISTS", " "), (drop, "DROP IF EXISTS", ", ")):
+        for at in range(0, len(rows), batch):
+            spark.sql(f"ALTER TABLE {table} {words} " + comma.join(spec(v) for v in rows[at: at + batch]))
+
+
 def _maybe_repair(spark: SparkSession, target: TargetSpec) -> None:
     if target.partition_columns and target.options.get("repair", False):
         repair_partitions(spark, _table(target))
@@ -247,7 +261,7 @@ def _table_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: W
     if by_folder and _location(target) and not buckets and set(df.columns) <= set(existing.columns):
         # Keys may move between partitions: upsert the table's folder partition by
         # partition (or file by file) like a file target, then sync the catalog.
-        from .files import file_upsert
+        from .files import PARTITIONS, file_upsert
 
         folder = TargetSpec("file", {"path": _location(target), "format": target.options.get("format", "parquet"),
                                      "commit": target.options.get("commit", "auto"), "rewrite": scoped,
@@ -259,7 +273,10 @@ def _table_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: W
             batch_id=ctx.batch_id, batch_rows=ctx.batch_rows, column_bytes=ctx.column_bytes,
             keys_unique=True, broadcast_limit=ctx.broadcast_limit, run_time=ctx.run_time))  # checked above
         spark.sql(f"REFRESH TABLE {table}")
-        if pcols:
+        known = report.extra.pop(PARTITIONS, None)
+        if pcols and known is not None:
+            register_partitions(spark, table, pcols, *known)
+        elif pcols:
             repair_partitions(spark, table, sync=True)
         return WriteReport(target.id, target.type, "merge", report.rows, table, extra=report.extra)
     dynamic = False

@@ -10,6 +10,7 @@ quoted, with the format's quote sign, as Spark's writer quotes them when it crea
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import ExitStack
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -134,13 +135,16 @@ def warehouse_overwrite(spark: SparkSession, df: DataFrame, target: TargetSpec,
 
 def warehouse_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: WriteContext,
                      runner: StatementRunner | None = None) -> WriteReport:
-    """Stage, ``MERGE``, and drop the stage if its name is ours; a stage the user named stays."""
+    """Stage, ``MERGE``, and drop the stage if its name is ours, also after a merge that failed (a retry
+    stages anew); a stage the user named stays."""
     table, named = _table(target), target.options.get("staging_table")
     run = runner or statement_runner(target)
     staging = str(named or f"{table}_stage_{int(ctx.batch_id)}")
     metrics = _save(df, target, staging, "overwrite")
     opts = connection_options(target)
-    run(spark, opts, merge_statement(table, staging, df.columns, list(target.merge_keys), identifier_quote(target)))
-    if not named:
-        run(spark, opts, f"DROP TABLE {staging}")
+    merge = merge_statement(table, staging, df.columns, list(target.merge_keys), identifier_quote(target))
+    with ExitStack() as after:
+        if not named:
+            after.callback(run, spark, opts, f"DROP TABLE {staging}")
+        run(spark, opts, merge)
     return WriteReport(target.id, target.type, "merge", metrics["rows"], table, extra={"staging": staging})

@@ -6,6 +6,14 @@ transform → profile → gate → write code as a batch run (``foreachBatch``),
 stream checkpoint taking the place of the high-water mark and the micro-batch id giving
 replay-safe appends (``idempotent`` targets) — a replayed micro-batch overwrites its own
 ``_batch_id`` partition, and upserts are naturally idempotent.
+
+A ``deduplicate`` transform holds within a micro-batch. With ``across_batches: true`` it holds over the
+whole stream: it, and the transforms before it, run on the stream itself, and the keys seen so
+far live in the state store beside the checkpoint (JVM operators: a streaming deduplication, or for
+the latest row a ``max_by`` aggregate in update mode). The latest row of a key is then given out
+again whenever the key appears, so the targets must merge on it; a late old row changes nothing.
+``within`` (an interval) with ``event_time`` (a column) bounds the state of a plain
+deduplication: repeats further apart than that are not looked for.
 """
 from __future__ import annotations
 
@@ -62,13 +70,40 @@ def stream_frame(spark: SparkSession, spec: DatasetSpec) -> DataFrame:
     return spark.readStream.format(src.type).schema(schema).options(**options).load(path)
 
 
+def _stateful_chain(stream: DataFrame, spec: DatasetSpec, fns: list) -> tuple[DataFrame, list, str]:
+    """(the stream with its transforms up to one that holds over all batches, the transforms left
+    for each batch, output mode)."""
+    at = [i for i, t in enumerate(spec.transforms) if t.type == "deduplicate" and t.params.get("across_batches")]
+    if not at:
+        return stream, fns, "append"
+    if len(at) > 1 or any(t.type == "deduplicate" for t in spec.transforms[: at[0]]):
+        raise SpecError("a stream keeps one deduplication across batches, the first one of its transforms")
+    if wants_quarantine(spec.source):
+        raise SpecError("records that do not parse leave the stream by batch; deduplicate across batches after them is not supported")
+    p = spec.transforms[at[0]].params
+    keys = list(p["keys"])
+    before = apply_chain(stream, fns[: at[0]])
+    if p.get("order_by"):
+        loose = [t.id for t in spec.targets if not t.is_merge or not set(t.merge_keys) <= set(keys)]
+        if loose:
+            raise SpecError(f"the latest row of a key is given out whenever it changes; these targets do not merge on the key: {loose}")
+        return apply_chain(before, [fns[at[0]]]), fns[at[0] + 1:], "update"
+    if p.get("within"):
+        if not p.get("event_time"):
+            raise SpecError("deduplicate within an interval needs an event_time column")
+        bounded = before.withWatermark(p["event_time"], str(p["within"])).dropDuplicatesWithinWatermark(keys)
+        return bounded, fns[at[0] + 1:], "append"
+    return before.dropDuplicates(keys), fns[at[0] + 1:], "append"
+
+
 def run_available_now(spark: SparkSession, spec: DatasetSpec, *, checkpoint: str | None = None,
                       targets: list[str] | None = None, run_time: _dt.datetime | None = None) -> list[RunResult]:
     """Process every file that is new since the last start, then stop."""
     selected = select_targets(spec, targets)
     run_time = run_time or _dt.datetime.now(_dt.timezone.utc)
     checkpoint = checkpoint or f"{work_dir(spark)}/tidewater_streams/{spec.dataset_name}"
-    fns = compile_chain(spec.transforms, spec.dataset_name, run_time)
+    stream, fns, mode = _stateful_chain(stream_frame(spark, spec), spec,
+                                        compile_chain(spec.transforms, spec.dataset_name, run_time))
     results: list[RunResult] = []
 
     def _batch(batch_df: DataFrame, batch_id: int) -> None:
@@ -76,9 +111,11 @@ def run_available_now(spark: SparkSession, spec: DatasetSpec, *, checkpoint: str
         df = apply_chain(good, fns)
         results.append(process_batch(
             batch_df.sparkSession, spec, df, selected, run_id=uuid.uuid4().hex, run_time=run_time,
+            # a stateful stream is not run again for each reader of its batch
             persist=is_wide(spec.transforms) or len(selected) > 1, batch_id=int(batch_id) + 1, unparsed=unparsed))
 
-    query = (stream_frame(spark, spec).writeStream
+    query = (stream.writeStream
+             .outputMode(mode)
              .foreachBatch(_batch)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
