@@ -18,7 +18,7 @@ import datetime as _dt
 import logging
 import time
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -45,6 +45,7 @@ from .locks import target_locks
 log = logging.getLogger("tidewater.run")
 
 WM = "__wm"
+LATE = "__late"
 # Sources whose second read may return other rows (live database, topic).
 UNREPRODUCIBLE_SOURCES = ("jdbc", "kafka")
 # Transforms that leave every remaining value and the row count as they are.
@@ -159,6 +160,16 @@ class PreparedBatch:
     unparsed: DataFrame | None = None
 
 
+def _late_rows(rows: DataFrame, spec: DatasetSpec, states: list[st.StateEntry], past: Callable[[DataFrame], Column]) -> DataFrame | None:
+    """Rows not past the mark in files written since the earliest of the targets' last runs began. The
+    condition on the files' times is one on the scan's file list, so other files are not opened."""
+    if spec.source.late_rows != "new_files" or any(s.updated_at is None for s in states):
+        return None
+    since = min(s.updated_at for s in states) - _dt.timedelta(seconds=spec.source.late_margin_seconds)
+    written = F.timestamp_micros(F.lit(int(since.timestamp() * 1e6)))
+    return rows.filter(F.col("_metadata.file_modification_time") >= written).filter(~F.coalesce(past(rows), F.lit(False)))
+
+
 def prepare_batch(spark: SparkSession, spec: DatasetSpec, *, targets: list[str] | None = None,
                   transforms: list[TransformFn] | None = None,
                   run_time: _dt.datetime | None = None, recover: bool = True) -> PreparedBatch:
@@ -184,7 +195,10 @@ def prepare_batch(spark: SparkSession, spec: DatasetSpec, *, targets: list[str]
             return _past_any(rows[wm_col], rows[tie_col] if tie_col else None, list(marks.values()),
                              spec.source.watermark_overlap)
 
+        late = _late_rows(df, spec, [states[t.id] for t in selected], past)
         df = df.filter(past(df))
+        if late is not None:
+            df = df.withColumn(LATE, F.lit(False)).unionByName(late.withColumn(LATE, F.lit(True)))
         if unparsed is not None:  # a failed record without a mark is taken each time it is read
             unparsed = unparsed.filter(F.coalesce(past(unparsed), unparsed[wm_col].isNull()))
     if wm_col:
@@ -282,7 +296,7 @@ def process_batch(spark: SparkSession, spec: DatasetSpec, df: DataFrame, selecte
                             if k in df.columns and is_variable_width(df, k)})
         profile = run_profile(df, dq, WM if has_wm else None, REASON if rows_mode else None, size_cols)
         column_bytes = {c: int(profile.get(bytes_alias(c)) or 0) for c in size_cols}
-        visible = df.drop(WM, REASON)
+        visible = df.drop(WM, REASON, LATE)
         result = evaluate(visible, profile, dq, spec.source.schema)
         rows = int(profile.get(ROWS) or 0)
         new_wm = profile.get(WM_MAX) if has_wm else None
@@ -316,14 +330,15 @@ def process_batch(spark: SparkSession, spec: DatasetSpec, df: DataFrame, selecte
             bad = int(profile.get(BAD_ROWS) or 0)
             metrics.append((run_id, spec.dataset_name, METRIC_QUARANTINED, float(bad), started))
             if bad:
-                out.quarantine_path = quarantine_rows(df.drop(WM), q.path, spec.dataset_name)
+                out.quarantine_path = quarantine_rows(df.drop(WM, LATE), q.path, spec.dataset_name)
             load = good_rows(df)
 
+        has_late = LATE in df.columns
         shared_bound = len(marks) == len(selected) and len(set(marks.values())) == 1
         # With one shared mark every loaded row is past it, so a non-null max advances
-        # it; only differing marks need the (constant-only) comparison.
+        # it; only differing marks and late rows need the (constant-only) comparison.
         advanced = (_advanced(spark, new_wm, wm_type, marks)
-                    if (new_wm is not None and wm_type and marks and not shared_bound) else {})
+                    if (new_wm is not None and wm_type and marks and (not shared_bound or has_late)) else {})
         audit_rows = []
         for t in selected:
             prev = states.get(t.id)
@@ -331,8 +346,9 @@ def process_batch(spark: SparkSession, spec: DatasetSpec, df: DataFrame, selecte
             if t.id in marks and has_wm and not shared_bound:
                 compound = spec.source.watermark_tie_column is not None
                 first, tie = (F.col(WM)[typed.MARK], F.col(WM)[typed.TIE]) if compound else (F.col(WM), None)
-                tdf = tdf.filter(typed.past(first, tie, marks[t.id], spec.source.watermark_overlap))
-            tdf = tdf.drop(WM)
+                beyond = typed.past(first, tie, marks[t.id], spec.source.watermark_overlap)
+                tdf = tdf.filter(beyond | F.col(LATE) if has_late else beyond)
+            tdf = tdf.drop(WM, LATE)
             bid = batch_id if batch_id is not None else (prev.batch_id + 1 if prev else 1)
             # code transforms run after the spec's, so they may undo its dedup
             ctx = WriteContext(batch_id=bid, batch_rows=rows, run_time=run_time, column_bytes=column_bytes,

@@ -77,6 +77,8 @@ class StateEntry:
     type: str | None
     value: str | None
     batch_id: int
+    # when the run that wrote the entry began; set by read_state
+    updated_at: _dt.datetime | None = None
 
     @property
     def watermark(self) -> tuple[str, str] | None:
@@ -138,14 +140,15 @@ def read_state(spark: SparkSession, path: str, dataset: str, targets: list[str])
         return {}
     for left in reversed(range(READS)):
         try:
-            rows = latest_state(spark, path, dataset).filter(F.col("target").isin(targets)).collect()
+            rows = (latest_state(spark, path, dataset).filter(F.col("target").isin(targets))
+                    .withColumn("began", F.unix_micros("updated_at")).collect())
             break
         except Exception as failed:  # a commit went between its listing and its read
             if not left or not re.search("FILE_NOT_EXIST|FileNotFound|PATH_NOT_FOUND", str(failed)):
                 raise
             spark.catalog.refreshByPath(_dataset_dir(path, dataset))
-    return {r["target"]: StateEntry(r["target"], r["column"], r["type"], r["value"], int(r["batch_id"]))
-            for r in rows}
+    return {r["target"]: StateEntry(r["target"], r["column"], r["type"], r["value"], int(r["batch_id"]),
+                                    _dt.datetime.fromtimestamp(int(r["began"]) / 1e6, _dt.timezone.utc)) for r in rows}
 
 
 def commit_state(spark: SparkSession, path: str, dataset: str, entries: list[StateEntry],

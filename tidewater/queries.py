@@ -639,6 +639,24 @@ def incremental_compound_mark(spark, d):
     return spark.read.schema(ORDERS_DDL).parquet(f"{base}/compound")
 
 
+def incremental_late_rows(spark, d):
+    """Orders dated before the mark that arrive after it, in files of their own, are loaded too."""
+    base = scratch_path(spark, "late_rows")
+    orders = _table(spark, d, "orders")
+    late = F.col("o_orderpriority") == URGENT
+    spec = _shared_spec(spark, d, base, "late", source={
+        "type": "parquet", "options": {"path": f"{base}/landing"}, "watermark_column": "o_orderdate",
+        "late_rows": "new_files", "late_margin_seconds": 0},
+        targets=[{"type": "file", "options": {"path": f"{base}/late"}, "write_mode": "merge", "merge_keys": ["o_orderkey"]}])
+    _land(_earlier(orders).filter(~late), f"{base}/landing")
+    run(spark, spec)
+    _land(_earlier(orders).filter(late), f"{base}/landing", "append")
+    _land(_later(orders), f"{base}/landing", "append")
+    second = run(spark, spec)
+    assert second.row_count == orders.count() - _earlier(orders).filter(~late).count()
+    return spark.read.schema(ORDERS_DDL).parquet(f"{base}/late")
+
+
 def run_many_shared_state(spark, d):
     """Datasets side by side on one state folder: each has its mark and its audit row."""
     base = scratch_path(spark, "run_many_shared")
@@ -966,6 +984,7 @@ QUERIES: dict[str, Query] = {
     "run_many_shared_state": run_many_shared_state,
     "incremental_diverging_marks": incremental_diverging_marks,
     "incremental_compound_mark": incremental_compound_mark,
+    "incremental_late_rows": incremental_late_rows,
     "upsert_file": upsert_file,
     "upsert_file_partitioned": upsert_file_partitioned,
     "upsert_file_moving_partitions": upsert_file_moving_partitions,
@@ -1003,6 +1022,7 @@ _MISFITS = (f"SELECT o_orderkey, CASE WHEN o_orderpriority <> '{URGENT}' THEN o_
 
 ORACLE: dict[str, str] = {
     "incremental_compound_mark": "SELECT * FROM orders",
+    "incremental_late_rows": "SELECT * FROM orders",
     "quarantine_unparsed": f"{_MISFITS}, kind FROM orders CROSS JOIN (VALUES ('csv'), ('json')) k(kind)",
     "decode_json_value_failures": f"{_MISFITS}, o_orderpriority IN ('{URGENT}', '{HIGH}') AS undecodable FROM orders",
     "scan_parquet": "SELECT * FROM orders",

@@ -58,6 +58,11 @@ class SourceSpec:
     # Orders rows that share a watermark: the mark is the pair, so rows that arrive later with the
     # last watermark and a greater tie are read, once.
     watermark_tie_column: str | None = None
+    # Rows at or below the watermark that arrive late: "skip", or "new_files" to take them from files
+    # written since the last run (Parquet, CSV and JSON folders; every target must merge).
+    late_rows: str = "skip"
+    # How much earlier than the last run's start a file may have been written and still count as new.
+    late_margin_seconds: float = 600.0
     # ``>=`` instead of ``>`` on the watermark; only safe when every target merges.
     watermark_overlap: bool = False
     # Pass the declared schema to file readers (no inference job, no type drift).
@@ -183,6 +188,13 @@ def validate(spec: DatasetSpec) -> None:
         seen.add(t.id)
     if spec.source.watermark_tie_column and not spec.source.watermark_column:
         raise SpecError("watermark_tie_column orders rows within a watermark_column; give that too")
+    if spec.source.late_rows not in ("skip", "new_files"):
+        raise SpecError("late_rows must be 'skip' or 'new_files'")
+    if spec.source.late_rows == "new_files":
+        if spec.source.type not in ("parquet", "csv", "json") or not spec.source.watermark_column:
+            raise SpecError("late_rows: new_files needs a file source with a watermark_column")
+        if not all(t.is_merge for t in spec.targets):
+            raise SpecError("late_rows: new_files may read a row again; every target must merge")
     if spec.source.watermark_overlap and not all(t.is_merge for t in spec.targets):
         raise SpecError("watermark_overlap re-reads rows at the watermark; every target must merge")
     if spec.source.on_parse_error not in ("null", "fail", "quarantine"):
@@ -214,6 +226,8 @@ def _source(raw: dict[str, Any]) -> SourceSpec:
         schema=_fields(raw.get("schema", raw.get("schema_fields"))),
         watermark_column=raw.get("watermark_column"),
         watermark_tie_column=raw.get("watermark_tie_column"),
+        late_rows=str(raw.get("late_rows", "skip")),
+        late_margin_seconds=float(raw.get("late_margin_seconds", 600.0)),
         watermark_overlap=bool(raw.get("watermark_overlap", False)),
         apply_schema=bool(raw.get("apply_schema", True)),
         on_parse_error=str(raw.get("on_parse_error", "null")),
