@@ -116,6 +116,29 @@ def _crc_sql(codes: str) -> str:
 
 
 ORACLE: dict[str, str] = {
+    # all pairs of distinct sets with a shingle in common: for tables of some thousand documents
+    "op1_ngram_jaccard": """
+WITH RECURSIVE words AS (
+  SELECT doc_id, row_number() OVER () AS r,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, r, list_sort(list_distinct(CASE WHEN len(w) >= 4
+           THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+           WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS g
+  FROM words),
+kinds AS (SELECT g, min(doc_id) AS rep, len(g) AS n FROM sets WHERE doc_id IS NOT NULL AND len(g) > 0 GROUP BY g),
+grams AS (SELECT rep, n, unnest(g) AS gram FROM kinds),
+links AS (
+  SELECT a.rep AS a, b.rep AS b FROM grams a JOIN grams b ON a.gram = b.gram AND a.rep < b.rep
+  GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT rep AS a, rep AS b FROM kinds UNION SELECT r.a, e.b FROM reach r JOIN edges e ON e.a = r.b),
+roots AS (SELECT a, min(b) AS root FROM reach GROUP BY a)
+SELECT s.doc_id, len(s.g)::BIGINT AS n_shingles, coalesce(c.root, s.doc_id) AS component_id
+FROM sets s LEFT JOIN kinds k ON k.g = s.g AND s.doc_id IS NOT NULL LEFT JOIN roots c ON c.a = k.rep
+""",
     "op2_url_filters": """
 WITH cut AS (
   SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
