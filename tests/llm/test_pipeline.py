@@ -50,8 +50,8 @@ def rows():
     texts = list(base)
     texts += [base[0], base[1].replace(" ", "  ") + "\n", base[1], base[2]]  # exact copies, but for white space
     texts += [changed(base[3], 1, r), changed(base[3], 2, r), changed(base[4], 1, r)]  # near copies
-    texts += [changed(base[5], 40, r)]  # too far from its base
-    texts += [base[6] + f"\nWrite to ann{i}.lee@mail{i}.example.org for the whole list of them all today." for i in range(2)]
+    texts += [changed(base[5], 12, r)]  # too far from its base
+    texts += [prose(r) + f"\nWrite to ann{i}.lee@mail{i}.example.org for the whole list of them all today." for i in range(2)]
     texts += [None, "", " \n ", "Too short.", "home | about | login"]
     out = [(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)]
     return out + [out[7], (None, prose(r), None, None, None), (None, None, None, None, None)]
