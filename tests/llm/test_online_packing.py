@@ -31,6 +31,14 @@ def test_ids_equal_the_tokenizers(spark):
             assert ids[bounds[i]: bounds[i + 1]].tolist() == t.encode(text or "", add_special_tokens=False).ids, text
 
 
+def test_units_share_their_letters():
+    ids_of = ByteIds(PATH)
+    ids_of._worker().forget()
+    ids_of.encode(pa.array(["a house, house. house; house\nhouse, (house)"]))
+    # of the first and the second line, " house", the line's end, three tails, and a unit that begins with a mark
+    assert len(ids_of._worker().known) == 8
+
+
 def power(n):
     return n & (n - 1) == 0
 

@@ -30,6 +30,21 @@ def test_ids_equal_the_tokenizers(spark):
             assert ids[bounds[i]: bounds[i + 1]].tolist() == t.encode(text or "", add_special_tokens=False).ids, text
 
 
+def test_memory_may_begin_afresh_between_batches():
+    t, words = Tokenizer.from_file(PATH), WordIds(PATH, memory=20)
+    for k in range(4):
+        some = [" ".join(f"w{chr(97 + k)}{i}" for i in range(30)), "same words"]
+        ids, bounds = words.encode(pa.array(some))
+        for i, text in enumerate(some):
+            assert ids[bounds[i]: bounds[i + 1]].tolist() == t.encode(text, add_special_tokens=False).ids
+
+
+def test_words_share_their_letters():
+    words = WordIds(PATH, memory=21)
+    words.encode(pa.array(["House house, HOUSE. (house) house; house,"]))
+    assert len(words._worker().known) == 5  # letters, three tails, and a word that begins with a mark
+
+
 def check(rows, lengths, capacity):
     """rows: (length, sequence, offset)."""
     assert sorted(r[0] for r in rows) == sorted(lengths)

@@ -1,25 +1,23 @@
-"""Byte-level BPE ids of whole texts, encoding each distinct unit once per worker.
+"""Byte-level BPE ids of whole texts, encoding each distinct part once per worker.
 
 The tokenizer's own pattern never joins a character that is no white space to white space
 after it, so a text may be cut in front of every ASCII white space that follows something
 else: each unit is a run of white space and the word behind it, and a text's ids are its
 units' ids in order. Units behind a character that may be white space beyond ASCII are not
-cut off. Only units the worker has not met go through the tokenizer.
+cut off. In a unit of one white space or none, Latin letters and a tail of marks, the letters
+(with a space in front), the tail and other white space are pre-tokens of their own, and it
+is cut there. Only parts the worker has not met go through the tokenizer.
 """
 from __future__ import annotations
 
 import os
-import re
 
 import numpy as np
 import pyarrow as pa
 
-from ._text import IS_SPACE, span_hashes, text_bytes
-from .word_ids import MEMORY, _Memory
+from ._text import IS_SPACE, text_bytes
+from .word_ids import MEMORY, _Memory, letters_end
 
-#: One white space or none, Latin letters, and a tail of marks; the letters (with a space in
-#: front) and the tail are pre-tokens of their own.
-_PLAIN = re.compile(r"([\t\n\v\f\r]?)( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 #: Third and second last bytes of white space beyond ASCII (U+1680, U+2000 to U+205F, U+3000),
 #: whatever comes last, and the two-byte ones (U+0085, U+00A0).
 _WIDE, _WIDE2 = (0xE1, 0xE2, 0xE3), (0x9A, 0x80, 0x81)
@@ -64,22 +62,25 @@ class ByteIds:
         """(ids of all texts in a row, where each text's begin, with the end)."""
         data, offsets = text_bytes(column)
         starts = unit_starts(data, offsets)
-        ends = np.append(starts[1:], len(data))
-        keys, at, inverse = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        worker = self._worker()
-        entry = worker.entries(keys.tolist(), data, starts[at], ends[at])
-        pool, begin, length = worker.arrays()
-        begin, length = begin[entry][inverse], length[entry][inverse]
-        total = np.concatenate([[0], np.cumsum(length)])
-        ids = pool[np.repeat(begin - total[:-1], length) + np.arange(total[-1])]
-        return ids, total[np.searchsorted(starts, offsets)]
+        ends = np.append(starts[1:], len(data)) if len(starts) else starts
+        space = IS_SPACE[data[starts]]
+        stop, plain = letters_end(data, ends, starts + space)
+        stop = np.where(plain, stop, ends)
+        blank = data[starts] == 32
+        lead = starts + (plain & space & ~blank)
+        letters = plain & blank
+        starts, ends = np.stack([starts, lead, stop], axis=1).ravel(), np.stack([lead, stop, ends], axis=1).ravel()
+        none = np.zeros_like(letters)
+        letters = np.stack([none, letters, none], axis=1).ravel()
+        some = ends > starts
+        return self._worker().encode(data, starts[some], ends[some], letters[some], offsets)
 
 
 _WORKER: dict[str, "_Units"] = {}
 
 
 class _Units(_Memory):
-    """Ids of the units met so far."""
+    """Ids of the parts met so far; ``single`` parts have a space in front."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -92,51 +93,8 @@ class _Units(_Memory):
             self.spaced[i] = piece.startswith("Ġ")  # the vocabulary's sign for a space
         self.forget()
 
-    def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, parts: list[str]) -> None:
-        """Encodes single pre-tokens; those with a space in front many to a call, cut where
-        the next one's space begins."""
-        spaced = [p for p in parts if p[0] == " "]
-        for k in range(0, len(spaced), 2000):
-            some = spaced[k: k + 2000]
-            ids = self._encode(["".join(some)])[0]
-            first = np.flatnonzero(self.spaced[ids])
-            own = np.split(ids, first[1:]) if len(first) == len(some) else self._encode(some)
-            for part, its in zip(some, own, strict=True):
-                self.units[part] = self._add(its)
-        other = [p for p in parts if p[0] != " "]
-        for part, its in zip(other, self._encode(other), strict=True):
-            self.units[part] = self._add(its)
-
-    def entries(self, keys: list[int], data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        out = np.fromiter((self.known.get(k, -1) for k in keys), np.int64, len(keys))
-        new = np.flatnonzero(out < 0)
-        if not len(new):
-            return out
-        split: list[tuple[str, ...] | str] = []
-        wanted: dict[str, None] = {}
-        raw = data.tobytes()
-        for i in new.tolist():
-            unit = raw[starts[i]: ends[i]].decode("utf-8", "replace")
-            found = _PLAIN.fullmatch(unit)
-            if not found or (found.group(1) and found.group(2)[0] == " "):
-                split.append(unit)
-                continue
-            parts = tuple(p for p in found.groups() if p)
-            split.append(parts)
-            for p in parts:
-                if p not in self.units:
-                    wanted[p] = None
-        self._learn(list(wanted))
-        encoded = iter(self._encode([s for s in split if isinstance(s, str)]))
-        for i, parts in zip(new.tolist(), split, strict=True):
-            if isinstance(parts, str):
-                entry = self._add(next(encoded))
-            elif len(parts) == 1:
-                entry = self.units[parts[0]]
-            else:
-                entry = self._add(np.concatenate([self._ids(self.units[p]) for p in parts]))
-            self.known[keys[i]] = out[i] = entry
-        return out
+    def _together(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Cut where the next one's space begins."""
+        ids = np.array(self._encoded([b"".join(parts)])[0], np.int32)
+        first = np.flatnonzero(self.spaced[ids])
+        return (ids, np.diff(first, append=len(ids))) if len(first) == len(parts) else None

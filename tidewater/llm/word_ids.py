@@ -1,23 +1,41 @@
-"""Token ids of whole texts, encoding each distinct word once per worker.
+"""Token ids of whole texts, encoding each distinct part of a word once per worker.
 
 For a tokenizer that drops white space and never joins words across it: a text's ids are
-its words' ids in order. Words are found and hashed with array operations; only words the
-worker has not met go through the tokenizer.
+its words' ids in order. A word of Latin letters with a tail of marks is two pre-tokens
+and is cut there, so words that differ in their tail or in capitals share their parts. Parts
+are found, hashed and looked up with array operations; only those the worker has not met go
+through the tokenizer.
 """
 from __future__ import annotations
 
 import os
-import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 
-from ._text import span_hashes, text_bytes, word_spans
+from ._text import LOWER, U64, span_hashes, text_bytes, word_spans
 
-#: Latin letters with an optional tail of marks; each part is a pre-token of its own.
-_LETTERS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
-#: Words kept per worker; beyond it the memory starts afresh, which costs time only.
+#: Parts kept per worker; beyond it the memory starts afresh, which costs time only.
 MEMORY = 1_000_000
+_LETTER = np.zeros(256, bool)
+_LETTER[65:91] = _LETTER[97:123] = True
+#: ASCII marks but the apostrophe, which contractions begin with.
+_MARK = np.zeros(256, bool)
+_MARK[33:48] = _MARK[58:65] = _MARK[91:97] = _MARK[123:127] = True
+_MARK[39] = False
+
+
+def letters_end(data: np.ndarray, ends: np.ndarray, lead: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(where the Latin letters from ``lead`` on end, whether there are some and only marks are behind them)."""
+    letter = _LETTER[data]
+    latin = np.flatnonzero(data[:-1] == 0xC3)  # U+00C0 to U+00FF but the signs for times and division
+    latin = latin[(data[latin + 1] != 0x97) & (data[latin + 1] != 0xB7)]
+    letter[latin] = letter[latin + 1] = True
+    other = np.append(np.flatnonzero(~letter), len(data))
+    stop = np.minimum(other[np.searchsorted(other, lead)], ends)
+    strange = np.concatenate([[0], np.cumsum(~_MARK[data])])
+    return stop, (stop > lead) & (strange[ends] == strange[stop])
 
 
 class WordIds:
@@ -41,21 +59,24 @@ class WordIds:
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, where each text's begin, with the end)."""
         data, offsets = text_bytes(column)
-        starts, ends, doc = word_spans(data, offsets)
-        keys, at, inverse = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        entry = self._worker().entries(keys.tolist(), data, starts[at], ends[at])
-        pool, begin, length = self._worker().arrays()
-        begin, length = begin[entry][inverse], length[entry][inverse]
-        total = np.concatenate([[0], np.cumsum(length)])
-        ids = pool[np.repeat(begin - total[:-1], length) + np.arange(total[-1])]
-        return ids, total[np.searchsorted(doc, np.arange(len(offsets)))]
+        starts, ends, _ = word_spans(data, offsets)
+        stop, plain = letters_end(data, ends, starts)
+        stop = np.where(plain, stop, ends)
+        inside = np.zeros(len(data) + 1, np.int8)  # capitals count for nothing in plain words
+        inside[starts[plain]] += 1
+        inside[stop[plain]] -= 1
+        data = np.where(np.cumsum(inside[:-1], dtype=np.int8).view(bool), LOWER[data], data)
+        starts, ends = np.stack([starts, stop], axis=1).ravel(), np.stack([stop, ends], axis=1).ravel()
+        letters = np.stack([plain, np.zeros_like(plain)], axis=1).ravel()
+        some = ends > starts
+        return self._worker().encode(data, starts[some], ends[some], letters[some], offsets)
 
 
 _WORKER: dict[tuple, "_Memory"] = {}
 
 
 class _Memory:
-    """Ids of the words met so far, in one pool."""
+    """Ids of the parts met so far, in one pool."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -69,71 +90,64 @@ class _Memory:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[int, int] = {}
-        self.units: dict[str, int] = {}
+        self.known, self.at = np.zeros(0, U64), np.zeros(0, np.int64)  # sorted hashes, their entries
         self.pool, self.used = np.zeros(1 << 16, np.int32), 0
-        self.begin, self.length, self.n = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64), 0
+        self.begin, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def encode(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, single: np.ndarray,
+               offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these parts of texts in a row, where each text's begin, with the end;
+        ``single``: parts that are letters only, hence one pre-token."""
+        keys, first, inverse = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        entry = self._entries(keys, data, starts[first], ends[first], single[first])
+        begin, length = self.begin[entry][inverse], self.length[entry][inverse]
+        total = np.concatenate([[0], np.cumsum(length)])
+        ids = self.pool[np.repeat(begin - total[:-1], length) + np.arange(total[-1])]
+        return ids, total[np.searchsorted(starts, offsets)]
+
+    def _entries(self, keys: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray,
+                 single: np.ndarray) -> np.ndarray:
+        place = np.searchsorted(self.known, keys)
+        found = np.zeros(len(keys), bool)
+        if len(self.known):
+            found = self.known[np.minimum(place, len(self.known) - 1)] == keys
+        out = np.zeros(len(keys), np.int64)
+        out[found] = self.at[place[found]]
+        raw = data.tobytes()
+        for several in (True, False):
+            new = np.flatnonzero(~found & (single == several))
+            parts = [raw[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)]
+            out[new] = len(self.begin) + np.arange(len(new))
+            self._learn(parts, several)
+        new = np.flatnonzero(~found)
+        self.known = np.insert(self.known, place[new], keys[new])
+        self.at = np.insert(self.at, place[new], out[new])
+        return out
+
+    def _learn(self, parts: list[bytes], several: bool) -> None:
+        for k in range(0, len(parts), 2000):
+            some = parts[k: k + 2000]
+            self._add(*((several and self._together(some)) or self._each(some)))
 
-    def arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        return self.pool, self.begin, self.length
+    def _together(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray] | None:
+        """(ids, how many each part has) of parts encoded in one call; each ends with its own end piece."""
+        ids = np.array(self._encoded([b" ".join(parts)])[0], np.int32)
+        last = np.flatnonzero(self.ends[ids]) + 1
+        # else one of them is more than a pre-token
+        return (ids, np.diff(last, prepend=0)) if len(last) == len(parts) else None
 
-    def _add(self, ids: np.ndarray) -> int:
+    def _each(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        ids = self._encoded(parts)
+        return np.fromiter(chain.from_iterable(ids), np.int32), np.array([len(x) for x in ids], np.int64)
+
+    def _encoded(self, parts: list[bytes]) -> list[list[int]]:
+        texts = [p.decode("utf-8", "replace") for p in parts]
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _add(self, ids: np.ndarray, length: np.ndarray) -> None:
         while self.used + len(ids) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-        if self.n == len(self.begin):
-            self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
-            self.length = np.concatenate([self.length, np.zeros_like(self.length)])
         self.pool[self.used: self.used + len(ids)] = ids
-        self.begin[self.n], self.length[self.n] = self.used, len(ids)
+        self.begin = np.concatenate([self.begin, self.used + np.cumsum(length) - length])
+        self.length = np.concatenate([self.length, length])
         self.used += len(ids)
-        self.n += 1
-        return self.n - 1
-
-    def _ids(self, entry: int) -> np.ndarray:
-        return self.pool[self.begin[entry]: self.begin[entry] + self.length[entry]]
-
-    def _learn(self, units: list[str]) -> None:
-        """Encodes single pre-tokens, many to a call; each ends with its own end piece."""
-        for k in range(0, len(units), 2000):
-            some = units[k: k + 2000]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.int32)
-            last = np.flatnonzero(self.ends[ids]) + 1
-            if len(last) == len(some):
-                parts = np.split(ids, last[:-1])
-            else:  # one of them is more than a pre-token
-                parts = [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
-            for unit, part in zip(some, parts, strict=True):
-                self.units[unit] = self._add(part)
-
-    def entries(self, keys: list[int], data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        out = np.fromiter((self.known.get(k, -1) for k in keys), np.int64, len(keys))
-        new = np.flatnonzero(out < 0)
-        if not len(new):
-            return out
-        split: list[tuple[str, str] | str] = []
-        wanted: dict[str, None] = {}
-        raw = data.tobytes()
-        for i in new.tolist():
-            word = raw[starts[i]: ends[i]].decode("utf-8", "replace")
-            found = _LETTERS.fullmatch(word)
-            if found:
-                a, b = found.group(1).lower(), found.group(2)
-                split.append((a, b))
-                if a not in self.units:
-                    wanted[a] = None
-                if b and b not in self.units:
-                    wanted[b] = None
-            else:
-                split.append(word)
-        self._learn(list(wanted))
-        whole = [w for w in split if isinstance(w, str)]
-        encoded = iter(self.tokenizer.encode_batch_fast(whole, add_special_tokens=False))
-        for i, parts in zip(new.tolist(), split, strict=True):
-            if isinstance(parts, str):
-                entry = self._add(np.array(next(encoded).ids, np.int32))
-            elif parts[1]:
-                entry = self._add(np.concatenate([self._ids(self.units[parts[0]]), self._ids(self.units[parts[1]])]))
-            else:
-                entry = self.units[parts[0]]
-            self.known[keys[i]] = out[i] = entry
-        return out
