@@ -154,6 +154,28 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+def test_forest():
+    r = np.random.default_rng(3)
+    a, b = r.integers(0, 400, 250), r.integers(0, 400, 250)
+    a, b = np.append(a, np.arange(400, 499)), np.append(b, np.arange(401, 500))  # and a chain
+    want = closed(range(500), zip(a.tolist(), b.tolist()))
+    assert j.forest(a, b, 500).tolist() == [want[i] for i in range(500)]
+
+
+def test_near_copies_are_tied_once_each():
+    """A slice of n near copies sends a row for each part of its keys and a tie for each copy."""
+    r = np.random.default_rng(4)
+    base = r.integers(0, 1 << 63, 400, dtype=np.uint64)
+    sets = [np.unique(np.append(base[r.permutation(400)[:395]], r.integers(0, 1 << 63, 3, dtype=np.uint64))) for _ in range(60)]
+    nodes, parts = r.integers(-(1 << 62), 1 << 62, 60), 3
+    rows = j._tie_rows(np.concatenate(sets), np.cumsum([0, *map(len, sets)]), nodes, j.Similarity(), parts).to_pylist()
+    assert len(rows) == parts + 1
+    ties = [x for x in rows if x["part"] < 0]
+    assert sorted(np.frombuffer(ties[0]["keys"], np.int64)) == sorted(set(nodes.tolist()) - {nodes.min()})
+    for x in rows:
+        assert set(np.frombuffer(x["nodes"], np.int64)) == {nodes.min()}
+
+
 @pytest.mark.parametrize("seed", range(30))
 def test_linked_sets_stay_hopeful(seed):
     """Counted in batches and parts, a linked set has as many common n-grams as it needs."""

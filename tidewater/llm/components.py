@@ -1,71 +1,39 @@
 """Connected components by alternating large and small stars.
 
-Either star is one shuffle: a node's edges meet in one task, sorted, so the first one tells its
-smallest neighbour and the others follow as a stream; a node with very many edges costs rows, not
-memory. Rounds end when the edges stay as they are, which each task says in one row of counts.
+Either star is one shuffle: a node's edges meet in one window, whose smallest neighbour the others
+are tied to; a window of very many edges is spilled by Spark, not held. Rounds end when the edges
+stay as they are, which their number and the sums of their hashes tell.
 """
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._spark import checkpoint
-from ._text import U64, mix
 
-Pairs = tuple[np.ndarray, np.ndarray]
+
+def _neighbours(edges: DataFrame) -> DataFrame:
+    """Each edge (u, v) once, with the smallest neighbour of u."""
+    return (edges.repartition("u").distinct()
+            .withColumn("first", F.min("v").over(Window.partitionBy("u"))))
 
 
-def _large(u: np.ndarray, v: np.ndarray, first: np.ndarray, head: np.ndarray) -> Pairs:
+def _large(edges: DataFrame) -> DataFrame:
     """Larger neighbours are tied to the smallest of a node and its neighbours."""
-    up = v > u
-    return v[up], np.minimum(u, first)[up]
+    both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    return _neighbours(both).filter("v > u").select(F.col("v").alias("u"), F.least("u", "first").alias("v"))
 
 
-def _small(u: np.ndarray, v: np.ndarray, first: np.ndarray, head: np.ndarray) -> Pairs:
+def _small(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are tied to the smallest of them."""
-    rest = v != first
-    return np.concatenate([u[head], v[rest]]), np.concatenate([first[head], first[rest]])
-
-
-def _star(edges: DataFrame, fn: Callable[..., Pairs]) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = least = None
-        for batch in batches:
-            u, v = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            if not len(u):
-                continue
-            new = np.ones(len(u), bool)  # rows are sorted: a repeated edge follows its first
-            new[1:] = (u[1:] != u[:-1]) | (v[1:] != v[:-1])
-            new[0] = last != (u[0], v[0])
-            head = np.ones(len(u), bool)
-            head[1:] = u[1:] != u[:-1]
-            head[0] = last is None or last[0] != u[0]
-            at = np.maximum.accumulate(np.where(head, np.arange(len(u)), -1))
-            first = np.where(at >= 0, v[np.maximum(at, 0)], 0 if least is None else least)
-            last, least = (u[-1], v[-1]), first[-1]
-            a, b = fn(u[new], v[new], first[new], head[new])
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["u", "v"])
-
-    return edges.repartition("u").sortWithinPartitions("u", "v").mapInArrow(run, "u bigint, v bigint")
-
+    own = F.when(F.col("v") == F.col("first"), F.col("u")).otherwise(F.col("v"))
+    return _neighbours(edges).select(own.alias("u"), F.col("first").alias("v"))
 
-def _stamp(edges: DataFrame) -> tuple[int, int]:
-    """How many edges there are, and the sum of their hashes."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, total = 0, 0
-        for batch in batches:
-            u, v = (c.to_numpy(zero_copy_only=False).astype(np.int64).view(U64) for c in batch.columns)
-            n += len(u)
-            total = (total + int(mix(mix(u) + v).sum(dtype=U64))) & ((1 << 63) - 1)
-        if n:
-            yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([total], pa.int64())], names=["n", "total"])
 
-    rows = edges.mapInArrow(run, "n bigint, total bigint").collect()
-    return sum(r["n"] for r in rows), sum(r["total"] for r in rows) & ((1 << 63) - 1)
+def _stamp(edges: DataFrame) -> tuple:
+    """How many edges there are, and what their hashes add up to."""
+    h = F.xxhash64("u", "v")
+    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.pmod(h, F.lit(1 << 30))), F.bit_xor(h)).first())
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
@@ -77,6 +45,5 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
         if now == before:
             roots = stars.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
             return stars.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
-        both = stars.union(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        stars, before = checkpoint(_star(_star(both, _large), _small)), now
+        stars, before = checkpoint(_small(_large(stars))), now
     raise RuntimeError(f"components did not settle within {max_rounds} rounds")

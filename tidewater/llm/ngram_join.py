@@ -14,8 +14,8 @@ integers.
    The order of what remains is cut into segments, more of them than two linked sets can have
    n-grams in which they differ, so linked sets agree in a whole segment. Sets with an equal
    segment are tied. Every task first folds its own
-   documents: a segment is sent once per slice, with the slice's other sets tied to the one
-   sent. Nodes tied directly or over others form blocks; only nodes of one block can be linked.
+   documents: a segment is sent once per slice, with the smallest set it is tied to there, and each
+   of the slice's other sets once with the one it is tied to; segments go packed, by parts. Nodes tied directly or over others form blocks; only nodes of one block can be linked.
 3. A block's sets are stored in a trie, common n-grams first, so that close sets share long
    paths; sets with too few n-grams in common with any other stay out. All sets go down the trie together, the overlap of a shared path is counted once,
    and a set leaves a subtree when even its whole remaining length, or the subtree's, could
@@ -442,51 +442,73 @@ def segment_keys(value: np.ndarray, bounds: np.ndarray, rule: Similarity) -> tup
     return np.concatenate(keys), np.concatenate(owners)
 
 
-def _stars(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct keys, their smallest node, distinct (node, smallest) ties of the others)."""
-    by = np.lexsort((node, key))
-    key, node = key[by], node[by]
-    head = np.ones(len(key), bool)
-    head[1:] = key[1:] != key[:-1]
-    centre = node[head][np.cumsum(head) - 1] if len(key) else node
-    apart = node != centre
-    ties = np.unique(np.stack([node[apart], centre[apart]], axis=1), axis=0)
-    return key[head], node[head], ties
+#: Rows of _tie_rows.
+_TIES = "part bigint, keys binary, nodes binary"
 
 
-def _tie_rows(value: np.ndarray, bounds: np.ndarray, nodes: np.ndarray, usable: np.ndarray, rule: Similarity) -> pa.RecordBatch:
-    """(key, node): each key of these sets once, with its smallest node."""
+def forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """The smallest number that each of ``n`` is tied to by pairs (a, b), directly or over others."""
+    label = np.arange(n)
+    while True:
+        x, y = label[a], label[b]
+        apart = x != y
+        if not apart.any():
+            return label
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while (label[label] != label).any():
+            label = label[label]
+
+
+def _stars(key: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct keys, an owner of each, that of each row's key in the rows' order)."""
+    keys, first, inverse = np.unique(key, return_index=True, return_inverse=True)
+    return keys, owner[first], owner[first][inverse]
+
+
+def _tie_rows(value: np.ndarray, bounds: np.ndarray, nodes: np.ndarray, rule: Similarity, parts: int) -> pa.RecordBatch:
+    """(part, keys, nodes): each key of these sets once, with the smallest node that its sets are tied
+    to here; in rows of negative parts each other node with the smallest one it is tied to."""
     key, owner = segment_keys(value, bounds, rule)
-    key, owner = key[usable[owner]], owner[usable[owner]]
-    key, centre, ties = _stars(key, nodes[owner])
-    # the other nodes of a key: a tie is sent as a key that its two nodes share
-    pair = mix(mix(ties[:, 0].view(U64)) + ties[:, 1].view(U64)) if len(ties) else key[:0]
-    return pa.RecordBatch.from_arrays([
-        pa.array(np.concatenate([key, pair, pair]).view(np.int64)),
-        pa.array(np.concatenate([centre, ties[:, 0], ties[:, 1]]))], names=["a", "b"])
+    names, number = np.unique(nodes, return_inverse=True)
+    key, centre, tied = _stars(key, number[owner])
+    root = forest(number[owner], tied, len(names))
+    part = ((mix(key) >> U64(32)) % U64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    cuts = np.append(np.flatnonzero(np.diff(part[order], prepend=-1)), len(key))
+    key, centre = key[order], names[root[centre[order]]]
+    rows = [(int(part[order[i]]), key[i:j].tobytes(), centre[i:j].tobytes()) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+    apart = np.flatnonzero(root != np.arange(len(names)))
+    if len(apart):
+        rows.append((-1 - int(mix(names[apart[:1]].view(U64))[0] % U64(parts)), names[apart].tobytes(), names[root[apart]].tobytes()))
+    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()),
+                                       *[pa.array([r[k] for r in rows], pa.binary()) for k in (1, 2)]],
+                                      names=["part", "keys", "nodes"])
 
 
 def _joined_ties(rows: DataFrame) -> DataFrame:
-    """(a, b): nodes with a common key, as stars."""
+    """(a, b): nodes with a common key in a part of the keys, each tied to the smallest."""
     def joined(batches):
-        """Sorted (key, node) rows: every further node of a key is tied to its first."""
-        key = centre = None
-        for batch in batches:
-            a, b = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            if not len(a):
-                continue
-            head = np.ones(len(a), bool)
-            head[1:] = a[1:] != a[:-1]
-            head[0] = key is None or a[0] != key
-            at = np.maximum.accumulate(np.where(head, np.arange(len(a)), -1))
-            to = np.where(at >= 0, b[np.maximum(at, 0)], centre if centre is not None else 0)
-            key, centre = a[-1], to[-1]
-            apart = b != to
-            if apart.any():
-                ties = np.unique(np.stack([b[apart], to[apart]], axis=1), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(ties[:, 0]), pa.array(ties[:, 1])], names=["a", "b"])
+        for some in _groups(batches, 1):
+            key, node = (np.concatenate([np.frombuffer(r[k], np.int64) for r in some]) for k in (1, 2))
+            if some[0][0] < 0:  # pairs already
+                names, number = np.unique(np.concatenate([key, node]), return_inverse=True)
+                left, right = number[:len(key)], number[len(key):]
+            else:
+                names, left = np.unique(node, return_inverse=True)
+                right = _stars(key, left)[2]
+            root = forest(left, right, len(names))
+            apart = np.flatnonzero(root != np.arange(len(names)))
+            if len(apart):
+                yield pa.RecordBatch.from_arrays([pa.array(names[apart]), pa.array(names[root[apart]])], names=["a", "b"])
+
+    return rows.repartition("part").sortWithinPartitions("part").mapInArrow(joined, "a bigint, b bigint")
 
-    return rows.repartition("a").sortWithinPartitions("a", "b").mapInArrow(joined, "a bigint, b bigint")
+
+def _key_parts(nodes: DataFrame, part_grams: int) -> int:
+    """Parts for the keys of these nodes: a set has fewer than half as many as it has n-grams, or a few."""
+    total = nodes.agg(F.sum(F.col("n_shingles") + 8)).first()[0] or 0
+    return max(1, -(-total // max(1, part_grams // 2)))
 
 
 class NodeFilter:
@@ -508,7 +530,7 @@ class NodeFilter:
         return (self.sent.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
-def _ties(docs: DataFrame, rule: Similarity, wanted: NodeFilter) -> DataFrame:
+def _ties(docs: DataFrame, rule: Similarity, wanted: NodeFilter, parts: int) -> DataFrame:
     def local(batch):
         value, bounds = gram_sets(batch.column(1), rule.words)
         nodes, sizes = node_ids(value, bounds), np.diff(bounds)
@@ -516,9 +538,9 @@ def _ties(docs: DataFrame, rule: Similarity, wanted: NodeFilter) -> DataFrame:
         first = first[wanted(nodes[first])]
         part = [value[bounds[i]: bounds[i + 1]] for i in first]
         if part:
-            yield _tie_rows(np.concatenate(part), np.cumsum([0, *map(len, part)]), nodes[first], np.ones(len(part), bool), rule)
+            yield _tie_rows(np.concatenate(part), np.cumsum([0, *map(len, part)]), nodes[first], rule, parts)
 
-    return _joined_ties(map_batches(docs, local, "a bigint, b bigint"))
+    return _joined_ties(map_batches(docs, local, _TIES))
 
 
 def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -527,49 +549,62 @@ def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([np.zeros(0, U64), *parts]), np.cumsum([0] + [len(x) for x in parts])
 
 
-def _ties_of_sets(sets: DataFrame, rule: Similarity) -> DataFrame:
+def _ties_of_sets(sets: DataFrame, rule: Similarity, wanted: NodeFilter, parts: int) -> DataFrame:
     def local(batch):
-        value, bounds = _unpacked(batch.column(1))
-        yield _tie_rows(value, bounds, batch.column(0).to_numpy(), np.ones(batch.num_rows, bool), rule)
+        nodes = batch.column(0).to_numpy()
+        some = np.flatnonzero(wanted(nodes))
+        if len(some):
+            value, bounds = _unpacked(batch.column(1).take(pa.array(some)))
+            yield _tie_rows(value, bounds, nodes[some], rule, parts)
 
-    return _joined_ties(map_batches(sets.select("node", "grams"), local, "a bigint, b bigint"))
+    return _joined_ties(map_batches(sets.select("node", "grams"), local, _TIES))
 
 
 def _reaching_in_block(sets: DataFrame, rule: Similarity, part_grams: int) -> DataFrame:
-    """The sets (node, block, n_shingles, grams) with enough n-grams that another of their block has.
+    """The nodes (node, block, n_shingles) with enough n-grams that another set of their block has.
 
     A block's n-grams are dealt by value into parts of about ``part_grams``, packed: one row
-    for each batch, block and part."""
+    for each batch, block and part, with four bytes of each n-gram's hash. N-grams equal in
+    those are counted as one, which can only let more sets pass."""
     def dealt(batch):
         value, bounds = _unpacked(batch.column(2))
         sizes = np.diff(bounds)
-        block, node, parts = (np.repeat(batch.column(i).to_numpy(), sizes) for i in (0, 1, 3))
-        part = (mix(value) % parts.astype(U64)).astype(np.int64)
-        order = np.lexsort((part, block))
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        node, block = batch.column(1).to_numpy(), batch.column(0).to_numpy()[row]
+        h = mix(value)
+        part = (h % batch.column(3).to_numpy()[row].astype(U64)).astype(np.int64)
+        order = np.lexsort((row, part, block))
+        block, part, row, key = block[order], part[order], row[order], (h[order] >> U64(32)).astype(np.uint32)
         head = np.ones(len(order), bool)
-        head[1:] = (block[order][1:] != block[order][:-1]) | (part[order][1:] != part[order][:-1])
-        cuts = np.append(np.flatnonzero(head), len(order))
-        value, node = value[order], node[order]
-        rows = [(value[i:j].tobytes(), node[i:j].tobytes()) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
-        at = order[cuts[:-1]]
+        head[1:] = (block[1:] != block[:-1]) | (part[1:] != part[:-1])
+        begin = head.copy()  # of a set within a part
+        begin[1:] |= row[1:] != row[:-1]
+        begin = np.flatnonzero(begin)
+        times = np.diff(np.append(begin, len(order))).astype(np.int32)
+        at = np.flatnonzero(head)
+        ends = np.append(at[1:], len(order))
+        low, high = np.searchsorted(begin, at), np.searchsorted(begin, ends)
         yield pa.RecordBatch.from_arrays([
-            pa.array(block[at]), pa.array(part[at]), pa.array([r[0] for r in rows], pa.binary()),
-            pa.array([r[1] for r in rows], pa.binary())], names=["block", "part", "values", "nodes"])
+            pa.array(block[at]), pa.array(part[at]),
+            pa.array([key[i:j].tobytes() for i, j in zip(at, ends, strict=True)], pa.binary()),
+            pa.array([node[row[begin[i:j]]].tobytes() for i, j in zip(low, high, strict=True)], pa.binary()),
+            pa.array([times[i:j].tobytes() for i, j in zip(low, high, strict=True)], pa.binary())],
+            names=["block", "part", "keys", "nodes", "times"])
 
     def count(batches):
         for rows in _groups(batches, 2):
-            value = np.concatenate([np.frombuffer(r[2], U64) for r in rows])
-            node = np.concatenate([np.frombuffer(r[3], np.int64) for r in rows])
-            _, first, times = np.unique(value, return_index=True, return_counts=True)
+            key = np.concatenate([np.frombuffer(r[2], np.uint32) for r in rows])
+            node = np.concatenate([np.repeat(np.frombuffer(r[3], np.int64), np.frombuffer(r[4], np.int32)) for r in rows])
+            _, first, times = np.unique(key, return_index=True, return_counts=True)
             nodes, alone = np.unique(node[first[times == 1]], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(alone.astype(np.int64))], names=["node", "alone"])
 
     parts = sets.groupBy("block").agg(F.ceil(F.sum("n_shingles") / part_grams).cast("bigint").alias("parts"))
     packed = map_batches(sets.select("block", "node", "grams").join(parts, "block").select("block", "node", "grams", "parts"),
-                         dealt, "block bigint, part bigint, values binary, nodes binary")
+                         dealt, "block bigint, part bigint, keys binary, nodes binary, times binary")
     alone = (packed.repartition("block", "part").sortWithinPartitions("block", "part")
              .mapInArrow(count, "node bigint, alone bigint").groupBy("node").agg(F.sum("alone").alias("alone")))
-    return (sets.join(alone.hint("merge"), "node", "left")
+    return (sets.select("node", "block", "n_shingles").join(alone.hint("merge"), "node", "left")
             .filter(100 * (F.col("n_shingles") - F.coalesce("alone", F.lit(0))) >= rule.percent * F.col("n_shingles"))
             .drop("alone"))
 
@@ -670,7 +705,8 @@ def _cross_chunks(sets: DataFrame, rule: Similarity, chunk_nodes: int, chunk_gra
 SETS = ("node", "block", "n_shingles", "grams")
 
 
-def _large_blocks(sets: DataFrame, rule: Similarity, chunk_nodes: int, chunk_grams: int, rounds: int = 3) -> DataFrame:
+def _large_blocks(sets: DataFrame, rule: Similarity, bits: int, chunk_nodes: int, chunk_grams: int, part_grams: int,
+                  rounds: int = 3) -> DataFrame:
     """(node, root) of linked nodes among blocks of several chunks; ``sets`` has SETS."""
     left = sets.count()
     for _ in range(rounds):  # each round is exact; a further one would only save comparisons
@@ -678,10 +714,14 @@ def _large_blocks(sets: DataFrame, rule: Similarity, chunk_nodes: int, chunk_gra
         before, left = left, stay.count()
         if not left:
             return sets.select("node", F.col("node").alias("root")).limit(0)
-        blocks = components(_ties_of_sets(stay, rule)).withColumnRenamed("component", "block")
-        sets = checkpoint(stay.drop("block").join(blocks.hint("merge"), "node").select(*SETS))
-        if left > 0.9 * before:
+        grams = sets.select("node", "grams")
+        if left > 0.9 * before:  # hardly a block would fall apart
+            sets = checkpoint(grams.join(stay.hint("merge"), "node").select(*SETS))
             break
+        ties = _ties_of_sets(sets, rule, NodeFilter(stay, bits), _key_parts(stay, part_grams))
+        blocks = components(ties).withColumnRenamed("component", "block")
+        stay = stay.drop("block").join(blocks.hint("merge"), "node")
+        sets = checkpoint(grams.join(stay.hint("merge"), "node").select(*SETS))
     first = checkpoint(_join_chunks(_chunks(sets, chunk_nodes, chunk_grams), rule))
     # the chunks' group heads among each other
     several = first.filter("chunks > 1")
@@ -707,14 +747,15 @@ def _linked_nodes(docs: DataFrame, classes: DataFrame, rule: Similarity, bits: i
                   part_grams: int) -> DataFrame:
     """(node, root) of nodes in blocks; a node that is not listed is linked with nothing."""
     hopeful = checkpoint(_hopeful(docs, classes, rule, part_grams))
-    blocks = components(_ties(docs, rule, NodeFilter(hopeful, bits))).withColumnRenamed("component", "block")
+    ties = _ties(docs, rule, NodeFilter(hopeful, bits), _key_parts(hopeful, part_grams))
+    blocks = components(ties).withColumnRenamed("component", "block")
     sized = checkpoint(_chunks(blocks.join(classes.select("node", "n_shingles").hint("merge"), "node"), chunk_nodes, chunk_grams))
     sets = checkpoint(_sets_of(docs, sized, rule, bits).select(*SETS, "chunks", "chunk").dropDuplicates(["node"]))
     small = _join_chunks(sets.filter("chunks = 1"), rule).select("node", F.col("head").alias("root"))
     large = sets.filter("chunks > 1").select(*SETS)
     if large.isEmpty():
         return small
-    return small.union(_large_blocks(large, rule, chunk_nodes, chunk_grams))
+    return small.union(_large_blocks(large, rule, bits, chunk_nodes, chunk_grams, part_grams))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Similarity = Similarity(),
