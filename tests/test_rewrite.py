@@ -6,6 +6,8 @@ import pytest
 
 from tidewater import fs
 from tidewater.errors import SpecError
+from tidewater.operators import upsert
+from tidewater.operators.upsert import merge_by_version
 from tidewater.session import unique_name
 from tidewater.sinks import WriteContext, compact_marks, read_file_target, rewrite, write_target
 from tidewater.sinks.files import recover_file_target
@@ -211,6 +213,44 @@ def test_version_keeps_rows_with_null_keys(spark, base):
     assert sorted(r["val"] for r in spark.read.parquet(t.options["path"]).collect()) == ["a", "b", "c", "d"]
 
 
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_merge_by_version_is_the_same_by_broadcast_and_by_shuffle(spark, null_safe):
+    """Repeated keys of the target stay unless the batch has them; null keys, fewer and more columns."""
+    r = random.Random(3)
+    held = [(r.choice([None, *range(30)]), r.choice("xy"), r.choice([None, 1, 2, 3])) for _ in range(60)]
+    new = {i: (i, r.choice("xyz"), r.choice([None, 1, 2, 3, 4]), "e") for i in range(20, 50)}
+    batch = [*new.values(), (None, "n", 2, "e")]
+    existing = spark.createDataFrame(held, VERSIONED)
+    frame = spark.createDataFrame(batch, VERSIONED + ", extra string").drop("val")
+    got = [sorted(map(repr, merge_by_version(existing, frame, ["id"], ["at"], null_safe, b).collect())) for b in (False, True)]
+    assert got[0] == got[1]
+    rows = merge_by_version(existing, frame, ["id"], ["at"], null_safe).collect()
+    for i in (*range(50), None):
+        mine = sorted((x["at"] is not None, x["at"] or 0) for x in rows if x["id"] == i)
+        old = sorted((x[2] is not None, x[2] or 0) for x in held if x[0] == i)
+        late = [(x[2] is not None, x[2] or 0) for x in batch if x[0] == i]
+        assert mine == (old if not late else sorted(old + late) if i is None and not null_safe else [max(old + late)])
+
+
+def test_merge_by_version_shuffles_each_side_once(spark, tmp_path):
+    spark.range(100).selectExpr("id", "cast(id as string) AS val", "1 AS at").write.parquet(str(tmp_path / "t"))
+    existing = spark.read.parquet(str(tmp_path / "t"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = merge_by_version(existing, existing, ["id"], ["at"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+@pytest.mark.parametrize("kind", ["partitions", "files", "marks", "parted", "table"])
+def test_batches_too_large_for_a_broadcast_give_the_same(spark, base, kind, monkeypatch):
+    monkeypatch.setattr(upsert, "SMALL_KEYS", -1)
+    test_batches_in_any_order_give_one_result(spark, base, kind)
+
+
 @pytest.mark.parametrize("scope", ["partitions", "files"])
 def test_catalog_learns_the_touched_partitions(spark, base, scope):
     """What is registered after each upsert equals a full repair of the table."""

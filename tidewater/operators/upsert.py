@@ -15,7 +15,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ByteType, DataType, DateType, DecimalType, IntegerType, ShortType,
                                TimestampNTZType, TimestampType, LongType, DoubleType, FloatType,
@@ -31,6 +31,8 @@ DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
 DEFAULT_PARTITION_NAME = "__HIVE_DEFAULT_PARTITION__"
 VARIABLE_KEY_BYTES = 64
 ROW_OVERHEAD_BYTES = 16
+# Fixed value: keys of a counted batch that are broadcast although nothing told its size before (bytes).
+SMALL_KEYS = 10 * 1024 * 1024
 
 
 def _fixed_width(dtype: DataType) -> int | None:
@@ -122,35 +124,58 @@ def assert_unique_keys(batch: DataFrame, keys: list[str], null_safe: bool = Fals
             f"or set duplicate_keys: allow")
 
 
+def _null_key(keys: list[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in keys])
+
+
+def _newest_first(rows: DataFrame, names: list[str], keys: list[str], version: list[str]):
+    """A window over each key's rows. Equal versions are told apart by the row's content, so the
+    result does not depend on the order in which rows arrive."""
+    maps = {f.name for f in rows.schema.fields if isinstance(f.dataType, MapType)}
+    return (Window.partitionBy(*[F.col(f"`{k}`") for k in keys])
+            .orderBy(*[F.col(f"`{v}`").desc_nulls_last() for v in version], row_hash(names, maps).desc()))
+
+
 def _top_version(rows: DataFrame, keys: list[str], version: list[str], null_safe: bool) -> DataFrame:
-    """The row of each key with the greatest version; rows with a null key stay, each its own,
-    unless nulls compare equal. Equal versions are told apart by the row's content, so the result
-    does not depend on the order in which rows arrive."""
+    """The row of each key with the greatest version, chosen by every task before rows are shuffled;
+    rows with a null key stay, each its own, unless nulls compare equal."""
     names = rows.columns
-    maps = {f.name for f in rows.schema.fields if isinstance(f.dataType, MapType)}
-    order = F.struct(*[F.col(f"`{v}`") for v in version], row_hash(names, maps))
-    payload = F.struct(*[F.col(f"`{c}`") for c in names])
-    null_key = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in keys])
-    keyed = rows if null_safe else rows.filter(~null_key)
-    best = (keyed.groupBy(*[F.col(f"`{k}`").alias(f"__g{i}") for i, k in enumerate(keys)])
-            .agg(F.max_by(payload, order).alias("__best")).select("__best.*"))
-    return best if null_safe else best.unionByName(rows.filter(null_key))
+    keyed = rows if null_safe else rows.filter(~_null_key(keys))
+    best = (keyed.withColumn("__rank", F.row_number().over(_newest_first(rows, names, keys, version)))
+            .filter("__rank = 1").drop("__rank"))
+    return best if null_safe else best.unionByName(rows.filter(_null_key(keys)))
+
+
+def _met(existing: DataFrame, batch: DataFrame, keys: list[str], version: list[str],
+         null_safe: bool) -> tuple[DataFrame, list[str]]:
+    """Rows of both sides whose key is not null (unless nulls compare equal), with ``__met`` (the key
+    is in the batch) and ``__rank`` (1: the key's newest), by one shuffle; and the columns of both. The
+    content's hash, which no codec shrinks, is computed behind the shuffle."""
+    both = existing.withColumn("__new", F.lit(False)).unionByName(batch.withColumn("__new", F.lit(True)),
+                                                                   allowMissingColumns=True)
+    names = [c for c in both.columns if c != "__new"]
+    dealt = (both if null_safe else both.filter(~_null_key(keys))).repartition(*[F.col(f"`{k}`") for k in keys])
+    newest = _newest_first(both, names, keys, version)
+    whole = newest.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return dealt.withColumns({"__rank": F.row_number().over(newest), "__met": F.max("__new").over(whole)}), names
 
 
 def newest_rows(batch: DataFrame, keys: list[str], version: list[str], null_safe: bool = False,
                 existing: DataFrame | None = None, broadcast_keys: bool = False) -> DataFrame:
     """The batch's newest row per key by the version columns (nulls oldest); with ``existing``,
     a target row of that key that is newer takes its place, so a late old row cannot overwrite a
-    newer one. Target rows are met by a semi join on the batch's keys; both sides are combined
-    map-side before they are shuffled."""
+    newer one. Target rows are met by a semi join on the batch's keys if these are broadcast, else
+    in one shuffle of both sides."""
     missing = [v for v in version if v not in batch.columns]
     if missing:
         raise SpecError(f"version columns missing from batch: {missing}")
     if existing is None:
         return _top_version(batch, keys, version, null_safe)
-    right = batch.select(*[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)])
-    if broadcast_keys:
-        right = F.broadcast(right)
+    if not broadcast_keys:
+        met, names = _met(existing, batch, keys, version, null_safe)
+        best = met.filter(F.col("__met") & (F.col("__rank") == 1)).select(*[F.col(f"`{c}`") for c in names])
+        return best if null_safe else best.unionByName(batch.filter(_null_key(keys)), allowMissingColumns=True)
+    right = F.broadcast(batch.select(*[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)]))
     conds = [existing[f"`{k}`"].eqNullSafe(right[f"__k{i}"]) if null_safe
              else existing[f"`{k}`"] == right[f"__k{i}"] for i, k in enumerate(keys)]
     held = existing.join(right, reduce(lambda a, b: a & b, conds), "left_semi")
@@ -160,6 +185,30 @@ def newest_rows(batch: DataFrame, keys: list[str], version: list[str], null_safe
     return _top_version(both, keys, version, null_safe)
 
 
+def merge_by_version(existing: DataFrame, batch: DataFrame, keys: list[str], version: list[str],
+                     null_safe: bool = False, broadcast_keys: bool = False) -> DataFrame:
+    """Target rows whose key is not in the batch, and the newest row of every key that is (see
+    ``newest_rows``). Unless the batch's keys are broadcast, a row of either side is shuffled once,
+    rows with a null key not at all."""
+    missing = [k for k in keys if k not in existing.columns or k not in batch.columns]
+    if missing:
+        raise SpecError(f"merge keys missing from target or batch: {missing}")
+    if broadcast_keys:
+        winners = newest_rows(batch, keys, version, null_safe, existing, broadcast_keys)
+        return merge_plan(existing, winners, keys, null_safe=null_safe, broadcast_keys=True, key_rows=batch)
+    met, names = _met(existing, batch, keys, version, null_safe)
+    kept = met.filter(~F.col("__met") | (F.col("__rank") == 1)).select(*[F.col(f"`{c}`") for c in names])
+    if null_safe:
+        return kept
+    alone = [side.filter(_null_key(keys)) for side in (existing, batch)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), alone, kept)
+
+
+def few_keys(batch: DataFrame, keys: list[str]) -> bool:
+    """Whether the keys of a batch that is kept in memory, so cheap to count, are worth a broadcast."""
+    return batch.count() * key_bytes(batch, keys) <= SMALL_KEYS
+
+
 def matched_partitions(existing: DataFrame, batch: DataFrame, keys: list[str], partition_columns: list[str],
                        null_safe: bool = False, broadcast_keys: bool = False) -> DataFrame:
     """Partition values of target rows whose key is in the batch (a semi join that reads

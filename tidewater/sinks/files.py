@@ -35,8 +35,8 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from .. import fs
 from ..functions import literal_frame
 from ..errors import MissingOptionError
-from ..operators.upsert import (Touched, any_key_matches, assert_unique_keys, is_variable_width,
-                                merge_plan, newest_rows, should_broadcast, touched_partitions)
+from ..operators.upsert import (Touched, any_key_matches, assert_unique_keys, few_keys, is_variable_width,
+                                merge_by_version, merge_plan, newest_rows, should_broadcast, touched_partitions)
 from ..spec import TargetSpec
 from . import rewrite
 from .common import (BATCH_ID, WriteContext, WriteReport, commit_mode, observed, observed_metrics,
@@ -303,7 +303,7 @@ def _file_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wr
         return _report(spark, target, "merge", path, metrics, ctx, scope="create")
     var_keys = [k for k in keys if is_variable_width(df, k)]
     broadcast = should_broadcast(df, keys, ctx.batch_rows, ctx.broadcast_limit,
-                                 ctx.var_key_bytes(var_keys) if var_keys else None)
+                                 ctx.var_key_bytes(var_keys) if var_keys else None) or bool(version) and few_keys(df, keys)
     touched = None
     with_hash = bool(target.options.get("manifest_path"))
     probe = bool(target.options.get("insert_probe", True))
@@ -388,9 +388,10 @@ def _file_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: Wr
 def _merged(existing: DataFrame, df: DataFrame, target: TargetSpec, broadcast: bool, version: list[str]) -> DataFrame:
     """Target rows without the batch's keys, and the batch (or, by version, what is newer)."""
     keys, null_safe = list(target.merge_keys), target.null_safe_keys
-    winners = newest_rows(df, keys, version, null_safe, existing, broadcast) if version else df
-    return merge_plan(existing, winners, keys, null_safe=null_safe, broadcast_keys=broadcast,
-                      distinct_keys=target.duplicate_keys == "allow", key_rows=df)
+    if version:
+        return merge_by_version(existing, df, keys, version, null_safe, broadcast)
+    return merge_plan(existing, df, keys, null_safe=null_safe, broadcast_keys=broadcast,
+                      distinct_keys=target.duplicate_keys == "allow")
 
 
 def _filled(df: DataFrame, schema: StructType) -> DataFrame:

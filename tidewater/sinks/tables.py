@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 
 from .. import fs
 from ..errors import MissingOptionError, SpecError
-from ..operators.upsert import (DEFAULT_PARTITION_NAME, any_key_matches, assert_unique_keys, is_variable_width, merge_plan,
-                                newest_rows, should_broadcast, touched_partitions)
+from ..operators.upsert import (DEFAULT_PARTITION_NAME, any_key_matches, assert_unique_keys, few_keys, is_variable_width,
+                                merge_by_version, merge_plan, newest_rows, should_broadcast, touched_partitions)
 from ..spec import TargetSpec
 from .common import (BATCH_ID, WriteContext, WriteReport, commit_mode, observed, observed_metrics, rebalance,
                      rewrite_scope, version_columns)
@@ -282,7 +282,7 @@ def _table_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: W
     dynamic = False
     var_keys = [k for k in keys if is_variable_width(df, k)]
     broadcast = should_broadcast(df, keys, ctx.batch_rows, ctx.broadcast_limit,
-                                 ctx.var_key_bytes(var_keys) if var_keys else None)
+                                 ctx.var_key_bytes(var_keys) if var_keys else None) or bool(version) and few_keys(df, keys)
     # Partition-scoped only with the partition columns inside the merge key: then no key
     # can leave a partition, so no partition is emptied by the upsert.
     if pcols and set(pcols) <= set(keys) and set(df.columns) <= set(existing.columns):
@@ -295,9 +295,11 @@ def _table_upsert(spark: SparkSession, df: DataFrame, target: TargetSpec, ctx: W
         _maybe_repair(spark, target)
         return WriteReport(target.id, target.type, "merge", metrics["rows"], table,
                            extra={"scope": "insert", "broadcast": broadcast})
-    winners = newest_rows(df, keys, version, target.null_safe_keys, existing, broadcast) if version else df
-    combined = merge_plan(existing, winners, keys, null_safe=target.null_safe_keys, broadcast_keys=broadcast,
-                          distinct_keys=target.duplicate_keys == "allow", key_rows=df)
+    if version:
+        combined = merge_by_version(existing, df, keys, version, target.null_safe_keys, broadcast)
+    else:
+        combined = merge_plan(existing, df, keys, null_safe=target.null_safe_keys, broadcast_keys=broadcast,
+                              distinct_keys=target.duplicate_keys == "allow")
     stage = _stage_name(table, dynamic)
     spark.sql(f"DROP TABLE IF EXISTS {stage}")
     stage_loc = _location(target, _stage_suffix(dynamic))
