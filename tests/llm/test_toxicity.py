@@ -120,3 +120,25 @@ def test_each_index_keeps_its_own_results():
     one.cache["key"] = 1
     assert one.cache == {"key": 1} and other.cache == {} and pickle.loads(pickle.dumps(one)).cache == {}
     assert not hasattr(t, "_CACHE")
+
+
+def test_places_of_hashes_and_of_crowded_terms():
+    r = np.random.default_rng(5)
+    for terms in (r.integers(0, 1 << 63, 3000, dtype=np.uint64) * np.uint64(2), np.arange(500, dtype=np.uint64),
+                  np.array([7], np.uint64), np.array([0, (1 << 64) - 1], np.uint64)):
+        terms = np.unique(terms)
+        found = np.concatenate([terms, terms + np.uint64(1), r.integers(0, 1 << 63, 5000, dtype=np.uint64)])
+        number = {x: i for i, x in enumerate(terms.tolist())}
+        for low, high in ((0, len(terms)), (len(terms) // 2, len(terms)), (0, 0)):
+            want = [i if low <= (i := number.get(x, -1)) < high else -1 for x in found.tolist()]
+            assert t._places(found, terms, low, high).tolist() == want
+    hashes = np.unique(r.integers(0, 1 << 63, 3000, dtype=np.uint64) * np.uint64(2))
+    assert t._by_first_bits(hashes, hashes).tolist() == list(range(len(hashes)))
+    assert t._by_first_bits(hashes, np.arange(500, dtype=np.uint64)) is None
+
+
+def test_a_vector_without_postings_has_no_neighbours():
+    index = t.Index.build(np.arange(3, dtype=np.uint64), np.ones(4), [{0: 1.0}, {1: 1.0}], [1, 1], [0, 1], [1, 2], 0.5)
+    assert [len(x) for x in index.nearest({2: 1.0})] == [0, 0]
+    assert [len(x) for x in index.nearest({})] == [0, 0]
+    assert index.nearest({1: 1.0})[0].tolist() == [1]

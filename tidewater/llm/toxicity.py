@@ -38,6 +38,8 @@ COVER = 4           # terms wanted in a toxic example
 STEMS = (4, 5, 6, 7)  # first letters of longer words
 NEIGHBOURS = 15
 COMMON = 0.06       # a term of more than this share of the entries goes to the matrix
+BLOCK = 256         # texts of one matrix product
+CROWDED = 32        # terms with the same first bits, of as many bits as tell their number
 ROUNDING = 1e-5     # more than single precision loses in a cosine
 
 _WORD = np.zeros(256, bool)
@@ -181,8 +183,8 @@ class Index:
         """For each: distance-weighted share of toxic examples among the nearest; their ids."""
         out: list[tuple[float, list[int]]] = [(self.empty_rate, [])] * len(vectors)
         full = [i for i, (terms, _) in enumerate(vectors) if len(terms)]
-        for start in range(0, len(full), 64):
-            some = full[start: start + 64]
+        for start in range(0, len(full), BLOCK):
+            some = full[start: start + BLOCK]
             for i, (ids, cosines) in zip(some, self.search([vectors[i] for i in some]), strict=True):
                 weight = self.n[ids] / (1.02 - np.minimum(cosines, 1))
                 rate = self.toxic[ids] / self.n[ids]
@@ -268,10 +270,33 @@ def _places(found: np.ndarray, terms: np.ndarray, low: int, high: int) -> np.nda
     """The number of each hash among terms[low:high], -1 if it is none."""
     if low == high:
         return np.full(len(found), -1)
+    if 4 * len(found) > high - low and (held := _by_first_bits(found, terms[low:high])) is not None:
+        return np.where(held < 0, -1, held + low)
     at = np.minimum(np.searchsorted(terms[low:high], found), high - low - 1) + low
     return np.where(terms[at] == found, at, -1)
 
 
+def _by_first_bits(found: np.ndarray, terms: np.ndarray) -> np.ndarray | None:
+    """The place of each hash in the sorted terms or -1: its first bits tell the few terms it may be.
+    None where the terms are no hashes, so that many have the same first bits."""
+    bits = len(terms).bit_length()
+    size = np.bincount((terms >> U64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    if (most := int(size.max())) > CROWDED:
+        return None
+    first = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+    own = (found >> U64(64 - bits)).astype(np.int64)
+    at, end = first[own], first[own + 1]
+    out = np.full(len(found), -1)
+    left = np.flatnonzero(at < end)
+    for _ in range(most):
+        here = at[left]
+        hit = terms[here] == found[left]
+        out[left[hit]] = here[hit]
+        left = left[~hit & (here + 1 < end[left])]
+        at[left] += 1
+    return out
+
+
 def _counts(column: pa.Array, terms: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The first entry of each text, with the end; its terms and their counts. The number
     behind the last term stands for all words that are none."""
@@ -359,6 +384,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     words = np.unique(found[~stem])
     n_words = len(words)
     terms = np.concatenate([words, np.setdiff1d(telling, words)])
+    place = _places(found, terms, 0, n_words).astype(np.int32)
+    place[stem] = _places(found[stem], terms, n_words, len(terms))
+    del found, stem, words
+    pa.default_memory_pool().release_unused()
     shared = spark.sparkContext.broadcast(terms)
 
     def frequencies(batches):
@@ -380,9 +409,6 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     for i in np.flatnonzero(np.isin(terms, telling)):
         idf[i] *= 1 + np.sqrt(values[int(terms[i].view(np.int64))])
 
-    place = _places(found, terms, 0, n_words).astype(np.int32)
-    place[stem] = _places(found[stem], terms, n_words, len(terms))
-    del found, stem, words
     doc = np.repeat(np.arange(len(size), dtype=np.int32), size)
     first = per_doc(doc, len(size))
     # equal vectors are one entry; examples without words none
