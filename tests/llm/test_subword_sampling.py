@@ -141,3 +141,25 @@ def test_turns_with_large_ids(spark):
     got = s.sample_segmentations(df, PATH, id_col="turn", key=F.xxhash64("conv_id", "turn")).collect()
     own = {r.doc_id: r.perturbed for r in got if r.sample == 0}
     assert len(own) == 3 and own[5] != own[6]
+
+
+def test_spark_batches_are_small(spark):
+    """A task holds a multiple of the text it takes at a time, so that is bounded."""
+    from tidewater.llm._spark import map_batches
+
+    docs = spark.range(0, 60, 1, 1).selectExpr("id", "repeat('abcdefghi ', 2000) AS text")
+    sizes = [r["n"] for r in map_batches(docs, lambda b: iter([b.append_column("n", b.column(0)).select(["n"]).slice(0, 1)]),
+                                         "n bigint", s.BATCH_BYTES).collect()]
+    assert len(sizes) == 5  # twelve texts each
+
+
+@pytest.mark.parametrize("k", [1, 2, 3, 5])
+def test_parts_are_the_best_of_each_text(vocabulary, k):
+    """Samples of many texts, in falling order, equal those of each text alone."""
+    texts = ["a", "", None, "the cat sat on the mat", "x" * 40, "Ünïcode änd ▁ marks", "word " * 30]
+    together = s.sample_texts(texts, list(range(len(texts))), vocabulary, k, 4)
+    for i, text in enumerate(texts):
+        alone = s.sample_texts([text], [i], vocabulary, k, 4)[0]
+        assert [(x[0].tolist(), *x[1:]) for x in alone] == [(x[0].tolist(), *x[1:]) for x in together[i]]
+        assert [x[2] for x in alone] == sorted((x[2] for x in alone), reverse=True)
+        assert len({x[0].tobytes() for x in alone}) == len(alone) <= k

@@ -140,7 +140,9 @@ class Grown:
 
 
 #: States of the lattices a worker keeps; beyond it the memory starts afresh, which costs time only.
-KEPT_STATES = 4_000_000
+KEPT_STATES = 2_000_000
+#: Bytes of text taken at a time: a byte takes hundreds while its text is worked on.
+BATCH_BYTES = 250_000
 
 
 class Lattices:
@@ -309,8 +311,11 @@ def sample_texts(texts: list[str | None], keys: list[int | None], vocabulary: Vo
     """For each text up to k tuples (ids, log-probability, perturbed value, inclusion)."""
     raws = [marked(t) for t in texts]
     raw = b"".join(raws)
+    n = len(texts)
+    row_key = mix(np.array([key or 0 for key in keys], np.int64).view(U64) ^ mix(np.full(n, seed, np.int64).view(U64)))
+    root = -np.log(-np.log(_uniform(row_key, ROOT, 0, np.zeros(n, np.int64))))
     if not raw:
-        return [[(np.zeros(0, np.int64), 0.0, 0.0, 1.0)] for _ in texts]
+        return [[(np.zeros(0, np.int64), 0.0, float(value), 1.0)] for value in root]
     data = np.frombuffer(raw, np.uint8)
     offsets = np.cumsum([0, *map(len, raws)])
     starts = word_starts(data, offsets)
@@ -319,8 +324,6 @@ def sample_texts(texts: list[str | None], keys: list[int | None], vocabulary: Vo
     lattice = vocabulary.lattices()
     word = lattice.numbers(names, lambda i: raw[starts[at[i]]: ends[at[i]]].replace(b" ", MARK))[inverse]
     first = np.searchsorted(starts, offsets).tolist()
-    n = len(texts)
-    row_key = mix(np.array([key or 0 for key in keys], np.int64).view(U64) ^ mix(np.full(n, seed, np.int64).view(U64)))
     size = np.diff(first)
     doc = np.repeat(np.arange(n), size)
     place = np.arange(len(word)) - np.array(first)[:-1][doc]
@@ -330,7 +333,6 @@ def sample_texts(texts: list[str | None], keys: list[int | None], vocabulary: Vo
     paths = [[] for _ in range(n)]
     opened: list[list] = [[] for _ in range(n)]
     taken: list[dict] = [{} for _ in range(n)]
-    root = -np.log(-np.log(_uniform(row_key, ROOT, 0, np.zeros(n, np.int64))))
 
     def open_parts(newest: list[tuple[int, int]], sample: int) -> None:
         """Draws the best value of every part that leaves the newest path of a text from a step on."""
@@ -355,10 +357,12 @@ def sample_texts(texts: list[str | None], keys: list[int | None], vocabulary: Vo
         of, step = of[at], step[at]
         g = _below(prefix[at] + np.log(other[at]), np.array([x[2] for x in own])[of],
                    _uniform(row_key[texts_of[of]], PARTS, sample, step))
-        order = np.lexsort((-g, of))
-        first_of = np.searchsorted(of[order], np.arange(len(own) + 1))
+        first_of = np.searchsorted(of, np.arange(len(own) + 1)).tolist()
         for b, i in enumerate(texts_of.tolist()):
-            best = order[first_of[b]: min(first_of[b] + k, first_of[b + 1])]  # no more than k parts of a path can be wanted
+            mine = g[first_of[b]: first_of[b + 1]]
+            # no more than k parts of a path can be wanted
+            best = np.flatnonzero(mine >= np.partition(mine, -k)[-k]) if len(mine) > k else np.arange(len(mine))
+            best = best[np.argsort(-mine[best], kind="stable")][:k] + first_of[b]
             opened[i] += [(float(g[x]), len(paths[i]) - 1, int(step[x])) for x in best]
 
     def _node(i: int, step: int):
@@ -448,4 +452,4 @@ def sample_segmentations(docs: DataFrame, model_path: str, k: int = 2, exponent:
     names = [c.strip().split(" ")[0] for c in schema.split(",")]
     own = F.col(id_col).cast("bigint")
     rows = docs.select(own.alias("id"), F.col(text_col).cast("string").alias("text"), (own if key is None else key).alias("key"))
-    return map_batches(rows, run, schema)
+    return map_batches(rows, run, schema, BATCH_BYTES)
