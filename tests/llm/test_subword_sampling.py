@@ -163,3 +163,42 @@ def test_parts_are_the_best_of_each_text(vocabulary, k):
         assert [(x[0].tolist(), *x[1:]) for x in alone] == [(x[0].tolist(), *x[1:]) for x in together[i]]
         assert [x[2] for x in alone] == sorted((x[2] for x in alone), reverse=True)
         assert len({x[0].tobytes() for x in alone}) == len(alone) <= k
+
+
+def test_tree_finds_every_piece(vocabulary):
+    """Pieces at every place of some words, against slices looked up among all spellings."""
+    known = {b: i for i, b in enumerate(vocabulary.bytes) if b and s.MARK not in b.lstrip(s.MARK) and i not in vocabulary.byte_id.tolist()}
+    words = ["the", "internationalisation", "änd", "日本語", "x" * 50, "\x00a", "été."]
+    data = np.frombuffer(b"".join(s.MARK + w.encode() + b"\0" for w in words), np.uint8)
+    ends = np.cumsum([len(s.MARK + w.encode()) + 1 for w in words]) - 1
+    char = (data & 0xC0) != 0x80
+    begins = np.setdiff1d(np.flatnonzero(char), ends)
+    room = ends[np.searchsorted(ends, begins)] - begins
+    got = list(zip(*(x.tolist() for x in vocabulary.pieces_at(data, begins, room, char)), strict=True))
+    want = [(a, n, known[data[a: a + n].tobytes()]) for a, r in zip(begins.tolist(), room.tolist(), strict=True)
+            for n in range(1, r + 1) if char[a + n] and data[a: a + n].tobytes() in known]
+    assert got == sorted(want, key=lambda x: (x[1], x[0])) and len(want) > 50
+
+
+def test_words_met_again_are_kept(monkeypatch):
+    """A full memory forgets the words of one batch only; common words are not built anew."""
+    own = s.Vocabulary(PATH, 1.0)
+    monkeypatch.setattr(s, "KEPT_STATES", 1500)
+    common = ["the common words of  many texts, é日本"]
+    a = s.sample_texts(common, [3], own, 3)
+    s.sample_texts(common, [4], own, 3)
+    s.sample_texts([" ".join(f"seldom{k}word" for k in range(120))], [9], own, 3)
+    assert own._lattices.states[0].n > 1500
+    built = []
+    monkeypatch.setattr(own, "pieces_at", lambda *x: built.append(x) or s.Vocabulary.pieces_at(own, *x))
+    b = s.sample_texts(common, [3], own, 3)
+    assert not built and own._lattices.states[0].n < 100
+    for x, y in zip(a[0], b[0], strict=True):
+        assert x[0].tolist() == y[0].tolist() and x[1:] == y[1:]
+    # many batches with other words between, against a memory of one batch
+    texts = [f"{common[0]} word{i % 9} other{i}" for i in range(300)]
+    kept = [s.sample_texts(texts[i: i + 10], list(range(i, i + 10)), own, 3) for i in range(0, 300, 10)]
+    monkeypatch.setattr(s, "KEPT_STATES", 0)
+    for i, x in enumerate(x for some in kept for x in some):
+        for p, q in zip(x, s.sample_texts([texts[i]], [i], own, 3)[0], strict=True):
+            assert p[0].tolist() == q[0].tolist() and p[1:] == q[1:]

@@ -24,6 +24,7 @@ get equal samples; a null key counts as key 0 and is returned as null; other col
 from __future__ import annotations
 
 import zlib
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -64,41 +65,53 @@ class Vocabulary:
                     usable.append(i)
         self.weight = -exponent * np.log(np.arange(len(self.bytes)) + 1.0)
         self.weight[self.byte_id] = -exponent * np.log(len(self.bytes))
-        self.lengths = sorted({len(self.bytes[i]) for i in usable})
-        self.by_length = {}
-        #: One bit of hash tells most places that no piece of a length begins there.
-        self.sieve = {n: np.zeros(1 << 16, bool) for n in self.lengths}
-        for n in self.lengths:
-            ids = np.array([i for i in usable if len(self.bytes[i]) == n])
-            data = np.frombuffer(b"".join(self.bytes[i] for i in ids), np.uint8)
-            at = np.arange(len(ids)) * n
-            hashes = SpanHash(data)(at, at + n)
-            order = np.argsort(hashes)
-            self.by_length[n] = hashes[order], ids[order]
-            self.sieve[n][hashes & U64(0xFFFF)] = True
+        self._grow_tree(np.array(usable, np.int64))
         sizes = np.array([len(b) for b in self.bytes])
         self.spelling = np.frombuffer(b"".join(self.bytes) or b"\0", np.uint8), np.cumsum([0, *sizes])[:-1], sizes
 
+    def _grow_tree(self, usable: np.ndarray) -> None:
+        """The pieces as a tree of bytes: ``child`` has a row for each inner node, the root's first, with
+        the next node by byte or -1; ``piece_of`` has the piece that ends at a node, or -1."""
+        sizes = np.array([len(self.bytes[i]) for i in usable], np.int64)
+        data = np.frombuffer(b"".join(self.bytes[i] for i in usable) or b"\0", np.uint8)
+        begin = np.cumsum(sizes) - sizes
+        node = np.zeros(len(usable), np.int64)
+        parents, bytes_, ends, n = [], [], [], 1
+        for depth in range(int(sizes.max(initial=0))):
+            at = np.flatnonzero(sizes > depth)
+            step, inverse = np.unique(node[at] << 8 | data[begin[at] + depth], return_inverse=True)
+            parents.append(step >> 8)
+            bytes_.append(step & 255)
+            node[at] = n + inverse
+            n += len(step)
+            done = at[sizes[at] == depth + 1]
+            ends.append((node[done], usable[done]))
+        parent = np.concatenate([np.zeros(0, np.int64), *parents])
+        inner = np.zeros(n, bool)
+        inner[0] = True
+        inner[parent] = True
+        self.n_inner = int(inner.sum())
+        number = np.where(inner, np.cumsum(inner) - 1, self.n_inner + np.cumsum(~inner) - 1)
+        self.child = np.full((self.n_inner, 256), -1, np.int32)
+        self.child[number[parent], np.concatenate([np.zeros(0, np.int64), *bytes_])] = number[1:]
+        self.piece_of = np.full(n, -1, np.int32)
+        for at, piece in ends:
+            self.piece_of[number[at]] = piece
+
     def pieces_at(self, data: np.ndarray, begins: np.ndarray, room: np.ndarray, char: np.ndarray):
         """(source, length, piece) of every piece that spells bytes from a place on, up to a character's start."""
-        hashed = SpanHash(data)
         source, lengths, piece = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for length in self.lengths:
-            fits = room >= length
-            if not fits.all():  # longer pieces fit nowhere else either
-                begins, room = begins[fits], room[fits]
-            if not len(begins):
-                break
-            at = begins[char[begins + length]]
-            found = hashed(at, at + length)
-            maybe = self.sieve[length][found & U64(0xFFFF)]
-            at, found = at[maybe], found[maybe]
-            hashes, ids = self.by_length[length]
-            k = np.minimum(np.searchsorted(hashes, found), len(hashes) - 1)
-            hit = hashes[k] == found
-            source.append(at[hit])
-            lengths.append(np.full(int(hit.sum()), length))
-            piece.append(ids[k[hit]])
+        node, length = np.zeros(len(begins), np.int64), 0
+        while len(begins):
+            node = self.child[node, data[begins + length]]
+            length += 1
+            found = self.piece_of[node]  # of node -1 too, which is dropped next
+            hit = np.flatnonzero((node >= 0) & (found >= 0) & char[begins + length])
+            source.append(begins[hit])
+            lengths.append(np.full(len(hit), length))
+            piece.append(found[hit])
+            on = np.flatnonzero((node >= 0) & (node < self.n_inner) & (room > length))
+            node, begins, room = node[on], begins[on], room[on]
         return np.concatenate(source), np.concatenate(lengths), np.concatenate(piece)
 
     def spelled(self, ids: np.ndarray) -> bytes:
@@ -108,9 +121,11 @@ class Vocabulary:
         return pool[np.repeat(begin[ids] - total[:-1], size[ids]) + np.arange(total[-1])].tobytes()
 
     def lattices(self) -> "Lattices":
-        """The worker's lattices, begun afresh when they have grown too large."""
-        if self._lattices is None or self._lattices.states[0].n > KEPT_STATES:
+        """The worker's lattices, without those met once only when they have grown too large."""
+        if self._lattices is None:
             self._lattices = Lattices(self)
+        if self._lattices.states[0].n > KEPT_STATES:
+            self._lattices.forget()
         return self._lattices
 
     _lattices: "Lattices | None" = None
@@ -138,8 +153,13 @@ class Grown:
         self.held[self.n: self.n + len(values)] = values
         self.n += len(values)
 
+    def keep(self, chosen: np.ndarray) -> None:
+        """Only the values at these places stay."""
+        self.held[: len(chosen)] = self.held[chosen]
+        self.n = len(chosen)
 
-#: States of the lattices a worker keeps; beyond it the memory starts afresh, which costs time only.
+
+#: States of the lattices a worker keeps; beyond it the words met in one batch only are forgotten, which costs time only.
 KEPT_STATES = 2_000_000
 #: Bytes of text taken at a time: a byte takes hundreds while its text is worked on.
 BATCH_BYTES = 250_000
@@ -151,61 +171,91 @@ class Lattices:
 
     def __init__(self, vocabulary: "Vocabulary"):
         self.vocabulary, self.known = vocabulary, {}
-        self.words = [Grown(np.int64), Grown(np.int64)]                       # start, end
+        self.words = [Grown(np.int64), Grown(np.int64), Grown(bool)]          # start, end, met again
         self.states = [Grown(np.int64), Grown(np.int32)]                      # first edge, number of edges
         self.edges = [Grown(np.int32), Grown(np.int32), Grown(np.int32), Grown(np.float64), Grown(np.float64)]
 
-    def numbers(self, keys: np.ndarray, spell) -> np.ndarray:
-        """Word numbers of 64-bit word hashes; ``spell(i)`` gives the bytes of the i-th."""
-        out = np.fromiter((self.known.get(k, -1) for k in keys.tolist()), np.int64, len(keys))
-        new = np.flatnonzero(out < 0)
-        if len(new):
-            out[new] = self.words[0].n + np.arange(len(new))
+    def numbers(self, keys: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Word numbers of 64-bit word hashes; the words are spans of ``data``, where marks are spaces."""
+        out = np.fromiter(map(self.known.get, keys.tolist(), repeat(-1)), np.int64, len(keys))
+        new = out < 0
+        self.words[2].held[out[~new]] = True
+        if new.any():
+            out[new] = self.words[0].n + np.arange(int(new.sum()))
             self.known.update(zip(keys[new].tolist(), out[new].tolist(), strict=True))
-            self._add([spell(i) for i in new.tolist()])
-        self.start, self.end = (g.held for g in self.words)
+            self._add(data, starts[new], ends[new])
+        self.start, self.end, _ = (g.held for g in self.words)
         self.first, self.count = (g.held for g in self.states)
         self.source, self.target, self.piece, self.log_p, self.summed = (g.held for g in self.edges)
         return out
 
+    def forget(self) -> None:
+        """Keeps the words met again, or nothing if they alone are too many."""
+        start, end, again = (g.held[: g.n] for g in self.words)
+        kept = np.flatnonzero(again)
+        size = end[kept] + 1 - start[kept]
+        if 2 * size.sum() > KEPT_STATES:
+            kept, size = kept[:0], size[:0]
+        moved = np.full(len(start), -1, np.int64)
+        moved[kept] = np.arange(len(kept))
+        self.known = {key: to for key, at in self.known.items() if (to := int(moved[at])) >= 0}
+        to = np.cumsum(size) - size
+        shift = start[kept] - to
+        states = np.repeat(shift, size) + np.arange(int(size.sum()))
+        first, count = (g.held[states] for g in self.states)
+        begin = np.cumsum(count, dtype=np.int64) - count
+        edges = np.repeat(first - begin, count) + np.arange(int(count.sum()))
+        for grown in self.edges:
+            grown.keep(edges)
+        for grown in self.edges[:2]:  # source and target are states
+            grown.held[: grown.n] -= np.repeat(np.repeat(shift, size), count)
+        for grown in self.states:
+            grown.keep(states)
+        self.states[0].held[: len(begin)] = begin
+        for grown in self.words:
+            grown.keep(kept)
+        self.words[0].held[: len(kept)], self.words[1].held[: len(kept)] = to, to + size - 1
+        self.words[2].held[: len(kept)] = False  # must be met anew
+
     def p(self, edges: np.ndarray) -> np.ndarray:
         return np.exp(self.log_p[edges])
 
-    def _add(self, words: list[bytes]) -> None:
+    def _add(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
         vocabulary = self.vocabulary
-        sizes = np.array([len(w) + 1 for w in words])  # one place behind the last byte
-        start = np.cumsum([0, *sizes])[:-1]
+        data, sizes = spelled_apart(data, starts, ends)
+        start = np.cumsum(sizes) - sizes
         end = start + sizes - 1
-        data = np.frombuffer(b"".join(w + b"\0" for w in words), np.uint8)
         n = len(data)
         char = ((data & 0xC0) != 0x80)
         last = np.zeros(n, bool)
         last[end] = True
         room = np.repeat(end, sizes) - np.arange(n)  # bytes left in the word
-        begins = np.flatnonzero(char & ~last)
-        next_char = np.append(np.flatnonzero(char), n)
+        chars = np.flatnonzero(char)
+        begun = ~last[chars]
+        begins, stop = chars[begun], np.append(chars[1:], n)[begun]
         source, length, piece = vocabulary.pieces_at(data, begins, room[begins], char)
         target = source + length
         # a character without a piece of its own: its bytes, one edge each
-        stop = next_char[np.searchsorted(next_char, begins, "right")]
+        stop_of = np.zeros(n, np.int64)
+        stop_of[begins] = stop
         whole = np.zeros(n, bool)
-        at = np.searchsorted(begins, source)
-        whole[source[target == stop[at]]] = True
+        whole[source[target == stop_of[source]]] = True
         bare = ~whole[begins]
-        places = np.concatenate([np.arange(a, b) for a, b in zip(begins[bare], stop[bare], strict=True)] or [np.zeros(0, np.int64)])
+        size = (stop - begins)[bare]
+        places = np.repeat(begins[bare] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
         source = np.concatenate([source, places])
         target = np.concatenate([target, places + 1])
         piece = np.concatenate([piece, vocabulary.byte_id[data[places]]])
         order = np.argsort(source, kind="stable")
         source, target, piece = source[order], target[order], piece[order]
-        first = np.searchsorted(source, np.arange(n + 1))
+        first = np.concatenate([[0], np.cumsum(np.bincount(source, minlength=n))])
         beta = np.full(n, -np.inf)
         beta[end] = 0.0
         weight = vocabulary.weight[piece]
         far = room[source]
         small = far.astype(np.uint16) if len(far) and far.max() < 1 << 16 else far  # sorted by digits
         by = np.argsort(small, kind="stable")
-        cuts = np.searchsorted(far[by], np.arange(1, (int(far.max()) if len(far) else 0) + 2))
+        cuts = np.cumsum(np.bincount(far, minlength=1))
         for d in range(len(cuts) - 1):
             e = by[cuts[d]: cuts[d + 1]]
             if len(e):
@@ -217,29 +267,30 @@ class Lattices:
         log_p[~np.isfinite(log_p)] = -np.inf
         p = np.exp(log_p)
         # sums within each state, added one edge at a time, so they don't depend on other words
-        summed, lane, count = p.copy(), np.arange(len(p)) - first[source], np.diff(first)
-        for k in range(1, int(count.max(initial=0))):
-            e = np.flatnonzero(lane == k)
-            summed[e] += summed[e - 1]
+        summed, count = p.copy(), np.diff(first)
+        heads, rest, k = first[:-1], count, 1
+        while len(heads):
+            heads, rest = heads[rest > k], rest[rest > k]
+            summed[heads + k] += summed[heads + k - 1]
+            k += 1
         n_states, n_edges = self.states[0].n, self.edges[0].n
         for grown, values in zip((*self.words, *self.states, *self.edges),
-                                 (start + n_states, end + n_states, first[:-1] + n_edges, count, source + n_states,
+                                 (start + n_states, end + n_states, np.zeros(len(start), bool), first[:-1] + n_edges, count, source + n_states,
                                   target + n_states, piece, log_p, summed), strict=True):
             grown.add(values)
 
     def choose(self, state: np.ndarray, u: np.ndarray) -> np.ndarray:
         """An edge out of each state, by its probability: the first whose sum passes the draw."""
-        first, count = self.first[state], self.count[state]
-        wanted = u * self.summed[first + count - 1]
-        passed = np.zeros(len(state), np.int64)
-        step = 1 << max(int(count.max(initial=1)) - 1, 1).bit_length()
+        edge, last = self.first[state], self.count[state] - 1
+        last += edge
+        wanted = u * self.summed[last]
+        step = (1 << int((last - edge).max(initial=0)).bit_length()) >> 1
         while step:
-            at = passed + step
-            more = at < count
-            more[more] = self.summed[first[more] + at[more] - 1] <= wanted[more]
-            passed[more] = at[more]
+            some = np.flatnonzero(last - edge >= step)
+            some = some[self.summed[edge[some] + (step - 1)] <= wanted[some]]
+            edge[some] += step
             step >>= 1
-        return first + passed
+        return edge
 
 
 #: What a random number is for.
@@ -261,18 +312,17 @@ def _uniform(key: np.ndarray, purpose: int, sample: int, place: np.ndarray) -> n
 
 def _walk(lattice: Lattices, state: np.ndarray, word: np.ndarray, key: np.ndarray, place: np.ndarray, sample: int):
     """Samples each word from its state to its end: (item of each edge, edges), in order."""
-    steps, alive = [], np.arange(len(state))
-    state, begin, end = state.copy(), lattice.start[word], lattice.end[word]
-    lane, count = _lane(key, WALK, sample, place), np.zeros(len(state), np.int64)
-    while True:
-        alive = alive[state[alive] < end[alive]]
-        if not len(alive):
-            break
-        at = state[alive]
-        e = lattice.choose(at, _drawn(mix(lane[alive] + (at - begin[alive]).astype(U64))))
+    steps, count = [], np.zeros(len(state), np.int64)
+    alive = np.flatnonzero(state < lattice.end[word])
+    at, stop = state[alive], lattice.end[word][alive]
+    lane = (_lane(key, WALK, sample, place) - lattice.start[word].astype(U64))[alive]
+    while len(alive):
+        e = lattice.choose(at, _drawn(mix(lane + at.astype(U64))))
         steps.append((alive, e))
         count[alive] += 1
-        state[alive] = lattice.target[e]
+        at = lattice.target[e].astype(np.int64)
+        on = np.flatnonzero(at < stop)
+        alive, at, stop, lane = alive[on], at[on], stop[on], lane[on]
     first = np.cumsum(count) - count
     edge = np.zeros(int(count.sum()), np.int64)
     for k, (some, e) in enumerate(steps):
@@ -299,6 +349,22 @@ def word_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
+def spelled_apart(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of some words, a zero behind each, spaces as marks; and their sizes with that zero."""
+    size = ends - starts
+    first = np.cumsum(size) - size
+    own = data[np.repeat(starts - first, size) + np.arange(int(size.sum()))]
+    space = own == 32
+    wide = np.where(space, len(MARK), 1)
+    at = np.cumsum(wide) - wide + np.repeat(np.arange(len(size)), size)
+    sizes = np.add.reduceat(wide, first) + 1
+    out = np.zeros(int(sizes.sum()), np.uint8)
+    out[at] = own
+    for k, byte in enumerate(MARK):
+        out[at[space] + k] = byte
+    return out, sizes
+
+
 def split_words(text: bytes) -> list[bytes]:
     """The words of one text, with marks."""
     raw = marked(text.decode("utf-8", "replace"))
@@ -322,7 +388,7 @@ def sample_texts(texts: list[str | None], keys: list[int | None], vocabulary: Vo
     ends = np.append(starts[1:], len(data))
     names, at, inverse = np.unique(SpanHash(data)(starts, ends), return_index=True, return_inverse=True)
     lattice = vocabulary.lattices()
-    word = lattice.numbers(names, lambda i: raw[starts[at[i]]: ends[at[i]]].replace(b" ", MARK))[inverse]
+    word = lattice.numbers(names, data, starts[at], ends[at])[inverse]
     first = np.searchsorted(starts, offsets).tolist()
     size = np.diff(first)
     doc = np.repeat(np.arange(n), size)
@@ -372,7 +438,7 @@ def sample_texts(texts: list[str | None], keys: list[int | None], vocabulary: Vo
         paths[i].append((edge[cut[i]: cut[i + 1]], place[item[cut[i]: cut[i + 1]]], float(root[i])))
     open_parts([(i, -1) for i in range(n) if k > 0 and size[i]], 0)
     for sample in range(1, k):
-        branch = []
+        branch, draws = [], _uniform(row_key, BRANCH, sample, np.zeros(n, np.int64)).tolist()
         for i in range(n):
             if not opened[i]:
                 continue
@@ -384,8 +450,7 @@ def sample_texts(texts: list[str | None], keys: list[int | None], vocabulary: Vo
             state = int(lattice.source[edges[step]])
             out = [e for e in range(lattice.first[state], lattice.first[state] + lattice.count[state]) if e not in used]
             p = np.cumsum(lattice.p(np.array(out)))
-            u = float(_uniform(row_key[i: i + 1], BRANCH, sample, np.zeros(1, np.int64))[0])
-            e = out[min(int(np.searchsorted(p, u * p[-1], "right")), len(out) - 1)]
+            e = out[min(int(np.searchsorted(p, draws[i] * p[-1], "right")), len(out) - 1)]
             used.add(e)
             branch.append((i, path, step, e, value))
         if not branch:
