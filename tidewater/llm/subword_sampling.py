@@ -24,7 +24,6 @@ get equal samples; a null key counts as key 0 and is returned as null; other col
 from __future__ import annotations
 
 import zlib
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -148,8 +147,10 @@ class Grown:
         self.held, self.n = np.zeros(1 << 12, dtype), 0
 
     def add(self, values: np.ndarray) -> None:
-        while self.n + len(values) > len(self.held):
-            self.held = np.concatenate([self.held, np.zeros_like(self.held)])
+        if self.n + len(values) > len(self.held):
+            old = self.held[: self.n]
+            self.held = np.zeros(1 << int(self.n + len(values) - 1).bit_length(), old.dtype)  # untouched memory costs nothing
+            self.held[: self.n] = old
         self.held[self.n: self.n + len(values)] = values
         self.n += len(values)
 
@@ -159,6 +160,45 @@ class Grown:
         self.n = len(chosen)
 
 
+class Numbered:
+    """Numbers by distinct 64-bit hashes: open addressing, at most half full."""
+
+    def __init__(self):
+        self.n, self.keys, self.number = 0, np.zeros(1 << 16, U64), np.full(1 << 16, -1, np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each key, or -1."""
+        out, todo = np.full(len(keys), -1, np.int64), np.arange(len(keys))
+        last = U64(len(self.keys) - 1)
+        slot = keys & last
+        while len(todo):
+            found = self.number[slot]
+            hit = self.keys[slot] == keys[todo]
+            hit &= found >= 0
+            out[todo[hit]] = found[hit]
+            on = np.flatnonzero((found >= 0) & ~hit)
+            todo, slot = todo[on], (slot[on] + U64(1)) & last
+        return out
+
+    def put(self, keys: np.ndarray, numbers: np.ndarray) -> None:
+        """Adds distinct keys that are not held."""
+        if 2 * (self.n + len(keys)) > len(self.keys):
+            held = np.flatnonzero(self.number >= 0)
+            keys, numbers = np.concatenate([self.keys[held], keys]), np.concatenate([self.number[held], numbers])
+            size = 1 << int(4 * len(keys) - 1).bit_length()
+            self.n, self.keys, self.number = 0, np.zeros(size, U64), np.full(size, -1, np.int64)
+        self.n += len(keys)
+        last = U64(len(self.keys) - 1)
+        slot = keys & last
+        while len(keys):
+            free = np.flatnonzero(self.number[slot] < 0)
+            self.number[slot[free]] = numbers[free]  # of several the last
+            won = np.zeros(len(keys), bool)
+            won[free] = self.number[slot[free]] == numbers[free]
+            self.keys[slot[won]] = keys[won]
+            keys, numbers, slot = keys[~won], numbers[~won], (slot[~won] + U64(1)) & last
+
+
 #: States of the lattices a worker keeps; beyond it the words met in one batch only are forgotten, which costs time only.
 KEPT_STATES = 2_000_000
 #: Bytes of text taken at a time: a byte takes hundreds while its text is worked on.
@@ -170,35 +210,33 @@ class Lattices:
     lie together, ``summed`` adds up their probabilities from the first on."""
 
     def __init__(self, vocabulary: "Vocabulary"):
-        self.vocabulary, self.known = vocabulary, {}
-        self.words = [Grown(np.int64), Grown(np.int64), Grown(bool)]          # start, end, met again
+        self.vocabulary, self.known = vocabulary, Numbered()
+        self.words = [Grown(np.int64), Grown(np.int64), Grown(bool), Grown(U64)]  # start, end, met again, hash
         self.states = [Grown(np.int64), Grown(np.int32)]                      # first edge, number of edges
         self.edges = [Grown(np.int32), Grown(np.int32), Grown(np.int32), Grown(np.float64), Grown(np.float64)]
 
     def numbers(self, keys: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Word numbers of 64-bit word hashes; the words are spans of ``data``, where marks are spaces."""
-        out = np.fromiter(map(self.known.get, keys.tolist(), repeat(-1)), np.int64, len(keys))
+        out = self.known.get(keys)
         new = out < 0
         self.words[2].held[out[~new]] = True
         if new.any():
             out[new] = self.words[0].n + np.arange(int(new.sum()))
-            self.known.update(zip(keys[new].tolist(), out[new].tolist(), strict=True))
+            self.known.put(keys[new], out[new])
+            self.words[3].add(keys[new])
             self._add(data, starts[new], ends[new])
-        self.start, self.end, _ = (g.held for g in self.words)
+        self.start, self.end = (g.held for g in self.words[:2])
         self.first, self.count = (g.held for g in self.states)
         self.source, self.target, self.piece, self.log_p, self.summed = (g.held for g in self.edges)
         return out
 
     def forget(self) -> None:
         """Keeps the words met again, or nothing if they alone are too many."""
-        start, end, again = (g.held[: g.n] for g in self.words)
+        start, end, again, _ = (g.held[: g.n] for g in self.words)
         kept = np.flatnonzero(again)
         size = end[kept] + 1 - start[kept]
         if 2 * size.sum() > KEPT_STATES:
             kept, size = kept[:0], size[:0]
-        moved = np.full(len(start), -1, np.int64)
-        moved[kept] = np.arange(len(kept))
-        self.known = {key: to for key, at in self.known.items() if (to := int(moved[at])) >= 0}
         to = np.cumsum(size) - size
         shift = start[kept] - to
         states = np.repeat(shift, size) + np.arange(int(size.sum()))
@@ -216,6 +254,8 @@ class Lattices:
             grown.keep(kept)
         self.words[0].held[: len(kept)], self.words[1].held[: len(kept)] = to, to + size - 1
         self.words[2].held[: len(kept)] = False  # must be met anew
+        self.known = Numbered()
+        self.known.put(self.words[3].held[: len(kept)], np.arange(len(kept)))
 
     def p(self, edges: np.ndarray) -> np.ndarray:
         return np.exp(self.log_p[edges])
@@ -256,12 +296,15 @@ class Lattices:
         small = far.astype(np.uint16) if len(far) and far.max() < 1 << 16 else far  # sorted by digits
         by = np.argsort(small, kind="stable")
         cuts = np.cumsum(np.bincount(far, minlength=1))
+        by_source, by_target, by_weight = source[by], target[by], weight[by]
+        heads = np.flatnonzero(np.append(True, by_source[1:] != by_source[:-1])) if len(by) else by  # of states
+        head_cuts, cuts, by_source = np.searchsorted(heads, cuts).tolist(), cuts.tolist(), by_source[heads]
         for d in range(len(cuts) - 1):
-            e = by[cuts[d]: cuts[d + 1]]
-            if len(e):
-                value = weight[e] + beta[target[e]]
-                heads = np.flatnonzero(np.append(True, source[e][1:] != source[e][:-1]))
-                beta[source[e[heads]]] = np.logaddexp.reduceat(value, heads)
+            a, b = cuts[d], cuts[d + 1]
+            if a < b:
+                value = by_weight[a:b] + beta[by_target[a:b]]
+                own = slice(head_cuts[d], head_cuts[d + 1])
+                beta[by_source[own]] = np.logaddexp.reduceat(value, heads[own] - a)
         with np.errstate(invalid="ignore"):
             log_p = weight + beta[target] - beta[source]
         log_p[~np.isfinite(log_p)] = -np.inf
@@ -270,11 +313,12 @@ class Lattices:
         summed, count = p.copy(), np.diff(first)
         heads, rest, k = first[:-1], count, 1
         while len(heads):
-            heads, rest = heads[rest > k], rest[rest > k]
+            more = np.flatnonzero(rest > k)
+            heads, rest = heads[more], rest[more]
             summed[heads + k] += summed[heads + k - 1]
             k += 1
         n_states, n_edges = self.states[0].n, self.edges[0].n
-        for grown, values in zip((*self.words, *self.states, *self.edges),
+        for grown, values in zip((*self.words[:3], *self.states, *self.edges),
                                  (start + n_states, end + n_states, np.zeros(len(start), bool), first[:-1] + n_edges, count, source + n_states,
                                   target + n_states, piece, log_p, summed), strict=True):
             grown.add(values)
@@ -301,13 +345,13 @@ def _drawn(h: np.ndarray) -> np.ndarray:
     return ((h >> U64(11)).astype(float) + 0.5) * 2.0 ** -53
 
 
-def _lane(key: np.ndarray, purpose: int, sample: int, place: np.ndarray) -> np.ndarray:
-    """What the draws of one row, purpose, sample and place begin from."""
-    return mix(mix(key ^ mix(np.array([(sample << 3) | purpose], np.int64).view(U64))) + place.astype(U64))
+def _lane(key: np.ndarray, purpose: int, sample: int, place: np.ndarray, of: np.ndarray | slice = slice(None)) -> np.ndarray:
+    """What the draws of one row, purpose, sample and place begin from; ``of``: the row of each place."""
+    return mix(mix(key ^ mix(np.array([(sample << 3) | purpose], np.int64).view(U64)))[of] + place.astype(U64))
 
 
-def _uniform(key: np.ndarray, purpose: int, sample: int, place: np.ndarray) -> np.ndarray:
-    return _drawn(mix(_lane(key, purpose, sample, place)))
+def _uniform(key: np.ndarray, purpose: int, sample: int, place: np.ndarray, of: np.ndarray | slice = slice(None)) -> np.ndarray:
+    return _drawn(mix(_lane(key, purpose, sample, place, of)))
 
 
 def _walk(lattice: Lattices, state: np.ndarray, word: np.ndarray, key: np.ndarray, place: np.ndarray, sample: int):
@@ -419,10 +463,10 @@ def sample_texts(texts: list[str | None], keys: list[int | None], vocabulary: Vo
             if at >= 0 and (used := taken[i].get(_node(i, at))) is not None:
                 other[begin[b] + at] = 1 - lattice.p(np.array(sorted(used))).sum()
         since = np.array([max(at, 0) for _, at in newest])
-        at = np.flatnonzero((step >= since[of]) & (lattice.count[lattice.source[edges]] > 1) & (other > 1e-12))
+        at = np.flatnonzero((step >= since[of]) & (other > 1e-12))  # a state's only edge leaves exactly nothing
         of, step = of[at], step[at]
         g = _below(prefix[at] + np.log(other[at]), np.array([x[2] for x in own])[of],
-                   _uniform(row_key[texts_of[of]], PARTS, sample, step))
+                   _uniform(row_key[texts_of], PARTS, sample, step, of))
         first_of = np.searchsorted(of, np.arange(len(own) + 1)).tolist()
         for b, i in enumerate(texts_of.tolist()):
             mine = g[first_of[b]: first_of[b + 1]]
@@ -434,8 +478,9 @@ def sample_texts(texts: list[str | None], keys: list[int | None], vocabulary: Vo
     def _node(i: int, step: int):
         return (paths[i][-1][0][:step].tobytes(), step)
 
+    place_of = place[item]
     for i in range(n):
-        paths[i].append((edge[cut[i]: cut[i + 1]], place[item[cut[i]: cut[i + 1]]], float(root[i])))
+        paths[i].append((edge[cut[i]: cut[i + 1]], place_of[cut[i]: cut[i + 1]], float(root[i])))
     open_parts([(i, -1) for i in range(n) if k > 0 and size[i]], 0)
     for sample in range(1, k):
         branch, draws = [], _uniform(row_key, BRANCH, sample, np.zeros(n, np.int64)).tolist()
@@ -496,12 +541,18 @@ def sample_segmentations(docs: DataFrame, model_path: str, k: int = 2, exponent:
     def run(batch):
         vocabulary = Vocabulary.load(model_path, exponent)
         texts = batch.column(1).to_pylist()
-        rows = []
-        for i, (text, samples) in enumerate(zip(texts, sample_texts(texts, batch.column(2).to_pylist(), vocabulary, k, seed), strict=True)):
+        sampled = sample_texts(texts, batch.column(2).to_pylist(), vocabulary, k, seed)
+        whole = np.concatenate([np.zeros(0, np.int64), *(ids for samples in sampled for ids, *_ in samples)])
+        spelled, ends = vocabulary.spelled(whole), np.concatenate([[0], np.cumsum(vocabulary.spelling[2][whole])])
+        rows, at, begin = [], 0, 0
+        for i, (text, samples) in enumerate(zip(texts, sampled, strict=True)):
             want = marked(text).replace(b" ", MARK)
             for r, (ids, log_p, value, inclusion) in enumerate(samples):
+                at += len(ids)
+                end = int(ends[at])
                 rows.append((i, r, len(ids), log_p, value, inclusion, zlib.crc32(ids.astype("<u4").tobytes()),
-                             vocabulary.spelled(ids) == want, ids))
+                             spelled[begin:end] == want, ids))
+                begin = end
         cols = list(zip(*rows, strict=True)) if rows else [[]] * 9
         arrays = [batch.column(0).take(pa.array(cols[0], pa.int64())), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int64()),
                   pa.array(cols[3], pa.float64()), pa.array(cols[4], pa.float64()), pa.array(cols[5], pa.float64()),
