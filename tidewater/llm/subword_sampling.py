@@ -200,7 +200,7 @@ class Numbered:
 
 
 #: States of the lattices a worker keeps; beyond it the words met in one batch only are forgotten, which costs time only.
-KEPT_STATES = 2_000_000
+KEPT_STATES = 3_000_000
 #: Bytes of text taken at a time: a byte takes hundreds while its text is worked on.
 BATCH_BYTES = 250_000
 
@@ -218,13 +218,15 @@ class Lattices:
     def numbers(self, keys: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Word numbers of 64-bit word hashes; the words are spans of ``data``, where marks are spaces."""
         out = self.known.get(keys)
-        new = out < 0
-        self.words[2].held[out[~new]] = True
-        if new.any():
-            out[new] = self.words[0].n + np.arange(int(new.sum()))
-            self.known.put(keys[new], out[new])
-            self.words[3].add(keys[new])
-            self._add(data, starts[new], ends[new])
+        new = np.flatnonzero(out < 0)
+        self.words[2].held[out[out >= 0]] = True
+        if len(new):
+            names, at, inverse = np.unique(keys[new], return_index=True, return_inverse=True)
+            numbers = self.words[0].n + np.arange(len(names))
+            out[new] = numbers[inverse]
+            self.known.put(names, numbers)
+            self.words[3].add(names)
+            self._add(data, starts[new[at]], ends[new[at]])
         self.start, self.end = (g.held for g in self.words[:2])
         self.first, self.count = (g.held for g in self.states)
         self.source, self.target, self.piece, self.log_p, self.summed = (g.held for g in self.edges)
@@ -430,9 +432,8 @@ def sample_texts(texts: list[str | None], keys: list[int | None], vocabulary: Vo
     offsets = np.cumsum([0, *map(len, raws)])
     starts = word_starts(data, offsets)
     ends = np.append(starts[1:], len(data))
-    names, at, inverse = np.unique(SpanHash(data)(starts, ends), return_index=True, return_inverse=True)
     lattice = vocabulary.lattices()
-    word = lattice.numbers(names, data, starts[at], ends[at])[inverse]
+    word = lattice.numbers(SpanHash(data)(starts, ends), data, starts, ends)
     first = np.searchsorted(starts, offsets).tolist()
     size = np.diff(first)
     doc = np.repeat(np.arange(n), size)
@@ -443,6 +444,9 @@ def sample_texts(texts: list[str | None], keys: list[int | None], vocabulary: Vo
     paths = [[] for _ in range(n)]
     opened: list[list] = [[] for _ in range(n)]
     taken: list[dict] = [{} for _ in range(n)]
+    # log-probabilities of each path added up, and the path that the newest one left
+    sums: list[list[np.ndarray]] = [[] for _ in range(n)]
+    parents = [0] * n
 
     def open_parts(newest: list[tuple[int, int]], sample: int) -> None:
         """Draws the best value of every part that leaves the newest path of a text from a step on."""
@@ -450,20 +454,24 @@ def sample_texts(texts: list[str | None], keys: list[int | None], vocabulary: Vo
             return
         texts_of = np.array([i for i, _ in newest])
         own = [paths[i][-1] for i in texts_of]
-        sizes = np.array([len(x[0]) for x in own])
+        since = np.array([max(at, 0) for _, at in newest])
+        sizes = np.array([len(x[0]) for x in own]) - since
         begin = np.cumsum(sizes) - sizes
-        edges, of = np.concatenate([x[0] for x in own]), np.repeat(np.arange(len(own)), sizes)
+        edges, of = np.concatenate([x[0][at:] for x, at in zip(own, since.tolist(), strict=True)]), np.repeat(np.arange(len(own)), sizes)
         log_p = lattice.log_p[edges]
         prefix = -log_p  # added up text by text: sums over others would round differently
-        for b, size_of in zip(begin.tolist(), sizes.tolist(), strict=True):
-            prefix[b: b + size_of] += np.cumsum(log_p[b: b + size_of])
+        for b, size_of, (i, left) in zip(begin.tolist(), sizes.tolist(), newest, strict=True):
+            own_p = log_p[b: b + size_of]
+            before = sums[i][parents[i]][:left] if left > 0 else own_p[:0]
+            total = np.cumsum(np.concatenate([before[-1:], own_p]))[len(before[-1:]):]
+            prefix[b: b + size_of] += total
+            sums[i].append(np.concatenate([before, total]))
         other = 1 - np.exp(log_p)
-        step = np.arange(len(edges)) - begin[of]
+        step = np.arange(len(edges)) - begin[of] + since[of]
         for b, (i, at) in enumerate(newest):
             if at >= 0 and (used := taken[i].get(_node(i, at))) is not None:
-                other[begin[b] + at] = 1 - lattice.p(np.array(sorted(used))).sum()
-        since = np.array([max(at, 0) for _, at in newest])
-        at = np.flatnonzero((step >= since[of]) & (other > 1e-12))  # a state's only edge leaves exactly nothing
+                other[begin[b]] = 1 - lattice.p(np.array(sorted(used))).sum()
+        at = np.flatnonzero(other > 1e-12)  # a state's only edge leaves exactly nothing
         of, step = of[at], step[at]
         g = _below(prefix[at] + np.log(other[at]), np.array([x[2] for x in own])[of],
                    _uniform(row_key[texts_of], PARTS, sample, step, of))
@@ -497,6 +505,7 @@ def sample_texts(texts: list[str | None], keys: list[int | None], vocabulary: Vo
             p = np.cumsum(lattice.p(np.array(out)))
             e = out[min(int(np.searchsorted(p, draws[i] * p[-1], "right")), len(out) - 1)]
             used.add(e)
+            parents[i] = path
             branch.append((i, path, step, e, value))
         if not branch:
             break
