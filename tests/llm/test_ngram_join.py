@@ -87,6 +87,68 @@ def test_a_chain_across_chunks(spark):
     assert sorted(map(tuple, got.collect())) == plain(rows)
 
 
+def test_sets_apart_are_not_sent_to_every_chunk(spark, monkeypatch):
+    """Texts of passages that two or three share form one block of several chunks; they are paired off
+    by these passages, not compared with all others."""
+    r = random.Random(8)
+    passages = [[f"p{k}x{i}" for i in range(30)] for k in range(90)]
+    rows = []
+    for i in range(120):
+        rows.append(" ".join(w for k in r.sample(range(90), 4) for w in passages[k]))
+    rows += [edited(r, rows[i].split(" "), 1) for i in range(0, 120, 6)]
+    rows = list(enumerate(rows))
+    sent, cross = [], j._cross_chunks
+    monkeypatch.setattr(j, "_cross_chunks", lambda sets, *a: sent.append(sets.count()) or cross(sets, *a))
+    paired, apart = [], j._rare_counts
+    monkeypatch.setattr(j, "_rare_counts", lambda sets, *a: paired.append(sets.count()) or apart(sets, *a))
+    df = spark.createDataFrame([(i, t, 0) for i, t in rows], SCHEMA)
+    got = j.near_duplicates(df, chunk_nodes=7, rule=j.Similarity(5, 60))
+    assert sorted(map(tuple, got.collect())) == plain(rows, 5, 60)
+    assert sum(paired) > 50 and sum(sent) == 0
+
+
+@pytest.mark.parametrize("seed,rare", [(1, 64), (2, 3), (3, 2)])
+def test_links_apart_against_all_pairs(spark, seed, rare):
+    """With few rare n-grams, with many, and with sets that have hardly any."""
+    r = np.random.default_rng(seed)
+    rule, rows, node = j.Similarity(5, 80), [], 100
+    for block in range(3):
+        common = r.integers(0, 1 << 63, 40, dtype=np.uint64)
+        for _ in range(12):
+            base = np.append(r.integers(0, 1 << 63, int(r.integers(1, 60)), dtype=np.uint64), r.permutation(common)[: int(r.integers(0, 41))])
+            for _ in range(int(r.integers(1, 7))):
+                kept = r.permutation(base)[: max(1, len(base) - int(r.integers(0, len(base) // 6 + 1)))]
+                s = np.unique(np.append(kept, r.integers(0, 1 << 63, int(r.integers(0, len(base) // 12 + 1)), dtype=np.uint64)))
+                node += int(r.integers(1, 5))
+                rows.append((node, block, node if r.random() < 0.7 or not rows or rows[-1][1] != block else rows[-1][2], len(s), bytearray(s.tobytes())))
+    df = spark.createDataFrame(rows, "node bigint, block bigint, head bigint, n_shingles bigint, grams binary").repartition(4)
+    sets = {x[0]: set(np.frombuffer(bytes(x[4]), np.uint64).tolist()) for x in rows}
+    links = [(a[2], b[2]) for a in rows for b in rows if a[0] < b[0] and a[1] == b[1]
+             and rule.linked(len(sets[a[0]] & sets[b[0]]), a[3], b[3])]
+    heads = {x[2] for x in rows}
+    got = [tuple(x) for x in j._links_apart(df, rule, 6, 300_000, 50, rare).collect()]
+    assert closed(heads, got) == closed(heads, links) and any(a != b for a, b in links)
+
+
+@pytest.mark.parametrize("held", [1, 50, 10 ** 6])
+def test_paired_off(held):
+    r = np.random.default_rng(held)
+    rule, sets = j.Similarity(5, 60), [np.unique(r.integers(0, 60, int(r.integers(1, 30)))) for _ in range(40)]
+    head, size = r.integers(0, 20, 40), np.array([len(s) for s in sets])
+    key, node = np.concatenate(sets).astype(np.uint64), np.repeat(np.arange(40), size)
+    times = np.bincount(np.concatenate(sets), minlength=60)
+    got, want = defaultdict(int), {}
+    for a, b, n in j.paired_off(key, node, head, size, rule, 11, held):
+        for x, y, z in zip(a.tolist(), b.tolist(), n.tolist()):
+            got[x, y] += z
+    for a in range(40):
+        for b in range(a + 1, 40):
+            n = sum(times[x] <= 11 for x in set(sets[a].tolist()) & set(sets[b].tolist()))
+            if n and head[a] != head[b] and 100 * min(size[a], size[b]) >= 60 * max(size[a], size[b]):
+                want[a, b] = n
+    assert got == want and want
+
+
 def test_given_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]

@@ -23,8 +23,11 @@ integers.
 4. In a block of several chunks, n-grams that only one of its sets has are counted; sets with
    too many of them are linked with nothing and leave, and the others are tied anew, until
    that changes nothing more. What stays large is dealt into chunks. Each chunk is joined in itself, then the chunks' group
-   heads among each other; whatever is still apart afterwards is compared chunk by chunk, so
-   no pair of a block goes unseen, and a group of near copies costs its members, not their pairs.
+   heads among each other. Of the sets still apart afterwards, those that share an n-gram found in few
+   sets are paired off, and what they share is counted; the few pairs these counts leave open are
+   compared whole. Linked sets without such an n-gram consist mostly of frequent ones: these sets are tied
+   anew by themselves and compared chunk by chunk. So no pair of a block goes unseen, no set is sent to
+   every chunk of a block, and a group of near copies costs its members, not their pairs.
 
 Defined results: a row with a null id is counted but linked with nothing; repeated rows
 are equal sets; null text has no n-grams; an empty table gives no rows; other columns are
@@ -53,6 +56,10 @@ PART_GRAMS = 1_000_000
 #: A chunk of a block holds about so many nodes, or n-grams.
 CHUNK_NODES = 1000
 CHUNK_GRAMS = 300_000
+#: Sets still apart are paired off by the n-grams that at most so many sets of their block have.
+RARE_SETS = 64
+#: Pairs held at a time while they are counted.
+PAIRS_HELD = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -549,10 +556,10 @@ def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([np.zeros(0, U64), *parts]), np.cumsum([0] + [len(x) for x in parts])
 
 
-def _ties_of_sets(sets: DataFrame, rule: Similarity, wanted: NodeFilter, parts: int) -> DataFrame:
+def _ties_of_sets(sets: DataFrame, rule: Similarity, wanted: NodeFilter | None, parts: int) -> DataFrame:
     def local(batch):
         nodes = batch.column(0).to_numpy()
-        some = np.flatnonzero(wanted(nodes))
+        some = np.flatnonzero(wanted(nodes)) if wanted else np.arange(len(nodes))
         if len(some):
             value, bounds = _unpacked(batch.column(1).take(pa.array(some)))
             yield _tie_rows(value, bounds, nodes[some], rule, parts)
@@ -560,6 +567,14 @@ def _ties_of_sets(sets: DataFrame, rule: Similarity, wanted: NodeFilter, parts:
     return _joined_ties(map_batches(sets.select("node", "grams"), local, _TIES))
 
 
+def _with_parts(sets: DataFrame, part_grams: int) -> DataFrame:
+    """Adds parts, how many its block's n-grams are dealt into. Blocks of several are broadcast, at most one
+    for ``part_grams`` n-grams, so the sets stay where they are."""
+    parts = sets.groupBy("block").agg(F.ceil(F.sum("n_shingles") / part_grams).cast("bigint").alias("parts"))
+    return (sets.join(F.broadcast(parts.filter("parts > 1")), "block", "left")
+            .withColumn("parts", F.coalesce("parts", F.lit(1).cast("bigint"))))
+
+
 def _reaching_in_block(sets: DataFrame, rule: Similarity, part_grams: int) -> DataFrame:
     """The nodes (node, block, n_shingles) with enough n-grams that another set of their block has.
 
@@ -599,8 +614,7 @@ def _reaching_in_block(sets: DataFrame, rule: Similarity, part_grams: int) -> Da
             nodes, alone = np.unique(node[first[times == 1]], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(alone.astype(np.int64))], names=["node", "alone"])
 
-    parts = sets.groupBy("block").agg(F.ceil(F.sum("n_shingles") / part_grams).cast("bigint").alias("parts"))
-    packed = map_batches(sets.select("block", "node", "grams").join(parts, "block").select("block", "node", "grams", "parts"),
+    packed = map_batches(_with_parts(sets, part_grams).select("block", "node", "grams", "parts"),
                          dealt, "block bigint, part bigint, keys binary, nodes binary, times binary")
     alone = (packed.repartition("block", "part").sortWithinPartitions("block", "part")
              .mapInArrow(count, "node bigint, alone bigint").groupBy("node").agg(F.sum("alone").alias("alone")))
@@ -630,9 +644,9 @@ def _chunks(nodes: DataFrame, chunk_nodes: int, chunk_grams: int) -> DataFrame:
     """Adds chunks (how many its block has) and chunk to rows (node, block, n_shingles)."""
     sizes = nodes.groupBy("block").agg(
         F.greatest(F.ceil(F.count(F.lit(1)) / chunk_nodes), F.ceil(F.sum("n_shingles") / chunk_grams)).cast("int").alias("chunks"))
-    # a row per block of several chunks: few, and a block of very many nodes is not dealt by its key
-    # while they are under the session's measured limit for broadcasts
-    return (nodes.join(sizes.filter("chunks > 1"), "block", "left")
+    # a row per block of several chunks, at most one for a chunk's nodes or n-grams: a block of very many
+    # nodes is not dealt by its key, and sets stay where they are
+    return (nodes.join(F.broadcast(sizes.filter("chunks > 1")), "block", "left")
             .withColumn("chunks", F.coalesce("chunks", F.lit(1)))
             .withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")))
 
@@ -702,6 +716,123 @@ def _cross_chunks(sets: DataFrame, rule: Similarity, chunk_nodes: int, chunk_gra
     return dealt.mapInArrow(run, "a bigint, b bigint")
 
 
+def paired_off(key: np.ndarray, node: np.ndarray, head: np.ndarray, size: np.ndarray, rule: Similarity,
+               rare: int, held: int = PAIRS_HELD) -> Iterator[tuple[np.ndarray, ...]]:
+    """(a, b, n) for pairs of sets of different heads, and of sizes that can be linked, that have n of
+    the keys found in at most ``rare`` sets in common: numbers in ``node``'s order, a pair maybe several
+    times. One row of key and set for each n-gram of a set; head and size by set."""
+    order = np.argsort(key, kind="stable")
+    key, node = key[order], node[order]
+    begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    times = np.diff(np.append(begin, len(key)))
+    for n in range(2, rare + 1):
+        lists = begin[times == n]
+        left, right = np.triu_indices(n, 1)
+        step = max(1, held // len(left))
+        for at in range(0, len(lists), step):
+            some = lists[at: at + step, None]
+            a, b = node[some + left].ravel(), node[some + right].ravel()
+            small, large = np.minimum(size[a], size[b]), np.maximum(size[a], size[b])
+            open_ = (head[a] != head[b]) & (100 * small >= rule.percent * large)
+            a, b = a[open_], b[open_]
+            pair, both = np.unique(np.minimum(a, b) * len(size) + np.maximum(a, b), return_counts=True)
+            if len(pair):
+                yield pair // len(size), pair % len(size), both
+
+
+_COUNTS = "a bigint, b bigint, a_head bigint, b_head bigint, a_size bigint, b_size bigint, n bigint"
+
+
+def _rare_counts(sets: DataFrame, rule: Similarity, part_grams: int, rare: int) -> DataFrame:
+    """Rows of _COUNTS to be added up: for pairs of a block's sets how many n-grams they share of those
+    that at most ``rare`` of its sets have; without b, how many more frequent ones a set has.
+
+    A block's n-grams are dealt by value into parts of about ``part_grams``, packed as one row for
+    each batch, block and part."""
+    def dealt(batch):
+        value, bounds = _unpacked(batch.column(4))
+        sizes = np.diff(bounds)
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        node, block, head = (batch.column(k).to_numpy() for k in (0, 1, 2))
+        h = mix(value)
+        part = (h % batch.column(5).to_numpy()[row].astype(U64)).astype(np.int64)
+        order = np.lexsort((row, part, block[row]))
+        part, row, h = part[order], row[order], h[order]
+        cuts = np.flatnonzero(np.concatenate([[True], (block[row[1:]] != block[row[:-1]]) | (part[1:] != part[:-1])]))
+        out = []
+        for i, j in zip(cuts.tolist(), [*cuts[1:].tolist(), len(row)], strict=True):
+            own, times = np.unique(row[i:j], return_counts=True)
+            out.append((int(block[row[i]]), int(part[i]), h[i:j].tobytes(), times.astype(np.int64).tobytes(),
+                        np.stack([node[own], head[own], sizes[own]]).tobytes()))
+        yield pa.RecordBatch.from_arrays([*[pa.array([r[k] for r in out], pa.int64()) for k in (0, 1)],
+                                          *[pa.array([r[k] for r in out], pa.binary()) for k in (2, 3, 4)]],
+                                         names=["block", "part", "keys", "times", "sets"])
+
+    def rows(*columns):
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=[x.split()[0] for x in _COUNTS.split(", ")])
+
+    def count(batches):
+        for some in _groups(batches, 2):
+            key = np.concatenate([np.frombuffer(r[2], U64) for r in some])
+            times = np.concatenate([np.frombuffer(r[3], np.int64) for r in some])
+            node, head, size = np.concatenate([np.frombuffer(r[4], np.int64).reshape(3, -1) for r in some], axis=1)
+            of = np.repeat(np.arange(len(node)), times)
+            _, at, found = np.unique(key, return_inverse=True, return_counts=True)
+            own, n = np.unique(of[found[at] > rare], return_counts=True)
+            nothing = [None] * len(own)
+            yield rows(node[own], nothing, head[own], nothing, size[own], nothing, n)
+            for a, b, n in paired_off(key, of, head, size, rule, rare):
+                yield rows(node[a], node[b], head[a], head[b], size[a], size[b], n)
+
+    packed = map_batches(_with_parts(sets, part_grams).select("node", "block", "head", "n_shingles", "grams", "parts"), dealt,
+                         "block bigint, part bigint, keys binary, times binary, sets binary")
+    return (packed.repartition("block", "part").sortWithinPartitions("block", "part").mapInArrow(count, _COUNTS))
+
+
+def _compared(pairs: DataFrame, sets: DataFrame, rule: Similarity) -> DataFrame:
+    """(a, b): the heads of those pairs (a, b, a_head, b_head) that are linked."""
+    def run(batch):
+        a, b = (batch.column(k).to_numpy() for k in (0, 1))
+        grams = [[np.frombuffer(x.as_buffer(), U64) for x in batch.column(k)] for k in (2, 3)]
+        linked = [rule.linked(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)) for x, y in zip(*grams, strict=True)]
+        some = np.flatnonzero(linked)
+        yield pa.RecordBatch.from_arrays([pa.array(a[some]), pa.array(b[some])], names=["a", "b"])
+
+    def of(side):
+        return sets.select(F.col("node").alias(side), F.col("grams").alias(f"{side}_grams")).hint("merge")
+
+    both = pairs.join(of("a"), "a").join(of("b"), "b").select("a_head", "b_head", "a_grams", "b_grams")
+    return map_batches(both, run, "a bigint, b bigint")
+
+
+def _links_apart(sets: DataFrame, rule: Similarity, chunk_nodes: int, chunk_grams: int, part_grams: int,
+                 rare: int = RARE_SETS) -> DataFrame:
+    """(a, b) linked heads of blocks that still have several heads; ``sets``: (node, block, head, n_shingles, grams).
+
+    Linked sets share at least ``percent`` of the larger one's n-grams. Two that share no rare one
+    are both frequent, that is, so much of each is found in more than ``rare`` sets of the block."""
+    counts = checkpoint(_rare_counts(sets, rule, part_grams, rare))
+    many = counts.filter("b is null").groupBy("a", "a_size").agg(F.sum("n").alias("n"))
+    frequent = 100 * F.col("n") >= rule.percent * F.col("a_size")
+    side = lambda x: many.select(F.col("a").alias(x), F.col("n").alias(f"{x}_n"), frequent.alias(f"{x}_frequent")).hint("merge")
+    pairs = counts.filter("b is not null").groupBy("a", "b", "a_head", "b_head", "a_size", "b_size").agg(F.sum("n").alias("n"))
+    more = F.least(F.coalesce("a_n", F.lit(0)), F.coalesce("b_n", F.lit(0)))
+    linked = lambda both: rule.linked(both, F.col("a_size"), F.col("b_size"))
+    pairs = checkpoint(pairs.join(side("a"), "a", "left").join(side("b"), "b", "left").filter(linked(F.col("n") + more))
+                       .withColumn("sure", linked(F.col("n"))))
+    sure = pairs.filter("sure").select(F.col("a_head").alias("a"), F.col("b_head").alias("b"))
+    unsure = pairs.filter(~F.col("sure") & ~(F.coalesce("a_frequent", F.lit(False)) & F.coalesce("b_frequent", F.lit(False))))
+    links = sure.union(_compared(unsure.select("a", "b", "a_head", "b_head"), sets, rule))
+    some = checkpoint(sets.join(many.filter(frequent).select(F.col("a").alias("node")).hint("merge"), "node", "left_semi"))
+    if some.isEmpty():
+        return links
+    blocks = components(_ties_of_sets(some, rule, None, _key_parts(some, part_grams))).withColumnRenamed("component", "block")
+    blocks = some.select("node", "head").join(blocks.hint("merge"), "node")
+    several = blocks.groupBy("block").agg(F.min("head").alias("lo"), F.max("head").alias("hi")).filter("lo != hi").select("block")
+    some = some.drop("block").join(blocks.select("node", "block").join(several.hint("merge"), "block", "left_semi").hint("merge"), "node")
+    return links.union(_cross_chunks(checkpoint(some), rule, chunk_nodes, chunk_grams))
+
+
 SETS = ("node", "block", "n_shingles", "grams")
 
 
@@ -738,7 +869,7 @@ def _large_blocks(sets: DataFrame, rule: Similarity, bits: int, chunk_nodes: int
     if apart.isEmpty():
         return done.union(merged.select("node", F.col("head").alias("root")))
     apart = sets.join(apart.select("node", "head").hint("merge"), "node").select("node", "block", "head", "n_shingles", "grams")
-    across = components(_cross_chunks(checkpoint(apart), rule, chunk_nodes, chunk_grams))
+    across = components(_links_apart(checkpoint(apart), rule, chunk_nodes, chunk_grams, part_grams))
     joined = merged.join(across.select(F.col("node").alias("head"), "component").hint("merge"), "head", "left")
     return done.union(joined.select("node", F.coalesce("component", "head").alias("root")))
 
