@@ -47,6 +47,15 @@ def test_drop_copies(spark):
     assert sorted(r.doc_id for r in out.collect()) == sorted({r[1] for r in plain(rows)})
 
 
+def test_rows_are_dealt_out_once(spark):
+    """Besides the contents, each row goes through one shuffle, on its way to the winners."""
+    from pyspark.sql import functions as F
+    df = spark.range(50).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), F.col("id") % 40).alias("text"))
+    plan = x.drop_copies(df)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 3
+    assert sorted(r.doc_id for r in x.drop_copies(df).collect()) == list(range(40))
+
+
 def test_repeated_rows_and_null_ids(spark):
     df = spark.createDataFrame([(1, "a", ""), (1, "a", ""), (1, "b", ""), (None, "c", ""), (None, "a", "")], SCHEMA)
     got = x.exact_groups(df).collect()

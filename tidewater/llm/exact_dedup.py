@@ -223,7 +223,7 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 table_bytes: int = TABLE_BYTES) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     names = docs.columns
-    won = ["__sha", "__id", "__chars"]
+    won = F.concat_ws(":", "__sha", F.col("__chars").cast("string"), F.coalesce(F.col("__id").cast("string"), F.lit("none")))
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     winners = (rows.mapInArrow(_map_side, _RECORD).repartition("digest").mapInArrow(
@@ -239,6 +239,7 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     schema = StructType([*docs.schema.fields]).add("__sha", StringType()).add("__chars", LongType())
     each = docs.mapInArrow(digests, schema).withColumn("__id", F.col(id_col).cast("bigint"))
-    same = (each["__sha"] == winners["__sha"]) & (each["__chars"] == winners["__chars"]) & each["__id"].eqNullSafe(winners["__id"])
-    # only rows repeated under the winner's id are left to choose from
-    return each.join(winners.hint("merge"), same, "left_semi").dropDuplicates(won).select(*names)
+    # one column names content, length and id, so what the join has dealt out need not be dealt again to
+    # choose one of the rows repeated under the winner's id
+    stay = each.withColumn("__won", won).join(winners.select(won.alias("__won")).hint("merge"), "__won", "left_semi")
+    return stay.dropDuplicates(["__won"]).select(*names)
