@@ -4,6 +4,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidewater.llm import ngram_join as j
@@ -130,6 +131,33 @@ def test_links_apart_against_all_pairs(spark, seed, rare):
     assert closed(heads, got) == closed(heads, links) and any(a != b for a, b in links)
 
 
+def test_spans_in_order_are_hashed_in_parts(monkeypatch):
+    from tidewater.llm import _text
+    r, held, whole = np.random.default_rng(2), [], _text.SpanHash
+    data = r.integers(0, 256, 5000).astype(np.uint8)
+    starts = np.sort(r.integers(0, 5000, 400))
+    ends = np.minimum(starts + r.integers(0, 90, 400), 5000)
+    want = whole(data)(starts, ends)
+    monkeypatch.setattr(_text, "SpanHash", lambda data: held.append(len(data)) or whole(data))
+    monkeypatch.setattr(_text, "SUMMED_BYTES", 300)
+    assert (_text.span_hashes(data, starts, ends) == want).all() and max(held) < 400
+    order = r.permutation(400)
+    assert (_text.span_hashes(data, starts[order], ends[order]) == want[order]).all()
+    assert len(_text.span_hashes(data, starts[:0], ends[:0])) == 0
+
+
+def test_gram_sets_of_a_batch_are_hashed_in_parts(monkeypatch):
+    r, seen, part = random.Random(6), [], j._gram_sets
+    texts = [None if i % 9 == 0 else " ".join(f"w{r.randrange(50)}" for _ in range(r.randrange(40))) for i in range(200)]
+    want = part(pa.array(texts), 3)
+    monkeypatch.setattr(j, "HASHED_BYTES", 700)
+    monkeypatch.setattr(j, "_gram_sets", lambda column, words: seen.append(column.nbytes) or part(column, words))
+    for column, skip in ((pa.array(texts), 0), (pa.array(["cut off", *texts]).slice(1), 0), (pa.array([], pa.string()), 200)):
+        value, bounds = j.gram_sets(column, 3)
+        assert len(bounds) == 201 - skip and (skip or (value == want[0]).all() and (bounds == want[1]).all())
+    assert len(seen) > 20
+
+
 @pytest.mark.parametrize("held", [1, 50, 10 ** 6])
 def test_paired_off(held):
     r = np.random.default_rng(held)

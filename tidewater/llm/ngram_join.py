@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._spark import checkpoint, map_batches
+from ._spark import checkpoint, cut, map_batches
 from ._text import LOWER, U64, mix, per_doc, span_hashes, text_bytes, word_spans
 from .components import components
 from .sketches import gather
@@ -97,8 +97,21 @@ class Similarity:
 
 # ------------------------------------------------------------------ sets of a batch
 
+#: Bytes of text whose n-grams are hashed at a time: a byte takes about a hundred meanwhile, which a
+#: worker may not give back.
+HASHED_BYTES = 250_000
+
+
 def gram_sets(column: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
     """(distinct n-gram hashes by document and value, where each document's begin)."""
+    parts = [_gram_sets(part.column(0), words)
+             for part in cut(pa.RecordBatch.from_arrays([column], names=["text"]), HASHED_BYTES)]
+    ends = np.cumsum([0] + [len(value) for value, _ in parts])
+    return (np.concatenate([value for value, _ in parts]),
+            np.concatenate([[0], *[bounds[1:] + start for (_, bounds), start in zip(parts, ends[:-1], strict=True)]]))
+
+
+def _gram_sets(column: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
     data, offsets = text_bytes(column)
     data = LOWER[data]
     n_docs = len(offsets) - 1
